@@ -75,3 +75,235 @@ def daily_revenue(spark, sf):
 @register("gold_full", daily_revenue_sql(SILVER_FULL_SQL))
 def gold_full(spark, sf):
     return gold.daily_revenue(_silver_full(spark, sf), key_is_unique=False)
+
+
+# ------------------------------------------------------ P1-P8, A1, A8, L4
+BATCH1_AT = fx.BATCH_INGESTED_AT[1]
+BATCH2_AT = fx.BATCH_INGESTED_AT[2]
+BRONZE_RUN1_SQL = f"select * from ({BRONZE}) x where _ingested_at = timestamp '{BATCH1_AT}'"
+SILVER_RUN1_SQL = f"{SILVER_SELECT} from ({latest_sql(BRONZE_RUN1_SQL, 'order_id', ORDER)}) b"
+
+
+def _bronze_run1(spark, sf):
+    b = fx.bronze_fixture(spark, sf)
+    return b.filter(F.col("_ingested_at") == fx.ntz(BATCH1_AT))
+
+
+@register("bronze_enriched", f"select * from ({BRONZE}) b")
+def bronze_enriched(spark, sf):
+    """The changelog with the audit columns of its producer batch."""
+    return fx.bronze_fixture(spark, sf)
+
+
+@register("line_total", f"select order_id, l_linenumber, l_suppkey, quantity, unit_price, "
+                        f"quantity * unit_price as line_total from ({RAW}) r")
+def line_total_q(spark, sf):
+    return fx.raw_orders(spark, sf).select(
+        "order_id", "l_linenumber", "l_suppkey", "quantity", "unit_price", silver.line_total())
+
+
+@register("business_columns", f"select * exclude (_ingested_at, _schema_version, _source) from ({BRONZE}) b")
+def business_columns(spark, sf):
+    """System columns (leading underscore) stripped."""
+    b = fx.bronze_fixture(spark, sf)
+    return b.select(*[c for c in b.columns if not c.startswith("_")])
+
+
+@register("silver_delta", f"select * from ({BRONZE}) b where updated_at > "
+                          f"(select max(updated_at) from ({SILVER_RUN1_SQL}) t)")
+def silver_delta_q(spark, sf):
+    """Bronze rows above Silver's high-water mark after run 1
+    (uncorrelated scalar subquery, pushed into the scan)."""
+    from lakeguard.operators.watermark import watermark_value
+    target = silver.silver_full(_bronze_run1(spark, sf), ORDER)
+    return silver.silver_delta(fx.bronze_fixture(spark, sf), watermark_value(target, "updated_at"))
+
+
+@register("gold_delta", daily_revenue_sql(
+    SILVER_FULL_SQL,
+    f"where cast(created_at as date) >= (select max(order_date) from ({daily_revenue_sql(SILVER_RUN1_SQL)}) g)"))
+def gold_delta_q(spark, sf):
+    """Gold rows re-aggregated from the latest Gold date of run 1 on
+    (inclusive date filter)."""
+    from lakeguard.operators.watermark import watermark_value
+    gold1 = gold.daily_revenue(silver.silver_full(_bronze_run1(spark, sf), ORDER), True)
+    rows = gold.gold_delta(_silver_full(spark, sf), watermark_value(gold1, "order_date"))
+    return gold.daily_revenue(rows, key_is_unique=True)
+
+
+@register("ingested_on_day", f"select * from ({BRONZE}) b where cast(_ingested_at as date) = date '2001-12-02'")
+def ingested_on_day(spark, sf):
+    """Rows ingested on one UTC day (Catalyst turns the date cast into a
+    pushed timestamp range)."""
+    b = fx.bronze_fixture(spark, sf)
+    return b.filter(F.to_date("_ingested_at") == F.lit("2001-12-02").cast("date"))
+
+
+@register("duplicate_keys", f"select order_id, count(*) as versions from ({RAW}) r "
+                            f"group by order_id having count(*) > 1")
+def duplicate_keys(spark, sf):
+    """Keys with more than one row (partial count per task, then final)."""
+    return (fx.raw_orders(spark, sf).groupBy("order_id")
+            .agg(F.count(F.lit(1)).alias("versions")).filter(F.col("versions") > 1))
+
+
+@register("high_watermark", f"select max(updated_at) as max_updated_at, max(_ingested_at) as max_ingested_at, "
+                            f"max(created_at) as max_created_at from ({BRONZE}) b")
+def high_watermark_q(spark, sf):
+    b = fx.bronze_fixture(spark, sf)
+    return b.agg(F.max("updated_at").alias("max_updated_at"),
+                 F.max("_ingested_at").alias("max_ingested_at"),
+                 F.max("created_at").alias("max_created_at"))
+
+
+@register("bronze_count", f"select count(case when _ingested_at <= timestamp '{BATCH1_AT}' then 1 end) "
+                          f"as rows_after_run1, count(*) as rows_after_run2 from ({BRONZE}) b")
+def bronze_count(spark, sf):
+    """L4: Bronze row count after each run, in one pass."""
+    b = fx.bronze_fixture(spark, sf)
+    return b.agg(F.count_if(F.col("_ingested_at") <= fx.ntz(BATCH1_AT)).alias("rows_after_run1"),
+                 F.count(F.lit(1)).alias("rows_after_run2"))
+
+
+# ------------------------------------------ contracts and drift (S4-S6, N*)
+from lakeguard.functions.types import normalize_sql  # noqa: E402
+from lakeguard.operators import drift  # noqa: E402
+from lakeguard.sources import contracts as ct  # noqa: E402
+from lakeguard.sources import files  # noqa: E402
+from lakeguard.sources import scenarios as sc  # noqa: E402
+
+
+def _duck_type(expr: str) -> str:
+    """Canonical type of a DuckDB type name (one-level lists as array<...>)."""
+    return (f"(case when {expr} like '%[]' then 'array<' || lower(replace({expr}, '[]', '')) || '>' "
+            f"else {normalize_sql(expr)} end)")
+
+
+def _describe_sql(key: str, sql: str, key_col: str = "contract_key") -> str:
+    return (f"select '{key}' as {key_col}, cast(row_number() over () as integer) as ordinal, "
+            f"column_name, {_duck_type('column_type')} as type from (describe {sql})")
+
+
+def _seed_sql(versions=ct.SEED_VERSIONS) -> str:
+    paths = ", ".join(f"'{ct.seed_path(v)}'" for v in versions)
+    return (f"select contract_key, cast(ordinal as integer) as ordinal, c.name as column_name, "
+            f"{normalize_sql('c.type')} as type from (select version as contract_key, "
+            f"unnest(range(1, len(columns) + 1)) as ordinal, unnest(columns) as c "
+            f"from read_json([{paths}]))")
+
+
+TABLE_CONTRACTS_SQL = " union all ".join(
+    _describe_sql(t, f"select * from {t}", "table_name") for t in fx.TABLES)
+SCENARIO_CONTRACTS_SQL = " union all ".join(
+    _describe_sql(n, sc.SCENARIO_SQL[n], "batch_id") for n in sc.SCENARIOS)
+
+
+def _table_contracts(spark, sf):
+    schemas = {t: fx.read_table(spark, sf, t).schema for t in fx.TABLES}
+    return ct.contract_of(spark, schemas, drop_system=False)
+
+
+@register("contract_from_table", f"select table_name, ordinal, column_name, type from ({TABLE_CONTRACTS_SQL}) c")
+def contract_from_table(spark, sf):
+    """The contract of every provided table (metadata, no rows read)."""
+    return _table_contracts(spark, sf).select(
+        F.col("contract_key").alias("table_name"), "ordinal", "column_name", "type")
+
+
+@register("type_normalize", f"select type, count(*) as n_columns from ({TABLE_CONTRACTS_SQL}) c group by type")
+def type_normalize(spark, sf):
+    """canonical type names over every column of the provided tables."""
+    return (_table_contracts(spark, sf).groupBy("type")
+            .agg(F.count(F.lit(1)).alias("n_columns")))
+
+
+@register("file_contracts", f"select table_name || '.parquet' as file_name, ordinal, column_name, type "
+                            f"from ({TABLE_CONTRACTS_SQL}) c")
+def file_contracts(spark, sf):
+    """The contract of every Parquet file under the data directory, read
+    from each file's own footer."""
+    return files.file_contracts(spark, sf).select("file_name", "ordinal", "column_name", "type")
+
+
+def _scenario_contracts(spark, sf):
+    batches = sc.scenario_batches(spark, sf)
+    return ct.contract_of(spark, {n: batches[n].schema for n in sc.SCENARIOS})
+
+
+def _scenario_changes(spark, sf, baseline_version="v1"):
+    incoming = _scenario_contracts(spark, sf)
+    baseline = ct.seed_contracts(spark, [baseline_version])
+    pairs = spark.createDataFrame([(n, baseline_version) for n in sc.SCENARIOS],
+                                  "batch_id string, baseline_key string")
+    return drift.column_changes(incoming, baseline, pairs)
+
+
+def _drift_sql(incoming_sql: str, baseline_sql: str, pairs_sql: str) -> str:
+    return f"""
+with inc as (select batch_id, column_name, ordinal as actual_ordinal, type as actual_type from ({incoming_sql}) i),
+     exp as (select p.batch_id, b.column_name, b.ordinal as expected_ordinal, b.type as expected_type
+             from ({pairs_sql}) p join ({baseline_sql}) b on b.contract_key = p.baseline_key)
+select coalesce(inc.batch_id, exp.batch_id) as batch_id,
+       coalesce(inc.column_name, exp.column_name) as column_name,
+       case when expected_type is null then 'ADDED' when actual_type is null then 'REMOVED'
+            when actual_type <> expected_type then 'TYPE_CHANGED' else 'SAME' end as change,
+       expected_type, actual_type, expected_ordinal, actual_ordinal
+from inc full outer join exp on inc.batch_id = exp.batch_id and inc.column_name = exp.column_name"""
+
+
+SCENARIO_PAIRS_SQL = " union all ".join(f"select '{n}' as batch_id, 'v1' as baseline_key" for n in sc.SCENARIOS)
+SCENARIO_DRIFT_SQL = _drift_sql(SCENARIO_CONTRACTS_SQL, _seed_sql(["v1"]), SCENARIO_PAIRS_SQL)
+
+
+def _verdict_sql(changes_sql: str) -> str:
+    def names(kind, ordinal):
+        return (f"'[' || coalesce(string_agg('''' || column_name || '''', ', ' order by {ordinal}) "
+                f"filter (where change = '{kind}'), '') || ']'")
+    tc = ("'[' || coalesce(string_agg('{''column'': ''' || column_name || ''', ''expected'': ''' || "
+          "expected_type || ''', ''actual'': ''' || actual_type || '''}', ', ' order by actual_ordinal) "
+          "filter (where change = 'TYPE_CHANGED'), '') || ']'")
+    downstream = "[" + ", ".join(f"'{d}'" for d in drift.DOWNSTREAM) + "]"
+    breaking = "bool_or(change in ('REMOVED', 'TYPE_CHANGED'))"
+    return f"""
+select batch_id,
+       case when {breaking} then 'BREAKING' else 'NON_BREAKING' end as verdict,
+       {names('ADDED', 'actual_ordinal')} as added_columns,
+       {names('REMOVED', 'expected_ordinal')} as removed_columns,
+       {tc} as type_changes,
+       case when {breaking} then '{downstream.replace("'", "''")}' else '[]' end as affected_pipelines
+from ({changes_sql}) c group by batch_id"""
+
+
+SCENARIO_VERDICT_SQL = _verdict_sql(SCENARIO_DRIFT_SQL)
+
+
+@register("schema_drift", SCENARIO_DRIFT_SQL)
+def schema_drift(spark, sf):
+    """Column-level changes of every producer batch shape against
+    the v1 seed contract (full outer join on (batch, column))."""
+    return _scenario_changes(spark, sf)
+
+
+@register("schema_drift_verdict", SCENARIO_VERDICT_SQL)
+def schema_drift_verdict(spark, sf):
+    """One verdict per batch with its added / removed / changed lists."""
+    return drift.verdict_text(drift.verdicts(_scenario_changes(spark, sf)))
+
+
+CONTRACT_VERSIONS_SQL = _verdict_sql(_drift_sql(
+    " union all ".join(_describe_sql(f"baseline@{v}", sc.SCENARIO_SQL["baseline"], "batch_id")
+                       for v in ct.SEED_VERSIONS),
+    _seed_sql(),
+    " union all ".join(f"select 'baseline@{v}' as batch_id, '{v}' as baseline_key"
+                       for v in ct.SEED_VERSIONS)))
+
+
+@register("contract_versions", CONTRACT_VERSIONS_SQL)
+def contract_versions(spark, sf):
+    """The v1-shaped changelog batch checked against every seed
+    contract version in one job (one batch id per (batch, version) pair)."""
+    schema = sc.scenario_batches(spark, sf)["baseline"].schema
+    incoming = ct.contract_of(spark, {f"baseline@{v}": schema for v in ct.SEED_VERSIONS})
+    pairs = spark.createDataFrame([(f"baseline@{v}", v) for v in ct.SEED_VERSIONS],
+                                  "batch_id string, baseline_key string")
+    return drift.verdict_text(drift.classify(incoming, ct.seed_contracts(spark), pairs))
