@@ -19,8 +19,9 @@ from lakeguard.functions.types import normalize_type
 
 CONTRACT_DIR = Path(__file__).resolve().parents[1] / "contracts"
 SEED_VERSIONS = ("v1", "v2", "v3")
-# System columns the pipeline adds at write time; never part of a contract.
-SYSTEM_COLUMNS = ("_ingested_at", "_schema_version", "_source")
+# Columns the pipeline adds at write time (the last is Bronze's partition
+# column); never part of an upstream contract.
+SYSTEM_COLUMNS = ("_ingested_at", "_schema_version", "_source", "_ingest_date")
 
 CONTRACT_SCHEMA = T.StructType([
     T.StructField("contract_key", T.StringType(), False),
