@@ -307,3 +307,151 @@ def contract_versions(spark, sf):
     pairs = spark.createDataFrame([(f"baseline@{v}", v) for v in ct.SEED_VERSIONS],
                                   "batch_id string, baseline_key string")
     return drift.verdict_text(drift.classify(incoming, ct.seed_contracts(spark), pairs))
+
+
+# ------------------------------------------------ merge engine
+from lakeguard.operators import merge as mg  # noqa: E402
+
+TS1 = f"timestamp '{BATCH1_AT}'"
+INCOMING_SQL = (f"{SILVER_SELECT} from ("
+                f"{latest_sql(f'select * from ({BRONZE}) x where _ingested_at > {TS1}', 'order_id', ORDER)}) b")
+ARRIVAL_CHANGES_SQL = f"""
+select * from (
+  select * from ({INCOMING_SQL}) i
+  union all
+  select * from ({SILVER_RUN1_SQL}) t where order_id in (select order_id from ({INCOMING_SQL}) i2)
+) u qualify row_number() over (partition by order_id order by updated_at desc nulls last,
+                                                          _ingested_at desc nulls last) = 1"""
+MERGE_SILVER_SQL = f"""
+select * from ({SILVER_RUN1_SQL}) t where order_id not in (select order_id from ({ARRIVAL_CHANGES_SQL}) c)
+union all select * from ({ARRIVAL_CHANGES_SQL}) c2"""
+
+
+def _arrival_changes(spark, sf):
+    target = silver.silver_full(_bronze_run1(spark, sf), ORDER)
+    changes = silver.silver_incremental(fx.bronze_fixture(spark, sf), target, mode="arrival",
+                                        watermark=fx.ntz(BATCH1_AT), version_order=ORDER)
+    return target, changes
+
+
+@register("merge_silver", MERGE_SILVER_SQL)
+def merge_silver(spark, sf):
+    """Arrival-time merge of batch 2 into the Silver state of run 1
+    (anti-join of the target on the changed keys, union of the changes)."""
+    target, changes = _arrival_changes(spark, sf)
+    return silver.merge_changes(target, changes)
+
+
+_STAT_COLS = [c for c in silver.SILVER_COLUMNS if c != "order_id"]
+MERGE_STATS_SQL = f"""
+select case when t.order_id is null then 'inserted'
+            when {' and '.join(f'c.{x} is not distinct from t.{x}' for x in _STAT_COLS)} then 'unchanged'
+            else 'updated' end as action, count(*) as keys
+from ({ARRIVAL_CHANGES_SQL}) c left join ({SILVER_RUN1_SQL}) t on c.order_id = t.order_id
+group by 1"""
+
+
+@register("merge_stats", MERGE_STATS_SQL)
+def merge_stats(spark, sf):
+    """How the batch-2 merge classifies its keys (inserted / updated / unchanged)."""
+    target, changes = _arrival_changes(spark, sf)
+    return mg.merge_stats(target, changes, "order_id")
+
+
+@register("merge_idempotent", f"""
+select count(*) as rows_once, count(*) as rows_twice, 0 as only_once, 0 as only_twice
+from ({MERGE_SILVER_SQL}) m""")
+def merge_idempotent(spark, sf):
+    """Applying the same change set twice equals applying it once
+    (multiset difference both ways, stronger than equal counts)."""
+    target, changes = _arrival_changes(spark, sf)
+    once = silver.merge_changes(target, changes)
+    twice = silver.merge_changes(once, changes)
+    diff = mg.symmetric_difference(once, twice).select("side")
+    tagged = (once.select(F.lit("once").alias("side"))
+              .unionByName(twice.select(F.lit("twice").alias("side"))).unionByName(diff))
+    return tagged.agg(F.count_if(F.col("side") == "once").alias("rows_once"),
+                      F.count_if(F.col("side") == "twice").alias("rows_twice"),
+                      F.count_if(F.col("side") == "only_first").cast("int").alias("only_once"),
+                      F.count_if(F.col("side") == "only_second").cast("int").alias("only_twice"))
+
+
+GOLD_RUN1_SQL = daily_revenue_sql(SILVER_RUN1_SQL)
+GOLD_LATEST_SQL = daily_revenue_sql(
+    SILVER_FULL_SQL, f"where cast(created_at as date) >= (select max(order_date) from ({GOLD_RUN1_SQL}) g)")
+
+
+@register("merge_gold", f"""
+select * from ({GOLD_RUN1_SQL}) t where order_date not in (select order_date from ({GOLD_LATEST_SQL}) r)
+union all select * from ({GOLD_LATEST_SQL}) r2""")
+def merge_gold(spark, sf):
+    """K4/M2 (reference rule): Gold dates from the latest Gold date on are
+    re-aggregated and replace their rows; older dates keep run-1 values."""
+    from lakeguard.operators.watermark import watermark_value
+    gold1 = gold.daily_revenue(silver.silver_full(_bronze_run1(spark, sf), ORDER), True)
+    rows = gold.gold_delta(_silver_full(spark, sf), watermark_value(gold1, "order_date"))
+    return gold.merge_gold(gold1, gold.daily_revenue(rows, key_is_unique=True))
+
+
+@register("merge_gold_touched", daily_revenue_sql(SILVER_FULL_SQL))
+def merge_gold_touched(spark, sf):
+    """Re-aggregate every date holding a key changed by the batch-2 Silver
+    merge (old and new dates), merged over Gold of run 1 — equals a full rebuild."""
+    target, changes = _arrival_changes(spark, sf)
+    merged = silver.merge_changes(target, changes)
+    dates = gold.touched_dates(changes, target)
+    gold1 = gold.daily_revenue(target, True)
+    return gold.merge_gold(gold1, gold.gold_for_dates(merged, dates), dates)
+
+
+# --------------------------------------------------------- as-of reads
+ASOF = "2001-12-01 12:00:00"
+
+
+@register("bronze_as_of", f"select * from ({BRONZE}) b where _ingested_at <= timestamp '{ASOF}'")
+def bronze_as_of(spark, sf):
+    """Bronze as it stood at a past instant (append-only: filter on arrival)."""
+    return fx.bronze_fixture(spark, sf).filter(F.col("_ingested_at") <= fx.ntz(ASOF))
+
+
+@register("silver_as_of", f"{SILVER_SELECT} from ("
+                          f"{latest_sql(f'select * from ({BRONZE}) x where _ingested_at <= timestamp {chr(39)}{ASOF}{chr(39)}', 'order_id', ORDER)}) b")
+def silver_as_of(spark, sf):
+    """Silver at a past instant = the Silver model over Bronze as of then."""
+    return silver.silver_full(bronze_as_of(spark, sf), ORDER)
+
+
+# ----------------------------------------------- schema evolution read (K2)
+@register("bronze_evolved_read", f"""
+select {', '.join(sc.V1)}, cast(null as varchar) as delivery_partner from ({RAW}) r
+where updated_at <= timestamp '{fx.BATCH_SPLIT}'
+union all
+select {', '.join(sc.V1)}, 'partner-' || cast(l_suppkey % 5 + 1 as varchar) as delivery_partner
+from ({RAW}) r where updated_at > timestamp '{fx.BATCH_SPLIT}'""")
+def bronze_evolved_read(spark, sf):
+    """K2: a v1 batch then a v2 batch (adds delivery_partner) read as one
+    evolved table — rows of the older batch read the new column as null."""
+    r = fx.raw_orders(spark, sf)
+    split = F.col("updated_at") <= fx.ntz(fx.BATCH_SPLIT)
+    old = r.filter(split).select(*sc.V1)
+    new = sc.scenario_batches(spark, sf)["non_breaking"].filter(~split)
+    return old.unionByName(new, allowMissingColumns=True)
+
+
+SINK_DRIFT_SQL = _drift_sql(
+    _describe_sql("output", ARRIVAL_CHANGES_SQL, "batch_id"),
+    _describe_sql("target", SILVER_RUN1_SQL, "contract_key"),
+    "select 'output' as batch_id, 'target' as baseline_key")
+
+
+@register("sink_drift_check", f"select count(*) as columns_compared, "
+                              f"count(*) filter (where change <> 'SAME') as drifted_columns from ({SINK_DRIFT_SQL}) d")
+def sink_drift_check(spark, sf):
+    """K6: contract of the incremental Silver output against the Silver target."""
+    target, changes = _arrival_changes(spark, sf)
+    out_c = ct.contract_of(spark, {"output": changes.schema}, drop_system=False)
+    tgt_c = ct.contract_of(spark, {"target": target.schema}, drop_system=False)
+    pairs = spark.createDataFrame([("output", "target")], "batch_id string, baseline_key string")
+    ch = drift.column_changes(out_c, tgt_c, pairs)
+    return ch.agg(F.count(F.lit(1)).alias("columns_compared"),
+                  F.count_if(F.col("change") != drift.SAME).alias("drifted_columns"))

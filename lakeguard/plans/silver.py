@@ -32,6 +32,9 @@ SILVER_COLUMNS = ["order_id", "customer_id", "product_id", "quantity", "unit_pri
 # then the remaining columns so that the order is total.
 DEFAULT_VERSION_ORDER = ["updated_at", "_ingested_at", "status", "product_id",
                          "quantity", "unit_price", "customer_id", "created_at"]
+# Between an incoming row and the current Silver row of its key: newer event
+# time wins, and on equal event time the later arrival.
+ARRIVAL_ORDER = ["updated_at", "_ingested_at"]
 
 
 def line_total() -> Column:
@@ -65,10 +68,10 @@ def silver_incremental(bronze: DataFrame, target: DataFrame, *,
         return project(latest_per_key(delta, KEY, version_order))
     if mode == "arrival":
         delta = high_watermark_filter(bronze, "_ingested_at", watermark, strict=True)
-        incoming = project(delta)
-        current = target.select(*SILVER_COLUMNS).join(
-            incoming.select(KEY).distinct(), KEY, "left_semi")
-        return latest_per_key(incoming.unionByName(current), KEY, version_order)
+        incoming = project(latest_per_key(delta, KEY, version_order))
+        current = target.select(*SILVER_COLUMNS).join(incoming.select(KEY), KEY, "left_semi")
+        # incoming rows always arrived later than the current row of their key
+        return latest_per_key(incoming.unionByName(current), KEY, ARRIVAL_ORDER)
     raise ValueError(f"unknown incremental mode {mode!r}")
 
 
