@@ -455,3 +455,328 @@ def sink_drift_check(spark, sf):
     ch = drift.column_changes(out_c, tgt_c, pairs)
     return ch.agg(F.count(F.lit(1)).alias("columns_compared"),
                   F.count_if(F.col("change") != drift.SAME).alias("drifted_columns"))
+
+
+# ------------------------------------------------------ data tests (Q1-Q3)
+from lakeguard.operators import quality as dq  # noqa: E402
+
+GOLD_FULL_SQL = daily_revenue_sql(SILVER_FULL_SQL)
+_DQ_SOURCES = {"bronze.raw_orders": BRONZE, "silver.orders_cleaned": SILVER_FULL_SQL,
+               "gold.daily_revenue": GOLD_FULL_SQL}
+
+
+def _dq_tables(spark, sf):
+    s = _silver_full(spark, sf)
+    return [dq.declared("bronze.raw_orders", fx.bronze_fixture(spark, sf)),
+            dq.declared("silver.orders_cleaned", s),
+            dq.declared("gold.daily_revenue", gold.daily_revenue(s, key_is_unique=True))]
+
+
+def _dq_sql(tests: tuple[str, ...]) -> str:
+    parts = []
+    for table, spec in dq.DECLARED.items():
+        src = _DQ_SOURCES[table]
+        if "not_null" in tests:
+            parts += [f"select '{table}' as table_name, '{c}' as column_name, 'not_null' as test, "
+                      f"count(*) filter (where {c} is null) as failures from ({src}) s"
+                      for c in spec["not_null"]]
+        if "unique" in tests:
+            parts += [f"select '{table}' as table_name, '{c}' as column_name, 'unique' as test, "
+                      f"count(*) as failures from (select {c} from ({src}) s where {c} is not null "
+                      f"group by {c} having count(*) > 1) d" for c in spec["unique"]]
+    body = " union all ".join(parts)
+    return (f"select *, case when failures = 0 then 'PASS' else 'FAIL' end as status "
+            f"from ({body}) r")
+
+
+@register("dq_not_null", _dq_sql(("not_null",)))
+def dq_not_null(spark, sf):
+    """Q1: every declared not_null test, one aggregate pass per table."""
+    tables = [dq.TableTests(t.table_name, t.df, t.not_null, []) for t in _dq_tables(spark, sf)]
+    return dq.report(tables)
+
+
+@register("dq_unique", _dq_sql(("unique",)))
+def dq_unique(spark, sf):
+    """Q2: every declared unique test (Bronze keeps versions, so it fails there)."""
+    tables = [dq.TableTests(t.table_name, t.df, [], t.unique) for t in _dq_tables(spark, sf)]
+    return dq.report(tables)
+
+
+@register("dq_report", _dq_sql(("not_null", "unique")))
+def dq_report(spark, sf):
+    """Q3: the whole declared suite, one PASS/FAIL row per (table, column, test)."""
+    return dq.report(_dq_tables(spark, sf))
+
+
+# ------------------------------------------------------------ SLA (V1-V4)
+from lakeguard.operators import sla  # noqa: E402
+
+FRESHNESS_AS_OF = ["2001-11-04 06:00:00", "2001-11-04 06:00:01", "2001-12-02 06:00:00"]
+COMPLETENESS_AS_OF = ["2001-12-01 12:00:00", "2001-12-02 12:00:00", "2001-12-03 12:00:00"]
+SLA_RUNS = ["2001-12-01 06:00:00", "2001-12-02 06:00:00", "2001-12-03 06:00:00"]
+SLA_IMPACT = {"freshness": "Revenue reporting shows stale numbers.",
+              "completeness": "Order fulfillment risk.",
+              "schema_consistency": "Downstream dbt models fail silently."}
+
+
+def _age_sql(as_of: str) -> str:
+    return f"((epoch_us(timestamp '{as_of}') - epoch_us(max(updated_at))) / 3.6e9)"
+
+
+def _freshness_sql(as_of: str, thr: int = 6) -> str:
+    age = _age_sql(as_of)
+    return f"""select 'freshness' as check_name,
+  case when max(updated_at) is null or {age} > {float(thr)} then 'FAIL' else 'PASS' end as status,
+  case when max(updated_at) is null then 'No data in Bronze table'
+       when {age} > {float(thr)} then printf('Data is %.1fh old, threshold={thr}h', round({age}, 1))
+       when {age} < 0 then printf('Latest updated_at is %.1fh in the future', round(-{age}, 1))
+       else '' end as detail from ({BRONZE}) b"""
+
+
+def _completeness_sql(as_of: str, n: int = 100) -> str:
+    cnt = f"count(*) filter (where cast(_ingested_at as date) = cast(timestamp '{as_of}' as date))"
+    return f"""select 'completeness' as check_name,
+  case when {cnt} < {n} then 'FAIL' else 'PASS' end as status,
+  case when {cnt} < {n} then printf('Row count %d below minimum {n}', {cnt}) else '' end as detail
+from ({BRONZE}) b"""
+
+
+def _bronze_live_contract(spark, sf):
+    return ct.contract_of(spark, {"live": fx.bronze_fixture(spark, sf).schema})
+
+
+BRONZE_SCHEMA_SQL = _verdict_sql(_drift_sql(
+    _describe_sql("live", f"select * exclude (_ingested_at, _schema_version, _source) from ({BRONZE}) b",
+                  "batch_id"),
+    _seed_sql(["v1"]), "select 'live' as batch_id, 'v1' as baseline_key"))
+SCHEMA_CHECK_SQL = f"""select 'schema_consistency' as check_name,
+  case when verdict = 'BREAKING' then 'FAIL' else 'PASS' end as status,
+  case when verdict = 'BREAKING' then 'removed=' || removed_columns || ' type_changes=' || type_changes
+       else '' end as detail from ({BRONZE_SCHEMA_SQL}) v"""
+
+
+def _sla_run_sql(as_of: str) -> str:
+    parts = [_freshness_sql(as_of), _completeness_sql(as_of), SCHEMA_CHECK_SQL]
+    return " union all ".join(
+        f"select check_name, status, detail, "
+        f"case check_name {' '.join(f'when {chr(39)}{k}{chr(39)} then {chr(39)}{v}{chr(39)}' for k, v in SLA_IMPACT.items())} end "
+        f"as business_impact, timestamp '{as_of}' as checked_at from ({p}) x" for p in parts)
+
+
+def _sla_run(spark, sf, as_of: str):
+    return sla.run_checks(spark, fx.bronze_fixture(spark, sf), as_of,
+                          live_contract=_bronze_live_contract(spark, sf),
+                          pinned=ct.seed_contracts(spark, ["v1"]))
+
+
+@register("sla_freshness", " union all ".join(
+    f"select timestamp '{a}' as as_of, status, detail from ({_freshness_sql(a)}) f" for a in FRESHNESS_AS_OF))
+def sla_freshness(spark, sf):
+    """V1 at three instants: exactly 6 h after the latest update (passes),
+    one second later (fails), and weeks later."""
+    bronze = fx.bronze_fixture(spark, sf)
+    out = None
+    for a in FRESHNESS_AS_OF:
+        at = sla.ts_literal(a)
+        part = sla.freshness(sla.metrics(bronze, at), at, 6).select(
+            at.alias("as_of"), "status", "detail")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("sla_completeness", " union all ".join(
+    f"select timestamp '{a}' as as_of, status, detail from ({_completeness_sql(a)}) c" for a in COMPLETENESS_AS_OF))
+def sla_completeness(spark, sf):
+    """V2 on the two ingest days and a day without ingest."""
+    bronze = fx.bronze_fixture(spark, sf)
+    out = None
+    for a in COMPLETENESS_AS_OF:
+        at = sla.ts_literal(a)
+        part = sla.completeness(sla.metrics(bronze, at), 100).select(
+            at.alias("as_of"), "status", "detail")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+SLA_SCHEMA_SQL = f"""
+select batch_id, case when verdict = 'BREAKING' then 'FAIL' else 'PASS' end as status,
+       case when verdict = 'BREAKING' then 'removed=' || removed_columns || ' type_changes=' || type_changes
+            else '' end as detail
+from ({SCENARIO_VERDICT_SQL}) v"""
+
+
+@register("sla_schema", SLA_SCHEMA_SQL)
+def sla_schema(spark, sf):
+    """V3: schema consistency of every producer batch shape against pinned v1."""
+    v = drift.verdicts(_scenario_changes(spark, sf))
+    breaking = F.col("verdict") == drift.BREAKING
+    from lakeguard.functions.text import list_text, type_changes_text
+    detail = F.concat(F.lit("removed="), list_text("removed"), F.lit(" type_changes="),
+                      type_changes_text("type_changes"))
+    return v.select("batch_id", F.when(breaking, "FAIL").otherwise("PASS").alias("status"),
+                    F.when(breaking, detail).otherwise(F.lit("")).alias("detail"))
+
+
+@register("sla_report", _sla_run_sql(SLA_RUNS[1]))
+def sla_report(spark, sf):
+    """V4: the configured suite (rules file) on Bronze, one row per rule with
+    its business impact; freshness and completeness from one aggregate pass."""
+    return _sla_run(spark, sf, SLA_RUNS[1])
+
+
+@register("latest_sla", f"select * from ({' union all '.join(_sla_run_sql(a) for a in SLA_RUNS)}) s "
+                        f"order by checked_at desc, check_name limit 3")
+def latest_sla(spark, sf):
+    """L1: the three most recent SLA log rows over three daily runs."""
+    runs = [_sla_run(spark, sf, a) for a in SLA_RUNS]
+    log = runs[0].unionByName(runs[1]).unionByName(runs[2])
+    return log.orderBy(F.col("checked_at").desc(), "check_name").limit(3)
+
+
+# ------------------------------------------------ verdict logs
+def _evaluated_at_sql() -> str:
+    whens = " ".join(f"when '{k}' then timestamp '{v}'" for k, v in sc.SCENARIO_EVALUATED_AT.items())
+    return f"case batch_id {whens} end"
+
+
+def _scenario_log(spark, sf):
+    v = drift.verdict_text(drift.verdicts(_scenario_changes(spark, sf)))
+    at = None
+    for k, val in sc.SCENARIO_EVALUATED_AT.items():
+        cond = F.col("batch_id") == k
+        at = F.when(cond, fx.ntz(val)) if at is None else at.when(cond, fx.ntz(val))
+    return v.withColumn("evaluated_at", at).withColumn("baseline", F.lit("schema_v1.json"))
+
+
+LOG_SQL = f"select *, {_evaluated_at_sql()} as evaluated_at, 'schema_v1.json' as baseline from ({SCENARIO_VERDICT_SQL}) v"
+INCIDENT_SQL = f"select *, 'PIPELINE_HALTED' as event from ({LOG_SQL}) l where verdict = 'BREAKING'"
+
+
+@register("schema_change_log", f"select * from ({LOG_SQL}) l where verdict = 'NON_BREAKING'")
+def schema_change_log(spark, sf):
+    """Log rows of the accepted batches (an unchanged schema is logged too)."""
+    return _scenario_log(spark, sf).filter(F.col("verdict") == drift.NON_BREAKING)
+
+
+@register("incident_log", INCIDENT_SQL)
+def incident_log(spark, sf):
+    """Incident rows (PIPELINE_HALTED) of the breaking batches."""
+    return (_scenario_log(spark, sf).filter(F.col("verdict") == drift.BREAKING)
+            .withColumn("event", F.lit("PIPELINE_HALTED")))
+
+
+@register("latest_schema_change", f"select verdict, added_columns, evaluated_at from ({LOG_SQL}) l "
+                                  f"where verdict = 'NON_BREAKING' order by evaluated_at desc limit 1")
+def latest_schema_change(spark, sf):
+    """L2: the most recent accepted schema change."""
+    return (schema_change_log(spark, sf).orderBy(F.col("evaluated_at").desc())
+            .select("verdict", "added_columns", "evaluated_at").limit(1))
+
+
+@register("latest_incident", f"select event, removed_columns, affected_pipelines, evaluated_at "
+                             f"from ({INCIDENT_SQL}) i order by evaluated_at desc limit 1")
+def latest_incident(spark, sf):
+    """L3: the most recent incident."""
+    return (incident_log(spark, sf).orderBy(F.col("evaluated_at").desc())
+            .select("event", "removed_columns", "affected_pipelines", "evaluated_at").limit(1))
+
+
+# ------------------------------------------------------- cost
+from lakeguard.operators import cost  # noqa: E402
+
+MODELS_PIPELINE = "orders_models"
+_RUNS = [  # (pipeline, run type, runtime s, which rows, logged at)
+    (fx.PIPELINE_ID, "incremental", cost.INCREMENTAL_RUNTIME_S, "batch1", "2001-12-01 00:00:00"),
+    (fx.PIPELINE_ID, "incremental", cost.INCREMENTAL_RUNTIME_S, "batch2", "2001-12-02 00:00:00"),
+    (MODELS_PIPELINE, "full_refresh", cost.FULL_REFRESH_RUNTIME_S, "all", "2001-12-02 01:00:00"),
+    (MODELS_PIPELINE, "incremental", cost.INCREMENTAL_RUNTIME_S, "batch2", "2001-12-02 02:00:00"),
+]
+
+
+def _run_log(spark, sf):
+    """The replay's run log: row counts from one pass over Bronze, runtimes
+    are the placeholder full-refresh / incremental durations."""
+    b = fx.bronze_fixture(spark, sf)
+    counts = b.agg(F.count_if(F.col("_ingested_at") == fx.ntz(BATCH1_AT)).alias("batch1"),
+                   F.count_if(F.col("_ingested_at") == fx.ntz(BATCH2_AT)).alias("batch2"),
+                   F.count(F.lit(1)).alias("all"))
+    rows = F.array(*[F.struct(F.lit(p).alias("pipeline_name"), F.lit(t).alias("run_type"),
+                              F.lit(float(s)).alias("runtime_seconds"),
+                              F.col(w).cast("long").alias("rows_processed"),
+                              fx.ntz(at).alias("logged_at")) for p, t, s, w, at in _RUNS])
+    return counts.select(F.inline(rows))
+
+
+def _run_log_sql() -> str:
+    cnt = {"batch1": f"count(*) filter (where _ingested_at = timestamp '{BATCH1_AT}')",
+           "batch2": f"count(*) filter (where _ingested_at = timestamp '{BATCH2_AT}')",
+           "all": "count(*)"}
+    return " union all ".join(
+        f"select '{p}' as pipeline_name, '{t}' as run_type, cast({float(s)} as double) as runtime_seconds, "
+        f"{cnt[w]} as rows_processed, timestamp '{at}' as logged_at from ({BRONZE}) b"
+        for p, t, s, w, at in _RUNS)
+
+
+COST_SQL = f"""select *, round_even(runtime_seconds / 3600.0 * {cost.DBU_PER_HOUR}, 6) as estimated_dbu,
+  round_even(runtime_seconds / 3600.0 * {cost.DBU_PER_HOUR} * {cost.DBU_RATE_USD}, 6) as estimated_cost_usd,
+  '{cost.methodology()}' as methodology from ({_run_log_sql()}) r"""
+
+
+@register("cost_attribution", COST_SQL)
+def cost_attribution(spark, sf):
+    """DBU and USD per logged run (rounded to 6 places, half-even)."""
+    return cost.with_cost(_run_log(spark, sf))
+
+
+PROJECTION_SQL = f"""
+select run_type, day, daily_cost_usd, daily_cost_usd * day as cumulative_cost_usd from (
+  select run_type, runtime_seconds / 3600.0 * {cost.DBU_PER_HOUR} * {cost.DBU_RATE_USD} * {cost.RUNS_PER_DAY} as daily_cost_usd
+  from ({_run_log_sql()}) r where pipeline_name = '{MODELS_PIPELINE}') d,
+  (select unnest(range(1, {cost.DAYS} + 1)) as day) days"""
+
+
+def _projection(spark, sf):
+    runs = _run_log(spark, sf).filter(F.col("pipeline_name") == MODELS_PIPELINE)
+    return cost.project_costs(runs)
+
+
+@register("cost_projection", PROJECTION_SQL)
+def cost_projection(spark, sf):
+    """30-day cumulative cost of full-refresh vs incremental model runs."""
+    return _projection(spark, sf)
+
+
+@register("cost_savings", f"""
+select day, sum(case when run_type = 'full_refresh' then cumulative_cost_usd end) as full_refresh_usd,
+       sum(case when run_type = 'incremental' then cumulative_cost_usd end) as incremental_usd,
+       sum(case when run_type = 'full_refresh' then cumulative_cost_usd end)
+         - sum(case when run_type = 'incremental' then cumulative_cost_usd end) as savings_usd
+from ({PROJECTION_SQL}) p where day = {cost.DAYS} group by day""")
+def cost_savings(spark, sf):
+    """Savings on the last projected day."""
+    return cost.savings(_projection(spark, sf))
+
+
+@register("cost_by_pipeline", f"""
+select pipeline_name, run_type, count(*) as runs,
+       cast(sum(cast(runtime_seconds as decimal(24,6))) as double) as runtime_seconds,
+       sum(rows_processed) as rows_processed,
+       cast(sum(cast(estimated_dbu as decimal(24,6))) as double) as estimated_dbu,
+       cast(sum(cast(estimated_cost_usd as decimal(24,6))) as double) as estimated_cost_usd
+from ({COST_SQL}) c group by pipeline_name, run_type""")
+def cost_by_pipeline(spark, sf):
+    """C4: cost roll-up per pipeline and run type."""
+    return cost.cost_by_pipeline(cost.with_cost(_run_log(spark, sf)))
+
+
+@register("cost_ratio", f"""
+select avg(case when run_type = 'full_refresh' then runtime_seconds end) as full_s,
+       avg(case when run_type = 'incremental' then runtime_seconds end) as incr_s,
+       avg(case when run_type = 'full_refresh' then runtime_seconds end)
+         / avg(case when run_type = 'incremental' then runtime_seconds end) as ratio
+from ({_run_log_sql()}) r where pipeline_name = '{MODELS_PIPELINE}'""")
+def cost_ratio(spark, sf):
+    """Full-refresh / incremental runtime ratio of the model runs."""
+    return cost.full_vs_incremental(
+        _run_log(spark, sf).filter(F.col("pipeline_name") == MODELS_PIPELINE))
