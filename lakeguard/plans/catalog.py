@@ -422,12 +422,15 @@ def silver_as_of(spark, sf):
 
 
 # ----------------------------------------------- schema evolution read (K2)
-@register("bronze_evolved_read", f"""
+BRONZE_EVOLVED_SQL = f"""
 select {', '.join(sc.V1)}, cast(null as varchar) as delivery_partner from ({RAW}) r
 where updated_at <= timestamp '{fx.BATCH_SPLIT}'
 union all
 select {', '.join(sc.V1)}, 'partner-' || cast(l_suppkey % 5 + 1 as varchar) as delivery_partner
-from ({RAW}) r where updated_at > timestamp '{fx.BATCH_SPLIT}'""")
+from ({RAW}) r where updated_at > timestamp '{fx.BATCH_SPLIT}'"""
+
+
+@register("bronze_evolved_read", BRONZE_EVOLVED_SQL)
 def bronze_evolved_read(spark, sf):
     """K2: a v1 batch then a v2 batch (adds delivery_partner) read as one
     evolved table — rows of the older batch read the new column as null."""
@@ -780,3 +783,46 @@ def cost_ratio(spark, sf):
     """Full-refresh / incremental runtime ratio of the model runs."""
     return cost.full_vs_incremental(
         _run_log(spark, sf).filter(F.col("pipeline_name") == MODELS_PIPELINE))
+
+
+# ------------------------------------------ file sources and landing
+import datetime as _dt  # noqa: E402
+import uuid as _uuid  # noqa: E402
+
+from lakeguard.session import checkpoint_dir  # noqa: E402
+
+
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint directory."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{_uuid.uuid4().hex[:12]}"
+
+
+@register("ingest_csv_batch", sc.SCENARIO_SQL["baseline"])
+def ingest_csv_batch(spark, sf):
+    """S3: the v1 batch delivered as CSV and read back with the contract's
+    types (no inference); malformed lines would land in _corrupt_record."""
+    path = _scratch(spark, "csv-batch")
+    sc.scenario_batches(spark, sf)["baseline"].write.option("header", True).csv(path)
+    schema = ct.contract_struct(ct.seed_contracts(spark, ["v1"]))
+    typed = files.read_csv_batch(spark, path, schema)
+    return typed.drop("_corrupt_record")
+
+
+@register("landing_promote", BRONZE_EVOLVED_SQL)
+def landing_promote(spark, sf):
+    """Two producer batches (v1, then v2 adding delivery_partner)
+    dropped in a landing folder, drained by the guarded file stream into
+    Bronze; returns Bronze's business columns."""
+    from lakeguard.plans import lake as lk
+    from lakeguard.streaming import landing
+    root = _scratch(spark, "landing")
+    r = fx.raw_orders(spark, sf)
+    split = F.col("updated_at") <= fx.ntz(fx.BATCH_SPLIT)
+    landing.drop_batch(r.filter(split).select(*sc.V1), f"{root}/in", "b1")
+    landing.drop_batch(sc.scenario_batches(spark, sf)["non_breaking"].filter(~split), f"{root}/in", "b2")
+    lake = lk.Lake(f"{root}/lake")
+    q = landing.start(spark, f"{root}/in", lake, f"{root}/checkpoint",
+                      clock=lambda: _dt.datetime(2001, 12, 2))
+    q.awaitTermination()
+    bronze = spark.read.option("mergeSchema", True).parquet(lake.bronze)
+    return bronze.select(*sc.V1, "delivery_partner")

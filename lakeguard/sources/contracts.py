@@ -103,3 +103,17 @@ def baseline_contract(spark: SparkSession, table_path: str, key: str = "live",
         return contract_of(spark, {key: schema}), f"live table: {table_path}"
     seed = seed_contracts(spark, [seed_version]).withColumn("contract_key", F.lit(key))
     return seed, Path(seed_path(seed_version)).name
+
+
+# Canonical contract type -> the Spark type a typed read uses.  Timestamps are
+# read zone-free, the convention throughout the library.
+_SPARK_TYPES = {"string": T.StringType(), "integer": T.IntegerType(), "double": T.DoubleType(),
+                "boolean": T.BooleanType(), "timestamp": T.TimestampNTZType(),
+                "date": T.DateType()}
+
+
+def contract_struct(contract: DataFrame) -> T.StructType:
+    """StructType of one contract (collected: a contract is column-count sized)."""
+    rows = contract.orderBy("ordinal").select("column_name", "type", "nullable").collect()
+    return T.StructType([T.StructField(r[0], _SPARK_TYPES.get(r[1]) or T._parse_datatype_string(r[1]),
+                                       bool(r[2]) if r[2] is not None else True) for r in rows])

@@ -32,6 +32,10 @@ from lakeguard.sources import contracts as ct
 from lakeguard.sources import files as fl
 
 
+# The binaryFile source's fixed schema (streams must declare it).
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def committed_batches(spark: SparkSession, lake: lk.Lake) -> DataFrame:
     return (lk.read_log(spark, lake, "run_log")
             .filter((F.col("stage") == "landing") & (F.col("status") == "committed"))
@@ -76,17 +80,18 @@ def process_microbatch(spark: SparkSession, lake: lk.Lake, paths: DataFrame,
 
 
 def start(spark: SparkSession, landing: str, lake: lk.Lake, checkpoint: str,
-          schema_version: str = "v1", available_now: bool = True):
+          schema_version: str = "v1", available_now: bool = True, clock=ig.utc_now):
     """Start the landing stream; with ``available_now`` it drains what is there
     and stops.  Returns the StreamingQuery."""
     stream = (spark.readStream.format("binaryFile")
+              .schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", "*.parquet")
               .option("recursiveFileLookup", "true")
               .load(landing)
               .select("path"))
 
     def each(batch_df: DataFrame, epoch_id: int) -> None:
-        process_microbatch(spark, lake, batch_df, schema_version)
+        process_microbatch(spark, lake, batch_df, schema_version, clock)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
