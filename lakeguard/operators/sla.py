@@ -49,32 +49,47 @@ def age_hours(latest: Column, as_of: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", latest, as_of) / F.lit(3.6e9)
 
 
-def freshness(m: DataFrame, as_of: Column, threshold_hours) -> DataFrame:
-    """V1: FAIL if no rows or age strictly above the threshold (exactly at it passes)."""
-    age = age_hours(F.col("latest_updated_at"), as_of)
-    thr = str(threshold_hours)
-    status = F.when(F.col("latest_updated_at").isNull() | (age > F.lit(float(threshold_hours))),
-                    "FAIL").otherwise("PASS")
-    detail = (F.when(F.col("latest_updated_at").isNull(), F.lit("No data in Bronze table"))
-              .when(age > F.lit(float(threshold_hours)),
-                    F.format_string(f"Data is %.1fh old, threshold={thr}h", F.round(age, 1)))
+def freshness_result(as_of: Column, threshold_hours) -> Column:
+    """V1 over the metrics row: FAIL if no rows or age strictly above the
+    threshold (exactly at it passes)."""
+    latest = F.col("latest_updated_at")
+    age = age_hours(latest, as_of)
+    over = age > F.lit(float(threshold_hours))
+    status = F.when(latest.isNull() | over, "FAIL").otherwise("PASS")
+    detail = (F.when(latest.isNull(), F.lit("No data in Bronze table"))
+              .when(over, F.format_string(f"Data is %.1fh old, threshold={threshold_hours}h",
+                                          F.round(age, 1)))
               .when(age < 0, F.format_string("Latest updated_at is %.1fh in the future",
                                              F.round(-age, 1)))
               .otherwise(F.lit("")))
-    return m.select(F.lit("freshness").alias("check_name"), status.alias("status"),
+    return F.struct(F.lit("freshness").alias("check_name"), status.alias("status"),
                     detail.alias("detail"))
 
 
-def completeness(m: DataFrame, min_rows) -> DataFrame:
-    """V2: FAIL if fewer than ``min_rows`` rows were ingested on the day (exactly passes)."""
-    fail = F.col("rows_today") < F.lit(int(min_rows))
-    return m.select(F.lit("completeness").alias("check_name"),
+def completeness_result(min_rows, rows_col: str = "rows_today") -> Column:
+    """V2 over the metrics row: FAIL if fewer than ``min_rows`` rows were
+    ingested on the day (exactly ``min_rows`` passes)."""
+    fail = F.col(rows_col) < F.lit(int(min_rows))
+    return F.struct(F.lit("completeness").alias("check_name"),
                     F.when(fail, "FAIL").otherwise("PASS").alias("status"),
                     F.when(fail, F.format_string(f"Row count %d below minimum {int(min_rows)}",
-                                                 F.col("rows_today")))
+                                                 F.col(rows_col)))
                     .otherwise(F.lit("")).alias("detail"))
 
 
+def _results(m: DataFrame, results: list[Column], extra: list[Column] = ()) -> DataFrame:
+    """All metric-based results from the one metrics row (one scan)."""
+    return m.select(*extra, F.inline(F.array(*results)))
+
+
+def freshness(m: DataFrame, as_of: Column, threshold_hours) -> DataFrame:
+    return _results(m, [freshness_result(as_of, threshold_hours)])
+
+
+def completeness(m: DataFrame, min_rows) -> DataFrame:
+    return _results(m, [completeness_result(min_rows)])
+
+
 def schema_consistency(live_contract: DataFrame, pinned: DataFrame,
                        spark: SparkSession) -> DataFrame:
     """V3: FAIL iff the live contract is BREAKING against the pinned one."""
@@ -96,24 +111,26 @@ def run_checks(spark: SparkSession, bronze: DataFrame, as_of: dt.datetime | str,
     if rules is None:
         rules = [r.asDict() for r in load_rules(spark).collect()]  # config-sized
     at = ts_literal(as_of)
-    m = None
-    parts = []
+    metric_results, parts = [], []
     for rule in rules:
         name = rule["check_name"]
+        impact = F.lit(rule["business_impact"])
         if name not in KNOWN_CHECKS:
             log.warning("Unknown SLA check: %s", name)
-            continue
-        if name in ("freshness", "completeness") and m is None:
-            m = metrics(bronze, at)
-        if name == "freshness":
-            part = freshness(m, at, rule["threshold_hours"])
+        elif name == "freshness":
+            metric_results.append(F.struct(freshness_result(at, rule["threshold_hours"]).alias("r"),
+                                           impact.alias("business_impact")))
         elif name == "completeness":
-            part = completeness(m, rule["min_rows_per_run"])
+            metric_results.append(F.struct(completeness_result(rule["min_rows_per_run"]).alias("r"),
+                                           impact.alias("business_impact")))
         else:
             if live_contract is None or pinned is None:
                 raise ValueError("schema_consistency needs the live and pinned contracts")
-            part = schema_consistency(live_contract, pinned, spark)
-        parts.append(part.withColumn("business_impact", F.lit(rule["business_impact"])))
+            parts.append(schema_consistency(live_contract, pinned, spark)
+                         .withColumn("business_impact", impact))
+    if metric_results:
+        rows = metrics(bronze, at).select(F.inline(F.array(*metric_results)))
+        parts.insert(0, rows.select("r.*", "business_impact"))
     if not parts:
         return spark.createDataFrame([], RESULT_SCHEMA).withColumn("checked_at", at)
     out = parts[0]
