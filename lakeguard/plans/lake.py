@@ -64,6 +64,8 @@ LOG_SCHEMAS = {
         T.StructField("watermark_ingested_at", T.TimestampNTZType()),
         T.StructField("watermark_order_date", T.DateType()),
         T.StructField("committed_at", T.TimestampNTZType()),
+        T.StructField("target", T.StringType()),
+        T.StructField("partitions", T.StringType()),
     ]),
 }
 LOG_SCHEMAS["incident_log"] = T.StructType(
@@ -73,7 +75,6 @@ LOG_SCHEMAS["incident_log"] = T.StructType(
 @dataclass(frozen=True)
 class Lake:
     root: str
-    silver_files_per_partition: int = 4
 
     def table(self, area: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{area}/{name}"
@@ -159,3 +160,66 @@ def reset(spark: SparkSession, lake: Lake) -> None:
     for name, schema in LOG_SCHEMAS.items():
         if exists(spark, lake.log(name)):
             spark.createDataFrame([], schema).write.mode("overwrite").parquet(lake.log(name))
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _move(spark: SparkSession, src: str, dst: str) -> None:
+    fs, s = _fs(spark, src)
+    _, d = _fs(spark, dst)
+    if not fs.rename(s, d):
+        raise OSError(f"could not move {src} to {dst}")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    if fs.exists(p) and not fs.delete(p, True):
+        raise OSError(f"could not delete {path}")
+
+
+def _children(spark: SparkSession, path: str) -> set[str]:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return set()
+    return {st.getPath().getName() for st in fs.listStatus(p)}
+
+
+def swap_partitions(spark: SparkSession, staged: str, target: str, trash: str,
+                    partitions: list[str]) -> None:
+    """Publish staged partition directories into ``target`` by renames.
+
+    Per partition: move the target's copy to ``trash``, then move the staged
+    copy in.  Re-running after an interruption is safe: a partition whose
+    staged copy is gone is done; one whose target copy is already in trash
+    only needs its staged copy moved.  A name prefixed with ``-`` is a
+    partition to remove (full refresh): its target copy goes to trash.  No
+    data is rewritten.
+    """
+    in_staged = _children(spark, staged)
+    in_target = _children(spark, target)
+    in_trash = _children(spark, trash)
+    fs, _ = _fs(spark, target)
+    for d in (target, trash):
+        _, p = _fs(spark, d)
+        if not fs.exists(p):
+            fs.mkdirs(p)
+    for part in partitions:
+        if part.startswith("-"):
+            gone = part[1:]
+            if gone in in_target and gone not in in_trash:
+                _move(spark, f"{target}/{gone}", f"{trash}/{gone}")
+            continue
+        if part not in in_staged:
+            continue  # published already (or nothing staged for it)
+        if part in in_target and part not in in_trash:
+            _move(spark, f"{target}/{part}", f"{trash}/{part}")
+        _move(spark, f"{staged}/{part}", f"{target}/{part}")

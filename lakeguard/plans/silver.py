@@ -57,22 +57,37 @@ def silver_delta(bronze: DataFrame, watermark: Column | None) -> DataFrame:
     return high_watermark_filter(bronze, "updated_at", watermark, strict=True)
 
 
+def incremental_changes(bronze: DataFrame, target: DataFrame, *, mode: str = "event_time",
+                        watermark: Column | None = None,
+                        version_order: Sequence[str] = DEFAULT_VERSION_ORDER
+                        ) -> tuple[DataFrame, DataFrame]:
+    """(changes, previous): the new Silver row of every key this run changes,
+    and the target rows those keys had (read through a semi-join on the key)."""
+    if mode == "event_time":
+        delta = silver_delta(bronze, watermark)
+    elif mode == "arrival":
+        delta = high_watermark_filter(bronze, "_ingested_at", watermark, strict=True)
+    else:
+        raise ValueError(f"unknown incremental mode {mode!r}")
+    incoming = project(latest_per_key(delta, KEY, version_order))
+    previous = target.join(incoming.select(KEY), KEY, "left_semi")
+    if mode == "event_time":
+        return incoming, previous
+    # arrival: an incoming row always arrived later than the current row of
+    # its key, but only replaces it if it is not older in event time
+    rivals = incoming.unionByName(previous.select(*SILVER_COLUMNS))
+    return latest_per_key(rivals, KEY, ARRIVAL_ORDER), previous
+
+
 def silver_incremental(bronze: DataFrame, target: DataFrame, *,
                        mode: str = "event_time",
                        watermark: Column | None = None,
                        version_order: Sequence[str] = DEFAULT_VERSION_ORDER) -> DataFrame:
     """New Silver state for the *touched keys only*: one row per order_id
     changed by this run.  ``merge_changes`` lays it over the target."""
-    if mode == "event_time":
-        delta = silver_delta(bronze, watermark)
-        return project(latest_per_key(delta, KEY, version_order))
-    if mode == "arrival":
-        delta = high_watermark_filter(bronze, "_ingested_at", watermark, strict=True)
-        incoming = project(latest_per_key(delta, KEY, version_order))
-        current = target.select(*SILVER_COLUMNS).join(incoming.select(KEY), KEY, "left_semi")
-        # incoming rows always arrived later than the current row of their key
-        return latest_per_key(incoming.unionByName(current), KEY, ARRIVAL_ORDER)
-    raise ValueError(f"unknown incremental mode {mode!r}")
+    changes, _ = incremental_changes(bronze, target, mode=mode, watermark=watermark,
+                                     version_order=version_order)
+    return changes
 
 
 def merge_changes(target: DataFrame, changes: DataFrame) -> DataFrame:

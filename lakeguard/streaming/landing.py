@@ -74,7 +74,8 @@ def process_microbatch(spark: SparkSession, lake: lk.Lake, paths: DataFrame,
         ig.ingest(spark, data, lake, batch_id=batch_id, schema_version=schema_version,
                   ingested_at=clock(), evaluated_at=clock())
         lk.append_log(spark, lake, "run_log", [(
-            f"landing-{batch_id}", "landing", batch_id, "committed", None, None, None, None, clock())])
+            f"landing-{batch_id}", "landing", batch_id, "committed", None, None, None, None, clock(),
+            lake.bronze, None)])
         done.append(batch_id)
     return done
 

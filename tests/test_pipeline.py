@@ -181,3 +181,29 @@ def test_landing_stream_halts_and_replays(spark, tmp_path, batches):
         q.awaitTermination()
     assert spark.read.parquet(lake.bronze).count() == batches["v1_old"].count()
     assert lk.read_log(spark, lake, "incident_log").count() == 2
+
+
+def test_interrupted_publish_is_finished_by_next_run(spark, lake, batches, monkeypatch):
+    ingest(spark, batches["v1_old"], lake, batch_id="b1", ingested_at=T1)
+    models.silver_incremental(spark, lake, mode="arrival")
+    ingest(spark, batches["v1_new"], lake, batch_id="b2", ingested_at=T2)
+    real_move = lk._move
+    calls = {"n": 0}
+
+    def flaky_move(spark_, src, dst):
+        calls["n"] += 1
+        if calls["n"] == 5:  # driver dies in the middle of the swap
+            raise RuntimeError("simulated driver loss")
+        real_move(spark_, src, dst)
+
+    monkeypatch.setattr(lk, "_move", flaky_move)
+    with pytest.raises(RuntimeError):
+        models.silver_incremental(spark, lake, mode="arrival")
+    monkeypatch.setattr(lk, "_move", real_move)
+    status = [r.status for r in lk.read_log(spark, lake, "run_log")
+              .filter("stage = 'silver'").orderBy("committed_at").collect()]
+    assert status[-1] == "staged"
+    assert models.recover(spark, lake)  # finishes the interrupted run
+    _silver_equals_full(spark, lake)
+    again = models.silver_incremental(spark, lake, mode="arrival")
+    assert again["rows"] == 0
