@@ -246,6 +246,8 @@ def gold_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "touched_da
     last = _last_committed(spark, lake, "gold")
     if mode == "latest_date":
         wm_value = last["watermark_order_date"] if last else target.agg(F.max("order_date")).first()[0]
+        if wm_value is not None:  # Silver months before the watermark's are not read
+            silver_df = silver_df.filter(F.col("_part") >= wm_value.year * 100 + wm_value.month)
         rows = gd.gold_delta(silver_df, F.lit(wm_value) if wm_value else None)
         recomputed = gd.daily_revenue(rows, key_is_unique=True)
         dates = None
@@ -254,7 +256,10 @@ def gold_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "touched_da
         if touched_dates_path is None:
             raise ValueError("touched_dates mode needs the Silver run's touched dates")
         dates = spark.read.parquet(touched_dates_path)
-        recomputed = gd.gold_for_dates(silver_df, dates)
+        # read only the Silver months holding touched dates (partition pruning)
+        months = sorted(r[0] for r in dates.select(
+            (F.year("order_date") * 100 + F.month("order_date")).alias("m")).distinct().collect())
+        recomputed = gd.gold_for_dates(silver_df.filter(F.col("_part").isin(months)), dates)
         years_df = dates.select(F.year("order_date"))
     else:
         raise ValueError(f"unknown gold mode {mode!r}")
