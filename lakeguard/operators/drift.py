@@ -99,12 +99,27 @@ def classify(incoming: DataFrame, baseline: DataFrame, batches: DataFrame,
 
 
 def schema_changes(incoming, expected) -> list[tuple[str, str, str | None, str | None]]:
-    """The same rules for one pair of ``StructType`` schemas, evaluated on the
-    driver: a single schema is metadata, so no job is needed.  Returns
-    ``(column, change, expected_type, actual_type)`` for every non-SAME column."""
-    exp = {f.name: normalize_type_name(f.dataType.simpleString()) for f in expected.fields}
-    inc = {f.name: normalize_type_name(f.dataType.simpleString()) for f in incoming.fields}
+    """The same rules for one pair of schemas, evaluated on the driver: a
+    single schema is metadata, so no job is needed.  Schemas are
+    ``StructType`` or ``(name, type)`` lists.  Returns ``(column, change,
+    expected_type, actual_type)`` for every non-SAME column, in report order."""
+    def canon(schema):
+        pairs = ([(f.name, f.dataType.simpleString()) for f in schema.fields]
+                 if hasattr(schema, "fields") else schema)
+        return {name: normalize_type_name(t) for name, t in pairs}
+    exp, inc = canon(expected), canon(incoming)
     out = [(c, ADDED, None, t) for c, t in inc.items() if c not in exp]
     out += [(c, REMOVED, t, None) for c, t in exp.items() if c not in inc]
     out += [(c, TYPE_CHANGED, exp[c], t) for c, t in inc.items() if c in exp and exp[c] != t]
     return out
+
+
+def verdict_of(batch_id: str, changes: list, downstream: Sequence[str] = DOWNSTREAM) -> dict:
+    """Verdict row (log text form) from :func:`schema_changes` output."""
+    added = [c for c, k, _, _ in changes if k == ADDED]
+    removed = [c for c, k, _, _ in changes if k == REMOVED]
+    typed = [{"column": c, "expected": e, "actual": a} for c, k, e, a in changes if k == TYPE_CHANGED]
+    breaking = bool(removed or typed)
+    return {"batch_id": batch_id, "verdict": BREAKING if breaking else NON_BREAKING,
+            "added_columns": str(added), "removed_columns": str(removed),
+            "type_changes": str(typed), "affected_pipelines": str(list(downstream) if breaking else [])}

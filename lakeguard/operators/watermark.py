@@ -16,18 +16,30 @@ def high_watermark(df: DataFrame, col: str, alias: str | None = None) -> DataFra
     return df.agg(F.max(col).alias(alias or f"max_{col}"))
 
 
-def watermark_value(target: DataFrame, col: str) -> Column:
-    """The target's max of ``col`` as a scalar-subquery column."""
-    return high_watermark(target, col, "__wm").scalar()
+# Lower bound used when the target is empty, so that "above the watermark"
+# keeps every row and the watermark subquery is referenced only once.
+_FLOOR = {"timestamp_ntz": "0001-01-01 00:00:00", "timestamp": "0001-01-01 00:00:00",
+          "date": "0001-01-01"}
+
+
+def watermark_value(target: DataFrame, col: str, floor: bool = True) -> Column:
+    """The target's max of ``col`` as one scalar-subquery column; with
+    ``floor`` an empty target yields the type's lowest value instead of NULL
+    (a NULL watermark would select nothing)."""
+    agg = F.max(col)
+    if floor:
+        dtype = target.schema[col].dataType
+        agg = F.coalesce(agg, F.lit(_FLOOR[dtype.typeName()]).cast(dtype))
+    return target.agg(agg.alias("__wm")).scalar()
 
 
 def high_watermark_filter(df: DataFrame, col: str, watermark: Column | None,
                           strict: bool = True, on: Column | None = None) -> DataFrame:
     """Rows with ``on`` (default ``col``) above the watermark (``>`` if strict,
-    else ``>=``).  A NULL watermark — the target is empty — keeps every row,
-    where the plain SQL comparison would keep none."""
+    else ``>=``).  ``None`` — no committed watermark, the target is empty —
+    keeps every row, where the plain SQL comparison with a NULL max would
+    keep none."""
     if watermark is None:
         return df
     value = on if on is not None else F.col(col)
-    cmp = value > watermark if strict else value >= watermark
-    return df.filter(watermark.isNull() | cmp)
+    return df.filter(value > watermark if strict else value >= watermark)

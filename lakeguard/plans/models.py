@@ -39,6 +39,7 @@ from lakeguard.plans import gold as gd
 from lakeguard.plans import lake as lk
 from lakeguard.plans import silver as sv
 from lakeguard.plans.ingest import utc_now
+from lakeguard.sources import contracts as ct
 
 
 @contextmanager
@@ -133,7 +134,8 @@ def _write_silver(df: DataFrame, path: str) -> None:
 
 
 def _bronze(spark: SparkSession, lake: lk.Lake) -> DataFrame:
-    return lk.read(spark, lake.bronze, merge_schema=True)
+    """Bronze with its recorded schema: no footer inference over its files."""
+    return spark.read.schema(ct.live_schema(spark, lake.bronze)).parquet(lake.bronze)
 
 
 def silver_full_refresh(spark: SparkSession, lake: lk.Lake,

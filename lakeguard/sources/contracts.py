@@ -9,6 +9,7 @@ driver loops.
 
 from __future__ import annotations
 
+import json
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,15 +87,58 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+SCHEMA_FILE = "_schema.json"  # hidden from Spark's Parquet reader
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_table_schema(spark: SparkSession, table_path: str, schema: T.StructType) -> None:
+    """Record a table's accepted schema next to its data (overwrites)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/{SCHEMA_FILE}")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(schema.json().encode("utf-8")))
+    finally:
+        out.close()
+
+
 def live_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    """Schema of a live Parquet table (S5), merged over all its files since the
-    table evolves by appends; ``None`` only when the table does not exist.
+    """Schema of a live Parquet table (S5); ``None`` only when the table does
+    not exist.  The recorded schema is used when present (no footer is read);
+    otherwise the footers are merged, since the table evolves by appends.
     Any other failure propagates instead of silently falling back."""
     if not path_exists(spark, path):
         return None
+    recorded = _read_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    if recorded:
+        return T.StructType.fromJson(json.loads(recorded))
     return spark.read.option("mergeSchema", True).parquet(path).schema
 
 
+def seed_columns(version: str = "v1") -> list[tuple[str, str]]:
+    """(name, type) pairs of a seed contract, read on the driver (config)."""
+    with open(seed_path(version)) as f:
+        return [(c["name"], c["type"]) for c in json.load(f)["columns"]]
+
+
+def business_fields(schema: T.StructType) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in schema.fields
+            if f.name not in SYSTEM_COLUMNS]
+
+
 def baseline_contract(spark: SparkSession, table_path: str, key: str = "live",
                       seed_version: str = "v1") -> tuple[DataFrame, str]:
     """Live table contract, else the seed (N6).  Returns (contract, source)."""
