@@ -208,3 +208,30 @@ def test_interrupted_publish_is_finished_by_next_run(spark, lake, batches, monke
     _silver_equals_full(spark, lake)
     again = models.silver_incremental(spark, lake, mode="arrival")
     assert again["rows"] == 0
+
+
+def test_pipeline_three_scenarios(spark, lake, batches):
+    """baseline -> non-breaking -> breaking: the last run halts at ingest and
+    skips models and SLA; SLA rows are written pass or fail."""
+    from lakeguard.plans import pipeline
+    s1 = {r.stage: r.status for r in pipeline.run(
+        spark, lake, batches["v1_old"], batch_id="p1", ingested_at=T1, as_of=T1).collect()}
+    assert s1 == {"ingest_bronze": "SUCCESS", "silver": "SUCCESS", "gold": "SUCCESS",
+                  "sla_check": "SUCCESS"}
+    pipeline.run(spark, lake, batches["v2_new"], batch_id="p2", schema_version="v2",
+                 ingested_at=T2, as_of=T2)
+    before = listing(lake.bronze)
+    s3 = {r.stage: r.status for r in pipeline.run(
+        spark, lake, batches["v3"], batch_id="p3", ingested_at=T3, as_of=T3).collect()}
+    assert s3 == {"ingest_bronze": "FAILED", "silver": "SKIPPED", "gold": "SKIPPED",
+                  "sla_check": "SKIPPED"}
+    assert listing(lake.bronze) == before
+    sla_log = lk.read_log(spark, lake, "sla_check_log").collect()
+    assert len(sla_log) == 6 and all(r.business_impact for r in sla_log)
+    costs = {r.run_type for r in lk.read_log(spark, lake, "cost_attribution_log").collect()}
+    assert costs == {"incremental"}
+    _silver_equals_full(spark, lake)
+    report = {(r.table_name, r.column_name, r.test): r.status
+              for r in pipeline.run_data_tests(spark, lake).collect()}
+    assert report[("silver.orders_cleaned", "order_id", "unique")] == "PASS"
+    assert report[("bronze.raw_orders", "order_id", "unique")] == "FAIL"  # versions, reported only
