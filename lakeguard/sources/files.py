@@ -11,15 +11,21 @@ files, and the work spreads with the number of files.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeguard.functions.types import normalize_type
 
+# Ship this module's task code by value: executors need only pyarrow/pandas,
+# not an installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FILE_CONTRACT_SCHEMA = ("path string, file_name string, ordinal int, "
                         "column_name string, raw_type string, nullable boolean")
 
