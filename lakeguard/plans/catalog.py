@@ -730,7 +730,7 @@ PROJECTION_SQL = f"""
 select run_type, day, daily_cost_usd, daily_cost_usd * day as cumulative_cost_usd from (
   select run_type, runtime_seconds / 3600.0 * {cost.DBU_PER_HOUR} * {cost.DBU_RATE_USD} * {cost.RUNS_PER_DAY} as daily_cost_usd
   from ({_run_log_sql()}) r where pipeline_name = '{MODELS_PIPELINE}') d,
-  (select unnest(range(1, {cost.DAYS} + 1)) as day) days"""
+  (select cast(unnest(range(1, {cost.DAYS} + 1)) as integer) as day) days"""
 
 
 def _projection(spark, sf):
@@ -758,7 +758,7 @@ def cost_savings(spark, sf):
 @register("cost_by_pipeline", f"""
 select pipeline_name, run_type, count(*) as runs,
        cast(sum(cast(runtime_seconds as decimal(24,6))) as double) as runtime_seconds,
-       sum(rows_processed) as rows_processed,
+       cast(sum(rows_processed) as bigint) as rows_processed,
        cast(sum(cast(estimated_dbu as decimal(24,6))) as double) as estimated_dbu,
        cast(sum(cast(estimated_cost_usd as decimal(24,6))) as double) as estimated_cost_usd
 from ({COST_SQL}) c group by pipeline_name, run_type""")
