@@ -104,36 +104,45 @@ def schema_consistency(live_contract: DataFrame, pinned: DataFrame,
                     F.when(breaking, detail).otherwise(F.lit("")).alias("detail"))
 
 
-def run_checks(spark: SparkSession, bronze: DataFrame, as_of: dt.datetime | str,
+def run_checks(spark: SparkSession, bronze: DataFrame, as_of,
                live_contract: DataFrame | None = None, pinned: DataFrame | None = None,
                rules: list[dict] | None = None) -> DataFrame:
-    """V4: every configured rule -> (check_name, status, detail, business_impact, checked_at)."""
+    """V4: every configured rule -> (check_name, status, detail, business_impact, checked_at).
+
+    ``as_of`` is one instant or a list of them (several runs evaluated
+    together); freshness and completeness for all of them come from one
+    aggregate over Bronze."""
     if rules is None:
         rules = [r.asDict() for r in load_rules(spark).collect()]  # config-sized
-    at = ts_literal(as_of)
+    instants = [ts_literal(a) for a in (as_of if isinstance(as_of, (list, tuple)) else [as_of])]
     metric_results, parts = [], []
     for rule in rules:
         name = rule["check_name"]
         impact = F.lit(rule["business_impact"])
         if name not in KNOWN_CHECKS:
             log.warning("Unknown SLA check: %s", name)
-        elif name == "freshness":
-            metric_results.append(F.struct(freshness_result(at, rule["threshold_hours"]).alias("r"),
-                                           impact.alias("business_impact")))
-        elif name == "completeness":
-            metric_results.append(F.struct(completeness_result(rule["min_rows_per_run"]).alias("r"),
-                                           impact.alias("business_impact")))
-        else:
+            continue
+        if name == "schema_consistency":
             if live_contract is None or pinned is None:
                 raise ValueError("schema_consistency needs the live and pinned contracts")
-            parts.append(schema_consistency(live_contract, pinned, spark)
-                         .withColumn("business_impact", impact))
+            # instant-independent: evaluated once, reported for every instant
+            parts.append(schema_consistency(live_contract, pinned, spark).withColumns({
+                "business_impact": impact, "checked_at": F.explode(F.array(*instants))}))
+            continue
+        for i, at in enumerate(instants):
+            result = (freshness_result(at, rule["threshold_hours"]) if name == "freshness"
+                      else completeness_result(rule["min_rows_per_run"], f"rows_today_{i}"))
+            metric_results.append(F.struct(result.alias("r"), impact.alias("business_impact"),
+                                           at.alias("checked_at")))
     if metric_results:
-        rows = metrics(bronze, at).select(F.inline(F.array(*metric_results)))
-        parts.insert(0, rows.select("r.*", "business_impact"))
+        m = bronze.agg(F.max("updated_at").alias("latest_updated_at"), *[
+            F.count_if(F.to_date("_ingested_at") == F.to_date(at)).alias(f"rows_today_{i}")
+            for i, at in enumerate(instants)])
+        rows = m.select(F.inline(F.array(*metric_results)))
+        parts.insert(0, rows.select("r.*", "business_impact", "checked_at"))
     if not parts:
-        return spark.createDataFrame([], RESULT_SCHEMA).withColumn("checked_at", at)
+        return spark.createDataFrame([], RESULT_SCHEMA).withColumn("checked_at", instants[0])
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("checked_at", at)
+    return out
