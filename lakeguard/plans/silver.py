@@ -70,7 +70,9 @@ def incremental_changes(bronze: DataFrame, target: DataFrame, *, mode: str = "ev
     else:
         raise ValueError(f"unknown incremental mode {mode!r}")
     incoming = project(latest_per_key(delta, KEY, version_order))
-    previous = target.join(incoming.select(KEY), KEY, "left_semi")
+    # the keys are the delta's keys: read them from the delta's key column
+    # instead of re-running latest-per-key for the semi-join
+    previous = target.join(delta.select(KEY), KEY, "left_semi")
     if mode == "event_time":
         return incoming, previous
     # arrival: an incoming row always arrived later than the current row of
