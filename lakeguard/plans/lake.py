@@ -223,3 +223,24 @@ def swap_partitions(spark: SparkSession, staged: str, target: str, trash: str,
         if part in in_target and part not in in_trash:
             _move(spark, f"{target}/{part}", f"{trash}/{part}")
         _move(spark, f"{staged}/{part}", f"{target}/{part}")
+
+
+def compact_log(spark: SparkSession, lake: Lake, name: str, run_id: str | None = None) -> int:
+    """Rewrite one log table into a single file (logs grow by one small file
+    per append).  The compacted copy is written to staging, then swapped in
+    by two directory renames; an interrupted swap is finished by calling this
+    again with the same ``run_id``.  Run it while no writer appends to the log.
+    Returns the number of rows."""
+    run_id = run_id or new_run_id()
+    path = lake.log(name)
+    staged = lake.staging(run_id, f"compact_{name}")
+    trash = lake.staging(run_id, f"compact_{name}_old")
+    if _exists(spark, staged + "/_SUCCESS") or not _exists(spark, path):
+        pass  # resuming: the compacted copy is already complete
+    else:
+        read_log(spark, lake, name).coalesce(1).write.mode("overwrite").parquet(staged)
+    if _exists(spark, path) and not _exists(spark, trash):
+        _move(spark, path, trash)
+    if _exists(spark, staged):
+        _move(spark, staged, path)
+    return read_log(spark, lake, name).count()

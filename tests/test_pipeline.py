@@ -235,3 +235,16 @@ def test_pipeline_three_scenarios(spark, lake, batches):
               for r in pipeline.run_data_tests(spark, lake).collect()}
     assert report[("silver.orders_cleaned", "order_id", "unique")] == "PASS"
     assert report[("bronze.raw_orders", "order_id", "unique")] == "FAIL"  # versions, reported only
+
+
+def test_log_compaction_keeps_rows(spark, lake):
+    for i in range(5):
+        lk.append_log(spark, lake, "sla_check_log",
+                      [("freshness", "PASS", "", "impact", dt.datetime(2001, 12, 1, i))])
+    files = [f for f in listing(lake.log("sla_check_log")) if f.endswith(".parquet")]
+    assert len(files) == 5
+    assert lk.compact_log(spark, lake, "sla_check_log") == 5
+    files = [f for f in listing(lake.log("sla_check_log")) if f.endswith(".parquet")]
+    assert len(files) == 1
+    assert sorted(r.checked_at.hour for r in lk.read_log(spark, lake, "sla_check_log").collect()) \
+        == [0, 1, 2, 3, 4]
