@@ -53,8 +53,18 @@ def file_verdicts(spark: SparkSession, paths: DataFrame, lake: lk.Lake) -> DataF
     return drift.classify(incoming, baseline, pairs)
 
 
+def refresh_models(spark: SparkSession, lake: lk.Lake, batch_ids: list[str]) -> None:
+    """Hook for :func:`start`: bring Silver and Gold up to date after the
+    micro-batch's producer batches were ingested (arrival-time merge, Gold
+    recomputed for the touched dates only)."""
+    from lakeguard.plans import models
+    run = models.silver_incremental(spark, lake, mode="arrival")
+    models.gold_incremental(spark, lake, mode="touched_dates",
+                            touched_dates_path=run.get("touched_dates_path"))
+
+
 def process_microbatch(spark: SparkSession, lake: lk.Lake, paths: DataFrame,
-                       schema_version: str = "v1", clock=ig.utc_now) -> list[str]:
+                       schema_version: str = "v1", clock=ig.utc_now, then=None) -> list[str]:
     """Gate and ingest the producer batches of one micro-batch, in batch-id order."""
     with_batch = paths.select(
         "path", F.element_at(F.split("path", "/"), -2).alias("batch_id"))
@@ -77,13 +87,17 @@ def process_microbatch(spark: SparkSession, lake: lk.Lake, paths: DataFrame,
             f"landing-{batch_id}", "landing", batch_id, "committed", None, None, None, None, clock(),
             lake.bronze, None)])
         done.append(batch_id)
+    if then is not None and done:
+        then(spark, lake, done)
     return done
 
 
 def start(spark: SparkSession, landing: str, lake: lk.Lake, checkpoint: str,
-          schema_version: str = "v1", available_now: bool = True, clock=ig.utc_now):
+          schema_version: str = "v1", available_now: bool = True, clock=ig.utc_now,
+          then=None):
     """Start the landing stream; with ``available_now`` it drains what is there
-    and stops.  Returns the StreamingQuery."""
+    and stops.  ``then(spark, lake, batch_ids)`` runs after each micro-batch's
+    ingests (e.g. :func:`refresh_models`).  Returns the StreamingQuery."""
     stream = (spark.readStream.format("binaryFile")
               .schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", "*.parquet")
@@ -92,7 +106,7 @@ def start(spark: SparkSession, landing: str, lake: lk.Lake, checkpoint: str,
               .select("path"))
 
     def each(batch_df: DataFrame, epoch_id: int) -> None:
-        process_microbatch(spark, lake, batch_df, schema_version, clock)
+        process_microbatch(spark, lake, batch_df, schema_version, clock, then)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(

@@ -248,3 +248,16 @@ def test_log_compaction_keeps_rows(spark, lake):
     assert len(files) == 1
     assert sorted(r.checked_at.hour for r in lk.read_log(spark, lake, "sla_check_log").collect()) \
         == [0, 1, 2, 3, 4]
+
+
+def test_landing_stream_refreshes_models(spark, tmp_path, batches):
+    from lakeguard.streaming import landing
+    land, lake = str(tmp_path / "in"), lk.Lake(str(tmp_path / "lake"))
+    landing.drop_batch(batches["v1_old"], land, "b1")
+    landing.drop_batch(batches["v2_new"], land, "b2")
+    q = landing.start(spark, land, lake, str(tmp_path / "ckpt"), clock=lambda: T1,
+                      then=landing.refresh_models)
+    q.awaitTermination()
+    silver = _silver_equals_full(spark, lake)
+    g = spark.read.parquet(lake.gold).drop("_year")
+    assert mg.symmetric_difference(g, gd.daily_revenue(silver, True)).count() == 0
