@@ -1,20 +1,24 @@
 """Guarded landing-zone ingest with Structured Streaming (operators S8, T1, T2).
 
 Producers drop each batch as Parquet files in its own sub-directory of the
-landing folder: ``<landing>/<batch_id>/*.parquet``.  A file stream with a
-declared schema would hide drift (extra columns silently dropped, batches
-merged), so the stream carries **paths only**: the ``binaryFile`` source with
-just ``path`` selected never reads file bodies.  Each micro-batch then, in
-``foreachBatch``:
-
-1. groups its paths by producer batch (parent directory);
-2. skips producer batches already committed (replay after a restart);
-3. reads every file's own footer (N8) and gates each file against the live
-   Bronze contract — one BREAKING file makes the producer batch BREAKING;
-4. BREAKING: an incident row is written and the stream stops by raising; the
+landing folder, ``<landing>/<batch_id>/*.parquet``, and finish it by writing
+a ``batch.ready`` marker there (:func:`drop_batch` does both).  The stream
+tracks the markers, not the data files: a batch is picked up only once it is
+complete, never split across micro-batches, and ``maxFilesPerTrigger``
+bounds the producer batches per micro-batch.  A file stream over the data
+with a declared schema would also hide drift (extra columns silently
+dropped), so no data file is read by the stream itself.  Each micro-batch
+then, in ``foreachBatch``:
+
+1. skips producer batches already committed (replay after a restart);
+2. lists the batch's Parquet files and reads every file's own footer (N8),
+   gating each file against the live Bronze contract — one BREAKING file
+   makes the producer batch BREAKING;
+3. BREAKING: an incident row is written and the stream stops by raising; the
    files stay where they are, and the next start replays the same
-   micro-batch (same files) from the checkpoint;
-5. otherwise the batch is ingested (I1) and committed in ``run_log``.
+   micro-batch (same markers) from the checkpoint;
+4. otherwise the batch is ingested (I1) and committed in ``run_log``;
+5. optionally (``then``) Silver and Gold are brought up to date.
 
 Late data (T2) is handled downstream by arrival-time merges, not by a
 watermark that drops rows.
@@ -32,6 +36,7 @@ from lakeguard.sources import contracts as ct
 from lakeguard.sources import files as fl
 
 
+READY = "batch.ready"  # a producer batch's completion marker
 # The binaryFile source's fixed schema (streams must declare it).
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -63,24 +68,25 @@ def refresh_models(spark: SparkSession, lake: lk.Lake, batch_ids: list[str]) ->
                             touched_dates_path=run.get("touched_dates_path"))
 
 
-def process_microbatch(spark: SparkSession, lake: lk.Lake, paths: DataFrame,
+def process_microbatch(spark: SparkSession, lake: lk.Lake, markers: DataFrame,
                        schema_version: str = "v1", clock=ig.utc_now, then=None) -> list[str]:
     """Gate and ingest the producer batches of one micro-batch, in batch-id order."""
-    with_batch = paths.select(
-        "path", F.element_at(F.split("path", "/"), -2).alias("batch_id"))
+    with_batch = markers.select(
+        F.regexp_replace("path", f"/{READY}$", "").alias("dir"),
+        F.element_at(F.split("path", "/"), -2).alias("batch_id"))
     pending = with_batch.join(committed_batches(spark, lake), "batch_id", "left_anti")
-    batch_ids = sorted(r[0] for r in pending.select("batch_id").distinct().collect())
+    todo = sorted((r[0], r[1]) for r in pending.select("batch_id", "dir").distinct().collect())
     done = []
-    for batch_id in batch_ids:
-        files = pending.filter(F.col("batch_id") == batch_id).select("path")
+    for batch_id, batch_dir in todo:  # bounded by maxFilesPerTrigger
+        files = fl.list_files(spark, batch_dir).select("path")
         verdicts = drift.verdict_text(file_verdicts(spark, files, lake))
         broken = verdicts.filter(F.col("verdict") == drift.BREAKING).orderBy("batch_id").first()
         if broken is not None:
             row = broken.asDict()
             row["batch_id"] = batch_id
             ig.route(spark, lake, row, f"files of {batch_id}", clock())  # raises
-        file_list = [r[0] for r in files.collect()]  # this producer batch's files
-        data = spark.read.option("mergeSchema", True).parquet(*file_list)
+        data = (spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", True)
+                .parquet(batch_dir))
         ig.ingest(spark, data, lake, batch_id=batch_id, schema_version=schema_version,
                   ingested_at=clock(), evaluated_at=clock())
         lk.append_log(spark, lake, "run_log", [(
@@ -94,14 +100,15 @@ def process_microbatch(spark: SparkSession, lake: lk.Lake, paths: DataFrame,
 
 def start(spark: SparkSession, landing: str, lake: lk.Lake, checkpoint: str,
           schema_version: str = "v1", available_now: bool = True, clock=ig.utc_now,
-          then=None):
+          then=None, max_batches_per_trigger: int = 100):
     """Start the landing stream; with ``available_now`` it drains what is there
     and stops.  ``then(spark, lake, batch_ids)`` runs after each micro-batch's
     ingests (e.g. :func:`refresh_models`).  Returns the StreamingQuery."""
     stream = (spark.readStream.format("binaryFile")
               .schema(BINARY_FILE_SCHEMA)
-              .option("pathGlobFilter", "*.parquet")
+              .option("pathGlobFilter", READY)
               .option("recursiveFileLookup", "true")
+              .option("maxFilesPerTrigger", max_batches_per_trigger)
               .load(landing)
               .select("path"))
 
@@ -115,5 +122,15 @@ def start(spark: SparkSession, landing: str, lake: lk.Lake, checkpoint: str,
 
 
 def drop_batch(batch: DataFrame, landing: str, batch_id: str) -> None:
-    """Producer side helper: write one batch into its own landing sub-directory."""
-    batch.write.mode("errorifexists").parquet(f"{landing.rstrip('/')}/{batch_id}")
+    """Producer side: write one batch into its own landing sub-directory, then
+    mark it complete."""
+    target = f"{landing.rstrip('/')}/{batch_id}"
+    batch.write.mode("errorifexists").parquet(target)
+    spark = batch.sparkSession
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(f"{target}/{READY}")
+    out = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(marker, False)
+    try:  # not empty: Spark's file listing skips zero-length files
+        out.write(bytearray(f"{batch_id}\n".encode("utf-8")))
+    finally:
+        out.close()

@@ -261,3 +261,22 @@ def test_landing_stream_refreshes_models(spark, tmp_path, batches):
     silver = _silver_equals_full(spark, lake)
     g = spark.read.parquet(lake.gold).drop("_year")
     assert mg.symmetric_difference(g, gd.daily_revenue(silver, True)).count() == 0
+
+
+def test_landing_waits_for_complete_batches(spark, tmp_path, batches):
+    """A batch still being written (no completion marker) is not read; once
+    marked complete, the next trigger ingests all of it."""
+    from lakeguard.streaming import landing
+    land, lake = str(tmp_path / "in"), lk.Lake(str(tmp_path / "lake"))
+    ckpt = str(tmp_path / "ckpt")
+    landing.drop_batch(batches["v1_old"], land, "b1")
+    batches["v1_new"].write.parquet(f"{land}/b2")  # data written, not yet marked
+    landing.start(spark, land, lake, ckpt, clock=lambda: T1).awaitTermination()
+    assert spark.read.parquet(lake.bronze).count() == batches["v1_old"].count()
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(f"{land}/b2/{landing.READY}")
+    out = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(marker, False)
+    out.write(bytearray(b"b2\n"))
+    out.close()
+    landing.start(spark, land, lake, ckpt, clock=lambda: T2).awaitTermination()
+    assert spark.read.parquet(lake.bronze).count() == batches["all"].count()
