@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeguard.sources.contracts import path_exists
+from lakeguard.sources.contracts import hadoop_path, path_exists
 
 LOG_SCHEMAS = {
     "schema_change_log": T.StructType([
@@ -143,12 +143,8 @@ def gold_partition() -> Column:
 def reset(spark: SparkSession, lake: Lake) -> None:
     """K7: Bronze is dropped with its schema (so the next run seeds the
     contract from v1 again); every other table is emptied.  Errors propagate."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-
     def delete(path: str) -> None:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(conf)
+        fs, p = hadoop_path(spark, path)
         if fs.exists(p) and not fs.delete(p, True):
             raise OSError(f"could not delete {path}")
 
@@ -163,9 +159,7 @@ def reset(spark: SparkSession, lake: Lake) -> None:
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+    return hadoop_path(spark, path)
 
 
 def _move(spark: SparkSession, src: str, dst: str) -> None:

@@ -7,9 +7,10 @@ every run publishes with the same recoverable protocol:
    replaces are written to a run-scoped staging table in one job — a written
    table cuts the lineage, so a lost executor recomputes from it, not from
    Bronze;
-2. touched partitions, row count and new watermarks come from that small
-   table in one aggregate (partition ids are bounded by the number of months,
-   so they are collected and used as a partition-pruning literal);
+2. touched partitions, row count and new watermarks are observed on that
+   same write (``Observation`` on its result stage: no second pass; partition
+   ids are bounded by the number of months, so they come back to the driver
+   and serve as a partition-pruning literal);
 3. the merged content of the touched partitions is written once, to staging;
 4. publish: a ``staged`` row (partitions, watermarks) is logged, each touched
    partition's old directory is moved aside and the staged one renamed into
@@ -30,7 +31,7 @@ import time
 from collections.abc import Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,13 +68,9 @@ def _last_committed(spark: SparkSession, lake: lk.Lake, stage: str):
     return log.orderBy(F.col("committed_at").desc(), F.col("run_id").desc()).first()
 
 
-def recover(spark: SparkSession, lake: lk.Lake) -> list[str]:
-    """Finish every run that logged ``staged`` but not ``committed``."""
-    log = lk.read_log(spark, lake, "run_log").filter(F.col("stage").isin("silver", "gold"))
-    pending = (log.filter(F.col("status") == "staged")
-               .join(log.filter(F.col("status") == "committed").select("run_id"), "run_id", "left_anti"))
+def _finish(spark: SparkSession, lake: lk.Lake, pending) -> list[str]:
     finished = []
-    for r in pending.collect():  # only interrupted runs: normally none
+    for r in pending:  # only interrupted runs: normally none
         parts = r["partitions"].split(",") if r["partitions"] else []
         lk.swap_partitions(spark, lake.staging(r["run_id"], "publish"), r["target"],
                            lake.staging(r["run_id"], "trash"), parts)
@@ -84,6 +81,36 @@ def recover(spark: SparkSession, lake: lk.Lake) -> list[str]:
     return finished
 
 
+def recover(spark: SparkSession, lake: lk.Lake) -> list[str]:
+    """Finish every run that logged ``staged`` but not ``committed``."""
+    log = lk.read_log(spark, lake, "run_log").filter(F.col("stage").isin("silver", "gold"))
+    pending = (log.filter(F.col("status") == "staged")
+               .join(log.filter(F.col("status") == "committed").select("run_id"), "run_id", "left_anti"))
+    return _finish(spark, lake, pending.collect())
+
+
+def _open_run(spark: SparkSession, lake: lk.Lake, stage: str):
+    """Start an incremental run: finish interrupted runs and return the last
+    committed run of ``stage``, from one read of the run log (the pending
+    ``staged`` rows and the newest ``committed`` row of the stage)."""
+    status = F.col("status")
+    done = F.max((status == "committed").cast("int")).over(Window.partitionBy("run_id"))
+    newest = F.row_number().over(Window.partitionBy("status").orderBy(
+        F.col("committed_at").desc(), F.col("run_id").desc()))
+    rows = (lk.read_log(spark, lake, "run_log").filter(F.col("stage").isin("silver", "gold"))
+            .withColumn("_done", done)
+            .filter(((status == "staged") & (F.col("_done") == 0))
+                    | ((status == "committed") & (F.col("stage") == stage)))
+            .withColumn("_newest", newest)
+            .filter((status == "staged") | (F.col("_newest") == 1))
+            .collect())
+    pending = [r for r in rows if r["status"] == "staged"]
+    if pending:
+        _finish(spark, lake, pending)
+        return _last_committed(spark, lake, stage)
+    return next(iter(rows), None)
+
+
 def _publish(spark, lake, run_id, stage, mode, target, partitions, rows, wm_u=None, wm_i=None,
              wm_d=None) -> None:
     marks = (rows, wm_u, wm_i, wm_d, target, partitions)
@@ -111,26 +138,40 @@ def _full_refresh_parts(spark, staged: str, target: str, column: str) -> list[st
 
 # ------------------------------------------------------------------ checks
 def check_sink_contract(spark: SparkSession, output: DataFrame, target_path: str,
-                        ignore: Sequence[str] = ()) -> None:
+                        ignore: Sequence[str] = (), target: DataFrame | None = None) -> None:
     """K6: the model's output contract must equal the target's (on_schema_change=fail).
 
     Both schemas are metadata (the model writes one schema), so the
-    comparison runs on the driver."""
-    if not lk.exists(spark, target_path):
-        return
+    comparison runs on the driver.  Pass ``target`` when the run has already
+    opened the target table, to avoid listing it again."""
+    if target is None:
+        if not lk.exists(spark, target_path):
+            return
+        target = spark.read.parquet(target_path)
     keep = lambda s: T.StructType([f for f in s.fields if f.name not in ignore])
-    bad = drift.schema_changes(keep(output.schema), keep(spark.read.parquet(target_path).schema))
+    bad = drift.schema_changes(keep(output.schema), keep(target.schema))
     if bad:
         raise SinkSchemaDrift(f"{target_path}: " + ", ".join(f"{c} {k}" for c, k, _, _ in bad))
 
 
 # ------------------------------------------------------------------ Silver
-def _write_silver(df: DataFrame, path: str) -> None:
+def _observed(df: DataFrame, name: str, *metrics) -> tuple[DataFrame, Observation | None]:
+    """Attach metrics to the write itself.  Placed above the last shuffle, the
+    metrics are computed in the write's result stage, whose task results
+    Spark merges once per partition even when tasks are retried."""
+    if not metrics:
+        return df, None
+    obs = Observation(name)
+    return df.observe(obs, *metrics), obs
+
+
+def _write_silver(df: DataFrame, path: str, *metrics) -> dict | None:
     # REBALANCE clusters rows by month for few files per partition, and AQE
     # splits a hot month over several tasks and merges small ones.
-    (df.withColumn("_part", lk.silver_partition())
-       .hint("rebalance", "_part")
-       .write.mode("overwrite").partitionBy("_part").parquet(path))
+    out, obs = _observed(df.withColumn("_part", lk.silver_partition()).hint("rebalance", "_part"),
+                         "silver_write", *metrics)
+    out.write.mode("overwrite").partitionBy("_part").parquet(path)
+    return obs.get if obs else None
 
 
 def _bronze(spark: SparkSession, lake: lk.Lake) -> DataFrame:
@@ -147,26 +188,25 @@ def silver_full_refresh(spark: SparkSession, lake: lk.Lake,
     timings: dict[str, float] = {}
     staged = lake.staging(run_id, "publish")
     with _step(timings, "build"):
-        _write_silver(sv.silver_full(_bronze(spark, lake), version_order), staged)
-    with _step(timings, "summary"):
-        wm = spark.read.parquet(staged).agg(
-            F.count(F.lit(1)), F.max("updated_at"), F.max("_ingested_at")).first()
+        wm = _write_silver(sv.silver_full(_bronze(spark, lake), version_order), staged,
+                           F.count(F.lit(1)).alias("rows"), F.max("updated_at").alias("max_updated"),
+                           F.max("_ingested_at").alias("max_ingested"))
     parts = _full_refresh_parts(spark, staged, lake.silver, "_part")
     with _step(timings, "publish"):
-        _publish(spark, lake, run_id, "silver", "full_refresh", lake.silver, parts, wm[0], wm[1], wm[2])
-    return {"run_id": run_id, "rows": wm[0], "mode": "full_refresh", "timings": timings}
+        _publish(spark, lake, run_id, "silver", "full_refresh", lake.silver, parts,
+                 wm["rows"], wm["max_updated"], wm["max_ingested"])
+    return {"run_id": run_id, "rows": wm["rows"], "mode": "full_refresh", "timings": timings}
 
 
 def silver_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "arrival",
                        version_order: Sequence[str] = sv.DEFAULT_VERSION_ORDER,
                        run_id: str | None = None) -> dict:
     """K4/M1 incremental run; the first run (no Silver yet) is a full refresh."""
-    recover(spark, lake)
+    last = _open_run(spark, lake, "silver")
     if not lk.exists(spark, lake.silver):
         return silver_full_refresh(spark, lake, version_order, run_id)
     run_id = run_id or lk.new_run_id()
     timings: dict[str, float] = {}
-    last = _last_committed(spark, lake, "silver")
     target = spark.read.parquet(lake.silver)
     bronze = _bronze(spark, lake)
     if mode == "event_time":
@@ -178,23 +218,24 @@ def silver_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "arrival"
     wm = F.lit(wm_value.isoformat(sep=" ")).cast("timestamp_ntz") if wm_value else None
     changes, previous = sv.incremental_changes(bronze, target, mode=mode, watermark=wm,
                                                version_order=version_order)
-    check_sink_contract(spark, changes, lake.silver, ignore=["_part"])
+    check_sink_contract(spark, changes, lake.silver, ignore=["_part"], target=target)
 
-    # 1. stage the change set and the rows it replaces, in one job
+    # 1. stage the change set and the rows it replaces, in one job; 2. its
+    # touched partitions, row count and watermarks are observed on that write
     changes_path = lake.staging(run_id, "silver_changes")
-    with _step(timings, "stage_changes"):
-        (changes.withColumn("_part", lk.silver_partition()).withColumn("_side", F.lit("new"))
-         .unionByName(previous.select(*sv.SILVER_COLUMNS, "_part").withColumn("_side", F.lit("old")))
-         .write.mode("overwrite").parquet(changes_path))
-    staged = spark.read.parquet(changes_path)
     is_new = F.col("_side") == "new"
-    # 2. touched partitions, row count and watermarks from the staged table
-    with _step(timings, "summary"):
-        summary = staged.agg(
+    with _step(timings, "stage_changes"):
+        stage, obs = _observed(
+            changes.withColumn("_part", lk.silver_partition()).withColumn("_side", F.lit("new"))
+            .unionByName(previous.select(*sv.SILVER_COLUMNS, "_part").withColumn("_side", F.lit("old"))),
+            "silver_changes",
             F.array_sort(F.collect_set("_part")).alias("parts"),  # bounded by #months
             F.count_if(is_new).alias("rows"),
             F.max(F.when(is_new, F.col("updated_at"))).alias("max_updated"),
-            F.max(F.when(is_new, F.col("_ingested_at"))).alias("max_ingested")).first()
+            F.max(F.when(is_new, F.col("_ingested_at"))).alias("max_ingested"))
+        stage.write.mode("overwrite").parquet(changes_path)
+        summary = obs.get
+    staged = spark.read.parquet(changes_path)
     touched = list(summary["parts"])
     # Gold's touched dates: new and previous created dates of changed keys
     dates_path = lake.staging(run_id, "touched_dates")
@@ -219,33 +260,36 @@ def silver_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "arrival"
 
 
 # -------------------------------------------------------------------- Gold
-def _write_gold(df: DataFrame, path: str) -> None:
+def _write_gold(df: DataFrame, path: str) -> dict:
+    """Write Gold; its row count and latest date are observed on the write."""
     # Gold holds one row per date: a year partition is a few hundred rows
-    (df.withColumn("_year", lk.gold_partition()).hint("rebalance", "_year")
-       .write.mode("overwrite").partitionBy("_year").parquet(path))
+    out, obs = _observed(df.withColumn("_year", lk.gold_partition()).hint("rebalance", "_year"),
+                         "gold_write", F.count(F.lit(1)).alias("rows"),
+                         F.max("order_date").alias("max_date"))
+    out.write.mode("overwrite").partitionBy("_year").parquet(path)
+    return obs.get
 
 
 def gold_full_refresh(spark: SparkSession, lake: lk.Lake, run_id: str | None = None) -> dict:
     recover(spark, lake)
     run_id = run_id or lk.new_run_id()
     staged = lake.staging(run_id, "publish")
-    _write_gold(gd.daily_revenue(spark.read.parquet(lake.silver), key_is_unique=True), staged)
-    agg = spark.read.parquet(staged).agg(F.count(F.lit(1)), F.max("order_date")).first()
+    agg = _write_gold(gd.daily_revenue(spark.read.parquet(lake.silver), key_is_unique=True), staged)
     parts = _full_refresh_parts(spark, staged, lake.gold, "_year")
-    _publish(spark, lake, run_id, "gold", "full_refresh", lake.gold, parts, agg[0], wm_d=agg[1])
-    return {"run_id": run_id, "rows": agg[0], "mode": "full_refresh"}
+    _publish(spark, lake, run_id, "gold", "full_refresh", lake.gold, parts, agg["rows"],
+             wm_d=agg["max_date"])
+    return {"run_id": run_id, "rows": agg["rows"], "mode": "full_refresh"}
 
 
 def gold_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "touched_dates",
                      touched_dates_path: str | None = None, run_id: str | None = None) -> dict:
     """M2 incremental: ``latest_date`` (reference rule) or ``touched_dates``."""
-    recover(spark, lake)
+    last = _open_run(spark, lake, "gold")
     if not lk.exists(spark, lake.gold):
         return gold_full_refresh(spark, lake, run_id)
     run_id = run_id or lk.new_run_id()
     silver_df = spark.read.parquet(lake.silver)
     target = spark.read.parquet(lake.gold)
-    last = _last_committed(spark, lake, "gold")
     if mode == "latest_date":
         wm_value = last["watermark_order_date"] if last else target.agg(F.max("order_date")).first()[0]
         if wm_value is not None:  # Silver months before the watermark's are not read
@@ -253,28 +297,28 @@ def gold_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "touched_da
         rows = gd.gold_delta(silver_df, F.lit(wm_value) if wm_value else None)
         recomputed = gd.daily_revenue(rows, key_is_unique=True)
         dates = None
-        years_df = recomputed.select(F.year("order_date"))
+        years = sorted(r[0] for r in recomputed.select(F.year("order_date")).distinct().collect())
     elif mode == "touched_dates":
         if touched_dates_path is None:
             raise ValueError("touched_dates mode needs the Silver run's touched dates")
         dates = spark.read.parquet(touched_dates_path)
-        # read only the Silver months holding touched dates (partition pruning)
+        # read only the Silver months holding touched dates (partition pruning);
+        # months are bounded by the calendar, years follow from them
         months = sorted(r[0] for r in dates.select(
-            (F.year("order_date") * 100 + F.month("order_date")).alias("m")).distinct().collect())
+            (F.year("order_date") * 100 + F.month("order_date")).alias("m")).distinct().collect()
+            if r[0] is not None)
         recomputed = gd.gold_for_dates(silver_df.filter(F.col("_part").isin(months)), dates)
-        years_df = dates.select(F.year("order_date"))
+        years = sorted({m // 100 for m in months})
     else:
         raise ValueError(f"unknown gold mode {mode!r}")
-    check_sink_contract(spark, recomputed, lake.gold, ignore=["_year"])
-    years = sorted(r[0] for r in years_df.distinct().collect())  # bounded by #years
+    check_sink_contract(spark, recomputed, lake.gold, ignore=["_year"], target=target)
     staged = lake.staging(run_id, "publish")
     previous_wm = last["watermark_order_date"] if last else None
     if years:
         current = target.filter(F.col("_year").isin(years))
-        _write_gold(gd.merge_gold(current, recomputed, dates), staged)
-        agg = spark.read.parquet(staged).agg(F.count(F.lit(1)), F.max("order_date")).first()
-        rows = agg[0]
-        wm_d = max([x for x in (agg[1], previous_wm) if x is not None], default=None)
+        agg = _write_gold(gd.merge_gold(current, recomputed, dates), staged)
+        rows = agg["rows"]
+        wm_d = max([x for x in (agg["max_date"], previous_wm) if x is not None], default=None)
     else:
         rows, wm_d = 0, previous_wm
     _publish(spark, lake, run_id, "gold", mode, lake.gold, [f"_year={y}" for y in years], rows,

@@ -80,10 +80,22 @@ def contract_of(spark: SparkSession, schemas: dict[str, T.StructType],
     return with_canonical(spark.createDataFrame(rows, CONTRACT_SCHEMA))
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(FileSystem, Path) of ``path`` on the cluster's Hadoop filesystem.  The
+    JVM class and configuration handles are looked up once per session, so a
+    publish of many partitions costs a few JVM calls per rename."""
+    sc = spark.sparkContext
+    handles = getattr(sc, "_lakeguard_hadoop", None)
+    if handles is None:
+        handles = (sc._jvm.org.apache.hadoop.fs.Path, sc._jsc.hadoopConfiguration())
+        sc._lakeguard_hadoop = handles
+    path_cls, conf = handles
+    jpath = path_cls(path)
+    return jpath.getFileSystem(conf), jpath
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, jpath = hadoop_path(spark, path)
     return fs.exists(jpath)
 
 
@@ -91,23 +103,19 @@ SCHEMA_FILE = "_schema.json"  # hidden from Spark's Parquet reader
 
 
 def _read_text(spark: SparkSession, path: str) -> str | None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = hadoop_path(spark, path)
     if not fs.exists(p):
         return None
     stream = fs.open(p)
     try:
-        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
 
 
 def write_table_schema(spark: SparkSession, table_path: str, schema: T.StructType) -> None:
     """Record a table's accepted schema next to its data (overwrites)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/{SCHEMA_FILE}")
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = hadoop_path(spark, f"{table_path.rstrip('/')}/{SCHEMA_FILE}")
     out = fs.create(p, True)
     try:
         out.write(bytearray(schema.json().encode("utf-8")))
