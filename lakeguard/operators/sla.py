@@ -38,11 +38,19 @@ def ts_literal(as_of: dt.datetime | str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def ingest_day(bronze: DataFrame) -> Column:
+    """The UTC day a Bronze row was ingested.  On the lake table this is the
+    ``_ingest_date`` partition column (``to_date(_ingested_at)`` by
+    construction), which is constant per file: counting on it reads no data
+    column, so the SLA pass scans ``updated_at`` only."""
+    return F.col("_ingest_date") if "_ingest_date" in bronze.columns else F.to_date("_ingested_at")
+
+
 def metrics(bronze: DataFrame, as_of: Column) -> DataFrame:
     """One pass over Bronze: latest updated_at and rows ingested on as_of's day."""
     return bronze.agg(
         F.max("updated_at").alias("latest_updated_at"),
-        F.count_if(F.to_date("_ingested_at") == F.to_date(as_of)).alias("rows_today"))
+        F.count_if(ingest_day(bronze) == F.to_date(as_of)).alias("rows_today"))
 
 
 def age_hours(latest: Column, as_of: Column) -> Column:
@@ -136,7 +144,7 @@ def run_checks(spark: SparkSession, bronze: DataFrame, as_of,
                                            at.alias("checked_at")))
     if metric_results:
         m = bronze.agg(F.max("updated_at").alias("latest_updated_at"), *[
-            F.count_if(F.to_date("_ingested_at") == F.to_date(at)).alias(f"rows_today_{i}")
+            F.count_if(ingest_day(bronze) == F.to_date(at)).alias(f"rows_today_{i}")
             for i, at in enumerate(instants)])
         rows = m.select(F.inline(F.array(*metric_results)))
         parts.insert(0, rows.select("r.*", "business_impact", "checked_at"))

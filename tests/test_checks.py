@@ -71,6 +71,27 @@ def test_freshness_and_completeness_share_one_scan(spark, tmp_path):
     assert final.count("Scan parquet") == 1, final
 
 
+def test_completeness_on_partitioned_bronze_reads_no_ingest_column(spark, tmp_path):
+    """On the lake table the ingest day is the _ingest_date partition value:
+    the SLA pass reads updated_at only, and counts agree with to_date(_ingested_at)."""
+    path = str(tmp_path / "b")
+    days = bronze(spark, n_today=100).unionByName(bronze(spark, n_today=99, day="2001-12-03"))
+    days.withColumn("_ingest_date", F.to_date("_ingested_at")) \
+        .write.partitionBy("_ingest_date").parquet(path)
+    b = spark.read.parquet(path)
+    instants = ["2001-12-02 06:00:00", "2001-12-03 06:00:00", "2001-12-04 06:00:00"]
+    df = sla.run_checks(spark, b, instants,
+                        rules=[{"check_name": "completeness", "min_rows_per_run": 100,
+                                "business_impact": "x"},
+                               {"check_name": "freshness", "threshold_hours": 6,
+                                "business_impact": "y"}])
+    got = {str(r.checked_at.date()): r.status for r in df.collect()
+           if r.check_name == "completeness"}
+    assert got == {"2001-12-02": "PASS", "2001-12-03": "FAIL", "2001-12-04": "FAIL"}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<updated_at:timestamp_ntz>" in plan, plan
+
+
 def test_data_tests_one_row_per_declared_test(spark):
     df = spark.createDataFrame([("a", 1), ("a", None), (None, 2)], "k string, v int")
     rep = quality.report([quality.TableTests("t", df, ["k", "v"], ["k"])])
