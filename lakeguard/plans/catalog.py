@@ -77,7 +77,8 @@ def orders_cleaned(spark, sf):
     rule): equals the full refresh because batches arrive in updated_at order."""
     bronze = fx.bronze_fixture(spark, sf)
     first = bronze.filter(F.col("_ingested_at") == fx.ntz(fx.BATCH_INGESTED_AT[1]))
-    target = silver.silver_full(first, ORDER)
+    # Silver after run 1 is read by the change set and by the merge: written once
+    target = _materialize(spark, silver.silver_full(first, ORDER), "silver-run1")
     changes = silver.silver_incremental(
         bronze, target, mode="event_time",
         watermark=F.lit(fx.BATCH_SPLIT).cast("timestamp_ntz"), version_order=ORDER)
@@ -411,7 +412,9 @@ def merge_gold(spark, sf):
     """K4/M2 (reference rule): Gold dates from the latest Gold date on are
     re-aggregated and replace their rows; older dates keep run-1 values."""
     from lakeguard.operators.watermark import watermark_value
-    gold1 = gold.daily_revenue(silver.silver_full(_bronze_run1(spark, sf), ORDER), True)
+    # Gold after run 1 gives the watermark and the kept rows: written once
+    gold1 = _materialize(spark, gold.daily_revenue(
+        silver.silver_full(_bronze_run1(spark, sf), ORDER), True), "gold-run1")
     rows = gold.gold_delta(_silver_full(spark, sf), watermark_value(gold1, "order_date"))
     return gold.merge_gold(gold1, gold.daily_revenue(rows, key_is_unique=True))
 
