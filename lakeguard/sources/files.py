@@ -74,7 +74,10 @@ def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out = []
         for path in pdf["path"]:
-            filesystem, local = pafs.FileSystem.from_uri(path)
+            # Hadoop lists S3 objects as s3a:// (or s3n://); Arrow names that scheme s3://
+            scheme, sep, rest = path.partition("://")
+            uri = f"s3://{rest}" if sep and scheme in ("s3a", "s3n") else path
+            filesystem, local = pafs.FileSystem.from_uri(uri)
             schema = pq.read_schema(local, filesystem=filesystem)
             name = path.rsplit("/", 1)[-1]
             for i, field in enumerate(schema, start=1):
