@@ -210,6 +210,33 @@ def test_interrupted_publish_is_finished_by_next_run(spark, lake, batches, monke
     assert again["rows"] == 0
 
 
+def test_next_incremental_run_finishes_an_interrupted_publish(spark, lake, batches, monkeypatch):
+    """Without an explicit recover(): the next run finishes the interrupted
+    publish from the run log, then reads its watermark from that run."""
+    ingest(spark, batches["v1_old"], lake, batch_id="b1", ingested_at=T1)
+    models.silver_incremental(spark, lake, mode="arrival")
+    ingest(spark, batches["v1_new"], lake, batch_id="b2", ingested_at=T2)
+    real_move = lk._move
+    calls = {"n": 0}
+
+    def flaky_move(spark_, src, dst):
+        calls["n"] += 1
+        if calls["n"] == 3:
+            raise RuntimeError("simulated driver loss")
+        real_move(spark_, src, dst)
+
+    monkeypatch.setattr(lk, "_move", flaky_move)
+    with pytest.raises(RuntimeError):
+        models.silver_incremental(spark, lake, mode="arrival")
+    monkeypatch.setattr(lk, "_move", real_move)
+    again = models.silver_incremental(spark, lake, mode="arrival")
+    assert again["rows"] == 0  # the finished run's watermark covers batch b2
+    _silver_equals_full(spark, lake)
+    log = lk.read_log(spark, lake, "run_log").filter("stage = 'silver'")
+    assert log.filter("status = 'staged'").join(
+        log.filter("status = 'committed'").select("run_id"), "run_id", "left_anti").count() == 0
+
+
 def test_pipeline_three_scenarios(spark, lake, batches):
     """baseline -> non-breaking -> breaking: the last run halts at ingest and
     skips models and SLA; SLA rows are written pass or fail."""
