@@ -3,10 +3,11 @@
 An incremental run never rewrites more than the partitions it touches, and
 every run publishes with the same recoverable protocol:
 
-1. the change set (one row per changed ``order_id``) and the target rows it
-   replaces are written to a run-scoped staging table in one job — a written
-   table cuts the lineage, so a lost executor recomputes from it, not from
-   Bronze;
+1. the change set (one row per changed ``order_id``) and the partition and
+   created date of the target row each replaces are written to a run-scoped
+   staging table in one job (only narrow target columns are shuffled to find
+   those rows) — a written table cuts the lineage, so a lost executor
+   recomputes from it, not from Bronze;
 2. touched partitions, row count and new watermarks are observed on that
    same write (``Observation`` on its result stage: no second pass; partition
    ids are bounded by the number of months, so they come back to the driver
@@ -216,19 +217,19 @@ def silver_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "arrival"
         if wm_value is not None:  # prune Bronze ingest-day partitions too
             bronze = bronze.filter(F.col("_ingest_date") >= F.lit(wm_value.date()))
     wm = F.lit(wm_value.isoformat(sep=" ")).cast("timestamp_ntz") if wm_value else None
-    changes, previous = sv.incremental_changes(bronze, target, mode=mode, watermark=wm,
-                                               version_order=version_order)
-    check_sink_contract(spark, changes, lake.silver, ignore=["_part"], target=target)
-
-    # 1. stage the change set and the rows it replaces, in one job; 2. its
-    # touched partitions, row count and watermarks are observed on that write
+    stage = sv.staged_change_set(bronze, target, lk.silver_partition(), mode=mode, watermark=wm,
+                                 version_order=version_order)
+    check_sink_contract(spark, stage.select(*sv.SILVER_COLUMNS), lake.silver, ignore=["_part"],
+                        target=target)
+
+    # 1. stage the changed keys' new rows and their current partitions and
+    # dates, in one job; 2. touched partitions, row count and watermarks are
+    # observed on that write
     changes_path = lake.staging(run_id, "silver_changes")
     is_new = F.col("_side") == "new"
     with _step(timings, "stage_changes"):
         stage, obs = _observed(
-            changes.withColumn("_part", lk.silver_partition()).withColumn("_side", F.lit("new"))
-            .unionByName(previous.select(*sv.SILVER_COLUMNS, "_part").withColumn("_side", F.lit("old"))),
-            "silver_changes",
+            stage, "silver_changes",
             F.array_sort(F.collect_set("_part")).alias("parts"),  # bounded by #months
             F.count_if(is_new).alias("rows"),
             F.max(F.when(is_new, F.col("updated_at"))).alias("max_updated"),

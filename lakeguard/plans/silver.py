@@ -81,6 +81,53 @@ def incremental_changes(bronze: DataFrame, target: DataFrame, *, mode: str = "ev
     return latest_per_key(rivals, KEY, ARRIVAL_ORDER), previous
 
 
+def _ahead(a: Column, b: Column) -> Column:
+    """``a`` sorts before ``b`` in a descending, nulls-last order."""
+    return F.coalesce(a > b, F.lit(False)) | (a.isNotNull() & b.isNull())
+
+
+def staged_change_set(bronze: DataFrame, target: DataFrame, partition: Column, *,
+                      mode: str = "arrival", watermark: Column | None = None,
+                      version_order: Sequence[str] = DEFAULT_VERSION_ORDER) -> DataFrame:
+    """What a merge run stages, from one join: for every key whose row
+    changes, its new Silver row (``_side = 'new'``, ``_part`` from
+    ``partition``) and, if the key is already in the target, its current
+    partition and created_at (``_side = 'old'``; other columns null).
+
+    Only five narrow columns of the target are read and shuffled to find the
+    current rows of the delta's keys.  In arrival mode an incoming row
+    replaces the current one unless the current row is ahead in
+    ``ARRIVAL_ORDER`` — the same winner as :func:`incremental_changes`, but a
+    key whose current row stays is not staged (rewriting it would be a
+    no-op).  In event-time mode every incoming row replaces its key.
+    """
+    if mode == "event_time":
+        delta = silver_delta(bronze, watermark)
+    elif mode == "arrival":
+        delta = high_watermark_filter(bronze, "_ingested_at", watermark, strict=True)
+    else:
+        raise ValueError(f"unknown incremental mode {mode!r}")
+    incoming = project(latest_per_key(delta, KEY, version_order))
+    narrow = ["created_at", "updated_at", "_ingested_at", "_part"]
+    current = (target.select(KEY, *narrow).join(delta.select(KEY), KEY, "left_semi")
+               .select(KEY, *[F.col(c).alias(f"__cur_{c}") for c in narrow],
+                       F.lit(True).alias("__cur")))
+    j = incoming.join(current, KEY, "left_outer")
+    cur = lambda c: F.col(f"__cur_{c}")
+    if mode == "arrival":
+        u, i = ARRIVAL_ORDER
+        current_stays = _ahead(cur(u), F.col(u)) | (cur(u).eqNullSafe(F.col(u)) & _ahead(cur(i), F.col(i)))
+        j = j.filter(F.col("__cur").isNull() | ~current_stays)
+    types = dict((f.name, f.dataType) for f in incoming.schema.fields)
+    new = F.struct(*[F.col(c) for c in SILVER_COLUMNS], partition.cast("int").alias("_part"),
+                   F.lit("new").alias("_side"))
+    old_fields = [F.col(KEY) if c == KEY else cur(c).alias(c) if c in narrow
+                  else F.lit(None).cast(types[c]).alias(c) for c in SILVER_COLUMNS]
+    old = F.when(F.col("__cur").isNotNull(), F.struct(
+        *old_fields, cur("_part").cast("int").alias("_part"), F.lit("old").alias("_side")))
+    return j.select(F.inline(F.filter(F.array(new, old), lambda x: x.isNotNull())))
+
+
 def silver_incremental(bronze: DataFrame, target: DataFrame, *,
                        mode: str = "event_time",
                        watermark: Column | None = None,

@@ -38,3 +38,40 @@ def test_distributed_and_driver_verdicts_agree(spark, batches, baseline):
     for i, s in enumerate(batches):
         want = drift.verdict_of(f"b{i}", drift.schema_changes(struct(s), base))
         assert got[f"b{i}"] == want
+
+
+def test_narrow_staged_change_set_merges_like_the_full_width_one(spark):
+    """The model runs stage a change set found through narrow target columns
+    (keys whose current row stays are left out); merged, it gives the same
+    Silver as the full-width arrival / event-time change set."""
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from lakeguard.operators.merge import symmetric_difference
+    from lakeguard.plans import lake as lk
+    from lakeguard.plans import silver as sv
+    from lakeguard.sources import fixture as fx
+
+    bronze = fx.bronze_fixture(spark, SF_SMALL)
+    # newest versions arrive first, older ones late: the current row often stays
+    late = bronze.withColumn("_ingested_at", F.when(
+        F.col("updated_at") > fx.ntz(fx.BATCH_SPLIT), fx.ntz(fx.BATCH_INGESTED_AT[1]))
+        .otherwise(fx.ntz(fx.BATCH_INGESTED_AT[2])))
+    for mode, data, wm, stays in [("arrival", late, fx.ntz(fx.BATCH_INGESTED_AT[1]), True),
+                                  ("arrival", bronze, fx.ntz(fx.BATCH_INGESTED_AT[1]), False),
+                                  ("event_time", bronze, fx.ntz(fx.BATCH_SPLIT), False)]:
+        first = data.filter(F.col("_ingested_at") == fx.ntz(fx.BATCH_INGESTED_AT[1]))
+        if mode == "event_time":
+            first = data.filter(F.col("updated_at") <= fx.ntz(fx.BATCH_SPLIT))
+        target = sv.silver_full(first, fx.FIXTURE_VERSION_ORDER).withColumn(
+            "_part", lk.silver_partition())
+        wide, _ = sv.incremental_changes(data, target, mode=mode, watermark=wm,
+                                         version_order=fx.FIXTURE_VERSION_ORDER)
+        staged = sv.staged_change_set(data, target, lk.silver_partition(), mode=mode, watermark=wm,
+                                      version_order=fx.FIXTURE_VERSION_ORDER)
+        new = staged.filter("_side = 'new'").drop("_side", "_part")
+        assert symmetric_difference(sv.merge_changes(target, wide),
+                                    sv.merge_changes(target, new)).count() == 0, mode
+        assert (new.count() < wide.count()) if stays else (new.count() == wide.count())
+        old_keys = staged.filter("_side = 'old'").select("order_id")
+        assert old_keys.join(target, "order_id", "left_anti").count() == 0
