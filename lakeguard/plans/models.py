@@ -256,8 +256,10 @@ def silver_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "arrival"
     with _step(timings, "publish"):
         _publish(spark, lake, run_id, "silver", mode, lake.silver,
                  [f"_part={p}" for p in touched], summary["rows"], new_u, new_i)
+    # the touched months are exactly the months of the touched dates (both
+    # come from created_at of the new and replaced rows): Gold prunes with them
     return {"run_id": run_id, "rows": summary["rows"], "mode": mode, "partitions": len(touched),
-            "touched_dates_path": dates_path, "timings": timings}
+            "touched_dates_path": dates_path, "touched_months": touched, "timings": timings}
 
 
 # -------------------------------------------------------------------- Gold
@@ -283,8 +285,12 @@ def gold_full_refresh(spark: SparkSession, lake: lk.Lake, run_id: str | None = N
 
 
 def gold_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "touched_dates",
-                     touched_dates_path: str | None = None, run_id: str | None = None) -> dict:
-    """M2 incremental: ``latest_date`` (reference rule) or ``touched_dates``."""
+                     touched_dates_path: str | None = None, run_id: str | None = None,
+                     touched_months: list[int] | None = None) -> dict:
+    """M2 incremental: ``latest_date`` (reference rule) or ``touched_dates``.
+
+    ``touched_months`` (the Silver run's ``touched_months``) saves collecting
+    the months of the touched dates."""
     last = _open_run(spark, lake, "gold")
     if not lk.exists(spark, lake.gold):
         return gold_full_refresh(spark, lake, run_id)
@@ -305,9 +311,12 @@ def gold_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "touched_da
         dates = spark.read.parquet(touched_dates_path)
         # read only the Silver months holding touched dates (partition pruning);
         # months are bounded by the calendar, years follow from them
-        months = sorted(r[0] for r in dates.select(
-            (F.year("order_date") * 100 + F.month("order_date")).alias("m")).distinct().collect()
-            if r[0] is not None)
+        if touched_months is not None:
+            months = sorted(touched_months)
+        else:
+            months = sorted(r[0] for r in dates.select(
+                (F.year("order_date") * 100 + F.month("order_date")).alias("m")).distinct().collect()
+                if r[0] is not None)
         recomputed = gd.gold_for_dates(silver_df.filter(F.col("_part").isin(months)), dates)
         years = sorted({m // 100 for m in months})
     else:

@@ -65,7 +65,8 @@ def refresh_models(spark: SparkSession, lake: lk.Lake, batch_ids: list[str]) ->
     from lakeguard.plans import models
     run = models.silver_incremental(spark, lake, mode="arrival")
     models.gold_incremental(spark, lake, mode="touched_dates",
-                            touched_dates_path=run.get("touched_dates_path"))
+                            touched_dates_path=run.get("touched_dates_path"),
+                            touched_months=run.get("touched_months"))
 
 
 def process_microbatch(spark: SparkSession, lake: lk.Lake, markers: DataFrame,
