@@ -15,10 +15,11 @@ every run publishes with the same recoverable protocol:
 3. the merged content of the touched partitions is written once, to staging;
 4. publish: a ``staged`` row (partitions, watermarks) is logged, each touched
    partition's old directory is moved aside and the staged one renamed into
-   place, then a ``committed`` row is logged.  The moves are idempotent, so a
-   run interrupted anywhere is finished by :func:`recover` before the next
-   run starts; the watermark a run reads is always that of the last
-   *committed* run.
+   place, then a ``committed`` row is logged (a run that touches no
+   partition has nothing to finish and logs only ``committed``).  The moves
+   are idempotent, so a run interrupted anywhere is finished by
+   :func:`recover` before the next run starts; the watermark a run reads is
+   always that of the last *committed* run.
 
 Readers may briefly miss a partition during the renames (as with Spark's own
 dynamic partition overwrite); they never see a mix of old and new rows of one
@@ -115,9 +116,10 @@ def _open_run(spark: SparkSession, lake: lk.Lake, stage: str):
 def _publish(spark, lake, run_id, stage, mode, target, partitions, rows, wm_u=None, wm_i=None,
              wm_d=None) -> None:
     marks = (rows, wm_u, wm_i, wm_d, target, partitions)
-    _log(spark, lake, run_id, stage, mode, "staged", *marks)
-    lk.swap_partitions(spark, lake.staging(run_id, "publish"), target,
-                       lake.staging(run_id, "trash"), partitions)
+    if partitions:  # nothing to swap means nothing to finish after a crash
+        _log(spark, lake, run_id, stage, mode, "staged", *marks)
+        lk.swap_partitions(spark, lake.staging(run_id, "publish"), target,
+                           lake.staging(run_id, "trash"), partitions)
     _log(spark, lake, run_id, stage, mode, "committed", *marks)
 
 
