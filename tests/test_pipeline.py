@@ -118,6 +118,24 @@ def test_incremental_equals_full_refresh(spark, lake, batches, mode):
     assert mg.symmetric_difference(g, gd.daily_revenue(silver, True)).count() == 0
 
 
+def test_observed_run_summary_matches_the_staged_table(spark, lake, batches):
+    """Row count, touched partitions and watermark of a run are observed on
+    its staging write; they equal a recount of what was staged."""
+    ingest(spark, batches["v1_old"], lake, batch_id="b1", ingested_at=T1)
+    models.silver_incremental(spark, lake, mode="arrival")
+    ingest(spark, batches["v1_new"], lake, batch_id="b2", ingested_at=T2)
+    run = models.silver_incremental(spark, lake, mode="arrival")
+    staged = spark.read.parquet(lake.staging(run["run_id"], "silver_changes"))
+    new = staged.filter("_side = 'new'")
+    assert run["rows"] == new.count() > 0
+    parts = sorted(r[0] for r in staged.select("_part").distinct().collect() if r[0] is not None)
+    assert run["touched_months"] == parts and run["partitions"] == len(parts)
+    last = lk.read_log(spark, lake, "run_log").filter(
+        f"run_id = '{run['run_id']}' and status = 'committed'").first()
+    assert last.rows == run["rows"]
+    assert last.watermark_ingested_at == T2
+
+
 def test_merge_twice_is_merge_once(spark, lake, batches):
     ingest(spark, batches["v1_old"], lake, batch_id="b1", ingested_at=T1)
     models.silver_incremental(spark, lake, mode="arrival")
