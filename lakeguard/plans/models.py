@@ -301,12 +301,18 @@ def gold_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "touched_da
     target = spark.read.parquet(lake.gold)
     if mode == "latest_date":
         wm_value = last["watermark_order_date"] if last else target.agg(F.max("order_date")).first()[0]
-        if wm_value is not None:  # Silver months before the watermark's are not read
-            silver_df = silver_df.filter(F.col("_part") >= wm_value.year * 100 + wm_value.month)
+        wm_month = wm_value.year * 100 + wm_value.month if wm_value is not None else None
+        if wm_month is not None:  # Silver months before the watermark's are not read
+            silver_df = silver_df.filter(F.col("_part") >= wm_month)
         rows = gd.gold_delta(silver_df, F.lit(wm_value) if wm_value else None)
         recomputed = gd.daily_revenue(rows, key_is_unique=True)
         dates = None
-        years = sorted(r[0] for r in recomputed.select(F.year("order_date")).distinct().collect())
+        # years to rewrite: those of the Silver months read, from a listing (no
+        # job) — a superset of the recomputed dates' years, and a rewritten
+        # year keeps every target row that is not recomputed
+        months = [int(d.split("=", 1)[1]) for d in _partition_dirs(spark, lake.silver, "_part")
+                  if d.split("=", 1)[1].isdigit()]
+        years = sorted({m // 100 for m in months if wm_month is None or m >= wm_month})
     elif mode == "touched_dates":
         if touched_dates_path is None:
             raise ValueError("touched_dates mode needs the Silver run's touched dates")
