@@ -181,12 +181,17 @@ def mix(docs: DataFrame, targets_of=weighted_targets, members: F.Column | None =
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: rows of ``docs``, each as often as it is taken."""
+    """The rows of ``docs`` that the mix takes, with ``copies``: how often.
+
+    Rows that share doc_id and text are taken alike, as often as the one taken most.
+    """
     key = F.struct("doc_id", F.xxhash64("text").alias("h"))
     probe = docs.select(key.alias("doc_id"), "text", "source")
-    picked = (mix(probe, **options).where("taken > 0")
-              .select("doc_id.*", (F.col("taken") / F.col("size")).cast("int").alias("__copies"))
-              .groupBy(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).agg(F.max("__copies").alias("__copies")))
-    rows = docs.select(F.struct("*").alias("__row"), F.col("doc_id").alias("__doc"), F.xxhash64("text").alias("__hash"))
+    picked = materialise(
+        mix(probe, **options).where("taken > 0")
+        .select(F.col("doc_id.doc_id").alias("__id"), F.col("doc_id.h").alias("__h"), F.expr("int(taken div size)").alias("__n"))
+        .groupBy("__id", "__h").agg(F.max("__n").alias("__copies")), "picked")
+    rows = docs.drop("copies").select(F.struct("*").alias("__row"), F.col("doc_id").alias("__doc"),
+                                      F.xxhash64("text").alias("__hash"))
     hit = rows.join(picked, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h")))
-    return hit.select("__row", F.explode(F.sequence(F.lit(1), "__copies")).alias("__n")).select("__row.*")
+    return hit.select("__row.*", F.col("__copies").alias("copies"))

@@ -173,17 +173,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality"):
     return fit(p, u, prior) if len(p) and len(u) else Constant(prior)
 
 
-def score(docs: DataFrame, labels: DataFrame, keep: list[str], label: str = "quality") -> DataFrame:
-    """Columns ``keep`` with the score of every whole text."""
+def score(docs: DataFrame, labels: DataFrame, keep: list[str], label: str = "quality", name: str = "score") -> DataFrame:
+    """Columns ``keep`` with the score of every whole text under ``name``."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(train(docs, labels, label))
 
     def fn(texts):
         x = np.array([features(t) for t in texts]).reshape(-1, N_FEATURES)
-        return {"score": shared.value.score(x).tolist()}
+        return {name: shared.value.score(x).tolist()}
 
-    return map_texts(docs, keep, fn, {"score": pa.float64()}, "score double")
+    return map_texts(docs, keep, fn, {name: pa.float64()}, f"{name} double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
@@ -191,3 +191,9 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Data
     scored = score(docs, labels, ["doc_id"], label)
     return scored.select("doc_id", (F.coalesce(fold("doc_id"), F.lit(-1)) == 0).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
+    """The rows of ``docs`` whose score reaches the threshold, with their own columns."""
+    scored = score(docs, labels, docs.columns, label, name="__pu_score")
+    return scored.where(F.col("__pu_score") >= THRESHOLD).drop("__pu_score")

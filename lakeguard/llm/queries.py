@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from lakeguard.llm import mixing, pu_classifier, quality_rules, secrets, token_counts, url_rules, warc
+from pyspark.sql import functions as F
+
+from lakeguard.llm import decontaminate, jaccard_join, line_runs, mixing, pu_classifier, quality_rules, secrets, token_counts, url_rules, warc
 from lakeguard.llm.common import table
 
 QUERIES = {}
@@ -43,6 +45,23 @@ def op4_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+@register("op5_chosen_path_join")
+def op5_chosen_path_join(spark, sf_dir):
+    return jaccard_join.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
+@register("op6_line_runs")
+def op6_line_runs(spark, sf_dir):
+    found = line_runs.removals(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed")
+
+
+@register("op9_benchmark_simhash")
+def op9_benchmark_simhash(spark, sf_dir):
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", F.col("start").alias("start_word"))
+
+
 @register("op8_source_mix")
 def op8_source_mix(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
