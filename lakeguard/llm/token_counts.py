@@ -30,7 +30,7 @@ from lakeguard.llm.common import WORD, map_texts, small_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-MAX_NODES = 500_000
+MAX_NODES = 1_000_000
 
 _WORD = re.compile(WORD)
 
@@ -53,54 +53,57 @@ def load_pieces(path: str = MODEL) -> dict[str, float]:
 class ForwardTrie:
     """Trie of pre-tokens whose nodes hold forward scores.
 
-    Arrays by node: parent, incoming character, best score and piece count.
+    A node is filed under the prefix it stands for, with the best score of that
+    prefix and the number of pieces on the way.
     """
 
     def __init__(self, pieces: dict[str, float]):
         self.pieces = pieces
-        self.longest = max(map(len, pieces), default=1)
+        # Lengths of the pieces that end in given characters: the only ones worth looking up there.
+        ending: dict[str, set[int]] = {}
+        for piece in pieces:
+            if len(piece) > 2:
+                ending.setdefault(piece[-3:], set()).add(len(piece))
+        self.lengths = {chars: tuple(sorted(found)) for chars, found in ending.items()}
         self.unknown = min(pieces.values(), default=0.0) - 10.0
         self.clear()
 
     def clear(self) -> None:
-        self.children: list[dict[str, int]] = [{}]
-        self.score, self.count = [0.0], [0]
-        self.path_of: dict[str, int] = {}
+        self.nodes: dict[str, tuple[float, int]] = {"": (0.0, 0)}
 
     def tokens(self, word: str) -> int:
-        """Tokens of a pre-token; walks the shared prefix and scores only new nodes."""
-        if (node := self.path_of.get(word)) is not None:
-            return self.count[node]
-        if len(self.score) + len(word) > MAX_NODES and len(self.score) > 1:
-            self.clear()
-        children, node, trail = self.children, 0, [0]
-        for i, char in enumerate(word):
-            nxt = children[node].get(char)
-            if nxt is None:
-                nxt = len(self.score)
-                children[node][char] = nxt
-                children.append({})
-                self._score(word, i + 1, trail)
-            node = nxt
-            trail.append(node)
-        self.path_of[word] = node
-        return self.count[node]
-
-    def _score(self, word: str, end: int, trail: list[int]) -> None:
-        """Forward score of the prefix word[:end] from the nodes of its own prefixes."""
-        score, count, pieces = self.score, self.count, self.pieces
-        n_bytes = len(word[end - 1].encode("utf-8", "surrogatepass"))
-        best = score[trail[end - 1]] + self.unknown * n_bytes
-        tokens = count[trail[end - 1]] + n_bytes
-        for begin in range(max(0, end - self.longest), end):
-            piece = pieces.get(word[begin:end])
-            if piece is not None:
-                at = trail[begin]
-                new = score[at] + piece
-                if new > best or new == best and count[at] + 1 < tokens:
-                    best, tokens = new, count[at] + 1
-        score.append(best)
-        count.append(tokens)
+        """Tokens of a pre-token: goes back to its longest known prefix and scores the new nodes from there."""
+        node = self.nodes.get(word)
+        if node is None:
+            if len(self.nodes) + len(word) > MAX_NODES:
+                self.clear()
+            node = self._insert(word)
+        return node[1]
+
+    def _insert(self, word: str) -> tuple[float, int]:
+        nodes, pieces, lengths = self.nodes, self.pieces, self.lengths
+        known = len(word) - 1
+        while (node := nodes.get(word[:known])) is None:
+            known -= 1
+        for end in range(known + 1, len(word) + 1):
+            char = word[end - 1]
+            score, count = node            # of the prefix one character shorter
+            if (single := pieces.get(char)) is not None:
+                best, tokens = score + single, count + 1
+            else:
+                n_bytes = len(char.encode("utf-8", "surrogatepass"))
+                best, tokens = score + self.unknown * n_bytes, count + n_bytes
+            for length in (2, *lengths.get(word[end - 3:end], ())) if end > 2 else range(2, end + 1):
+                if length > end:
+                    break
+                piece = pieces.get(word[end - length:end])
+                if piece is not None:
+                    score, count = nodes[word[:end - length]]
+                    score += piece
+                    if score > best or score == best and count + 1 < tokens:
+                        best, tokens = score, count + 1
+            node = nodes[word[:end]] = (best, tokens)
+        return node
 
 
 def count_tokens(docs: DataFrame, keep: list[str], pieces: dict[str, float] | None = None,
