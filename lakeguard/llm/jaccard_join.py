@@ -99,11 +99,15 @@ def shingle_set(text: str | None, cache: WordHashes) -> np.ndarray:
 
 
 def choose(tokens: np.ndarray, nodes: np.ndarray, similarity: float) -> list[np.ndarray]:
-    """Per node of ``nodes``, the children that a set goes on to."""
+    """Per node of ``nodes``, the children that a set goes on to.
+
+    Tokens are spread hashes already, so a product with a node's odd number orders them anew.
+    """
     share = 1 / (similarity * len(tokens))
-    hashed = mix(mix(nodes)[:, None] ^ tokens[None, :])
+    odd = mix(nodes) | np.uint64(1)
+    hashed = odd[:, None] * tokens[None, :]
     picked = np.ones(hashed.shape, bool) if share >= 1 else hashed < np.uint64(int(share * 2.0 ** 64))
-    return [mix(row[hit] + np.uint64(0x9E3779B97F4A7C15)) for row, hit in zip(hashed, picked)]
+    return [mix(row[hit] + step) for row, hit, step in zip(hashed, picked, odd)]
 
 
 def signatures(docs: DataFrame, runs: int, similarity: float) -> DataFrame:
@@ -130,12 +134,12 @@ def signatures(docs: DataFrame, runs: int, similarity: float) -> DataFrame:
 
 def candidate_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """nid, tokens and sketch of the listed rows (r, nid); repeated rows may give a node twice."""
-    salts = mix(np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
+    salts = mix(np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
     cache = WordHashes()
 
     def fn(texts):
         sets = [shingle_set(t, cache) for t in texts]
-        sketches = [mix(salts[:, None] ^ s[None, :]).min(axis=1).astype(np.uint8).tobytes() if len(s) else b"" for s in sets]
+        sketches = [mix((salts[:, None] * s[None, :]).min(axis=1)).astype(np.uint8).tobytes() if len(s) else b"" for s in sets]
         return {"tokens": [s.view(np.int64) for s in sets], "sketch": sketches}
 
     wanted = nodes.select(F.col("r").alias("__r"), "nid")
@@ -146,27 +150,28 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                      "tokens array<long>, sketch binary")
 
 
-def groups(batches, keys: list[str]):
-    """Runs of rows with equal keys in sorted batches, as Arrow tables."""
-    held = []
+def groups(batches, keys: list[str], columns: list[str]):
+    """Numpy arrays of ``columns`` for each run of rows with equal keys in sorted batches, behind its key."""
+    held_key, held = None, []
     for batch in batches:
-        if not batch.num_rows:
+        n = batch.num_rows
+        if not n:
             continue
-        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
-        changes = np.zeros(batch.num_rows - 1, bool)
-        for c in columns:
+        key_of = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        values = [batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
+        changes = np.zeros(n - 1, bool)
+        for c in key_of:
             changes |= c[1:] != c[:-1]
-        cuts = [0, *(np.flatnonzero(changes) + 1).tolist(), batch.num_rows]
+        cuts = [0, *(np.flatnonzero(changes) + 1).tolist(), n]
         for begin, end in zip(cuts, cuts[1:]):
-            key = tuple(c[begin] for c in columns)
-            if held and held[0] != key:
-                yield pa.Table.from_batches(held[1])
-                held = []
-            if not held:
-                held = [key, []]
-            held[1].append(batch.slice(begin, end - begin))
+            key = tuple(c[begin] for c in key_of)
+            if key != held_key:
+                if held:
+                    yield held_key, [np.concatenate(c) if len(c) > 1 else c[0] for c in zip(*held)]
+                held_key, held = key, []
+            held.append([v[begin:end] for v in values])
     if held:
-        yield pa.Table.from_batches(held[1])
+        yield held_key, [np.concatenate(c) if len(c) > 1 else c[0] for c in zip(*held)]
 
 
 def stars(ids: np.ndarray, linked: np.ndarray):
@@ -182,49 +187,65 @@ def stars(ids: np.ndarray, linked: np.ndarray):
     return ids[away], label[away]
 
 
-def sketch_links(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Edges (a, b) between sets of a bucket whose sketches agree; rows: keys, nid, side, sketch.
+def agreement(sketches: np.ndarray) -> np.ndarray:
+    """Equal bytes of every two rows."""
+    m = len(sketches)
+    if m <= 48:
+        return (sketches[:, None, :] == sketches[None, :, :]).sum(axis=2)
+    equal = np.zeros((m, m), np.int16)
+    for column in sketches.T:
+        equal += column[:, None] == column[None, :]
+    return equal
 
-    Where a bucket was cut in blocks, ``side`` tells the two blocks apart.
-    """
+
+def sketch_links(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Edges (a, b) between sets of a bucket whose sketches agree; rows: keys, nid, sketch."""
     def run(batches):
-        a, b = [], []
-        for group in groups(batches, keys):
-            ids = group.column("nid").to_numpy()
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for _, (ids, sketches) in groups(batches, keys, ["nid", "sketch"]):
+            if len(ids) < 2:
+                continue
             ids, first = np.unique(ids, return_index=True)
             if len(ids) < 2:
                 continue
-            table = np.frombuffer(b"".join(group.column("sketch").take(pa.array(first)).to_pylist()), np.uint8).reshape(-1, SKETCH)
-            equal = np.zeros((len(ids), len(ids)), np.int16)
-            for j in range(SKETCH):
-                equal += table[:, j][:, None] == table[:, j][None, :]
-            linked = equal >= SKETCH_LEAST
-            if linked.sum() == len(ids):
+            table = np.frombuffer(b"".join(sketches[first].tolist()), np.uint8).reshape(-1, SKETCH)
+            if len(ids) == 2:
+                if (table[0] == table[1]).sum() >= SKETCH_LEAST:
+                    a.append(ids[1:])
+                    b.append(ids[:1])
                 continue
-            x, y = stars(ids, linked)
-            a.append(x)
-            b.append(y)
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+            linked = agreement(table) >= SKETCH_LEAST
+            if linked.sum() > len(ids):
+                x, y = stars(ids, linked)
+                a.append(x)
+                b.append(y)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
     return (rows.select(*keys, "nid", "sketch").repartition(*keys).sortWithinPartitions(*keys)
             .mapInArrow(run, "a long, b long"))
 
 
-def split(rows: DataFrame, similarity: float) -> DataFrame:
-    """Children (path, nid, open) of the rows (path, nid, open, tokens)."""
+def split(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Children (path, nid, open) of the rows (path, nid, open).
+
+    The paths of a set (a few per run) go to its tokens in one row, so no set is sent twice.
+    """
     def run(batches):
         for batch in batches:
-            out = ([], [], [])
-            for path, nid, is_open, tokens in zip(*(batch.column(c).to_numpy(zero_copy_only=False)
-                                                    for c in ("path", "nid", "open", "tokens"))):
-                children = choose(np.asarray(tokens, np.int64).view(np.uint64), np.array([path], np.int64).view(np.uint64), similarity)[0]
-                out[0].append(children.view(np.int64))
-                out[1].append(np.full(len(children), nid, np.int64))
-                out[2].append(np.full(len(children), is_open, bool))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["path", "nid", "open"])
-
-    return rows.select("path", "nid", "open", "tokens").mapInArrow(run, "path long, nid long, open boolean")
+            path, nid, is_open = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
+            for node, paths, opens, tokens in zip(*(batch.column(c).to_numpy(zero_copy_only=False)
+                                                    for c in ("nid", "paths", "opens", "tokens"))):
+                chosen = choose(tokens.view(np.uint64), paths.view(np.uint64), similarity)
+                for children, flag in zip(chosen, opens):
+                    path.append(children.view(np.int64))
+                    nid.append(np.full(len(children), node, np.int64))
+                    is_open.append(np.full(len(children), flag, bool))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (path, nid, is_open)], names=["path", "nid", "open"])
+
+    mine = rows.groupBy("nid").agg(F.collect_list(F.struct("path", "open")).alias("p"))
+    return (mine.join(sets.select("nid", "tokens"), "nid")
+            .select("nid", "p.path", "p.open", "tokens").toDF("nid", "paths", "opens", "tokens")
+            .mapInArrow(run, "path long, nid long, open boolean"))
 
 
 def in_blocks(rows: DataFrame, sizes: DataFrame, key: str) -> DataFrame:
@@ -262,7 +283,7 @@ def candidate_edges(level: DataFrame, sets: DataFrame, similarity: float) -> lis
         unsettled = still.where("open").select("path").distinct()
         still = materialise(still.join(unsettled, "path", "left_semi").distinct(), f"still{depth}")
         if depth < DEPTH:
-            level = materialise(split(still.join(sets.select("nid", "tokens"), "nid"), similarity)
+            level = materialise(split(still, sets, similarity)
                                 .groupBy("path", "nid").agg(F.max("open").alias("open")), f"level{depth + 1}")
         elif not still.isEmpty():
             blocks = still.groupBy("path").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
@@ -271,7 +292,7 @@ def candidate_edges(level: DataFrame, sets: DataFrame, similarity: float) -> lis
     return edges
 
 
-def overlaps(rows: list[np.ndarray]) -> np.ndarray:
+def overlaps(rows) -> np.ndarray:
     """Sizes of all pairwise intersections of sorted distinct arrays."""
     m = len(rows)
     if m == 2:
@@ -300,19 +321,16 @@ def verify(rows: DataFrame, similarity: float) -> DataFrame:
     end of a spanning star where ``root`` is not null.
     """
     def run(batches):
-        for group in groups(batches, ["cid", "b1", "b2"]):
-            ids, first = np.unique(group.column("nid").to_numpy(), return_index=True)
+        for key, (ids, block, copies, tokens) in groups(batches, ["cid", "b1", "b2"], ["nid", "block", "copies", "tokens"]):
+            ids, first = np.unique(ids, return_index=True)
             if len(ids) < 2:
                 continue
-            group = group.take(pa.array(first))
-            copies = group.column("copies").to_numpy()
-            block = group.column("block").to_numpy()
-            sets = [np.asarray(x) for x in group.column("tokens").to_numpy()]
+            block, copies, sets = block[first], copies[first], tokens[first]
             size = np.array([len(s) for s in sets])
             shared = overlaps(sets)
             linked = shared >= similarity * (size[:, None] + size[None, :] - shared) - 1e-9
             np.fill_diagonal(linked, False)
-            if group.column("b1")[0] != group.column("b2")[0]:
+            if key[1] != key[2]:
                 linked &= block[:, None] != block[None, :]
             links = linked @ copies
             x, y = stars(ids, linked)
@@ -347,8 +365,11 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL
     clusters = components(every).select(F.col("node").alias("nid"), F.col("label").alias("cid"))
     known = materialise(clusters.join(nodes.select("nid", "copies", "n"), "nid"), "clusters")
     blocks = known.groupBy("cid").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_TOKENS))
-                                      .cast("int").alias("blocks"))
-    dealt = in_blocks(known, materialise(blocks, "blocks"), "cid")
+                                      .cast("int").alias("blocks"), F.count("*").alias("m"))
+    blocks = materialise(blocks, "blocks")
+    dealt = in_blocks(known, blocks.select("cid", "blocks"), "cid")
+    if (blocks.agg(F.sum(F.col("m") * F.col("blocks"))).first()[0] or 0) <= SMALL_NODES:
+        dealt = F.broadcast(dealt)      # that many rows at most, so the sets stay where they are
     found = materialise(verify(dealt.join(sets.select("nid", "tokens"), "nid"), similarity), "links")
     links = found.groupBy("nid").agg(F.sum("links").alias("links"))
     classes = components(found.where("root is not null").select(F.col("nid").alias("a"), F.col("root").alias("b")))
