@@ -47,6 +47,7 @@ from lakeguard.llm.components import components
 SHINGLE = 5
 SIMILARITY = 0.8
 RECALL = 0.999
+FIRST_DEPTH = 2                # choices made before buckets are formed: a passage that many texts share fills no bucket alone
 DEPTH = 3
 SMALL = 256                    # sets a bucket may hold to be compared by brute force
 BLOCK_SETS, BLOCK_TOKENS = 256, 400_000
@@ -94,24 +95,27 @@ def shingle_set(text: str | None, cache: WordHashes) -> np.ndarray:
     n = len(h) - width + 1
     total = np.full(n, np.uint64(width))
     for k in range(width):
-        total = mix(total * np.uint64(0x9E3779B97F4A7C15) + h[k:k + n])
-    return np.unique(total)
+        total = total * np.uint64(0x9E3779B97F4A7C15) + h[k:k + n]
+    return np.unique(mix(total))
 
 
-def choose(tokens: np.ndarray, nodes: np.ndarray, similarity: float) -> list[np.ndarray]:
-    """Per node of ``nodes``, the children that a set goes on to.
+def choose(tokens: np.ndarray, nodes: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Children that a set goes on to from its nodes, and the place of each one's parent in ``nodes``.
 
     Tokens are spread hashes already, so a product with a node's odd number orders them anew.
     """
     share = 1 / (similarity * len(tokens))
     odd = mix(nodes) | np.uint64(1)
     hashed = odd[:, None] * tokens[None, :]
-    picked = np.ones(hashed.shape, bool) if share >= 1 else hashed < np.uint64(int(share * 2.0 ** 64))
-    return [mix(row[hit] + step) for row, hit, step in zip(hashed, picked, odd)]
+    if share >= 1:
+        parent = np.repeat(np.arange(len(nodes)), len(tokens))
+        return mix(hashed.ravel() + odd[parent]), parent
+    parent, place = np.nonzero(hashed < np.uint64(int(share * 2.0 ** 64)))
+    return mix(hashed[parent, place] + odd[parent]), parent
 
 
 def signatures(docs: DataFrame, runs: int, similarity: float) -> DataFrame:
-    """doc_id, r (hash of the row), the 128-bit key of the shingle set, its size, and the first nodes of all runs."""
+    """doc_id, r (hash of the row), the 128-bit key of the shingle set, its size, and its nodes at FIRST_DEPTH in all runs."""
     seeds = mix(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
     cache = WordHashes()
 
@@ -123,8 +127,10 @@ def signatures(docs: DataFrame, runs: int, similarity: float) -> DataFrame:
             out["s1"].append(int(key[0]))
             out["s2"].append(int(key[1]))
             out["n"].append(len(tokens))
-            paths = np.concatenate(choose(tokens, seeds, similarity)) if len(tokens) else tokens
-            out["paths"].append(paths.view(np.int64))
+            nodes = seeds
+            for _ in range(FIRST_DEPTH if len(tokens) else 0):
+                nodes = choose(tokens, nodes, similarity)[0]
+            out["paths"].append((nodes if len(tokens) else tokens).view(np.int64))
         return out
 
     fields = {"s1": pa.int64(), "s2": pa.int64(), "n": pa.int64(), "paths": pa.list_(pa.int64())}
@@ -235,14 +241,15 @@ def split(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
             path, nid, is_open = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
             for node, paths, opens, tokens in zip(*(batch.column(c).to_numpy(zero_copy_only=False)
                                                     for c in ("nid", "paths", "opens", "tokens"))):
-                chosen = choose(tokens.view(np.uint64), paths.view(np.uint64), similarity)
-                for children, flag in zip(chosen, opens):
-                    path.append(children.view(np.int64))
-                    nid.append(np.full(len(children), node, np.int64))
-                    is_open.append(np.full(len(children), flag, bool))
+                children, parent = choose(tokens.view(np.uint64), paths.view(np.uint64), similarity)
+                path.append(children.view(np.int64))
+                nid.append(np.full(len(children), node, np.int64))
+                is_open.append(opens[parent])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (path, nid, is_open)], names=["path", "nid", "open"])
 
-    mine = rows.groupBy("nid").agg(F.collect_list(F.struct("path", "open")).alias("p"))
+    mine = materialise(rows.groupBy("nid").agg(F.collect_list(F.struct("path", "open")).alias("p")), "to_split")
+    if mine.count() <= SMALL_NODES:
+        mine = F.broadcast(mine)        # a few paths per listed id: the sets stay where they are
     return (mine.join(sets.select("nid", "tokens"), "nid")
             .select("nid", "p.path", "p.open", "tokens").toDF("nid", "paths", "opens", "tokens")
             .mapInArrow(run, "path long, nid long, open boolean"))
@@ -265,7 +272,7 @@ def candidate_edges(level: DataFrame, sets: DataFrame, similarity: float) -> lis
     sketches = sets.select("nid", "sketch")
     level = level.withColumn("open", F.lit(True))
     edges = []
-    for depth in range(1, DEPTH + 1):
+    for depth in range(FIRST_DEPTH, DEPTH + 1):
         sizes = level.groupBy("path").agg(F.count("*").alias("m"), F.min("nid").alias("pivot"), F.max("open").alias("any_open"))
         sizes = materialise(sizes.where("m > 1 and any_open"), f"sizes{depth}")
         small = level.join(sizes.where(F.col("m") <= SMALL), "path").join(sketches, "nid")
@@ -351,7 +358,7 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL
     sig = materialise(signatures(docs, runs_for(recall, DEPTH), similarity), "signatures")
     whole = materialise(sig.where("n > 0").groupBy("s1", "s2").agg(
         F.count("*").alias("copies"), F.min("doc_id").alias("first_id"), F.min("r").alias("r"), F.max("n").alias("n")), "sets")
-    paths = sig.select("s1", "s2", F.explode("paths").alias("path"))
+    paths = sig.select("s1", "s2", F.explode(F.array_distinct("paths")).alias("path"))
     shared = paths.groupBy("path").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi")).where("lo != hi").select("path")
     met = materialise(paths.join(shared, "path").distinct(), "met")
     nodes = materialise(met.select("s1", "s2").distinct().join(whole, ["s1", "s2"])
