@@ -205,10 +205,14 @@ def agreement(sketches: np.ndarray) -> np.ndarray:
 
 
 def sketch_links(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Edges (a, b) between sets of a bucket whose sketches agree; rows: keys, nid, sketch."""
+    """Edges (a, b) between sets of a bucket whose sketches agree; rows: keys, nid, block, sketch.
+
+    Where two blocks of a bucket meet, the parts linked within either block are
+    known from that block alone, so one edge for every two linked parts will do.
+    """
     def run(batches):
         a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for _, (ids, sketches) in groups(batches, keys, ["nid", "sketch"]):
+        for _, (ids, blocks, sketches) in groups(batches, keys, ["nid", "block", "sketch"]):
             if len(ids) < 2:
                 continue
             ids, first = np.unique(ids, return_index=True)
@@ -221,13 +225,22 @@ def sketch_links(rows: DataFrame, keys: list[str]) -> DataFrame:
                     b.append(ids[:1])
                 continue
             linked = agreement(table) >= SKETCH_LEAST
-            if linked.sum() > len(ids):
+            if linked.sum() == len(ids):
+                continue
+            across = blocks[first][:, None] != blocks[first][None, :]
+            if across.any():
+                part = ids.copy()
+                member, root = stars(ids, linked & ~across)
+                part[np.searchsorted(ids, member)] = root
+                x, y = np.nonzero(linked & across)
+                x, y = np.unique(np.sort(np.stack([part[x], part[y]], axis=1), axis=1), axis=0).T
+            else:
                 x, y = stars(ids, linked)
-                a.append(x)
-                b.append(y)
+            a.append(x)
+            b.append(y)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
-    return (rows.select(*keys, "nid", "sketch").repartition(*keys).sortWithinPartitions(*keys)
+    return (rows.select(*keys, "nid", "block", "sketch").repartition(*keys).sortWithinPartitions(*keys)
             .mapInArrow(run, "a long, b long"))
 
 
@@ -275,7 +288,7 @@ def candidate_edges(level: DataFrame, sets: DataFrame, similarity: float) -> lis
     for depth in range(FIRST_DEPTH, DEPTH + 1):
         sizes = level.groupBy("path").agg(F.count("*").alias("m"), F.min("nid").alias("pivot"), F.max("open").alias("any_open"))
         sizes = materialise(sizes.where("m > 1 and any_open"), f"sizes{depth}")
-        small = level.join(sizes.where(F.col("m") <= SMALL), "path").join(sketches, "nid")
+        small = level.join(sizes.where(F.col("m") <= SMALL), "path").join(sketches, "nid").withColumn("block", F.lit(0))
         edges.append(materialise(sketch_links(small, ["path"]).distinct(), f"edges{depth}"))
         large = sizes.where(F.col("m") > SMALL)
         if large.isEmpty():
