@@ -2,7 +2,7 @@
 
 Money columns are doubles (as in the source contract).  A double sum depends
 on the order rows arrive in, which differs between runs, executors and
-engines; summing through ``DECIMAL(18,2)`` makes the result exact and
+engines; summing through ``DECIMAL(28,6)`` makes the result exact and
 identical everywhere.  The decimal is cast back to double at the end.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(28,6)"
 
 
 def _c(col: Column | str) -> Column:

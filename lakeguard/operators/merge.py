@@ -33,7 +33,8 @@ def merge_stats(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     grouped count.
     """
     cols = [c for c in changes.columns if c != key]
-    row_hash = F.xxhash64(*[F.col(c) for c in cols])
+    # the hash skips nulls, so a null flag per column tells (null, x) from (x, null)
+    row_hash = F.xxhash64(*[F.col(c) for c in cols], *[F.isnull(c) for c in cols])
     t = target.select(F.col(key), row_hash.alias("__t_hash"))
     c = changes.select(F.col(key), row_hash.alias("__c_hash"))
     j = c.join(t, key, "left_outer")

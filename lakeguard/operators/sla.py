@@ -66,9 +66,9 @@ def freshness_result(as_of: Column, threshold_hours) -> Column:
     status = F.when(latest.isNull() | over, "FAIL").otherwise("PASS")
     detail = (F.when(latest.isNull(), F.lit("No data in Bronze table"))
               .when(over, F.format_string(f"Data is %.1fh old, threshold={threshold_hours}h",
-                                          F.round(age, 1)))
+                                          F.bround(age, 1)))
               .when(age < 0, F.format_string("Latest updated_at is %.1fh in the future",
-                                             F.round(-age, 1)))
+                                             F.bround(-age, 1)))
               .otherwise(F.lit("")))
     return F.struct(F.lit("freshness").alias("check_name"), status.alias("status"),
                     detail.alias("detail"))

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -41,18 +40,12 @@ def utc_now() -> dt.datetime:
 
 def gate(spark: SparkSession, batch: DataFrame, lake: lk.Lake, batch_id: str,
          seed_version: str = "v1") -> tuple[dict, str]:
-    """Verdict of one batch against the live contract (N6 baseline rule):
-    the Bronze table's recorded schema, or the seed contract on the first
-    run.  Two schemas are metadata, so this runs on the driver without a
-    job; many files or batches at once go through :mod:`lakeguard.operators.drift`.
-    """
-    live = ct.live_schema(spark, lake.bronze)
-    if live is None:
-        baseline, source = ct.seed_columns(seed_version), Path(ct.seed_path(seed_version)).name
-    else:
-        baseline, source = ct.business_fields(live), f"live table: {lake.bronze}"
-    changes = drift.schema_changes(ct.business_fields(batch.schema), baseline)
-    return drift.verdict_of(batch_id, changes), source
+    """Verdict of one batch against the live contract (N6 baseline rule): the
+    Bronze table's recorded schema, or the seed contract on the first run."""
+    baseline, source = ct.baseline_contract(spark, lake.bronze, "baseline", seed_version)
+    incoming = ct.contract_of(spark, {batch_id: batch.schema})
+    pair = spark.createDataFrame([(batch_id, "baseline")], "batch_id string, baseline_key string")
+    return drift.verdict_text(drift.classify(incoming, baseline, pair)).first().asDict(), source
 
 
 def route(spark: SparkSession, lake: lk.Lake, verdict: dict, baseline: str,
@@ -66,9 +59,9 @@ def route(spark: SparkSession, lake: lk.Lake, verdict: dict, baseline: str,
     elif verdict["verdict"] == drift.BREAKING:
         lk.append_log(spark, lake, "incident_log", [base + ("PIPELINE_HALTED",)])
         raise SchemaBreakingChangeError(
-            f"BREAKING schema change in batch {verdict['batch_id']}. "
-            f"Removed: {verdict['removed_columns']}. Type changes: {verdict['type_changes']}. "
-            f"Affected: {verdict['affected_pipelines']}")
+            f"batch {verdict['batch_id']} breaks its contract and was not ingested: "
+            f"columns gone {verdict['removed_columns']}, types changed {verdict['type_changes']}, "
+            f"downstream {verdict['affected_pipelines']}")
     else:
         raise ValueError(f"unexpected verdict {verdict['verdict']!r}")
 

@@ -133,7 +133,9 @@ def read_log(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
 
 
 def silver_partition() -> Column:
-    return (F.year("created_at") * 100 + F.month("created_at")).cast("int")
+    """Created month; rows without one have a partition of their own, 0."""
+    month = F.year("created_at") * 100 + F.month("created_at")
+    return F.coalesce(month, F.lit(0)).cast("int")
 
 
 def gold_partition() -> Column:

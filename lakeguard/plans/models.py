@@ -144,17 +144,19 @@ def check_sink_contract(spark: SparkSession, output: DataFrame, target_path: str
                         ignore: Sequence[str] = (), target: DataFrame | None = None) -> None:
     """K6: the model's output contract must equal the target's (on_schema_change=fail).
 
-    Both schemas are metadata (the model writes one schema), so the
-    comparison runs on the driver.  Pass ``target`` when the run has already
+    Pass ``target`` when the run has already
     opened the target table, to avoid listing it again."""
     if target is None:
         if not lk.exists(spark, target_path):
             return
         target = spark.read.parquet(target_path)
     keep = lambda s: T.StructType([f for f in s.fields if f.name not in ignore])
-    bad = drift.schema_changes(keep(output.schema), keep(target.schema))
+    pair = spark.createDataFrame([("output", "target")], "batch_id string, baseline_key string")
+    bad = drift.column_changes(ct.contract_of(spark, {"output": keep(output.schema)}, drop_system=False),
+                               ct.contract_of(spark, {"target": keep(target.schema)}, drop_system=False),
+                               pair).where(F.col("change") != drift.SAME).orderBy("column_name").collect()
     if bad:
-        raise SinkSchemaDrift(f"{target_path}: " + ", ".join(f"{c} {k}" for c, k, _, _ in bad))
+        raise SinkSchemaDrift(f"{target_path}: " + ", ".join(f"{r.column_name} {r.change}" for r in bad))
 
 
 # ------------------------------------------------------------------ Silver
@@ -254,10 +256,13 @@ def silver_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "arrival"
         merged = sv.merge_changes(current, staged.filter(is_new).drop("_side", "_part"))
         with _step(timings, "stage_merged"):
             _write_silver(merged, lake.staging(run_id, "publish"))
+    # a touched partition that the merge left empty is published as a removal
+    staged_parts = set(_partition_dirs(spark, lake.staging(run_id, "publish"), "_part"))
+    parts = [p if p in staged_parts else f"-{p}" for p in (f"_part={t}" for t in touched)]
     # 4. publish and commit
     with _step(timings, "publish"):
         _publish(spark, lake, run_id, "silver", mode, lake.silver,
-                 [f"_part={p}" for p in touched], summary["rows"], new_u, new_i)
+                 parts, summary["rows"], new_u, new_i)
     # the touched months are exactly the months of the touched dates (both
     # come from created_at of the new and replaced rows): Gold prunes with them
     return {"run_id": run_id, "rows": summary["rows"], "mode": mode, "partitions": len(touched),

@@ -67,11 +67,10 @@ def run(spark: SparkSession, lake: lk.Lake, batch: DataFrame, *, batch_id: str,
             spark, batch, lake, batch_id=batch_id, schema_version=schema_version,
             ingested_at=ingested_at, evaluated_at=as_of))
     except ig.SchemaBreakingChangeError as e:
-        rows.append(("ingest_bronze", "FAILED", str(e)[:500], 0.0))
+        rows.append(("ingest_bronze", "FAILED", str(e), 0.0))
         rows += [(s, "SKIPPED", "upstream failed", 0.0) for s in STAGES[1:]]
         return spark.createDataFrame(rows, STATUS_SCHEMA)
 
-    run_type = "full_refresh" if full_refresh else "incremental"
     t0 = time.perf_counter()
     if full_refresh:
         s = stage("silver", lambda: models.silver_full_refresh(spark, lake))
@@ -82,7 +81,8 @@ def run(spark: SparkSession, lake: lk.Lake, batch: DataFrame, *, batch_id: str,
             spark, lake, mode=gold_mode, touched_dates_path=s.get("touched_dates_path"),
             touched_months=s.get("touched_months")))
     # the model run's cost row, with its real run type (full or incremental)
-    ig.log_cost(spark, lake, time.perf_counter() - t0, int(s.get("rows") or 0), run_type,
+    ig.log_cost(spark, lake, time.perf_counter() - t0, int(s.get("rows") or 0),
+                "full_refresh" if s["mode"] == "full_refresh" else "incremental",
                 MODELS_PIPELINE)
     stage("sla_check", lambda: run_sla(spark, lake, as_of).count())
     return spark.createDataFrame(rows, STATUS_SCHEMA)

@@ -136,17 +136,6 @@ def live_schema(spark: SparkSession, path: str) -> T.StructType | None:
     return spark.read.option("mergeSchema", True).parquet(path).schema
 
 
-def seed_columns(version: str = "v1") -> list[tuple[str, str]]:
-    """(name, type) pairs of a seed contract, read on the driver (config)."""
-    with open(seed_path(version)) as f:
-        return [(c["name"], c["type"]) for c in json.load(f)["columns"]]
-
-
-def business_fields(schema: T.StructType) -> list[tuple[str, str]]:
-    return [(f.name, f.dataType.simpleString()) for f in schema.fields
-            if f.name not in SYSTEM_COLUMNS]
-
-
 def baseline_contract(spark: SparkSession, table_path: str, key: str = "live",
                       seed_version: str = "v1") -> tuple[DataFrame, str]:
     """Live table contract, else the seed (N6).  Returns (contract, source)."""
