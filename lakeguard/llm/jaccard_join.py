@@ -50,7 +50,8 @@ RECALL = 0.999
 FIRST_DEPTH = 2                # choices made before buckets are formed: a passage that many texts share fills no bucket alone
 DEPTH = 3
 SMALL = 256                    # sets a bucket may hold to be compared by brute force
-BLOCK_SETS, BLOCK_TOKENS = 256, 400_000
+SKETCH_BLOCK = 1024            # sets of a block where sketches (64 bytes each) are compared
+BLOCK_SETS, BLOCK_TOKENS = 256, 400_000    # the same where whole sets are
 SKETCH = 64
 SKETCH_LEAST = 36              # equal bytes from which a pair is checked: five deviations below 0.8
 SMALL_NODES = 500_000          # ids up to which they are broadcast; beyond, texts are shuffled to them
@@ -306,7 +307,7 @@ def candidate_edges(level: DataFrame, sets: DataFrame, similarity: float) -> lis
             level = materialise(split(still, sets, similarity)
                                 .groupBy("path", "nid").agg(F.max("open").alias("open")), f"level{depth + 1}")
         elif not still.isEmpty():
-            blocks = still.groupBy("path").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
+            blocks = still.groupBy("path").agg(F.ceil(F.count("*") / SKETCH_BLOCK).cast("int").alias("blocks"))
             dealt = in_blocks(still.join(sketches, "nid"), blocks, "path")
             edges.append(materialise(sketch_links(dealt, ["path", "b1", "b2"]).distinct(), "edges_blocks"))
     return edges

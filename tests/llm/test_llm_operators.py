@@ -184,6 +184,7 @@ def test_jaccard_join_large_bucket(spark, monkeypatch):
     """A dense group and a passage shared by all go through pivots, splits and blocks."""
     monkeypatch.setattr(jaccard_join, "SMALL", 4)
     monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 8)
+    monkeypatch.setattr(jaccard_join, "SKETCH_BLOCK", 8)
     rnd = random.Random(9)
     core, line = prose(rnd, 150).split(), prose(rnd, 12)
     texts = []
