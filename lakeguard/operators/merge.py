@@ -19,9 +19,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def by_key(left: DataFrame, right: DataFrame, key: str | list[str], how: str) -> DataFrame:
+    """Semi, anti or outer join on the key in which a null key matches a null key,
+    as in a grouping; the right side's key columns are dropped."""
+    keys = [key] if isinstance(key, str) else list(key)
+    renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys]
+    return left.join(renamed, on, how).drop(*[f"__right_{k}" for k in keys])
+
+
 def upsert(target: DataFrame, changes: DataFrame, key: str | list[str]) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
-    kept = target.join(changes.select(*keys), keys, "left_anti")
+    kept = by_key(target, changes.select(*keys), keys, "left_anti")
     return kept.unionByName(changes, allowMissingColumns=True)
 
 
@@ -37,7 +46,7 @@ def merge_stats(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     row_hash = F.xxhash64(*[F.col(c) for c in cols], *[F.isnull(c) for c in cols])
     t = target.select(F.col(key), row_hash.alias("__t_hash"))
     c = changes.select(F.col(key), row_hash.alias("__c_hash"))
-    j = c.join(t, key, "left_outer")
+    j = by_key(c, t, key, "left_outer")
     kind = (F.when(F.col("__t_hash").isNull(), F.lit("inserted"))
             .when(F.col("__t_hash") == F.col("__c_hash"), F.lit("unchanged"))
             .otherwise(F.lit("updated")))

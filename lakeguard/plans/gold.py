@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeguard.functions.money import money_avg, money_sum
-from lakeguard.operators.merge import upsert
+from lakeguard.operators.merge import by_key, upsert
 from lakeguard.operators.watermark import high_watermark_filter
 
 KEY = "order_date"
@@ -71,10 +71,12 @@ def touched_dates(changes: DataFrame, previous: DataFrame) -> DataFrame:
 
 
 def gold_for_dates(silver: DataFrame, dates: DataFrame, key_is_unique: bool = True) -> DataFrame:
-    """Re-aggregate only the given dates (semi-join, then aggregate)."""
-    rows = silver.withColumn("__d", order_date()).join(
-        dates.withColumnRenamed(KEY, "__d"), "__d", "left_semi").drop("__d")
-    return daily_revenue(rows, key_is_unique)
+    """Re-aggregate the given dates; ``silver`` is already pruned to their months.
+
+    The months are aggregated first (a date leaves each task as one partial
+    row) and only the daily rows meet the dates, so no raw row is shuffled.
+    """
+    return by_key(daily_revenue(silver, key_is_unique), dates.select(KEY), KEY, "left_semi")
 
 
 def merge_gold(target: DataFrame, recomputed: DataFrame, dates: DataFrame | None = None) -> DataFrame:
@@ -82,5 +84,5 @@ def merge_gold(target: DataFrame, recomputed: DataFrame, dates: DataFrame | None
     that no longer have orders are removed as well."""
     target = target.select(*GOLD_COLUMNS)
     if dates is not None:
-        target = target.join(dates.select(KEY), KEY, "left_anti")
+        target = by_key(target, dates.select(KEY), KEY, "left_anti")
     return upsert(target, recomputed.select(*GOLD_COLUMNS), KEY)

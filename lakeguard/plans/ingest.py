@@ -10,9 +10,14 @@ Order of effects, pinned by tests:
    row is durable, and Bronze is untouched;
 4. otherwise the batch gets one ``_ingested_at`` for all its rows plus
    ``_schema_version`` / ``_source``, is cast to the live physical types
-   (ANSI cast: overflow fails loudly instead of wrapping) and appended with
-   schema evolution; the written-row count is observed on the write itself;
-5. one cost row is appended.
+   (ANSI cast: overflow fails loudly instead of wrapping; a float column that
+   meets doubles becomes double) and written as the partition of its batch id;
+   the written-row count is observed on the write itself;
+5. the table's schema is recorded, the batch logged as appended, and one cost
+   row is appended.
+
+A batch id names a batch: a replay, after a crash or a repeated delivery, keeps
+the arrival stamp of the first attempt and replaces what that one wrote.
 """
 
 from __future__ import annotations
@@ -27,6 +32,7 @@ from pyspark.sql import types as T
 from lakeguard.operators import cost, drift
 from lakeguard.plans import lake as lk
 from lakeguard.sources import contracts as ct
+from lakeguard.sources import files
 from lakeguard.sources.fixture import PIPELINE_ID
 
 
@@ -78,11 +84,19 @@ def enrich(batch: DataFrame, ingested_at: dt.datetime, schema_version: str,
     })
 
 
+def _widens(live: T.DataType, batch: T.DataType) -> bool:
+    """Doubles do not fit a float column without loss; float files read as double do."""
+    return isinstance(live, T.FloatType) and isinstance(batch, T.DoubleType)
+
+
 def evolved_schema(live: T.StructType | None, batch: T.StructType) -> T.StructType:
-    """Live schema plus the batch's new columns (appended, nullable)."""
+    """Live schema plus the batch's new columns (appended, nullable) and widened ones."""
     if live is None:
         return batch
     names = set(live.fieldNames())
+    wide = {f.name for f in batch.fields if f.name in names and _widens(live[f.name].dataType, f.dataType)}
+    live = T.StructType([T.StructField(f.name, T.DoubleType(), f.nullable) if f.name in wide else f
+                         for f in live.fields])
     extra = [T.StructField(f.name, f.dataType, True) for f in batch.fields if f.name not in names]
     return T.StructType(live.fields + extra)
 
@@ -99,36 +113,77 @@ def conform(spark: SparkSession, batch: DataFrame, lake: lk.Lake) -> DataFrame:
     physical = {f.name: f.dataType for f in live.fields}
     return batch.select(*[
         F.col(c).cast(physical[c]).alias(c) if c in physical and physical[c] != batch.schema[c].dataType
-        else F.col(c) for c in batch.columns])
+        and not _widens(physical[c], batch.schema[c].dataType) else F.col(c) for c in batch.columns])
+
+
+def first_arrival(spark: SparkSession, lake: lk.Lake, batch_id: str) -> dt.datetime | None:
+    """Arrival stamp of a batch's first attempt, if there was one."""
+    log = lk.read_log(spark, lake, "progress_log").filter(
+        (F.col("event") == "started") & (F.col("batch_id") == batch_id))
+    return log.agg(F.min_by("ingested_at", "logged_at")).first()[0]
+
+
+def _progress(spark: SparkSession, lake: lk.Lake, event: str, source_id: str, batch_id: str,
+              ingested_at: dt.datetime) -> None:
+    lk.append_log(spark, lake, "progress_log", [(event, source_id, None, batch_id, ingested_at, utc_now())])
 
 
 def ingest(spark: SparkSession, batch: DataFrame, lake: lk.Lake, *, batch_id: str,
            schema_version: str = "v1", ingested_at: dt.datetime | None = None,
            evaluated_at: dt.datetime | None = None, run_type: str = "incremental",
-           source: str = PIPELINE_ID) -> int:
-    """Gate, log, enrich, append, count, cost.  Returns rows written."""
+           source: str = PIPELINE_ID, seed_version: str = "v1",
+           dbu_per_hour: float = cost.DBU_PER_HOUR, rate: float = cost.DBU_RATE_USD) -> int:
+    """Gate, log, enrich, append, count, cost.  Returns rows written.
+
+    ``seed_version`` names the contract of an absent table: a seed version or
+    the path of a contract file.
+    """
     started = time.monotonic()
-    verdict, baseline = gate(spark, batch, lake, batch_id)
+    verdict, baseline = gate(spark, batch, lake, batch_id, seed_version)
     route(spark, lake, verdict, baseline, evaluated_at or utc_now())
 
-    ingested_at = ingested_at or utc_now()
-    out = enrich(conform(spark, batch, lake), ingested_at, schema_version, source)
-    # record the evolved schema first: a failed append is replayed with the
-    # same batch, and readers never need to merge footers
-    ct.write_table_schema(spark, lake.bronze, evolved_schema(ct.live_schema(spark, lake.bronze), out.schema))
+    ingested_at = first_arrival(spark, lake, batch_id) or ingested_at or utc_now()
+    source_id = lk.new_run_id()
+    _progress(spark, lake, "started", source_id, batch_id, ingested_at)
+    out = enrich(conform(spark, batch, lake), ingested_at, schema_version, source).withColumn(
+        "_batch_id", F.lit(batch_id))
+    schema = evolved_schema(ct.live_schema(spark, lake.bronze), out.schema)
     obs = Observation(f"ingest_{batch_id}")
     (out.observe(obs, F.count(F.lit(1)).alias("rows"))
-        .write.mode("append").partitionBy("_ingest_date").parquet(lake.bronze))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("_ingest_date", "_batch_id").parquet(lake.bronze))
     rows = int(obs.get["rows"])
+    # after the data: a failed first append leaves no baseline behind
+    ct.write_table_schema(spark, lake.bronze, schema)
+    _progress(spark, lake, "appended", source_id, batch_id, ingested_at)
     runtime = time.monotonic() - started
-    log_cost(spark, lake, runtime, rows, run_type, source)
+    log_cost(spark, lake, runtime, rows, run_type, source, dbu_per_hour=dbu_per_hour, rate=rate)
     return rows
 
 
+def ingest_csv(spark: SparkSession, path: str, lake: lk.Lake, *, batch_id: str,
+               schema_version: str = "v1", **settings) -> tuple[int, int]:
+    """S3 + I1: a CSV batch through the gate, as its own header names its columns.
+
+    Lines that do not fit the contract's types are kept, as they stand, in the
+    quarantine table under the batch id.  Returns (rows ingested, lines quarantined).
+    """
+    declared = ct.contract_struct(ct.seed_contracts(spark, [schema_version]))
+    batch = files.read_csv_batch(spark, path, declared)
+    rows = ingest(spark, batch.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record"), lake,
+                  batch_id=batch_id, schema_version=schema_version, **settings)
+    bad, obs = files.malformed_rows(batch), Observation(f"quarantine_{batch_id}")
+    (bad.select("*", F.lit(batch_id).alias("_batch_id")).observe(obs, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("_batch_id").parquet(lake.quarantine))
+    return rows, int(obs.get["rows"])
+
+
 def log_cost(spark: SparkSession, lake: lk.Lake, runtime_seconds: float, rows: int,
-             run_type: str, pipeline: str = PIPELINE_ID, logged_at: dt.datetime | None = None) -> None:
+             run_type: str, pipeline: str = PIPELINE_ID, logged_at: dt.datetime | None = None,
+             dbu_per_hour: float = cost.DBU_PER_HOUR, rate: float = cost.DBU_RATE_USD) -> None:
     runs = spark.createDataFrame(
         [(pipeline, run_type, float(runtime_seconds), int(rows), logged_at or utc_now())],
         "pipeline_name string, run_type string, runtime_seconds double, rows_processed long, "
         "logged_at timestamp_ntz")
-    lk.append_log(spark, lake, "cost_attribution_log", cost.with_cost(runs))
+    lk.append_log(spark, lake, "cost_attribution_log", cost.with_cost(runs, dbu_per_hour, rate))

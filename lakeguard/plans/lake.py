@@ -5,10 +5,10 @@ holds four areas: ``bronze``, ``silver``, ``gold`` and ``observability``,
 plus ``_staging`` for run-scoped intermediate tables.  All tables are plain
 Parquet:
 
-* Bronze ``raw_orders``: append-only, partitioned by ``_ingest_date`` so
-  arrival-time deltas and per-day completeness prune to the days they need;
-  new upstream columns are added by appending and reading with
-  ``mergeSchema``.
+* Bronze ``raw_orders``: partitioned by ``_ingest_date`` and ``_batch_id``, so
+  arrival deltas and per-day completeness prune to the batches and days they
+  need and a replayed batch replaces itself; batches are only added, and new
+  upstream columns with them.
 * Silver ``orders_cleaned``: partitioned by ``_part`` = created month
   (yyyymm).  A merge rewrites only the months of the keys it changes.
 * Gold ``daily_revenue``: one row per date, partitioned by ``_year``.
@@ -68,6 +68,16 @@ LOG_SCHEMAS = {
         T.StructField("partitions", T.StringType()),
     ]),
 }
+# What was written and which run took it: event ``started`` / ``appended`` per
+# ingest attempt (source_id), ``taken`` per (source_id, run_id).
+LOG_SCHEMAS["progress_log"] = T.StructType([
+    T.StructField("event", T.StringType()),
+    T.StructField("source_id", T.StringType()),
+    T.StructField("run_id", T.StringType()),
+    T.StructField("batch_id", T.StringType()),
+    T.StructField("ingested_at", T.TimestampNTZType()),
+    T.StructField("logged_at", T.TimestampNTZType()),
+])
 LOG_SCHEMAS["incident_log"] = T.StructType(
     LOG_SCHEMAS["schema_change_log"].fields + [T.StructField("event", T.StringType())])
 
@@ -83,6 +93,10 @@ class Lake:
     def bronze(self) -> str:
         return self.table("bronze", "raw_orders")
 
+    @property
+    def quarantine(self) -> str:
+        return self.table("bronze", "raw_orders_quarantine")
+
     @property
     def silver(self) -> str:
         return self.table("silver", "orders_cleaned")
@@ -139,7 +153,8 @@ def silver_partition() -> Column:
 
 
 def gold_partition() -> Column:
-    return F.year("order_date").cast("int")
+    """Year; the row of orders without a date has a partition of its own, 0."""
+    return F.coalesce(F.year("order_date"), F.lit(0)).cast("int")
 
 
 def reset(spark: SparkSession, lake: Lake) -> None:
@@ -151,6 +166,7 @@ def reset(spark: SparkSession, lake: Lake) -> None:
             raise OSError(f"could not delete {path}")
 
     delete(lake.bronze)
+    delete(lake.quarantine)
     # Silver and Gold schemas are fixed by their models, so an absent
     # partitioned table is their empty state; the next run rebuilds them.
     delete(lake.silver)

@@ -21,6 +21,11 @@ every run publishes with the same recoverable protocol:
    :func:`recover` before the next run starts; the watermark a run reads is
    always that of the last *committed* run.
 
+What a run has to take is not guessed from timestamps: ``progress_log`` names
+every appended batch, and every source a run took.  Silver takes the batches,
+and Gold the Silver runs, that no committed run of theirs has taken, so late or
+equal stamps and interrupted runs lose nothing.
+
 Readers may briefly miss a partition during the renames (as with Spark's own
 dynamic partition overwrite); they never see a mix of old and new rows of one
 partition.
@@ -33,7 +38,7 @@ import time
 from collections.abc import Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,10 +69,36 @@ def _log(spark, lake, run_id, stage, mode, status, rows=None, wm_u=None, wm_i=No
         utc_now(), target, None if partitions is None else ",".join(partitions))])
 
 
-def _last_committed(spark: SparkSession, lake: lk.Lake, stage: str):
-    log = lk.read_log(spark, lake, "run_log").filter(
+def _committed(spark: SparkSession, lake: lk.Lake, stage: str) -> DataFrame:
+    return lk.read_log(spark, lake, "run_log").filter(
         (F.col("stage") == stage) & (F.col("status") == "committed"))
-    return log.orderBy(F.col("committed_at").desc(), F.col("run_id").desc()).first()
+
+
+def _untaken(sources: DataFrame, spark: SparkSession, lake: lk.Lake, stage: str) -> DataFrame:
+    """Rows of ``sources`` (by source_id) that no committed run of ``stage`` has taken."""
+    taken = lk.read_log(spark, lake, "progress_log").filter(F.col("event") == "taken").join(
+        _committed(spark, lake, stage).select("run_id"), "run_id", "left_semi")
+    return sources.join(taken.select("source_id"), "source_id", "left_anti")
+
+
+def _new_batches(spark: SparkSession, lake: lk.Lake) -> list:
+    """Appended batches that no committed Silver run has taken: one log row each."""
+    appended = lk.read_log(spark, lake, "progress_log").filter(F.col("event") == "appended")
+    return _untaken(appended, spark, lake, "silver").select("source_id", "batch_id", "ingested_at").collect()
+
+
+def _new_silver_runs(spark: SparkSession, lake: lk.Lake) -> list:
+    """Committed Silver runs with changes that no committed Gold run has taken."""
+    runs = _committed(spark, lake, "silver").filter(F.coalesce("partitions", F.lit("")) != "")
+    return _untaken(runs.withColumnRenamed("run_id", "source_id"), spark, lake, "gold").select(
+        "source_id", "mode", "partitions").distinct().collect()
+
+
+def _take(spark: SparkSession, lake: lk.Lake, run_id: str, source_ids) -> None:
+    """Note what a run takes; it counts once the run is committed."""
+    if source_ids:
+        lk.append_log(spark, lake, "progress_log", [
+            ("taken", s, run_id, None, None, utc_now()) for s in sorted(set(source_ids))])
 
 
 def _finish(spark: SparkSession, lake: lk.Lake, pending) -> list[str]:
@@ -79,6 +110,7 @@ def _finish(spark: SparkSession, lake: lk.Lake, pending) -> list[str]:
         _log(spark, lake, r["run_id"], r["stage"], r["mode"], "committed", r["rows"],
              r["watermark_updated_at"], r["watermark_ingested_at"], r["watermark_order_date"],
              r["target"], parts)
+        _clear(spark, lake, r["run_id"])
         finished.append(r["run_id"])
     return finished
 
@@ -93,24 +125,17 @@ def recover(spark: SparkSession, lake: lk.Lake) -> list[str]:
 
 def _open_run(spark: SparkSession, lake: lk.Lake, stage: str):
     """Start an incremental run: finish interrupted runs and return the last
-    committed run of ``stage``, from one read of the run log (the pending
-    ``staged`` rows and the newest ``committed`` row of the stage)."""
-    status = F.col("status")
-    done = F.max((status == "committed").cast("int")).over(Window.partitionBy("run_id"))
-    newest = F.row_number().over(Window.partitionBy("status").orderBy(
-        F.col("committed_at").desc(), F.col("run_id").desc()))
-    rows = (lk.read_log(spark, lake, "run_log").filter(F.col("stage").isin("silver", "gold"))
-            .withColumn("_done", done)
-            .filter(((status == "staged") & (F.col("_done") == 0))
-                    | ((status == "committed") & (F.col("stage") == stage)))
-            .withColumn("_newest", newest)
-            .filter((status == "staged") | (F.col("_newest") == 1))
-            .collect())
-    pending = [r for r in rows if r["status"] == "staged"]
-    if pending:
-        _finish(spark, lake, pending)
-        return _last_committed(spark, lake, stage)
-    return next(iter(rows), None)
+    committed run of ``stage`` (one partial row per task, no window)."""
+    recover(spark, lake)
+    log = _committed(spark, lake, stage)
+    newest = F.max_by(F.struct(*log.columns), F.struct("committed_at", "run_id"))
+    return log.agg(newest.alias("r")).first()["r"]
+
+
+def _clear(spark: SparkSession, lake: lk.Lake, run_id: str) -> None:
+    """Remove what a committed run published from and replaced."""
+    for name in ("publish", "trash"):
+        lk.delete_path(spark, lake.staging(run_id, name))
 
 
 def _publish(spark, lake, run_id, stage, mode, target, partitions, rows, wm_u=None, wm_i=None,
@@ -121,6 +146,7 @@ def _publish(spark, lake, run_id, stage, mode, target, partitions, rows, wm_u=No
         lk.swap_partitions(spark, lake.staging(run_id, "publish"), target,
                            lake.staging(run_id, "trash"), partitions)
     _log(spark, lake, run_id, stage, mode, "committed", *marks)
+    _clear(spark, lake, run_id)
 
 
 def _partition_dirs(spark: SparkSession, path: str, column: str) -> list[str]:
@@ -191,12 +217,14 @@ def silver_full_refresh(spark: SparkSession, lake: lk.Lake,
     recover(spark, lake)
     run_id = run_id or lk.new_run_id()
     timings: dict[str, float] = {}
+    batches = _new_batches(spark, lake)  # before Bronze is read: it holds all of these
     staged = lake.staging(run_id, "publish")
     with _step(timings, "build"):
         wm = _write_silver(sv.silver_full(_bronze(spark, lake), version_order), staged,
                            F.count(F.lit(1)).alias("rows"), F.max("updated_at").alias("max_updated"),
                            F.max("_ingested_at").alias("max_ingested"))
     parts = _full_refresh_parts(spark, staged, lake.silver, "_part")
+    _take(spark, lake, run_id, [b["source_id"] for b in batches])
     with _step(timings, "publish"):
         _publish(spark, lake, run_id, "silver", "full_refresh", lake.silver, parts,
                  wm["rows"], wm["max_updated"], wm["max_ingested"])
@@ -206,7 +234,15 @@ def silver_full_refresh(spark: SparkSession, lake: lk.Lake,
 def silver_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "arrival",
                        version_order: Sequence[str] = sv.DEFAULT_VERSION_ORDER,
                        run_id: str | None = None) -> dict:
-    """K4/M1 incremental run; the first run (no Silver yet) is a full refresh."""
+    """K4/M1 incremental run; the first run (no Silver yet) is a full refresh.
+
+    ``arrival`` takes the batches that no committed run has taken;
+    ``event_time`` is the reference's rule and, like it, skips rows that are
+    not newer than the last run's newest one (a later ``arrival`` run still
+    takes them).
+    """
+    if mode not in ("arrival", "event_time"):
+        raise ValueError(f"unknown incremental mode {mode!r}")
     last = _open_run(spark, lake, "silver")
     if not lk.exists(spark, lake.silver):
         return silver_full_refresh(spark, lake, version_order, run_id)
@@ -214,12 +250,19 @@ def silver_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "arrival"
     timings: dict[str, float] = {}
     target = spark.read.parquet(lake.silver)
     bronze = _bronze(spark, lake)
+    wm_value, batches = None, []
     if mode == "event_time":
         wm_value = last["watermark_updated_at"] if last else target.agg(F.max("updated_at")).first()[0]
     else:
-        wm_value = last["watermark_ingested_at"] if last else target.agg(F.max("_ingested_at")).first()[0]
-        if wm_value is not None:  # prune Bronze ingest-day partitions too
-            bronze = bronze.filter(F.col("_ingest_date") >= F.lit(wm_value.date()))
+        batches = _new_batches(spark, lake)
+        if not batches:
+            marks = (last["watermark_updated_at"], last["watermark_ingested_at"]) if last else (None, None)
+            _publish(spark, lake, run_id, "silver", mode, lake.silver, [], 0, *marks)
+            return {"run_id": run_id, "rows": 0, "mode": mode, "partitions": 0,
+                    "touched_dates_path": None, "touched_months": [], "timings": timings}
+        # both are partition columns: only the new batches' files are read
+        bronze = bronze.filter(F.col("_ingest_date").isin(sorted({b["ingested_at"].date() for b in batches}))
+                               & F.col("_batch_id").isin(sorted({b["batch_id"] for b in batches})))
     wm = F.lit(wm_value.isoformat(sep=" ")).cast("timestamp_ntz") if wm_value else None
     stage = sv.staged_change_set(bronze, target, lk.silver_partition(), mode=mode, watermark=wm,
                                  version_order=version_order)
@@ -247,7 +290,7 @@ def silver_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "arrival"
     with _step(timings, "touched_dates"):
         staged.select(gd.order_date().alias(gd.KEY)).distinct().write.mode("overwrite").parquet(dates_path)
     prev_u = last["watermark_updated_at"] if last else wm_value if mode == "event_time" else None
-    prev_i = last["watermark_ingested_at"] if last else wm_value if mode == "arrival" else None
+    prev_i = last["watermark_ingested_at"] if last else None
     new_u = max([x for x in (prev_u, summary["max_updated"]) if x is not None], default=None)
     new_i = max([x for x in (prev_i, summary["max_ingested"]) if x is not None], default=None)
     # 3. merged content of the touched partitions, written once
@@ -260,6 +303,7 @@ def silver_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "arrival"
     staged_parts = set(_partition_dirs(spark, lake.staging(run_id, "publish"), "_part"))
     parts = [p if p in staged_parts else f"-{p}" for p in (f"_part={t}" for t in touched)]
     # 4. publish and commit
+    _take(spark, lake, run_id, [b["source_id"] for b in batches])
     with _step(timings, "publish"):
         _publish(spark, lake, run_id, "silver", mode, lake.silver,
                  parts, summary["rows"], new_u, new_i)
@@ -283,23 +327,38 @@ def _write_gold(df: DataFrame, path: str) -> dict:
 def gold_full_refresh(spark: SparkSession, lake: lk.Lake, run_id: str | None = None) -> dict:
     recover(spark, lake)
     run_id = run_id or lk.new_run_id()
+    silver_runs = _new_silver_runs(spark, lake)
     staged = lake.staging(run_id, "publish")
     agg = _write_gold(gd.daily_revenue(spark.read.parquet(lake.silver), key_is_unique=True), staged)
     parts = _full_refresh_parts(spark, staged, lake.gold, "_year")
+    _take(spark, lake, run_id, [r["source_id"] for r in silver_runs])
     _publish(spark, lake, run_id, "gold", "full_refresh", lake.gold, parts, agg["rows"],
              wm_d=agg["max_date"])
+    _drop_changes(spark, lake, silver_runs)
     return {"run_id": run_id, "rows": agg["rows"], "mode": "full_refresh"}
 
 
+def _drop_changes(spark: SparkSession, lake: lk.Lake, silver_runs) -> None:
+    """Change sets are staging of Silver runs; once Gold took a run, only its dates stay."""
+    for r in silver_runs:
+        lk.delete_path(spark, lake.staging(r["source_id"], "silver_changes"))
+
+
 def gold_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "touched_dates",
                      touched_dates_path: str | None = None, run_id: str | None = None,
                      touched_months: list[int] | None = None) -> dict:
     """M2 incremental: ``latest_date`` (reference rule) or ``touched_dates``.
 
-    ``touched_months`` (the Silver run's ``touched_months``) saves collecting
-    the months of the touched dates."""
+    ``touched_dates`` takes every committed Silver run that no Gold run has
+    taken, with their months from the run log; a full refresh of Silver among
+    them makes this a full refresh.  Dates of a further run may be given by
+    ``touched_dates_path`` and its ``touched_months``.
+    """
+    if mode not in ("touched_dates", "latest_date"):
+        raise ValueError(f"unknown gold mode {mode!r}")
     last = _open_run(spark, lake, "gold")
-    if not lk.exists(spark, lake.gold):
+    silver_runs = _new_silver_runs(spark, lake) if mode == "touched_dates" else []
+    if not lk.exists(spark, lake.gold) or any(r["mode"] == "full_refresh" for r in silver_runs):
         return gold_full_refresh(spark, lake, run_id)
     run_id = run_id or lk.new_run_id()
     silver_df = spark.read.parquet(lake.silver)
@@ -318,22 +377,23 @@ def gold_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "touched_da
         months = [int(d.split("=", 1)[1]) for d in _partition_dirs(spark, lake.silver, "_part")
                   if d.split("=", 1)[1].isdigit()]
         years = sorted({m // 100 for m in months if wm_month is None or m >= wm_month})
-    elif mode == "touched_dates":
-        if touched_dates_path is None:
-            raise ValueError("touched_dates mode needs the Silver run's touched dates")
-        dates = spark.read.parquet(touched_dates_path)
+    else:
+        paths = [lake.staging(r["source_id"], "touched_dates") for r in silver_runs]
         # read only the Silver months holding touched dates (partition pruning);
         # months are bounded by the calendar, years follow from them
-        if touched_months is not None:
-            months = sorted(touched_months)
-        else:
-            months = sorted(r[0] for r in dates.select(
-                (F.year("order_date") * 100 + F.month("order_date")).alias("m")).distinct().collect()
-                if r[0] is not None)
-        recomputed = gd.gold_for_dates(silver_df.filter(F.col("_part").isin(months)), dates)
+        months = {int(p.rsplit("=", 1)[1]) for r in silver_runs for p in r["partitions"].split(",")}
+        if touched_dates_path is not None and touched_dates_path not in paths:
+            paths.append(touched_dates_path)
+            months |= set(touched_months) if touched_months is not None else {
+                r[0] for r in spark.read.schema(f"{gd.KEY} date").parquet(touched_dates_path).select(F.coalesce(
+                    F.year(gd.KEY) * 100 + F.month(gd.KEY), F.lit(0))).distinct().collect()}
+        if not paths:
+            wm_d = last["watermark_order_date"] if last else None
+            _publish(spark, lake, run_id, "gold", mode, lake.gold, [], 0, wm_d=wm_d)
+            return {"run_id": run_id, "rows": 0, "mode": mode, "years": 0}
+        dates = spark.read.schema(f"{gd.KEY} date").parquet(*paths)
+        recomputed = gd.gold_for_dates(silver_df.filter(F.col("_part").isin(sorted(months))), dates)
         years = sorted({m // 100 for m in months})
-    else:
-        raise ValueError(f"unknown gold mode {mode!r}")
     check_sink_contract(spark, recomputed, lake.gold, ignore=["_year"], target=target)
     staged = lake.staging(run_id, "publish")
     previous_wm = last["watermark_order_date"] if last else None
@@ -344,8 +404,12 @@ def gold_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "touched_da
         wm_d = max([x for x in (agg["max_date"], previous_wm) if x is not None], default=None)
     else:
         rows, wm_d = 0, previous_wm
-    _publish(spark, lake, run_id, "gold", mode, lake.gold, [f"_year={y}" for y in years], rows,
-             wm_d=wm_d)
+    # a touched year that the merge left empty is published as a removal
+    staged_years = set(_partition_dirs(spark, staged, "_year"))
+    parts = [p if p in staged_years else f"-{p}" for p in (f"_year={y}" for y in years)]
+    _take(spark, lake, run_id, [r["source_id"] for r in silver_runs])
+    _publish(spark, lake, run_id, "gold", mode, lake.gold, parts, rows, wm_d=wm_d)
+    _drop_changes(spark, lake, silver_runs)
     return {"run_id": run_id, "rows": rows, "mode": mode, "years": len(years)}
 
 

@@ -8,9 +8,10 @@ Pure DataFrame transformations; writing them to storage is
 * incremental, ``mode="event_time"`` (the reference rule): Bronze rows with
   ``updated_at`` strictly above the target's high-water mark, reduced to one
   row per key, replace the target rows of those keys;
-* incremental, ``mode="arrival"``: Bronze rows that *arrived* after the last
-  committed ingest instant, competing with the target's current row of the
-  same key, so a late-arriving older version cannot overwrite a newer one.
+* incremental, ``mode="arrival"``: Bronze rows that arrived since the last run
+  (the caller passes the batches no run has taken, or an arrival watermark),
+  competing with the target's current row of the same key, so a late-arriving
+  older version cannot overwrite a newer one.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeguard.operators.latest import latest_per_key
-from lakeguard.operators.merge import upsert
+from lakeguard.operators.merge import by_key, upsert
 from lakeguard.operators.watermark import high_watermark_filter
 
 KEY = "order_id"
@@ -33,10 +34,15 @@ SILVER_COLUMNS = ["order_id", "customer_id", "product_id", "quantity", "unit_pri
 DEFAULT_VERSION_ORDER = ["updated_at", "_ingested_at", "status", "product_id",
                          "quantity", "unit_price", "customer_id", "created_at"]
 # Between an incoming row and the current Silver row of its key: newer event
-# time wins, and on equal event time the later arrival.
+# time wins, on equal event time the later arrival, and on equal arrival the
+# version order's other columns, as in a full refresh.
 ARRIVAL_ORDER = ["updated_at", "_ingested_at"]
 
 
+def arrival_order(version_order: Sequence[str]) -> list[str]:
+    return ARRIVAL_ORDER + [c for c in version_order if c in SILVER_COLUMNS and c not in ARRIVAL_ORDER]
+
+
 def line_total() -> Column:
     return (F.col("quantity") * F.col("unit_price")).alias("line_total")
 
@@ -72,13 +78,13 @@ def incremental_changes(bronze: DataFrame, target: DataFrame, *, mode: str = "ev
     incoming = project(latest_per_key(delta, KEY, version_order))
     # the keys are the delta's keys: read them from the delta's key column
     # instead of re-running latest-per-key for the semi-join
-    previous = target.join(delta.select(KEY), KEY, "left_semi")
+    previous = by_key(target, delta.select(KEY), KEY, "left_semi")
     if mode == "event_time":
         return incoming, previous
     # arrival: an incoming row always arrived later than the current row of
     # its key, but only replaces it if it is not older in event time
     rivals = incoming.unionByName(previous.select(*SILVER_COLUMNS))
-    return latest_per_key(rivals, KEY, ARRIVAL_ORDER), previous
+    return latest_per_key(rivals, KEY, arrival_order(version_order)), previous
 
 
 def _ahead(a: Column, b: Column) -> Column:
@@ -94,10 +100,10 @@ def staged_change_set(bronze: DataFrame, target: DataFrame, partition: Column, *
     ``partition``) and, if the key is already in the target, its current
     partition and created_at (``_side = 'old'``; other columns null).
 
-    Only five narrow columns of the target are read and shuffled to find the
-    current rows of the delta's keys.  In arrival mode an incoming row
-    replaces the current one unless the current row is ahead in
-    ``ARRIVAL_ORDER`` — the same winner as :func:`incremental_changes`, but a
+    Only the columns that decide are read from the target to find the current
+    rows of the delta's keys.  In arrival mode an incoming row replaces the
+    current one unless the current row is ahead in :func:`arrival_order`
+    — the same winner as :func:`incremental_changes`, but a
     key whose current row stays is not staged (rewriting it would be a
     no-op).  In event-time mode every incoming row replaces its key.
     """
@@ -108,20 +114,23 @@ def staged_change_set(bronze: DataFrame, target: DataFrame, partition: Column, *
     else:
         raise ValueError(f"unknown incremental mode {mode!r}")
     incoming = project(latest_per_key(delta, KEY, version_order))
-    narrow = ["created_at", "updated_at", "_ingested_at", "_part"]
-    current = (target.select(KEY, *narrow).join(delta.select(KEY), KEY, "left_semi")
+    order = arrival_order(version_order)
+    kept = ["created_at", "updated_at", "_ingested_at", "_part"]
+    narrow = kept + [c for c in order if c not in kept] if mode == "arrival" else kept
+    current = (by_key(target.select(KEY, *narrow), delta.select(KEY), KEY, "left_semi")
                .select(KEY, *[F.col(c).alias(f"__cur_{c}") for c in narrow],
                        F.lit(True).alias("__cur")))
-    j = incoming.join(current, KEY, "left_outer")
+    j = by_key(incoming, current, KEY, "left_outer")
     cur = lambda c: F.col(f"__cur_{c}")
     if mode == "arrival":
-        u, i = ARRIVAL_ORDER
-        current_stays = _ahead(cur(u), F.col(u)) | (cur(u).eqNullSafe(F.col(u)) & _ahead(cur(i), F.col(i)))
+        current_stays = F.lit(False)
+        for c in reversed(order):
+            current_stays = _ahead(cur(c), F.col(c)) | (cur(c).eqNullSafe(F.col(c)) & current_stays)
         j = j.filter(F.col("__cur").isNull() | ~current_stays)
     types = dict((f.name, f.dataType) for f in incoming.schema.fields)
     new = F.struct(*[F.col(c) for c in SILVER_COLUMNS], partition.cast("int").alias("_part"),
                    F.lit("new").alias("_side"))
-    old_fields = [F.col(KEY) if c == KEY else cur(c).alias(c) if c in narrow
+    old_fields = [F.col(KEY) if c == KEY else cur(c).alias(c) if c in kept
                   else F.lit(None).cast(types[c]).alias(c) for c in SILVER_COLUMNS]
     old = F.when(F.col("__cur").isNotNull(), F.struct(
         *old_fields, cur("_part").cast("int").alias("_part"), F.lit("old").alias("_side")))

@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,9 +21,9 @@ from lakeguard.functions.types import normalize_type
 
 CONTRACT_DIR = Path(__file__).resolve().parents[1] / "contracts"
 SEED_VERSIONS = ("v1", "v2", "v3")
-# Columns the pipeline adds at write time (the last is Bronze's partition
-# column); never part of an upstream contract.
-SYSTEM_COLUMNS = ("_ingested_at", "_schema_version", "_source", "_ingest_date")
+# Columns the pipeline adds at write time (the last two are Bronze's partition
+# columns); never part of an upstream contract.
+SYSTEM_COLUMNS = ("_ingested_at", "_schema_version", "_source", "_ingest_date", "_batch_id")
 
 CONTRACT_SCHEMA = T.StructType([
     T.StructField("contract_key", T.StringType(), False),
@@ -38,10 +39,14 @@ class UnknownContractVersion(ValueError):
 
 
 def seed_path(version: str) -> str:
-    """``v1``/``v2``/``v3`` already carry the ``v``: no second prefix."""
-    if version not in SEED_VERSIONS:
+    """File of a packaged version (``v1``/``v2``/``v3`` already carry the ``v``), or the
+    path of a contract file as the caller gives it."""
+    if version.endswith(".json"):
+        return version
+    packaged = CONTRACT_DIR / f"schema_{version}.json"
+    if not packaged.exists():
         raise UnknownContractVersion(f"no seed contract for schema_version={version!r}")
-    return str(CONTRACT_DIR / f"schema_{version}.json")
+    return str(packaged)
 
 
 def with_canonical(contract: DataFrame) -> DataFrame:
@@ -114,26 +119,41 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_table_schema(spark: SparkSession, table_path: str, schema: T.StructType) -> None:
-    """Record a table's accepted schema next to its data (overwrites)."""
+    """Record a table's accepted schema next to its data.
+
+    It is written under a new name and put in place whole; should the writer die
+    between the two steps, readers take the new file, which is complete by then.
+    """
     fs, p = hadoop_path(spark, f"{table_path.rstrip('/')}/{SCHEMA_FILE}")
-    out = fs.create(p, True)
+    _, new = hadoop_path(spark, f"{table_path.rstrip('/')}/{SCHEMA_FILE}.new")
+    out = fs.create(new, True)
     try:
         out.write(bytearray(schema.json().encode("utf-8")))
     finally:
         out.close()
+    fs.delete(p, False)
+    if not fs.rename(new, p):
+        raise OSError(f"could not record the schema of {table_path}")
 
 
 def live_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """Schema of a live Parquet table (S5); ``None`` only when the table does
     not exist.  The recorded schema is used when present (no footer is read);
     otherwise the footers are merged, since the table evolves by appends.
-    Any other failure propagates instead of silently falling back."""
+    A folder without any data file, as a failed first write leaves it, is no
+    table.  Any other failure propagates instead of silently falling back."""
     if not path_exists(spark, path):
         return None
-    recorded = _read_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    name = f"{path.rstrip('/')}/{SCHEMA_FILE}"
+    recorded = _read_text(spark, name) or _read_text(spark, f"{name}.new")
     if recorded:
         return T.StructType.fromJson(json.loads(recorded))
-    return spark.read.option("mergeSchema", True).parquet(path).schema
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path).schema
+    except AnalysisException as e:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
 
 
 def baseline_contract(spark: SparkSession, table_path: str, key: str = "live",

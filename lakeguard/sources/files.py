@@ -104,16 +104,42 @@ def file_contracts(spark: SparkSession, root: str | None = None,
     return rows.withColumn("type", normalize_type("raw_type"))
 
 
+# Physical types of one contract type, narrow to wide: a file of a narrower
+# type can be read as a wider one.
+WIDENING = (("tinyint", "smallint", "int", "bigint"), ("float", "double"), ("timestamp_ntz", "timestamp"))
+
+
+def common_schema(contracts: DataFrame) -> tuple[T.StructType, dict[str, list[str]]]:
+    """(schema that reads all files of a batch, columns whose files disagree).
+
+    One row per column comes to the driver, with its distinct types.
+    """
+    rows = contracts.groupBy("column_name").agg(
+        F.min("ordinal").alias("ordinal"), F.sort_array(F.collect_set("raw_type")).alias("types")).collect()
+    fields, disagree = [], {}
+    for r in sorted(rows, key=lambda r: (r["ordinal"], r["column_name"])):
+        family = next((f for f in WIDENING if set(r["types"]) <= set(f)), ())
+        if len(r["types"]) > 1 and not family:
+            disagree[r["column_name"]] = r["types"]
+        widest = max(r["types"], key=family.index) if family else r["types"][0]
+        fields.append(T.StructField(r["column_name"], T._parse_datatype_string(widest), True))
+    return T.StructType(fields), disagree
+
+
 def read_csv_batch(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV batch read with the contract's types (S3).
+    """CSV batch with the columns its header names and the contract's types (S3).
 
-    Reading CSV untyped makes every non-string column a type change; reading
-    with the declared schema keeps types, and PERMISSIVE mode plus a
-    ``_corrupt_record`` column keeps malformed lines visible instead of
-    failing or silently nulling them.
+    Columns are matched by name: a declared one the header lacks is absent, an
+    undeclared one is text, and so the gate sees both.  Files whose headers
+    differ fail the read.  PERMISSIVE mode plus a ``_corrupt_record`` column
+    keeps malformed lines visible instead of failing or silently nulling them.
     """
-    fields = list(schema.fields) + [T.StructField("_corrupt_record", T.StringType(), True)]
+    header = spark.read.option("header", True).csv(path).columns
+    declared = {f.name: f.dataType for f in schema.fields}
+    fields = [T.StructField(c, declared.get(c, T.StringType()), True) for c in header]
+    fields.append(T.StructField("_corrupt_record", T.StringType(), True))
     return (spark.read.option("header", True)
+            .option("enforceSchema", False)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", "_corrupt_record")
             .schema(T.StructType(fields))

@@ -17,7 +17,10 @@ then, in ``foreachBatch``:
 3. BREAKING: an incident row is written and the stream stops by raising; the
    files stay where they are, and the next start replays the same
    micro-batch (same markers) from the checkpoint;
-4. otherwise the batch is ingested (I1) and committed in ``run_log``;
+4. otherwise the files are read with the widest physical type of each column
+   (files of an integer and a bigint column are one batch), ingested (I1) and
+   committed in ``run_log``; a batch replayed after a crash replaces what its
+   first attempt wrote;
 5. optionally (``then``) Silver and Gold are brought up to date.
 
 Late data (T2) is handled downstream by arrival-time merges, not by a
@@ -81,13 +84,18 @@ def process_microbatch(spark: SparkSession, lake: lk.Lake, markers: DataFrame,
     for batch_id, batch_dir in todo:  # bounded by maxFilesPerTrigger
         files = fl.list_files(spark, batch_dir).select("path")
         verdicts = drift.verdict_text(file_verdicts(spark, files, lake))
+        schema, disagree = fl.common_schema(fl.file_contracts(spark, paths=files))
         broken = verdicts.filter(F.col("verdict") == drift.BREAKING).orderBy("batch_id").first()
         if broken is not None:
             row = broken.asDict()
             row["batch_id"] = batch_id
             ig.route(spark, lake, row, f"files of {batch_id}", clock())  # raises
-        data = (spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", True)
-                .parquet(batch_dir))
+        if disagree:  # files that no one schema can read
+            row = verdicts.orderBy("batch_id").first().asDict() | {
+                "batch_id": batch_id, "verdict": drift.BREAKING, "type_changes": str(disagree)}
+            ig.route(spark, lake, row, f"files of {batch_id}", clock())  # raises
+        data = (spark.read.schema(schema).option("pathGlobFilter", "*.parquet")
+                .option("recursiveFileLookup", True).parquet(batch_dir))
         ig.ingest(spark, data, lake, batch_id=batch_id, schema_version=schema_version,
                   ingested_at=clock(), evaluated_at=clock())
         lk.append_log(spark, lake, "run_log", [(
