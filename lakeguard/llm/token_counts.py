@@ -7,9 +7,11 @@ spells it, with the number of pieces on that path; it is computed once,
 however many pre-tokens share the prefix, from the ancestors within the
 longest piece.  Terminal nodes thus hold the count of their pre-token.
 
-A trie is dropped and begun anew beyond MAX_NODES nodes, which bounds memory
-and changes no count.  Documents never leave their task, so there is no
-shuffle and no hot key.
+A trie is dropped and begun anew beyond MAX_NODES nodes, and only the first
+FILED_CHARS characters of a pre-token are filed: behind them a longer one is
+scored in the same way, but its nodes are kept no longer than the longest piece
+reaches.  Both bound memory and change no count.  Documents never leave their
+task, so there is no shuffle and no hot key.
 
 Defined cases: a null, empty or blank text has no pre-token and no token; a
 character no piece covers costs one token per UTF-8 byte; of two paths with
@@ -21,7 +23,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, deque
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +33,7 @@ from lakeguard.llm.common import WORD, map_texts, small_batches
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 MAX_NODES = 1_000_000
+FILED_CHARS = 64
 
 _WORD = re.compile(WORD)
 
@@ -65,6 +68,7 @@ class ForwardTrie:
             if len(piece) > 2:
                 ending.setdefault(piece[-3:], set()).add(len(piece))
         self.lengths = {chars: tuple(sorted(found)) for chars, found in ending.items()}
+        self.longest = max(map(len, pieces), default=1)
         self.unknown = min(pieces.values(), default=0.0) - 10.0
         self.clear()
 
@@ -73,16 +77,17 @@ class ForwardTrie:
 
     def tokens(self, word: str) -> int:
         """Tokens of a pre-token: goes back to its longest known prefix and scores the new nodes from there."""
-        node = self.nodes.get(word)
+        node = self.nodes.get(word) if len(word) <= FILED_CHARS else None
         if node is None:
-            if len(self.nodes) + len(word) > MAX_NODES:
+            if len(self.nodes) + FILED_CHARS > MAX_NODES:
                 self.clear()
             node = self._insert(word)
         return node[1]
 
     def _insert(self, word: str) -> tuple[float, int]:
         nodes, pieces, lengths = self.nodes, self.pieces, self.lengths
-        known = len(word) - 1
+        beyond: deque = deque(maxlen=self.longest)      # the last nodes behind the filed ones
+        known = min(len(word) - 1, FILED_CHARS)
         while (node := nodes.get(word[:known])) is None:
             known -= 1
         for end in range(known + 1, len(word) + 1):
@@ -98,11 +103,16 @@ class ForwardTrie:
                     break
                 piece = pieces.get(word[end - length:end])
                 if piece is not None:
-                    score, count = nodes[word[:end - length]]
+                    start = end - length
+                    score, count = nodes[word[:start]] if start <= FILED_CHARS else beyond[-length]
                     score += piece
                     if score > best or score == best and count + 1 < tokens:
                         best, tokens = score, count + 1
-            node = nodes[word[:end]] = (best, tokens)
+            node = (best, tokens)
+            if end <= FILED_CHARS:
+                nodes[word[:end]] = node
+            else:
+                beyond.append(node)
         return node
 
 
