@@ -54,6 +54,7 @@ SKETCH_BLOCK = 1024            # sets of a block where sketches (64 bytes each)
 BLOCK_SETS, BLOCK_TOKENS = 256, 400_000    # the same where whole sets are
 SKETCH = 64
 SKETCH_LEAST = 36              # equal bytes from which a pair is checked: five deviations below 0.8
+TOKEN_BLOCK = 1 << 16          # shingles of a set hashed at once, which bounds the memory for a very long text
 SMALL_NODES = 500_000          # ids up to which they are broadcast; beyond, texts are shuffled to them
 
 _WORD = re.compile(WORD)
@@ -107,12 +108,25 @@ def choose(tokens: np.ndarray, nodes: np.ndarray, similarity: float) -> tuple[np
     """
     share = 1 / (similarity * len(tokens))
     odd = mix(nodes) | np.uint64(1)
-    hashed = odd[:, None] * tokens[None, :]
     if share >= 1:
         parent = np.repeat(np.arange(len(nodes)), len(tokens))
-        return mix(hashed.ravel() + odd[parent]), parent
-    parent, place = np.nonzero(hashed < np.uint64(int(share * 2.0 ** 64)))
-    return mix(hashed[parent, place] + odd[parent]), parent
+        return mix((odd[:, None] * tokens[None, :]).ravel() + odd[parent]), parent
+    children, parents = [], []
+    for begin in range(0, len(tokens), TOKEN_BLOCK):
+        hashed = odd[:, None] * tokens[None, begin:begin + TOKEN_BLOCK]
+        parent, place = np.nonzero(hashed < np.uint64(int(share * 2.0 ** 64)))
+        children.append(mix(hashed[parent, place] + odd[parent]))
+        parents.append(parent)
+    return np.concatenate(children), np.concatenate(parents)
+
+
+def sketch(tokens: np.ndarray) -> bytes:
+    """One byte of each of SKETCH minimum hashes of a set that is not empty."""
+    salts = mix(np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
+    least = np.full(SKETCH, np.iinfo(np.uint64).max)
+    for begin in range(0, len(tokens), TOKEN_BLOCK):
+        least = np.minimum(least, (salts[:, None] * tokens[None, begin:begin + TOKEN_BLOCK]).min(axis=1))
+    return mix(least).astype(np.uint8).tobytes()
 
 
 def signatures(docs: DataFrame, runs: int, similarity: float) -> DataFrame:
@@ -141,13 +155,11 @@ def signatures(docs: DataFrame, runs: int, similarity: float) -> DataFrame:
 
 def candidate_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """nid, tokens and sketch of the listed rows (r, nid); repeated rows may give a node twice."""
-    salts = mix(np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
     cache = WordHashes()
 
     def fn(texts):
         sets = [shingle_set(t, cache) for t in texts]
-        sketches = [mix((salts[:, None] * s[None, :]).min(axis=1)).astype(np.uint8).tobytes() if len(s) else b"" for s in sets]
-        return {"tokens": [s.view(np.int64) for s in sets], "sketch": sketches}
+        return {"tokens": [s.view(np.int64) for s in sets], "sketch": [sketch(s) if len(s) else b"" for s in sets]}
 
     wanted = nodes.select(F.col("r").alias("__r"), "nid")
     if nodes.count() <= SMALL_NODES:
