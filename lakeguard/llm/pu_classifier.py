@@ -148,10 +148,14 @@ def fold(doc_id) -> F.Column:
 
 
 def vectors(docs: DataFrame, ids: DataFrame) -> np.ndarray:
-    """Feature vectors of the documents whose id is listed (at most MAX_UNLABELLED, hence broadcast)."""
+    """Feature vectors of the listed ids (at most MAX_UNLABELLED, hence broadcast), one for each id.
+
+    Of documents that share an id the smallest vector counts, so however often an id
+    occurs, the driver gets no more than the list.
+    """
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
     made = map_texts(rows, ["doc_id"], lambda texts: {"x": [features(t) for t in texts]},
-                     {"x": pa.list_(pa.float64())}, "x array<double>").orderBy("doc_id", "x").collect()
+                     {"x": pa.list_(pa.float64())}, "x array<double>").groupBy("doc_id").agg(F.min("x").alias("x")).orderBy("doc_id").collect()
     return np.array([r["x"] for r in made]).reshape(-1, N_FEATURES)
 
 
