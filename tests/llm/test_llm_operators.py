@@ -148,6 +148,18 @@ def test_token_counts(spark):
         assert got[i]["n_tokens"] == sum(brute("▁" + w) for w in words)
     assert token_counts.count_tokens(frame(spark, []), ["doc_id"], pieces=pieces).count() == 0
 
+    trie = token_counts.ForwardTrie(pieces)
+    for length in (62, 63, 64, 65, 70, 200):
+        word = "▁" + "".join(rnd.choice("abc漢") for _ in range(length))
+        assert trie.tokens(word) == trie.tokens(word) == brute(word)
+        assert trie.tokens(word[:-1] + "c") == brute(word[:-1] + "c")
+    assert max(map(len, trie.nodes)) == token_counts.FILED_CHARS
+    long_texts = ODD + ["abc" * 300_000]
+    rows = {r["doc_id"]: r for r in token_counts.count_tokens(frame(spark, long_texts), ["doc_id"], pieces={"a": -1.0, "bca": -1.0}).collect()}
+    # The mark is three unknown bytes; behind the first "a" comes "bca" again and again, and at last "bc".
+    assert rows[len(ODD)]["n_tokens"] == 3 + 1 + 299_999 + 2
+    assert rows[5]["n_tokens"] == 3 + 50_000
+
 
 def brute_join(texts):
     sets = []
@@ -197,6 +209,19 @@ def test_jaccard_join_large_bucket(spark, monkeypatch):
     assert [(r["class_id"], r["n_links"]) for r in sorted(rows, key=lambda r: r["doc_id"])] == brute_join(texts)
 
 
+def test_jaccard_join_blocks_of_tokens(spark, monkeypatch):
+    """Sets are hashed in blocks of shingles: paths and sketches do not depend on the block."""
+    tokens = jaccard_join.shingle_set(prose(random.Random(3), 500), jaccard_join.WordHashes())
+    nodes = jaccard_join.mix(jaccard_join.np.arange(1, 9, dtype="uint64"))
+    children, parents = jaccard_join.choose(tokens, nodes, 0.8)
+    whole = sorted(zip(children.tolist(), parents.tolist()))
+    sketch = jaccard_join.sketch(tokens)
+    monkeypatch.setattr(jaccard_join, "TOKEN_BLOCK", 7)
+    children, parents = jaccard_join.choose(tokens, nodes, 0.8)
+    assert sorted(zip(children.tolist(), parents.tolist())) == whole and whole
+    assert jaccard_join.sketch(tokens) == sketch and len(sketch) == jaccard_join.SKETCH
+
+
 def test_jaccard_join_null_and_repeated_ids(spark):
     text = prose(random.Random(4), 30)
     docs = frame(spark, [text, text, text, "", ""], ids=[None, 5, 5, None, None])
@@ -274,6 +299,8 @@ def test_pu_classifier(spark):
     kept = pu_classifier.accepted(docs, labels)
     assert kept.columns == docs.columns and kept.count() == sum(r["predicted"] for r in got.values())
     assert pu_classifier.classify(docs.limit(0), labels).count() == 0
+    ids = spark.createDataFrame([(1,), (7,)], "doc_id long")
+    assert pu_classifier.vectors(frame(spark, [good[0]] * 300 + [bad[0]], ids=[1] * 300 + [7]), ids).shape == (2, pu_classifier.N_FEATURES)
     assert {r["score"] for r in pu_classifier.classify(docs, labels.limit(0)).collect()} == {0.5}
 
 
