@@ -14,9 +14,10 @@ bit.
 
 Fingerprints within RADIUS bits share one of RADIUS + 1 blocks (multi-index);
 windows join the item index on block values, and pairs beyond the radius go.
-The survivors place the whole item in the document, and that item-sized window
-is compared exactly: weighted Jaccard similarity of five-word shingles, the
-weight of a shingle being its number of occurrences.
+Every item-sized window that holds a surviving hit, wherever the hit stands in
+it, is compared exactly: weighted Jaccard similarity of five-word shingles, the
+weight of a shingle being its number of occurrences.  So blocks may stand in
+another order than the item's.
 
 Defined cases: null and empty texts hold no window; an item of fewer than five
 words has no shingle and is found nowhere; null item ids are items like others;
@@ -56,15 +57,32 @@ def pair_hashes(words: str) -> Column:
     return F.transform(words, lambda w, i: F.xxhash64(w, F.get(F.col(words), i + 1)))
 
 
-def class_of(n: Column) -> Column:
-    """Class of an item of n words, from the longest unbroken stretch that a similar text must keep.
+def repeated(words: str, k: int) -> Column:
+    """At least the number of places in a text of which the k words before them stand elsewhere in it, too."""
+    grams = F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - k, F.lit(0))),
+                        lambda i: F.array_join(F.slice(words, i + 1, F.lit(k)), " "))
+    return 2 * (F.size(grams) - F.size(F.array_distinct(grams)))
 
-    At most (n - 4) / 9 shingles may be lost; an edit inside costs five of them, one at an end costs one.
+
+def class_of(words: str) -> Column:
+    """Class of an item, from the longest unbroken stretch that a window within the similarity must share with it.
+
+    A window of an item of N shingles holds at most N / 9 others, and 0.8 (N + others) of the item's.  It is a chain of
+    stretches of the item, in any order.  Where two meet, four others stand, or one less for each word that they
+    overlap in; such an overlap stands twice in the item.  The cheapest meetings are counted first.
     """
-    lost = F.floor((n - 4) / 9)
-    inside = F.floor(lost / 5)
-    stretch = F.floor((n - inside - (lost - 5 * inside)) / (inside + 1))
-    return (F.when(n < SHINGLE, 0).when(stretch >= 24, 8).when(stretch >= 12, 4).when(stretch >= 6, 2).otherwise(1))
+    n = F.size(words) - (SHINGLE - 1)
+    left = others = F.floor(n / 9)
+    overlaps = [repeated(words, k) for k in (4, 3, 2, 1)]
+    breaks = overlaps[0]
+    for cost, (fewer, more) in enumerate(zip(overlaps, overlaps[1:]), 1):
+        here = F.least(more - fewer, F.floor(left / cost))
+        breaks, left = breaks + here, left - cost * here
+    last = F.floor(left / 4)
+    breaks, left = breaks + last, left - 4 * last
+    held = F.ceil(4 * (n + others - left) / 5)
+    stretch = F.ceil(held / (breaks + 1)) + SHINGLE - 1
+    return F.when(stretch >= 24, 8).when(stretch >= 12, 4).when(stretch >= 6, 2).otherwise(1)
 
 
 def add_up(items: list[Column]) -> Column:
@@ -108,9 +126,10 @@ def blocks(fingerprint: Column, g: Column) -> Column:
 
 
 def item_index(benchmark: DataFrame) -> DataFrame:
-    """key, g, print, item (id and words) and offset of every window of every item."""
-    items = (benchmark.select(F.col("item_id"), words_of(F.col("text")).alias("item_words"))
-             .withColumn("g", class_of(F.size("item_words"))).where("g > 0").distinct())
+    """key, g, print and item (id and words) of every window of every item."""
+    items = (benchmark.select(F.col("item_id"), words_of(F.col("text")).alias("item_words")).distinct()
+             .where(F.size("item_words") >= SHINGLE).withColumn("g", class_of("item_words")))
+    items = materialise(items, "items")
     hashed = items.withColumn("h", pair_hashes("item_words"))
     out = None
     for g in (8, 4, 2, 1):
@@ -118,7 +137,7 @@ def item_index(benchmark: DataFrame) -> DataFrame:
         # A separate column for the prints: the hashes are then computed once per item.
         prints = F.transform(starts, whole_print(g))
         one = (hashed.where((F.col("g") == g) & (F.size("item_words") > 2 * g))
-               .select("item_id", "item_words", "g", F.posexplode(prints).alias("offset", "print")))
+               .select("item_id", "item_words", "g", F.explode(prints).alias("print")).distinct())
         out = one if out is None else out.unionByName(one)
     return out.select("*", F.explode(blocks(F.col("print"), F.col("g"))).alias("key"))
 
@@ -150,36 +169,58 @@ def weighted_jaccard(a: str, b: str) -> Column:
     def count(column, s):
         return F.size(F.filter(column, lambda x: x == s))
 
-    shared = F.aggregate(F.array_distinct(a), F.lit(0),
-                         lambda acc, s: acc + F.least(count(F.col(a), s), count(F.col(b), s)))
+    def plain(column):
+        return F.size(F.array_distinct(column)) == F.size(column)
+
+    # Where one side repeats nothing, each common shingle is shared once.
+    shared = F.when(plain(a) | plain(b), F.size(F.array_intersect(a, b))).otherwise(
+        F.aggregate(F.array_distinct(a), F.lit(0), lambda acc, s: acc + F.least(count(F.col(a), s), count(F.col(b), s))))
     return shared / (F.size(a) + F.size(b) - shared)
 
 
+def may_reach(similarity: float):
+    """Whether the window at a start of ``__p`` can be similar: ``__held`` tells which of its shingles the item has at all."""
+    def at(start):
+        held = F.slice("__held", start + 1, F.size("__b"))
+        most = F.size(F.array_remove(held, False))
+        return most * (1 + similarity) >= similarity * (F.size(held) + F.size("__b")) - 1e-9
+    return at
+
+
 def find(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, __h, item_id, similarity and first word of the best window of every item found in a document."""
     index = materialise(item_index(benchmark), "item_index")
     size = index.count()
     classes = sorted((r["g"] for r in index.select("g").distinct().collect()), reverse=True) or [8]
-    lookup = index.select("key", F.col("print").alias("__print"), "item_id", "item_words", "offset")
+    lookup = index.select("key", F.col("print").alias("__print"), "item_id", "item_words")
     if size <= SMALL_INDEX:
         lookup = F.broadcast(lookup)
     probes = document_windows(docs, classes).select(
         "*", F.explode(blocks(F.col("print"), F.col("g"))).alias("key"))
     near = F.bit_count(F.col("print").bitwiseXOR(F.col("__print"))) <= RADIUS
     hits = probes.join(lookup, (probes["key"] == lookup["key"]) & near)
-    start = F.greatest(F.col("i") * F.col("g") - F.col("offset"), F.lit(0))
+    # The windows that hold a hit start up to an item's length before it.  Starts are dealt in cells of that many.
+    at, length = F.col("i") * F.col("g"), F.size("item_words")
+    first = F.greatest(at + 2 * F.col("g") + 1 - length, F.lit(0))
+    cells = F.sequence(F.floor(first / length).cast("int"), F.floor(at / length).cast("int"))
     # Written here, so that the exact comparison runs on these few rows and not inside the join.
     found = materialise(hits.select(F.col("doc_id").alias("__id"), F.col("__h").alias("__hash"), "item_id", "item_words",
-                                    start.alias("start")).distinct(), "candidates")
+                                    F.explode(cells).alias("cell")).distinct(), "candidates")
     if found.count() <= SMALL_CANDIDATES:
         found = F.broadcast(found)
     texts = docs.select("doc_id", F.xxhash64("text").alias("__h"), "text")
     parts = texts.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__hash"))).select(
-        "doc_id", "__h", "item_id", "item_words", "start", words_of(F.col("text")).alias("words"))
-    placed = materialise(parts.select("doc_id", "__h", "item_id", "item_words", "start", F.slice(
-        "words", F.col("start") + 1, F.size("item_words")).alias("part")).distinct(), "placed")
-    compared = (placed.where(F.size("part") >= SHINGLE)
-                .select("*", shingles(F.col("part")).alias("__a"), shingles(F.col("item_words")).alias("__b"))
+        "doc_id", "__h", "item_id", "item_words", (F.col("cell") * length).alias("first"), words_of(F.col("text")).alias("words"))
+    placed = materialise(parts.select("doc_id", "__h", "item_id", "item_words", "first", F.slice(
+        "words", F.col("first") + 1, 2 * length - 1).alias("part")).distinct(), "placed")
+    shingled = (placed.where(F.size("part") >= SHINGLE)
+                .select("doc_id", "__h", "item_id", "first", F.size("item_words").alias("length"),
+                        shingles(F.col("part")).alias("__p"), shingles(F.col("item_words")).alias("__b"))
+                .withColumn("__held", F.transform("__p", lambda x: F.array_contains("__b", x))))
+    starts = F.sequence(F.lit(0), F.least("length", F.size("__p")) - 1)
+    compared = (shingled.select("*", F.explode(F.filter(starts, may_reach(similarity))).alias("at"))
+                .select("doc_id", "__h", "item_id", (F.col("first") + F.col("at")).alias("start"),
+                        F.slice("__p", F.col("at") + 1, F.size("__b")).alias("__a"), "__b")
                 .select("doc_id", "__h", "item_id", "start", weighted_jaccard("__a", "__b").alias("similarity")))
     # The threshold stands behind the aggregate: a filter below it would compute the similarity twice.
     return compared.groupBy("doc_id", "__h", "item_id").agg(

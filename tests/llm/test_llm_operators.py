@@ -353,6 +353,47 @@ def test_decontamination(spark):
     assert decontaminate.find(docs, benchmark.limit(0)).count() == 0 and decontaminate.find(docs.limit(0), benchmark).count() == 0
 
 
+def best_window(text, item):
+    """Similarity and start of the best item-sized window, by brute force (None if the text holds none)."""
+    words, goal = (re.findall(r"[^\W_]+", (x or "").lower()) for x in (text, item))
+    wanted, best = Counter(tuple(goal[k:k + 5]) for k in range(len(goal) - 4)), None
+    for start in range(len(words) - 4):
+        part = words[start:start + len(goal)]
+        held = Counter(tuple(part[k:k + 5]) for k in range(len(part) - 4))
+        shared = sum((held & wanted).values())
+        found = shared / (held.total() + wanted.total() - shared)
+        if best is None or found > best[0]:
+            best = found, start
+    return best
+
+
+def test_decontamination_moved_blocks(spark):
+    """Windows whose blocks stand in another order than the item's, against brute force at every start."""
+    rnd = random.Random(22)
+    x = prose(rnd, 4)
+    items = [prose(rnd, n) for n in (59, 59, 59, 44, 95, 140)]
+    items += [" ".join(f"{x} {prose(rnd, 1)}" for _ in range(9)) + f" {x}",       # every order of its parts has the same shingles
+              " ".join(prose(rnd, 9) + " of the" for _ in range(5)), prose(rnd, 3) + " same" * 30]
+    texts = []
+    for item in items:
+        words = item.split()
+        for cut in (10, 20, 30, 40):
+            for lead in (0, 3, 17, 90):
+                texts.append(f"{prose(rnd, lead)} {' '.join(words[cut:] + words[:cut])} {prose(rnd, 30)}".strip())
+        texts.append(f"{prose(rnd, 11)} {' '.join(words[40:] + words[20:40] + words[:20])} {prose(rnd, 5)}")
+    parts = [items[6].split()[5 * k:5 * k + 5] for k in range(9)]
+    for _ in range(4):
+        rnd.shuffle(parts)
+        texts.append(f"{prose(rnd, 13)} {' '.join(w for p in parts for w in p)} {x} {prose(rnd, 20)}")
+    texts.append(" ".join(prose(rnd, 50) for _ in range(4)))
+    docs, benchmark = frame(spark, texts), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = {(d, i): best for d, text in enumerate(texts) for i, item in enumerate(items)
+            if (best := best_window(text, item)) and best[0] >= 0.8}
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["start"]) for r in decontaminate.find(docs, benchmark).collect()}
+    assert len(want) > 40 and got.keys() == want.keys()
+    assert all(got[k] == (pytest.approx(want[k][0]), want[k][1]) for k in want)
+
+
 def test_url_rules(spark):
     urls = {"http://WWW.Example.com/en/1": ("www.example.com/en/", "allow"), "https://example.com/en/x?ref=1": ("example.com/en/", "block"),
             "http://a.net/es/": ("net/es/", "block"), "http://net/fr/1": ("net/fr/", "block"), "http://xnet/fr/1": (None, "allow"),
