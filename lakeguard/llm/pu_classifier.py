@@ -10,7 +10,7 @@ A text's features are statistics of its whole content, cut into bins at
 quantiles of the training sample; the model adds one weight per bin.
 
 The sample that trains the model is bounded by MAX_POSITIVES and
-MAX_UNLABELLED rows (chosen by a hash of the id, so reruns agree); only its
+MAX_UNLABELLED ids (chosen by a hash of the id, so reruns agree); only its
 feature vectors reach the driver.  Every document is scored.
 
 Defined cases: null and empty texts have all features 0 and get a score like
@@ -171,9 +171,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality"):
         return Constant(prior)
     shuffled = F.xxhash64("doc_id", F.lit(7))
     positives = known.where("y = 1").select("doc_id").orderBy(shuffled, "doc_id").limit(MAX_POSITIVES)
-    web = (docs.where(F.col("doc_id").isNotNull() & (fold("doc_id") != 0)).select("doc_id")
+    # Ids are made distinct before the limit, or one id with many rows would fill the sample.
+    web = (docs.where(F.col("doc_id").isNotNull() & (fold("doc_id") != 0)).select("doc_id").distinct()
            .orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(MAX_UNLABELLED))
-    p, u = vectors(docs, positives), vectors(docs, web.distinct())
+    p, u = vectors(docs, positives), vectors(docs, web)
     return fit(p, u, prior) if len(p) and len(u) else Constant(prior)
 
 

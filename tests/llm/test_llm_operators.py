@@ -304,6 +304,22 @@ def test_pu_classifier(spark):
     assert {r["score"] for r in pu_classifier.classify(docs, labels.limit(0)).collect()} == {0.5}
 
 
+def test_pu_training_sample_counts_ids(spark, monkeypatch):
+    """One id that fills more rows than the sample still counts once."""
+    rnd = random.Random(31)
+    pool = spark.range(400).where((pu_classifier.fold("id") != 0)).orderBy(F.xxhash64("id", F.lit(11)), "id")
+    ids = [r["id"] for r in pool.limit(120).collect()]
+    hot = ids[2]                                       # stands near the front of the order that the sample is taken in
+    texts = [prose(rnd, 30) for _ in ids] + [prose(rnd, 30) for _ in range(200)]
+    docs = frame(spark, texts, ids=ids + [hot] * 200)
+    labels = spark.createDataFrame([(i, int(k % 2), 0) for k, i in enumerate(ids)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(pu_classifier, "MAX_UNLABELLED", 60)
+    seen = []
+    monkeypatch.setattr(pu_classifier, "fit", lambda p, u, prior: seen.append((len(p), len(u))))
+    pu_classifier.train(docs, labels)
+    assert seen == [(60, 60)]
+
+
 def test_weighted_targets_and_flow():
     sizes = {"b": 100, "a": 1000, None: 10}
     target = mixing.weighted_targets(sizes)
