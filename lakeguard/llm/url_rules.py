@@ -60,8 +60,9 @@ HOST_RULES = (
 PATTERN_RULES = (
     Rule("tracking-feed", "block", r"[?&]utm_source=feed(?:&|#|$)", ("utm", "source", "feed"), 3),
     Rule("referral", "block", r"[?&]ref=[^&#]*", ("ref",), 2),
-    Rule("adult-path", "block", r"/(?:adult|xxx)/", (), 1),
-    Rule("advert", "block", r"/ads?/", (), 1),
+    # Alternatives are rules of their own, so that each is filed under its token.
+    *(Rule("adult-path", "block", f"/{token}/", (token,), 1) for token in ("adult", "xxx")),
+    *(Rule("advert", "block", f"/{token}/", (token,), 1) for token in ("ad", "ads")),
 )
 DEFAULT_VERDICT = "allow"
 

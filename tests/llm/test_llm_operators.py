@@ -428,6 +428,17 @@ def test_url_index_uses_the_rarest_token():
     assert [r.name for r in index["www"]] == ["www.example.com/en/"] and [r.name for r in index["en"]] == ["example.com/en/"]
 
 
+def test_url_rules_are_all_filed(spark):
+    """Every rule has a token, so a URL without any of them runs no expression."""
+    assert "" not in url_rules.build_index(url_rules.HOST_RULES + url_rules.PATTERN_RULES, {})
+    urls = {"http://a.org/adult/x": "adult-path", "http://a.org/b/xxx/": "adult-path", "http://a.org/ad/": "advert", "http://a.org/?u=/ads/": "advert",
+            "http://a.org/adult/ads/": "advert", "http://a.org/ADS/": None, "http://a.org/adults/": None, "http://a.org/ads": None}
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: r for r in url_rules.judge(pages, ["page_id"]).collect()}
+    assert [got[i]["pattern"] for i in range(len(urls))] == list(urls.values())
+    assert got[6]["n_rules_run"] == 0
+
+
 def test_pipeline_small(spark):
     import corpus_pipeline
 
