@@ -6,8 +6,10 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeguard.session import checkpoint_dir
 
@@ -63,24 +65,53 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
         yield batch.slice(start)
 
 
+def quoted(name: str) -> str:
+    """A column name as it must stand in an expression, whatever it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def map_texts(df: DataFrame, keep: list[str], fn: Callable[[list], dict[str, list]],
               fields: dict[str, pa.DataType], ddl: str, text: str = "text") -> DataFrame:
     """Columns ``keep`` of every row plus what ``fn`` makes of the whole texts.
 
     ``fn`` gets a list of texts (None for null) and returns one list per field.
     """
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    schema = ", ".join([f"`{k}` {types[k]}" for k in keep] + [ddl])
+    made = map_rows(df, keep, fn, fields, ddl, text)
+    return made.select(*[F.col(f"row.{quoted(k)}").alias(k) for k in keep], *fields)
+
+
+def map_rows(df: DataFrame, keep: list[str], fn: Callable[[list], dict[str, list]],
+             fields: dict[str, pa.DataType], ddl: str, text: str = "text") -> DataFrame:
+    """As ``map_texts``, with the kept columns inside one struct ``row``, so that no name clashes."""
+    # A struct without a field can't be sent, hence the constant.
+    row = F.struct(*[F.col(quoted(k)) for k in keep]) if keep else F.struct(F.lit(True).alias("none"))
+    sent = df.select(row.alias("row"), F.col(quoted(text)).alias("text"))
+    schema = T.StructType([sent.schema["row"], *T.StructType.fromDDL(ddl).fields])
 
     def run(batches):
         for batch in batches:
-            for piece in slices(batch, "__text"):
-                made = fn(piece.column("__text").to_pylist())
+            for piece in slices(batch):
+                made = fn(piece.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(k) for k in keep] + [pa.array(made[k], t) for k, t in fields.items()],
-                    names=[*keep, *fields])
+                    [piece.column("row")] + [pa.array(made[k], t) for k, t in fields.items()], names=["row", *fields])
+
+    return sent.mapInArrow(run, schema)
+
+
+def shared(spark: SparkSession, value) -> Callable:
+    """A function that gives ``value`` in a task, for values of a stated bound only.
+
+    It is broadcast as bytes that hold the classes it is made of, so an executor needs no copy of this package.
+    """
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    held: list = []
+
+    def get():
+        if not held:
+            held.append(cloudpickle.loads(sent.value))
+        return held[0]
 
-    return df.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)
+    return get
 
 
 def n_words(text) -> F.Column:

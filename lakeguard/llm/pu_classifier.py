@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeguard.llm.common import WORD, map_texts, small_batches
+from lakeguard.llm.common import WORD, map_rows, map_texts, shared, small_batches
 
 MAX_POSITIVES = 4000
 MAX_UNLABELLED = 8000
@@ -178,17 +178,18 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality"):
     return fit(p, u, prior) if len(p) and len(u) else Constant(prior)
 
 
-def score(docs: DataFrame, labels: DataFrame, keep: list[str], label: str = "quality", name: str = "score") -> DataFrame:
-    """Columns ``keep`` with the score of every whole text under ``name``."""
+def score(docs: DataFrame, labels: DataFrame, keep: list[str], label: str = "quality", name: str = "score",
+          nested: bool = False) -> DataFrame:
+    """Columns ``keep`` (inside a struct ``row`` if ``nested``) with the score of every whole text under ``name``."""
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(train(docs, labels, label))
+    model = shared(spark, train(docs, labels, label))
 
     def fn(texts):
         x = np.array([features(t) for t in texts]).reshape(-1, N_FEATURES)
-        return {name: shared.value.score(x).tolist()}
+        return {name: model().score(x).tolist()}
 
-    return map_texts(docs, keep, fn, {name: pa.float64()}, f"{name} double")
+    return (map_rows if nested else map_texts)(docs, keep, fn, {name: pa.float64()}, f"{name} double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
@@ -200,5 +201,5 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Data
 
 def accepted(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
     """The rows of ``docs`` whose score reaches the threshold, with their own columns."""
-    scored = score(docs, labels, docs.columns, label, name="__pu_score")
-    return scored.where(F.col("__pu_score") >= THRESHOLD).drop("__pu_score")
+    scored = score(docs, labels, docs.columns, label, nested=True)
+    return scored.where(F.col("score") >= THRESHOLD).select("row.*")

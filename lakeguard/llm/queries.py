@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeguard.llm import decontaminate, jaccard_join, line_runs, mixing, pu_classifier, quality_rules, secrets, token_counts, url_rules, warc
+from lakeguard.llm import (alignment, decontaminate, jaccard_join, licenses, line_runs, mixing, prefix_trie, pu_classifier,
+                           quality_rules, secrets, token_counts, url_rules, warc)
 from lakeguard.llm.common import table
 
 QUERIES = {}
@@ -109,3 +110,18 @@ from (
 def op10_url_rules(spark, sf_dir):
     judged = url_rules.judge(table(spark, sf_dir, "pages"), ["page_id"])
     return judged.select("page_id", "host", "path", "rule", "pattern", "verdict")
+
+
+@register("op11_prefix_trie")
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@register("op12_license_scan")
+def op12_license_scan(spark, sf_dir):
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents"), ["doc_id"]), ["doc_id"])
+
+
+@register("op13_tokenizer_alignment")
+def op13_tokenizer_alignment(spark, sf_dir):
+    return alignment.alignment_summary(table(spark, sf_dir, "documents"), ["doc_id"])

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lakeguard.llm import automaton
-from lakeguard.llm.common import map_texts, small_batches
+from lakeguard.llm.common import map_texts, shared, small_batches
 
 
 @dataclass(frozen=True)
@@ -121,14 +121,14 @@ class Scanner:
 def scan(docs: DataFrame, keep: list[str], base=BASE_RULES, added=ADDED_RULES) -> DataFrame:
     """Columns ``keep`` with a count per base kind, the hash of the base spans and all spans as text."""
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(Scanner((*base, *added)))
+    scanner = shared(docs.sparkSession, Scanner((*base, *added)))
     kinds = [r.kind for r in (*base, *added)]
     n_base = len(base)
     counts = [f"n_{r.kind}" for r in base]
 
     def fn(texts):
         out = {c: [] for c in (*counts, "base_sha256", "spans")}
-        for found in shared.value.scan(texts):
+        for found in scanner().scan(texts):
             for rule, name in enumerate(counts):
                 out[name].append(sum(r == rule for _, r, _ in found))
             said = [(f"{kinds[r]}:{s}:{e}", r < n_base) for s, r, e in found]
