@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(28,6)"
+REVENUE = "decimal(38,6)"   # a stored sum of such amounts
 
 
 def _c(col: Column | str) -> Column:

@@ -10,10 +10,12 @@ Incremental modes:
 
 * ``"latest_date"`` (the reference rule): re-aggregate dates ``>=`` the
   target's latest date and replace those rows;
-* ``"touched_dates"``: re-aggregate every date that holds a key changed in
-  this Silver run — old and new ``created_at`` date of each changed key — so
-  a correction to an old order also corrects Gold.  A date left without
-  orders disappears.
+* ``"touched_dates"``: Gold maintains itself from the change sets of the Silver
+  runs.  Every changed key gives signed rows, the old version retracted and the
+  new one added; they are summed per date (of the old and of the new
+  ``created_at``) and added to the date's exact sums, so a correction to an old
+  order also corrects Gold and no Silver row is read.  A date left without rows
+  disappears.
 """
 
 from __future__ import annotations
@@ -21,8 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeguard.functions.money import money_avg, money_sum
-from lakeguard.operators.merge import by_key, upsert
+from lakeguard.functions.money import MONEY, REVENUE, money_avg, money_sum
+from lakeguard.operators.merge import upsert
 from lakeguard.operators.watermark import high_watermark_filter
 
 KEY = "order_date"
@@ -58,31 +60,49 @@ def gold_delta(silver: DataFrame, watermark: Column | None) -> DataFrame:
     return high_watermark_filter(silver, KEY, watermark, strict=False, on=order_date())
 
 
-def touched_dates(changes: DataFrame, previous: DataFrame) -> DataFrame:
-    """Dates to recompute: new dates of changed keys ∪ their previous dates.
+# What a date's row is made of besides its counts: its Silver rows, those with an amount, and their exact sum.
+STATE_COLUMNS = ["_rows", "_priced", "_revenue"]
+_COUNTS = ["total_orders", "delivered_orders", "cancelled_orders", "_rows", "_priced"]
 
-    ``changes`` holds the new Silver rows of this run, ``previous`` the target
-    rows they replace (same keys).  Only (order_id, created_at) is read.
-    """
-    new = changes.select(order_date().alias(KEY))
-    old = previous.join(changes.select("order_id"), "order_id", "left_semi").select(
-        order_date().alias(KEY))
-    return new.unionByName(old).distinct()
 
+def _summed(rows: DataFrame, sign: Column) -> DataFrame:
+    """Counts and exact sums per order date; ``sign`` is 1 for a row that is there and -1 for one that goes."""
+    def n(condition: Column) -> Column:
+        return F.sum(F.when(condition, sign).otherwise(0)).cast("long")
 
-def gold_for_dates(silver: DataFrame, dates: DataFrame, key_is_unique: bool = True) -> DataFrame:
-    """Re-aggregate the given dates; ``silver`` is already pruned to their months.
+    return rows.groupBy(order_date().alias(KEY)).agg(
+        n(F.col("order_id").isNotNull()).alias("total_orders"),
+        n(F.col("status") == "delivered").alias("delivered_orders"),
+        n(F.col("status") == "cancelled").alias("cancelled_orders"),
+        F.sum(sign).cast("long").alias("_rows"), n(F.col("line_total").isNotNull()).alias("_priced"),
+        F.sum(F.coalesce(F.col("line_total"), F.lit(0.0)).cast(MONEY) * sign).cast(REVENUE).alias("_revenue"))
 
-    The months are aggregated first (a date leaves each task as one partial
-    row) and only the daily rows meet the dates, so no raw row is shuffled.
-    """
-    return by_key(daily_revenue(silver, key_is_unique), dates.select(KEY), KEY, "left_semi")
+
+def _finished(state: DataFrame) -> DataFrame:
+    revenue = F.when(F.col("_priced") > 0, F.col("_revenue").cast("double"))
+    return state.withColumns({"gross_revenue": revenue, "avg_order_value": revenue / F.col("_priced")}).select(
+        *GOLD_COLUMNS, *STATE_COLUMNS)
+
+
+def daily_state(silver: DataFrame) -> DataFrame:
+    """Gold rows with the sums they are made of, from Silver (one row per key)."""
+    return _finished(_summed(silver, F.lit(1)))
+
+
+def retraction(changes: DataFrame) -> DataFrame:
+    """What change sets (``_side`` new or old) add to each date; old versions count negative."""
+    return _summed(changes, F.when(F.col("_side") == "old", -1).otherwise(1))
+
+
+def add_changes(target: DataFrame, delta: DataFrame) -> DataFrame:
+    """``target`` with ``delta`` added; dates without rows go.  One row per date and side is shuffled."""
+    columns = [KEY, *_COUNTS, "_revenue"]
+    summed = target.select(*columns).unionByName(delta.select(*columns)).groupBy(KEY).agg(
+        *[F.sum(c).cast("long").alias(c) for c in _COUNTS], F.sum("_revenue").cast(REVENUE).alias("_revenue"))
+    return _finished(summed.where("_rows <> 0"))
 
 
-def merge_gold(target: DataFrame, recomputed: DataFrame, dates: DataFrame | None = None) -> DataFrame:
-    """Replace the recomputed dates; with ``dates`` given, dates in that set
-    that no longer have orders are removed as well."""
-    target = target.select(*GOLD_COLUMNS)
-    if dates is not None:
-        target = by_key(target, dates.select(KEY), KEY, "left_anti")
-    return upsert(target, recomputed.select(*GOLD_COLUMNS), KEY)
+def merge_gold(target: DataFrame, recomputed: DataFrame) -> DataFrame:
+    """Replace the recomputed dates."""
+    columns = [c for c in GOLD_COLUMNS + STATE_COLUMNS if c in target.columns and c in recomputed.columns]
+    return upsert(target.select(*columns), recomputed.select(*columns), KEY)

@@ -12,12 +12,13 @@ Order of effects, pinned by tests:
    ``_schema_version`` / ``_source``, is cast to the live physical types
    (ANSI cast: overflow fails loudly instead of wrapping; a float column that
    meets doubles becomes double) and written as the partition of its batch id;
-   the written-row count is observed on the write itself;
-5. the table's schema is recorded, the batch logged as appended, and one cost
-   row is appended.
+   row count and latest ``updated_at`` are observed on the write itself;
+5. the table's schema is recorded if it grew, the batch and what was observed
+   of it logged in ``batch_log``, and one cost row is appended.
 
 A batch id names a batch: a replay, after a crash or a repeated delivery, keeps
-the arrival stamp of the first attempt and replaces what that one wrote.
+the arrival stamp that the first attempt logged with its verdict, and replaces
+what that one wrote.
 """
 
 from __future__ import annotations
@@ -48,6 +49,10 @@ def gate(spark: SparkSession, batch: DataFrame, lake: lk.Lake, batch_id: str,
          seed_version: str = "v1") -> tuple[dict, str]:
     """Verdict of one batch against the live contract (N6 baseline rule): the
     Bronze table's recorded schema, or the seed contract on the first run."""
+    live = ct.live_schema(spark, lake.bronze)
+    if live is not None and ct.same_contract(batch.schema, live):
+        return {"batch_id": batch_id, "verdict": drift.NON_BREAKING, "added_columns": "[]", "removed_columns": "[]",
+                "type_changes": "[]", "affected_pipelines": "[]"}, f"live table: {lake.bronze}"
     baseline, source = ct.baseline_contract(spark, lake.bronze, "baseline", seed_version)
     incoming = ct.contract_of(spark, {batch_id: batch.schema})
     pair = spark.createDataFrame([(batch_id, "baseline")], "batch_id string, baseline_key string")
@@ -55,11 +60,11 @@ def gate(spark: SparkSession, batch: DataFrame, lake: lk.Lake, batch_id: str,
 
 
 def route(spark: SparkSession, lake: lk.Lake, verdict: dict, baseline: str,
-          evaluated_at: dt.datetime) -> None:
+          evaluated_at: dt.datetime, arrived_at: dt.datetime | None = None) -> None:
     """Log the verdict; raise on BREAKING after the incident row is written."""
     base = (evaluated_at, verdict["batch_id"], verdict["verdict"], verdict["added_columns"],
             verdict["removed_columns"], verdict["type_changes"], verdict["affected_pipelines"],
-            baseline)
+            baseline, arrived_at)
     if verdict["verdict"] == drift.NON_BREAKING:
         lk.append_log(spark, lake, "schema_change_log", [base])
     elif verdict["verdict"] == drift.BREAKING:
@@ -118,14 +123,8 @@ def conform(spark: SparkSession, batch: DataFrame, lake: lk.Lake) -> DataFrame:
 
 def first_arrival(spark: SparkSession, lake: lk.Lake, batch_id: str) -> dt.datetime | None:
     """Arrival stamp of a batch's first attempt, if there was one."""
-    log = lk.read_log(spark, lake, "progress_log").filter(
-        (F.col("event") == "started") & (F.col("batch_id") == batch_id))
-    return log.agg(F.min_by("ingested_at", "logged_at")).first()[0]
-
-
-def _progress(spark: SparkSession, lake: lk.Lake, event: str, source_id: str, batch_id: str,
-              ingested_at: dt.datetime) -> None:
-    lk.append_log(spark, lake, "progress_log", [(event, source_id, None, batch_id, ingested_at, utc_now())])
+    log = lk.read_log(spark, lake, "schema_change_log").filter(F.col("batch_id") == batch_id)
+    return log.agg(F.min("arrived_at")).first()[0]
 
 
 def ingest(spark: SparkSession, batch: DataFrame, lake: lk.Lake, *, batch_id: str,
@@ -140,24 +139,25 @@ def ingest(spark: SparkSession, batch: DataFrame, lake: lk.Lake, *, batch_id: st
     """
     started = time.monotonic()
     verdict, baseline = gate(spark, batch, lake, batch_id, seed_version)
-    route(spark, lake, verdict, baseline, evaluated_at or utc_now())
-
     ingested_at = first_arrival(spark, lake, batch_id) or ingested_at or utc_now()
-    source_id = lk.new_run_id()
-    _progress(spark, lake, "started", source_id, batch_id, ingested_at)
+    route(spark, lake, verdict, baseline, evaluated_at or utc_now(), ingested_at)
+
     out = enrich(conform(spark, batch, lake), ingested_at, schema_version, source).withColumn(
         "_batch_id", F.lit(batch_id))
-    schema = evolved_schema(ct.live_schema(spark, lake.bronze), out.schema)
+    live = ct.live_schema(spark, lake.bronze)
+    schema = evolved_schema(live, out.schema)
     obs = Observation(f"ingest_{batch_id}")
-    (out.observe(obs, F.count(F.lit(1)).alias("rows"))
+    newest = F.max("updated_at").cast("timestamp_ntz") if "updated_at" in out.columns else F.lit(None).cast("timestamp_ntz")
+    (out.observe(obs, F.count(F.lit(1)).alias("rows"), newest.alias("newest"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("_ingest_date", "_batch_id").parquet(lake.bronze))
     rows = int(obs.get["rows"])
-    # after the data: a failed first append leaves no baseline behind
-    ct.write_table_schema(spark, lake.bronze, schema)
-    _progress(spark, lake, "appended", source_id, batch_id, ingested_at)
-    runtime = time.monotonic() - started
-    log_cost(spark, lake, runtime, rows, run_type, source, dbu_per_hour=dbu_per_hour, rate=rate)
+    if schema != live:
+        # after the data: a failed first append leaves no baseline behind
+        ct.write_table_schema(spark, lake.bronze, schema)
+    lk.append_log(spark, lake, "batch_log", [
+        (lk.new_run_id(), batch_id, ingested_at, rows, obs.get["newest"], utc_now())])
+    log_cost(spark, lake, time.monotonic() - started, rows, run_type, source, dbu_per_hour=dbu_per_hour, rate=rate)
     return rows
 
 
@@ -170,12 +170,13 @@ def ingest_csv(spark: SparkSession, path: str, lake: lk.Lake, *, batch_id: str,
     """
     declared = ct.contract_struct(ct.seed_contracts(spark, [schema_version]))
     batch = files.read_csv_batch(spark, path, declared)
-    rows = ingest(spark, batch.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record"), lake,
-                  batch_id=batch_id, schema_version=schema_version, **settings)
     bad, obs = files.malformed_rows(batch), Observation(f"quarantine_{batch_id}")
+    # before the batch is logged: should the driver die between, a replay writes both again
     (bad.select("*", F.lit(batch_id).alias("_batch_id")).observe(obs, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("_batch_id").parquet(lake.quarantine))
+    rows = ingest(spark, batch.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record"), lake,
+                  batch_id=batch_id, schema_version=schema_version, **settings)
     return rows, int(obs.get["rows"])
 
 

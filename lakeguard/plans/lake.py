@@ -11,21 +11,28 @@ Parquet:
   upstream columns with them.
 * Silver ``orders_cleaned``: partitioned by ``_part`` = created month
   (yyyymm).  A merge rewrites only the months of the keys it changes.
-* Gold ``daily_revenue``: one row per date, partitioned by ``_year``.
-* Logs: small append-only tables, one file per append.
+* Gold ``daily_revenue``: one row per date, partitioned by ``_year``, with the
+  exact sums behind its averages in columns that begin with an underscore.
+* Logs: append-only tables, partitioned by the day they were written on.
+
+Tables are rewritten partition by partition with the engine's own dynamic
+partition overwrite (:func:`overwrite_partitions`).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeguard.sources.contracts import hadoop_path, path_exists
 
+LOG_DAY = "_day"   # partition column of the logs: the UTC day of the append
+
 LOG_SCHEMAS = {
     "schema_change_log": T.StructType([
         T.StructField("evaluated_at", T.TimestampNTZType()),
@@ -36,6 +43,7 @@ LOG_SCHEMAS = {
         T.StructField("type_changes", T.StringType()),
         T.StructField("affected_pipelines", T.StringType()),
         T.StructField("baseline", T.StringType()),
+        T.StructField("arrived_at", T.TimestampNTZType()),
     ]),
     "sla_check_log": T.StructType([
         T.StructField("check_name", T.StringType()),
@@ -66,16 +74,16 @@ LOG_SCHEMAS = {
         T.StructField("committed_at", T.TimestampNTZType()),
         T.StructField("target", T.StringType()),
         T.StructField("partitions", T.StringType()),
+        T.StructField("sources", T.StringType()),
     ]),
 }
-# What was written and which run took it: event ``started`` / ``appended`` per
-# ingest attempt (source_id), ``taken`` per (source_id, run_id).
-LOG_SCHEMAS["progress_log"] = T.StructType([
-    T.StructField("event", T.StringType()),
+# One row per write of a batch to Bronze, with what was observed on that write.
+LOG_SCHEMAS["batch_log"] = T.StructType([
     T.StructField("source_id", T.StringType()),
-    T.StructField("run_id", T.StringType()),
     T.StructField("batch_id", T.StringType()),
     T.StructField("ingested_at", T.TimestampNTZType()),
+    T.StructField("rows", T.LongType()),
+    T.StructField("latest_updated_at", T.TimestampNTZType()),
     T.StructField("logged_at", T.TimestampNTZType()),
 ])
 LOG_SCHEMAS["incident_log"] = T.StructType(
@@ -138,12 +146,15 @@ def append_log(spark: SparkSession, lake: Lake, name: str, rows: DataFrame | lis
     table's explicit one, so an empty append still has a schema."""
     schema = LOG_SCHEMAS[name]
     df = rows if isinstance(rows, DataFrame) else spark.createDataFrame(rows, schema)
+    today = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d")
     df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]) \
-        .coalesce(1).write.mode("append").parquet(lake.log(name))
+        .coalesce(1).write.mode("append").parquet(f"{lake.log(name)}/{LOG_DAY}={today}")
 
 
 def read_log(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
-    return read_or_empty(spark, lake.log(name), LOG_SCHEMAS[name])
+    schema = LOG_SCHEMAS[name]
+    day = T.StructType([*schema.fields, T.StructField(LOG_DAY, T.IntegerType())])
+    return read_or_empty(spark, lake.log(name), day).select(*schema.fieldNames())
 
 
 def silver_partition() -> Column:
@@ -157,102 +168,90 @@ def gold_partition() -> Column:
     return F.coalesce(F.year("order_date"), F.lit(0)).cast("int")
 
 
-def reset(spark: SparkSession, lake: Lake) -> None:
+def reset(spark: SparkSession, lake: Lake, silver: T.StructType, gold: T.StructType) -> None:
     """K7: Bronze is dropped with its schema (so the next run seeds the
-    contract from v1 again); every other table is emptied.  Errors propagate."""
-    def delete(path: str) -> None:
-        fs, p = hadoop_path(spark, path)
-        if fs.exists(p) and not fs.delete(p, True):
-            raise OSError(f"could not delete {path}")
-
-    delete(lake.bronze)
-    delete(lake.quarantine)
-    # Silver and Gold schemas are fixed by their models, so an absent
-    # partitioned table is their empty state; the next run rebuilds them.
-    delete(lake.silver)
-    delete(lake.gold)
-    for name, schema in LOG_SCHEMAS.items():
-        if exists(spark, lake.log(name)):
-            spark.createDataFrame([], schema).write.mode("overwrite").parquet(lake.log(name))
-
-
-def _fs(spark: SparkSession, path: str):
-    return hadoop_path(spark, path)
-
-
-def _move(spark: SparkSession, src: str, dst: str) -> None:
-    fs, s = _fs(spark, src)
-    _, d = _fs(spark, dst)
-    if not fs.rename(s, d):
-        raise OSError(f"could not move {src} to {dst}")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
+    contract from v1 again); every other table is emptied and keeps its schema,
+    Silver and Gold that of their models.  Errors propagate."""
+    delete_path(spark, lake.bronze)
+    delete_path(spark, lake.quarantine)
+    delete_path(spark, lake.table("_staging", "").rstrip("/"))
+    empty = {lake.silver: silver, lake.gold: gold} | {lake.log(n): schema for n, schema in LOG_SCHEMAS.items()}
+    for path, schema in empty.items():
+        if exists(spark, path):
+            delete_path(spark, path)
+            spark.createDataFrame([], schema).write.parquet(path)
+
+
+def partitions_of(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Partition values of a table as their folders name them (a listing, no data read)."""
+    fs, p = hadoop_path(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
+    fs, p = hadoop_path(spark, path)
     if fs.exists(p) and not fs.delete(p, True):
         raise OSError(f"could not delete {path}")
 
 
-def _children(spark: SparkSession, path: str) -> set[str]:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return set()
-    return {st.getPath().getName() for st in fs.listStatus(p)}
+def overwrite_partitions(df: DataFrame, path: str, column: str, touched: list[str], name: str, *metrics) -> dict:
+    """Replace the partitions of ``df`` by the engine's dynamic partition overwrite.
 
-
-def swap_partitions(spark: SparkSession, staged: str, target: str, trash: str,
-                    partitions: list[str]) -> None:
-    """Publish staged partition directories into ``target`` by renames.
-
-    Per partition: move the target's copy to ``trash``, then move the staged
-    copy in.  Re-running after an interruption is safe: a partition whose
-    staged copy is gone is done; one whose target copy is already in trash
-    only needs its staged copy moved.  A name prefixed with ``-`` is a
-    partition to remove (full refresh): its target copy goes to trash.  No
-    data is rewritten.
+    ``df`` may read the table itself: its files are replaced only after the last
+    task has ended.  Partitions of ``touched`` that ``df`` has no row for are
+    deleted afterwards.  Done again with the same rows, it ends in the same table.
+    Returns the metrics, which are observed on the write, and ``written``.
+    """
+    spark = df.sparkSession
+    obs = Observation(name)
+    # Rows of a partition meet for few files each; AQE splits a hot one over several tasks and merges small ones.
+    out = df.hint("rebalance", column).observe(obs, F.collect_set(column).alias("written"), *metrics)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    seen = obs.get
+    for value in set(touched) - {str(v) for v in seen["written"]}:
+        delete_path(spark, f"{path}/{column}={value}")
+    return seen
+
+
+def compact_log(spark: SparkSession, lake: Lake, name: str, target_bytes: int = 128 << 20,
+                before: int | None = None) -> dict[int, int]:
+    """Rewrite the closed days of a log as files of about ``target_bytes``.
+
+    A day is closed once writers have gone on to the next; those of today are
+    left alone, so writers need not stop.  Days are rewritten by as many tasks as
+    their bytes need.  The new files are staged whole before they replace the old
+    ones, so an interrupted call is finished by the next.  Returns files by day.
     """
-    in_staged = _children(spark, staged)
-    in_target = _children(spark, target)
-    in_trash = _children(spark, trash)
-    fs, _ = _fs(spark, target)
-    for d in (target, trash):
-        _, p = _fs(spark, d)
-        if not fs.exists(p):
-            fs.mkdirs(p)
-    for part in partitions:
-        if part.startswith("-"):
-            gone = part[1:]
-            if gone in in_target and gone not in in_trash:
-                _move(spark, f"{target}/{gone}", f"{trash}/{gone}")
-            continue
-        if part not in in_staged:
-            continue  # published already (or nothing staged for it)
-        if part in in_target and part not in in_trash:
-            _move(spark, f"{target}/{part}", f"{trash}/{part}")
-        _move(spark, f"{staged}/{part}", f"{target}/{part}")
-
-
-def compact_log(spark: SparkSession, lake: Lake, name: str, run_id: str | None = None) -> int:
-    """Rewrite one log table into a single file (logs grow by one small file
-    per append).  The compacted copy is written to staging, then swapped in
-    by two directory renames; an interrupted swap is finished by calling this
-    again with the same ``run_id``.  Run it while no writer appends to the log.
-    Returns the number of rows."""
-    run_id = run_id or new_run_id()
-    path = lake.log(name)
-    staged = lake.staging(run_id, f"compact_{name}")
-    trash = lake.staging(run_id, f"compact_{name}_old")
-    if _exists(spark, staged + "/_SUCCESS") or not _exists(spark, path):
-        pass  # resuming: the compacted copy is already complete
-    else:
-        read_log(spark, lake, name).coalesce(1).write.mode("overwrite").parquet(staged)
-    if _exists(spark, path) and not _exists(spark, trash):
-        _move(spark, path, trash)
-    if _exists(spark, staged):
-        _move(spark, staged, path)
-    return read_log(spark, lake, name).count()
+    path, staged = lake.log(name), lake.table("_staging", f"compact_{name}")
+    today = int(dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d")) if before is None else before
+    fs, _ = hadoop_path(spark, path)
+
+    def files(folder: str) -> list[int]:
+        _, p = hadoop_path(spark, folder)
+        return [st.getLen() for st in fs.listStatus(p) if st.getPath().getName().endswith(".parquet")] if fs.exists(p) else []
+
+    def publish() -> None:
+        rows = spark.read.schema(T.StructType([*LOG_SCHEMAS[name].fields, T.StructField(LOG_DAY, T.IntegerType())])).parquet(staged)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(LOG_DAY).parquet(path)
+        delete_path(spark, staged)
+
+    if exists(spark, f"{staged}/_SUCCESS"):      # staged by a call that did not end
+        publish()
+    delete_path(spark, staged)
+    made = {}
+    for day in partitions_of(spark, path, LOG_DAY):
+        sizes = files(f"{path}/{LOG_DAY}={day}")
+        wanted = max(1, -(-sum(sizes) // target_bytes))
+        if int(day) < today and len(sizes) > wanted:
+            made[int(day)] = wanted
+    if not made:
+        return {}
+    for day, wanted in made.items():
+        rows = spark.read.schema(LOG_SCHEMAS[name]).parquet(f"{path}/{LOG_DAY}={day}")
+        rows.repartition(wanted).write.mode("overwrite").parquet(f"{staged}/{LOG_DAY}={day}")
+    fs.create(hadoop_path(spark, f"{staged}/_SUCCESS")[1], True).close()
+    publish()
+    return made

@@ -1,34 +1,32 @@
 """Model runs that write Silver and Gold (operators K4, K5, K6, M1-M3).
 
-An incremental run never rewrites more than the partitions it touches, and
-every run publishes with the same recoverable protocol:
-
-1. the change set (one row per changed ``order_id``) and the partition and
-   created date of the target row each replaces are written to a run-scoped
-   staging table in one job (only narrow target columns are shuffled to find
-   those rows) — a written table cuts the lineage, so a lost executor
-   recomputes from it, not from Bronze;
-2. touched partitions, row count and new watermarks are observed on that
-   same write (``Observation`` on its result stage: no second pass; partition
-   ids are bounded by the number of months, so they come back to the driver
-   and serve as a partition-pruning literal);
-3. the merged content of the touched partitions is written once, to staging;
-4. publish: a ``staged`` row (partitions, watermarks) is logged, each touched
-   partition's old directory is moved aside and the staged one renamed into
-   place, then a ``committed`` row is logged (a run that touches no
-   partition has nothing to finish and logs only ``committed``).  The moves
-   are idempotent, so a run interrupted anywhere is finished by
-   :func:`recover` before the next run starts; the watermark a run reads is
-   always that of the last *committed* run.
-
-What a run has to take is not guessed from timestamps: ``progress_log`` names
-every appended batch, and every source a run took.  Silver takes the batches,
-and Gold the Silver runs, that no committed run of theirs has taken, so late or
-equal stamps and interrupted runs lose nothing.
-
-Readers may briefly miss a partition during the renames (as with Spark's own
-dynamic partition overwrite); they never see a mix of old and new rows of one
-partition.
+Every run goes the same way, and may be done again at any point:
+
+1. what decides the result is written to a run-scoped staging table: for Silver
+   the change set (per changed ``order_id`` its new row, and of the row it
+   replaces what Gold counts), for Gold the finished rows of the touched years.
+   A written table cuts the lineage, so a lost executor recomputes from it, not
+   from Bronze;
+2. the touched partitions, with the sources the run takes, are logged as
+   ``planned``;
+3. the touched partitions are replaced by the engine's dynamic partition
+   overwrite, and those left without rows are deleted;
+4. one ``committed`` row is logged.
+
+A run that was planned but not committed is done again by the next one from
+step 3 on.  That ends in the same table: a merge of the same change set over
+its own result changes nothing, and Gold's rows are finished before they are
+published.  Should the driver die while the engine swaps a partition in, that
+partition may be missing; its rows are then taken from Bronze's batches.
+
+What a run has to take is not guessed from timestamps: ``batch_log`` names every
+batch written to Bronze, and ``run_log`` the sources each run took.  Silver
+takes the batches, and Gold the Silver runs, that no committed run of theirs has
+taken, so late or equal stamps and interrupted runs lose nothing.
+
+Gold is maintained from Silver's change sets: the old version of a changed row
+is retracted from its date and the new one added (``gold.retraction``), so an
+incremental run reads no Silver file.
 """
 
 from __future__ import annotations
@@ -49,6 +47,8 @@ from lakeguard.plans import silver as sv
 from lakeguard.plans.ingest import utc_now
 from lakeguard.sources import contracts as ct
 
+PART, YEAR = "_part", "_year"
+
 
 @contextmanager
 def _step(timings: dict, name: str):
@@ -62,11 +62,13 @@ class SinkSchemaDrift(Exception):
 
 
 # ------------------------------------------------------------------ run log
-def _log(spark, lake, run_id, stage, mode, status, rows=None, wm_u=None, wm_i=None, wm_d=None,
-         target=None, partitions=None) -> None:
+MARKS = ("rows", "watermark_updated_at", "watermark_ingested_at", "watermark_order_date")
+
+
+def _log(spark, lake, run_id, stage, mode, status, target, partitions, sources, **marks) -> None:
     lk.append_log(spark, lake, "run_log", [(
-        run_id, stage, mode, status, None if rows is None else int(rows), wm_u, wm_i, wm_d,
-        utc_now(), target, None if partitions is None else ",".join(partitions))])
+        run_id, stage, mode, status, *[marks.get(m) for m in MARKS], utc_now(), target,
+        ",".join(map(str, partitions)), ",".join(sorted(set(sources))))])
 
 
 def _committed(spark: SparkSession, lake: lk.Lake, stage: str) -> DataFrame:
@@ -74,95 +76,48 @@ def _committed(spark: SparkSession, lake: lk.Lake, stage: str) -> DataFrame:
         (F.col("stage") == stage) & (F.col("status") == "committed"))
 
 
-def _untaken(sources: DataFrame, spark: SparkSession, lake: lk.Lake, stage: str) -> DataFrame:
-    """Rows of ``sources`` (by source_id) that no committed run of ``stage`` has taken."""
-    taken = lk.read_log(spark, lake, "progress_log").filter(F.col("event") == "taken").join(
-        _committed(spark, lake, stage).select("run_id"), "run_id", "left_semi")
-    return sources.join(taken.select("source_id"), "source_id", "left_anti")
+def _taken(spark: SparkSession, lake: lk.Lake, stage: str) -> DataFrame:
+    """Sources that the committed runs of ``stage`` took."""
+    return _committed(spark, lake, stage).select(F.explode(F.split("sources", ",")).alias("source_id"))
 
 
 def _new_batches(spark: SparkSession, lake: lk.Lake) -> list:
-    """Appended batches that no committed Silver run has taken: one log row each."""
-    appended = lk.read_log(spark, lake, "progress_log").filter(F.col("event") == "appended")
-    return _untaken(appended, spark, lake, "silver").select("source_id", "batch_id", "ingested_at").collect()
+    """Batches in Bronze that no committed Silver run has taken: one log row each."""
+    log = lk.read_log(spark, lake, "batch_log").select("source_id", "batch_id", "ingested_at")
+    return log.join(_taken(spark, lake, "silver"), "source_id", "left_anti").collect()
 
 
 def _new_silver_runs(spark: SparkSession, lake: lk.Lake) -> list:
     """Committed Silver runs with changes that no committed Gold run has taken."""
-    runs = _committed(spark, lake, "silver").filter(F.coalesce("partitions", F.lit("")) != "")
-    return _untaken(runs.withColumnRenamed("run_id", "source_id"), spark, lake, "gold").select(
-        "source_id", "mode", "partitions").distinct().collect()
-
-
-def _take(spark: SparkSession, lake: lk.Lake, run_id: str, source_ids) -> None:
-    """Note what a run takes; it counts once the run is committed."""
-    if source_ids:
-        lk.append_log(spark, lake, "progress_log", [
-            ("taken", s, run_id, None, None, utc_now()) for s in sorted(set(source_ids))])
-
-
-def _finish(spark: SparkSession, lake: lk.Lake, pending) -> list[str]:
-    finished = []
-    for r in pending:  # only interrupted runs: normally none
-        parts = r["partitions"].split(",") if r["partitions"] else []
-        lk.swap_partitions(spark, lake.staging(r["run_id"], "publish"), r["target"],
-                           lake.staging(r["run_id"], "trash"), parts)
-        _log(spark, lake, r["run_id"], r["stage"], r["mode"], "committed", r["rows"],
-             r["watermark_updated_at"], r["watermark_ingested_at"], r["watermark_order_date"],
-             r["target"], parts)
-        _clear(spark, lake, r["run_id"])
-        finished.append(r["run_id"])
-    return finished
-
-
-def recover(spark: SparkSession, lake: lk.Lake) -> list[str]:
-    """Finish every run that logged ``staged`` but not ``committed``."""
-    log = lk.read_log(spark, lake, "run_log").filter(F.col("stage").isin("silver", "gold"))
-    pending = (log.filter(F.col("status") == "staged")
-               .join(log.filter(F.col("status") == "committed").select("run_id"), "run_id", "left_anti"))
-    return _finish(spark, lake, pending.collect())
+    runs = _committed(spark, lake, "silver").filter(F.col("partitions") != "").select(
+        F.col("run_id").alias("source_id"), "mode", "partitions").distinct()
+    return runs.join(_taken(spark, lake, "gold"), "source_id", "left_anti").collect()
 
 
 def _open_run(spark: SparkSession, lake: lk.Lake, stage: str):
-    """Start an incremental run: finish interrupted runs and return the last
-    committed run of ``stage`` (one partial row per task, no window)."""
-    recover(spark, lake)
-    log = _committed(spark, lake, stage)
-    newest = F.max_by(F.struct(*log.columns), F.struct("committed_at", "run_id"))
-    return log.agg(newest.alias("r")).first()["r"]
-
-
-def _clear(spark: SparkSession, lake: lk.Lake, run_id: str) -> None:
-    """Remove what a committed run published from and replaced."""
-    for name in ("publish", "trash"):
-        lk.delete_path(spark, lake.staging(run_id, name))
-
-
-def _publish(spark, lake, run_id, stage, mode, target, partitions, rows, wm_u=None, wm_i=None,
-             wm_d=None) -> None:
-    marks = (rows, wm_u, wm_i, wm_d, target, partitions)
-    if partitions:  # nothing to swap means nothing to finish after a crash
-        _log(spark, lake, run_id, stage, mode, "staged", *marks)
-        lk.swap_partitions(spark, lake.staging(run_id, "publish"), target,
-                           lake.staging(run_id, "trash"), partitions)
-    _log(spark, lake, run_id, stage, mode, "committed", *marks)
-    _clear(spark, lake, run_id)
-
-
-def _partition_dirs(spark: SparkSession, path: str, column: str) -> list[str]:
-    """Partition directory names of a table (a listing, no data read)."""
-    if not lk.exists(spark, path):
-        return []
-    fs, p = lk._fs(spark, path)
-    return sorted(st.getPath().getName() for st in fs.listStatus(p)
-                  if st.isDirectory() and st.getPath().getName().startswith(f"{column}="))
-
-
-def _full_refresh_parts(spark, staged: str, target: str, column: str) -> list[str]:
-    """Every staged partition, plus ``-name`` for target partitions that the
-    rebuilt table no longer has."""
-    new = _partition_dirs(spark, staged, column)
-    return new + [f"-{p}" for p in _partition_dirs(spark, target, column) if p not in set(new)]
+    """The last committed run of ``stage``; a run that was planned but not committed is finished first."""
+    row = F.struct(*lk.LOG_SCHEMAS["run_log"].fieldNames())
+    runs = (lk.read_log(spark, lake, "run_log").filter(F.col("stage") == stage).groupBy("run_id")
+            .agg(F.max_by(row, F.col("status") == "committed").alias("r")))
+    done = F.col("r.status") == "committed"
+    state = runs.agg(F.max_by(F.when(done, F.col("r")), F.when(done, F.struct("r.committed_at", "run_id"))).alias("last"),
+                     F.collect_list(F.when(~done, F.col("r"))).alias("open")).first()
+    for r in sorted(state["open"], key=lambda r: r["committed_at"]):  # an interrupted run: normally none
+        replay(spark, lake, r)
+    return _open_run(spark, lake, stage) if state["open"] else state["last"]
+
+
+def replay(spark: SparkSession, lake: lk.Lake, run) -> None:
+    """Do a planned run again from its staging table."""
+    parts = run["partitions"].split(",") if run["partitions"] else []
+    sources = run["sources"].split(",") if run["sources"] else []
+    marks = {m: run[m] for m in MARKS}
+    if run["mode"] == "full_refresh":
+        (silver_full_refresh if run["stage"] == "silver" else gold_full_refresh)(spark, lake, run_id=run["run_id"])
+    elif run["stage"] == "silver":
+        _publish_silver(spark, lake, run["run_id"], run["mode"], parts, sources, marks)
+    else:
+        _publish_gold(spark, lake, run["run_id"], run["mode"], parts, sources, marks)
 
 
 # ------------------------------------------------------------------ checks
@@ -177,6 +132,8 @@ def check_sink_contract(spark: SparkSession, output: DataFrame, target_path: str
             return
         target = spark.read.parquet(target_path)
     keep = lambda s: T.StructType([f for f in s.fields if f.name not in ignore])
+    if ct.same_contract(keep(output.schema), keep(target.schema), drop_system=False):
+        return
     pair = spark.createDataFrame([("output", "target")], "batch_id string, baseline_key string")
     bad = drift.column_changes(ct.contract_of(spark, {"output": keep(output.schema)}, drop_system=False),
                                ct.contract_of(spark, {"target": keep(target.schema)}, drop_system=False),
@@ -186,49 +143,73 @@ def check_sink_contract(spark: SparkSession, output: DataFrame, target_path: str
 
 
 # ------------------------------------------------------------------ Silver
-def _observed(df: DataFrame, name: str, *metrics) -> tuple[DataFrame, Observation | None]:
-    """Attach metrics to the write itself.  Placed above the last shuffle, the
-    metrics are computed in the write's result stage, whose task results
-    Spark merges once per partition even when tasks are retried."""
-    if not metrics:
-        return df, None
-    obs = Observation(name)
-    return df.observe(obs, *metrics), obs
+def _bronze(spark: SparkSession, lake: lk.Lake) -> DataFrame:
+    """Bronze with its recorded schema: no footer inference over its files."""
+    return spark.read.schema(ct.live_schema(spark, lake.bronze)).parquet(lake.bronze)
 
 
-def _write_silver(df: DataFrame, path: str, *metrics) -> dict | None:
-    # REBALANCE clusters rows by month for few files per partition, and AQE
-    # splits a hot month over several tasks and merges small ones.
-    out, obs = _observed(df.withColumn("_part", lk.silver_partition()).hint("rebalance", "_part"),
-                         "silver_write", *metrics)
-    out.write.mode("overwrite").partitionBy("_part").parquet(path)
-    return obs.get if obs else None
+def silver_table(spark: SparkSession, lake: lk.Lake) -> DataFrame:
+    """The Silver model's columns."""
+    return spark.read.parquet(lake.silver).select(*sv.SILVER_COLUMNS)
 
 
-def _bronze(spark: SparkSession, lake: lk.Lake) -> DataFrame:
-    """Bronze with its recorded schema: no footer inference over its files."""
-    return spark.read.schema(ct.live_schema(spark, lake.bronze)).parquet(lake.bronze)
+def gold_table(spark: SparkSession, lake: lk.Lake) -> DataFrame:
+    """The Gold model's columns."""
+    return spark.read.parquet(lake.gold).select(*gd.GOLD_COLUMNS)
+
+
+def _with_part(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(PART, lk.silver_partition())
+
+
+def _latest(*values):
+    return max((v for v in values if v is not None), default=None)
 
 
 def silver_full_refresh(spark: SparkSession, lake: lk.Lake,
                         version_order: Sequence[str] = sv.DEFAULT_VERSION_ORDER,
                         run_id: str | None = None) -> dict:
     """K5: rebuild Silver from all of Bronze (latest version per key)."""
-    recover(spark, lake)
     run_id = run_id or lk.new_run_id()
     timings: dict[str, float] = {}
-    batches = _new_batches(spark, lake)  # before Bronze is read: it holds all of these
-    staged = lake.staging(run_id, "publish")
+    sources = [b["source_id"] for b in _new_batches(spark, lake)]  # before Bronze is read: it holds all of these
+    before = lk.partitions_of(spark, lake.silver, PART)
+    _log(spark, lake, run_id, "silver", "full_refresh", "planned", lake.silver, before, sources)
     with _step(timings, "build"):
-        wm = _write_silver(sv.silver_full(_bronze(spark, lake), version_order), staged,
-                           F.count(F.lit(1)).alias("rows"), F.max("updated_at").alias("max_updated"),
-                           F.max("_ingested_at").alias("max_ingested"))
-    parts = _full_refresh_parts(spark, staged, lake.silver, "_part")
-    _take(spark, lake, run_id, [b["source_id"] for b in batches])
-    with _step(timings, "publish"):
-        _publish(spark, lake, run_id, "silver", "full_refresh", lake.silver, parts,
-                 wm["rows"], wm["max_updated"], wm["max_ingested"])
-    return {"run_id": run_id, "rows": wm["rows"], "mode": "full_refresh", "timings": timings}
+        seen = lk.overwrite_partitions(
+            _with_part(sv.silver_full(_bronze(spark, lake), version_order)), lake.silver, PART, before, f"silver_{run_id}",
+            F.count(F.lit(1)).alias("rows"), F.max("updated_at").alias("max_updated"), F.max("_ingested_at").alias("max_ingested"))
+    _log(spark, lake, run_id, "silver", "full_refresh", "committed", lake.silver, sorted(seen["written"]), sources,
+         rows=seen["rows"], watermark_updated_at=seen["max_updated"], watermark_ingested_at=seen["max_ingested"])
+    return {"run_id": run_id, "rows": seen["rows"], "mode": "full_refresh", "partitions": len(seen["written"]), "timings": timings}
+
+
+def _rebuilt(spark: SparkSession, lake: lk.Lake, months: list[str], sources: list[str]) -> DataFrame:
+    """Silver rows of ``months`` from the Bronze batches that the committed runs and ``sources`` took."""
+    taken = _taken(spark, lake, "silver").unionByName(spark.createDataFrame([(s,) for s in sources], "source_id string"))
+    batches = lk.read_log(spark, lake, "batch_log").join(taken, "source_id", "left_semi").select("batch_id").distinct()
+    bronze = _bronze(spark, lake).join(batches.withColumnRenamed("batch_id", "_batch_id"), "_batch_id", "left_semi")
+    return _with_part(sv.silver_full(bronze)).filter(F.col(PART).isin([int(m) for m in months])).drop(PART)
+
+
+def _publish_silver(spark: SparkSession, lake: lk.Lake, run_id: str, mode: str, parts: list[str], sources: list[str],
+                    marks: dict) -> None:
+    """Merge a staged change set into the touched months, and commit.
+
+    ``parts``: the touched months, with a ``+`` before those that the table did not have.
+    """
+    touched = [p.lstrip("+") for p in parts]
+    if touched:
+        there = set(lk.partitions_of(spark, lake.silver, PART))
+        lost = [p for p in parts if not p.startswith("+") and p not in there]
+        changes = spark.read.parquet(lake.staging(run_id, "changes"))
+        table = spark.read.schema(changes.drop("_side").schema).parquet(lake.silver)  # also of a table that lost all its months
+        current = table.filter(F.col(PART).isin([int(p) for p in touched])).select(*sv.SILVER_COLUMNS)
+        if lost:
+            current = current.unionByName(_rebuilt(spark, lake, lost, sources))
+        merged = sv.merge_changes(current, changes.filter(F.col("_side") == "new"))
+        lk.overwrite_partitions(_with_part(merged), lake.silver, PART, touched, f"silver_{run_id}")
+    _log(spark, lake, run_id, "silver", mode, "committed", lake.silver, touched, sources, **marks)
 
 
 def silver_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "arrival",
@@ -244,173 +225,143 @@ def silver_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "arrival"
     if mode not in ("arrival", "event_time"):
         raise ValueError(f"unknown incremental mode {mode!r}")
     last = _open_run(spark, lake, "silver")
-    if not lk.exists(spark, lake.silver):
+    there = lk.partitions_of(spark, lake.silver, PART)
+    if not there:
         return silver_full_refresh(spark, lake, version_order, run_id)
     run_id = run_id or lk.new_run_id()
     timings: dict[str, float] = {}
+    previous = {m: last[m] if last else None for m in MARKS[1:]}
     target = spark.read.parquet(lake.silver)
     bronze = _bronze(spark, lake)
-    wm_value, batches = None, []
+    wm, sources = None, []
     if mode == "event_time":
-        wm_value = last["watermark_updated_at"] if last else target.agg(F.max("updated_at")).first()[0]
+        wm = last["watermark_updated_at"] if last else target.agg(F.max("updated_at")).first()[0]
     else:
         batches = _new_batches(spark, lake)
+        sources = [b["source_id"] for b in batches]
         if not batches:
-            marks = (last["watermark_updated_at"], last["watermark_ingested_at"]) if last else (None, None)
-            _publish(spark, lake, run_id, "silver", mode, lake.silver, [], 0, *marks)
-            return {"run_id": run_id, "rows": 0, "mode": mode, "partitions": 0,
-                    "touched_dates_path": None, "touched_months": [], "timings": timings}
+            _publish_silver(spark, lake, run_id, mode, [], [], previous | {"rows": 0})
+            return {"run_id": run_id, "rows": 0, "mode": mode, "partitions": 0, "touched_months": [], "timings": timings}
         # both are partition columns: only the new batches' files are read
         bronze = bronze.filter(F.col("_ingest_date").isin(sorted({b["ingested_at"].date() for b in batches}))
                                & F.col("_batch_id").isin(sorted({b["batch_id"] for b in batches})))
-    wm = F.lit(wm_value.isoformat(sep=" ")).cast("timestamp_ntz") if wm_value else None
-    stage = sv.staged_change_set(bronze, target, lk.silver_partition(), mode=mode, watermark=wm,
+    stage = sv.staged_change_set(bronze, target, lk.silver_partition(), mode=mode,
+                                 watermark=F.lit(wm.isoformat(sep=" ")).cast("timestamp_ntz") if wm else None,
                                  version_order=version_order)
-    check_sink_contract(spark, stage.select(*sv.SILVER_COLUMNS), lake.silver, ignore=["_part"],
-                        target=target)
-
-    # 1. stage the changed keys' new rows and their current partitions and
-    # dates, in one job; 2. touched partitions, row count and watermarks are
-    # observed on that write
-    changes_path = lake.staging(run_id, "silver_changes")
-    is_new = F.col("_side") == "new"
+    check_sink_contract(spark, stage.select(*sv.SILVER_COLUMNS), lake.silver, ignore=[PART], target=target)
+
+    # the changed keys' new rows and what Gold counts of the rows they replace,
+    # in one job; touched months, row count and watermarks are observed on that
+    # write (months come back to the driver: they are bounded by the calendar)
+    is_new, obs = F.col("_side") == "new", Observation(f"changes_{run_id}")
     with _step(timings, "stage_changes"):
-        stage, obs = _observed(
-            stage, "silver_changes",
-            F.array_sort(F.collect_set("_part")).alias("parts"),  # bounded by #months
-            F.count_if(is_new).alias("rows"),
-            F.max(F.when(is_new, F.col("updated_at"))).alias("max_updated"),
-            F.max(F.when(is_new, F.col("_ingested_at"))).alias("max_ingested"))
-        stage.write.mode("overwrite").parquet(changes_path)
-        summary = obs.get
-    staged = spark.read.parquet(changes_path)
-    touched = list(summary["parts"])
-    # Gold's touched dates: new and previous created dates of changed keys
-    dates_path = lake.staging(run_id, "touched_dates")
-    with _step(timings, "touched_dates"):
-        staged.select(gd.order_date().alias(gd.KEY)).distinct().write.mode("overwrite").parquet(dates_path)
-    prev_u = last["watermark_updated_at"] if last else wm_value if mode == "event_time" else None
-    prev_i = last["watermark_ingested_at"] if last else None
-    new_u = max([x for x in (prev_u, summary["max_updated"]) if x is not None], default=None)
-    new_i = max([x for x in (prev_i, summary["max_ingested"]) if x is not None], default=None)
-    # 3. merged content of the touched partitions, written once
-    if touched:
-        current = target.filter(F.col("_part").isin(touched))
-        merged = sv.merge_changes(current, staged.filter(is_new).drop("_side", "_part"))
-        with _step(timings, "stage_merged"):
-            _write_silver(merged, lake.staging(run_id, "publish"))
-    # a touched partition that the merge left empty is published as a removal
-    staged_parts = set(_partition_dirs(spark, lake.staging(run_id, "publish"), "_part"))
-    parts = [p if p in staged_parts else f"-{p}" for p in (f"_part={t}" for t in touched)]
-    # 4. publish and commit
-    _take(spark, lake, run_id, [b["source_id"] for b in batches])
+        stage.observe(obs, F.array_sort(F.collect_set(PART)).alias("parts"), F.count_if(is_new).alias("rows"),
+                      F.max(F.when(is_new, F.col("updated_at"))).alias("max_updated"),
+                      F.max(F.when(is_new, F.col("_ingested_at"))).alias("max_ingested")
+                      ).write.mode("overwrite").parquet(lake.staging(run_id, "changes"))
+        seen = obs.get
+    parts = [str(p) if str(p) in there else f"+{p}" for p in seen["parts"]]
+    marks = previous | {"rows": seen["rows"], "watermark_updated_at": _latest(previous["watermark_updated_at"], seen["max_updated"]),
+                        "watermark_ingested_at": _latest(previous["watermark_ingested_at"], seen["max_ingested"])}
+    if parts:  # without changes there is nothing to do again
+        _log(spark, lake, run_id, "silver", mode, "planned", lake.silver, parts, sources, **marks)
     with _step(timings, "publish"):
-        _publish(spark, lake, run_id, "silver", mode, lake.silver,
-                 parts, summary["rows"], new_u, new_i)
-    # the touched months are exactly the months of the touched dates (both
-    # come from created_at of the new and replaced rows): Gold prunes with them
-    return {"run_id": run_id, "rows": summary["rows"], "mode": mode, "partitions": len(touched),
-            "touched_dates_path": dates_path, "touched_months": touched, "timings": timings}
+        _publish_silver(spark, lake, run_id, mode, parts, sources, marks)
+    return {"run_id": run_id, "rows": seen["rows"], "mode": mode, "partitions": len(parts),
+            "touched_months": list(seen["parts"]), "timings": timings}
 
 
 # -------------------------------------------------------------------- Gold
-def _write_gold(df: DataFrame, path: str) -> dict:
-    """Write Gold; its row count and latest date are observed on the write."""
-    # Gold holds one row per date: a year partition is a few hundred rows
-    out, obs = _observed(df.withColumn("_year", lk.gold_partition()).hint("rebalance", "_year"),
-                         "gold_write", F.count(F.lit(1)).alias("rows"),
-                         F.max("order_date").alias("max_date"))
-    out.write.mode("overwrite").partitionBy("_year").parquet(path)
-    return obs.get
+def _with_year(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(YEAR, lk.gold_partition())
+
+
+def _drop_changes(spark: SparkSession, lake: lk.Lake, run_ids) -> None:
+    """Change sets are staging of Silver runs: gone once Gold took them."""
+    for r in run_ids:
+        lk.delete_path(spark, lake.staging(r, "changes"))
 
 
 def gold_full_refresh(spark: SparkSession, lake: lk.Lake, run_id: str | None = None) -> dict:
-    recover(spark, lake)
+    """K5: rebuild Gold from all of Silver."""
     run_id = run_id or lk.new_run_id()
-    silver_runs = _new_silver_runs(spark, lake)
-    staged = lake.staging(run_id, "publish")
-    agg = _write_gold(gd.daily_revenue(spark.read.parquet(lake.silver), key_is_unique=True), staged)
-    parts = _full_refresh_parts(spark, staged, lake.gold, "_year")
-    _take(spark, lake, run_id, [r["source_id"] for r in silver_runs])
-    _publish(spark, lake, run_id, "gold", "full_refresh", lake.gold, parts, agg["rows"],
-             wm_d=agg["max_date"])
-    _drop_changes(spark, lake, silver_runs)
-    return {"run_id": run_id, "rows": agg["rows"], "mode": "full_refresh"}
-
-
-def _drop_changes(spark: SparkSession, lake: lk.Lake, silver_runs) -> None:
-    """Change sets are staging of Silver runs; once Gold took a run, only its dates stay."""
-    for r in silver_runs:
-        lk.delete_path(spark, lake.staging(r["source_id"], "silver_changes"))
-
-
-def gold_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "touched_dates",
-                     touched_dates_path: str | None = None, run_id: str | None = None,
-                     touched_months: list[int] | None = None) -> dict:
+    sources = [r["source_id"] for r in _new_silver_runs(spark, lake)]
+    before = lk.partitions_of(spark, lake.gold, YEAR)
+    _log(spark, lake, run_id, "gold", "full_refresh", "planned", lake.gold, before, sources)
+    seen = lk.overwrite_partitions(_with_year(gd.daily_state(spark.read.parquet(lake.silver))), lake.gold, YEAR, before,
+                                   f"gold_{run_id}", F.count(F.lit(1)).alias("rows"), F.max(gd.KEY).alias("max_date"))
+    _log(spark, lake, run_id, "gold", "full_refresh", "committed", lake.gold, sorted(seen["written"]), sources,
+         rows=seen["rows"], watermark_order_date=seen["max_date"])
+    _drop_changes(spark, lake, sources)
+    return {"run_id": run_id, "rows": seen["rows"], "mode": "full_refresh"}
+
+
+def _publish_gold(spark: SparkSession, lake: lk.Lake, run_id: str, mode: str, years: list[str], sources: list[str],
+                  marks: dict) -> None:
+    """Replace the touched years by their staged rows, and commit."""
+    if years:
+        lk.overwrite_partitions(spark.read.parquet(lake.staging(run_id, "gold")), lake.gold, YEAR, years, f"gold_{run_id}")
+    _log(spark, lake, run_id, "gold", mode, "committed", lake.gold, years, sources, **marks)
+    _drop_changes(spark, lake, sources)
+    lk.delete_path(spark, lake.staging(run_id, "gold"))
+
+
+def gold_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "touched_dates", run_id: str | None = None) -> dict:
     """M2 incremental: ``latest_date`` (reference rule) or ``touched_dates``.
 
-    ``touched_dates`` takes every committed Silver run that no Gold run has
-    taken, with their months from the run log; a full refresh of Silver among
-    them makes this a full refresh.  Dates of a further run may be given by
-    ``touched_dates_path`` and its ``touched_months``.
+    ``touched_dates`` adds the change sets of every committed Silver run that no
+    Gold run has taken to the dates they touch.  A full refresh of Silver among
+    them, or a ``latest_date`` run before (which leaves older dates behind),
+    makes this a full refresh.
     """
     if mode not in ("touched_dates", "latest_date"):
         raise ValueError(f"unknown gold mode {mode!r}")
     last = _open_run(spark, lake, "gold")
-    silver_runs = _new_silver_runs(spark, lake) if mode == "touched_dates" else []
-    if not lk.exists(spark, lake.gold) or any(r["mode"] == "full_refresh" for r in silver_runs):
+    runs = _new_silver_runs(spark, lake) if mode == "touched_dates" else []
+    behind = last is not None and last["mode"] == "latest_date" and mode == "touched_dates"
+    if not lk.partitions_of(spark, lake.gold, YEAR) or behind or any(r["mode"] == "full_refresh" for r in runs):
         return gold_full_refresh(spark, lake, run_id)
     run_id = run_id or lk.new_run_id()
-    silver_df = spark.read.parquet(lake.silver)
     target = spark.read.parquet(lake.gold)
+    previous = last["watermark_order_date"] if last else None
+    sources = [r["source_id"] for r in runs]
     if mode == "latest_date":
-        wm_value = last["watermark_order_date"] if last else target.agg(F.max("order_date")).first()[0]
-        wm_month = wm_value.year * 100 + wm_value.month if wm_value is not None else None
-        if wm_month is not None:  # Silver months before the watermark's are not read
-            silver_df = silver_df.filter(F.col("_part") >= wm_month)
-        rows = gd.gold_delta(silver_df, F.lit(wm_value) if wm_value else None)
-        recomputed = gd.daily_revenue(rows, key_is_unique=True)
-        dates = None
-        # years to rewrite: those of the Silver months read, from a listing (no
-        # job) — a superset of the recomputed dates' years, and a rewritten
-        # year keeps every target row that is not recomputed
-        months = [int(d.split("=", 1)[1]) for d in _partition_dirs(spark, lake.silver, "_part")
-                  if d.split("=", 1)[1].isdigit()]
-        years = sorted({m // 100 for m in months if wm_month is None or m >= wm_month})
-    else:
-        paths = [lake.staging(r["source_id"], "touched_dates") for r in silver_runs]
-        # read only the Silver months holding touched dates (partition pruning);
-        # months are bounded by the calendar, years follow from them
-        months = {int(p.rsplit("=", 1)[1]) for r in silver_runs for p in r["partitions"].split(",")}
-        if touched_dates_path is not None and touched_dates_path not in paths:
-            paths.append(touched_dates_path)
-            months |= set(touched_months) if touched_months is not None else {
-                r[0] for r in spark.read.schema(f"{gd.KEY} date").parquet(touched_dates_path).select(F.coalesce(
-                    F.year(gd.KEY) * 100 + F.month(gd.KEY), F.lit(0))).distinct().collect()}
-        if not paths:
-            wm_d = last["watermark_order_date"] if last else None
-            _publish(spark, lake, run_id, "gold", mode, lake.gold, [], 0, wm_d=wm_d)
-            return {"run_id": run_id, "rows": 0, "mode": mode, "years": 0}
-        dates = spark.read.schema(f"{gd.KEY} date").parquet(*paths)
-        recomputed = gd.gold_for_dates(silver_df.filter(F.col("_part").isin(sorted(months))), dates)
-        years = sorted({m // 100 for m in months})
-    check_sink_contract(spark, recomputed, lake.gold, ignore=["_year"], target=target)
-    staged = lake.staging(run_id, "publish")
-    previous_wm = last["watermark_order_date"] if last else None
-    if years:
-        current = target.filter(F.col("_year").isin(years))
-        agg = _write_gold(gd.merge_gold(current, recomputed, dates), staged)
-        rows = agg["rows"]
-        wm_d = max([x for x in (agg["max_date"], previous_wm) if x is not None], default=None)
+        wm = previous if last else target.agg(F.max(gd.KEY)).first()[0]
+        silver = spark.read.parquet(lake.silver)
+        first = wm.year * 100 + wm.month if wm is not None else None
+        if first is not None:  # Silver months before the watermark's are not read
+            silver = silver.filter(F.col(PART) >= first)
+        recomputed = gd.daily_state(gd.gold_delta(silver, F.lit(wm) if wm else None))
+        months = [int(m) for m in lk.partitions_of(spark, lake.silver, PART) if m.isdigit()]
+        # a rewritten year keeps every row that is not recomputed
+        years = sorted({m // 100 for m in months if first is None or m >= first})
+        made = gd.merge_gold(target.filter(F.col(YEAR).isin(years)), recomputed)
     else:
-        rows, wm_d = 0, previous_wm
-    # a touched year that the merge left empty is published as a removal
-    staged_years = set(_partition_dirs(spark, staged, "_year"))
-    parts = [p if p in staged_years else f"-{p}" for p in (f"_year={y}" for y in years)]
-    _take(spark, lake, run_id, [r["source_id"] for r in silver_runs])
-    _publish(spark, lake, run_id, "gold", mode, lake.gold, parts, rows, wm_d=wm_d)
-    _drop_changes(spark, lake, silver_runs)
-    return {"run_id": run_id, "rows": rows, "mode": mode, "years": len(years)}
+        # the years of the months that the Silver runs touched: no job, no Silver file
+        years = sorted({int(m) // 100 for r in runs for m in r["partitions"].split(",")})
+        if years:
+            changes = spark.read.parquet(*[lake.staging(s, "changes") for s in sources])
+            made = gd.add_changes(target.filter(F.col(YEAR).isin(years)), gd.retraction(changes))
+    if not years:
+        _publish_gold(spark, lake, run_id, mode, [], sources, {"rows": 0, "watermark_order_date": previous})
+        return {"run_id": run_id, "rows": 0, "mode": mode, "years": 0}
+    check_sink_contract(spark, made, lake.gold, ignore=[YEAR], target=target)
+    obs = Observation(f"gold_rows_{run_id}")
+    (_with_year(made).observe(obs, F.count(F.lit(1)).alias("rows"), F.max(gd.KEY).alias("max_date"))
+     .write.mode("overwrite").parquet(lake.staging(run_id, "gold")))
+    marks = {"rows": obs.get["rows"], "watermark_order_date": _latest(previous, obs.get["max_date"])}
+    _log(spark, lake, run_id, "gold", mode, "planned", lake.gold, years, sources, **marks)
+    _publish_gold(spark, lake, run_id, mode, [str(y) for y in years], sources, marks)
+    return {"run_id": run_id, "rows": marks["rows"], "mode": mode, "years": len(years)}
+
+
+def reset(spark: SparkSession, lake: lk.Lake) -> None:
+    """K7 with the schemas of the two models, so that readers of the emptied tables find them."""
+    seeds = ct.contract_struct(ct.seed_contracts(spark, ["v1"]))
+    audit = [T.StructField("_ingested_at", T.TimestampNTZType()), T.StructField("_schema_version", T.StringType()),
+             T.StructField("_source", T.StringType())]
+    silver = sv.project(spark.createDataFrame([], T.StructType([*seeds.fields, *audit])))
+    lk.reset(spark, lake, silver.schema, gd.daily_state(silver).schema)
 
 
 def as_of_bronze(spark: SparkSession, lake: lk.Lake, ts: dt.datetime) -> DataFrame:

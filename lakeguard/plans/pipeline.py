@@ -77,9 +77,7 @@ def run(spark: SparkSession, lake: lk.Lake, batch: DataFrame, *, batch_id: str,
         stage("gold", lambda: models.gold_full_refresh(spark, lake))
     else:
         s = stage("silver", lambda: models.silver_incremental(spark, lake, mode=silver_mode))
-        stage("gold", lambda: models.gold_incremental(
-            spark, lake, mode=gold_mode, touched_dates_path=s.get("touched_dates_path"),
-            touched_months=s.get("touched_months")))
+        stage("gold", lambda: models.gold_incremental(spark, lake, mode=gold_mode))
     # the model run's cost row, with its real run type (full or incremental)
     ig.log_cost(spark, lake, time.perf_counter() - t0, int(s.get("rows") or 0),
                 "full_refresh" if s["mode"] == "full_refresh" else "incremental",

@@ -63,30 +63,6 @@ def silver_delta(bronze: DataFrame, watermark: Column | None) -> DataFrame:
     return high_watermark_filter(bronze, "updated_at", watermark, strict=True)
 
 
-def incremental_changes(bronze: DataFrame, target: DataFrame, *, mode: str = "event_time",
-                        watermark: Column | None = None,
-                        version_order: Sequence[str] = DEFAULT_VERSION_ORDER
-                        ) -> tuple[DataFrame, DataFrame]:
-    """(changes, previous): the new Silver row of every key this run changes,
-    and the target rows those keys had (read through a semi-join on the key)."""
-    if mode == "event_time":
-        delta = silver_delta(bronze, watermark)
-    elif mode == "arrival":
-        delta = high_watermark_filter(bronze, "_ingested_at", watermark, strict=True)
-    else:
-        raise ValueError(f"unknown incremental mode {mode!r}")
-    incoming = project(latest_per_key(delta, KEY, version_order))
-    # the keys are the delta's keys: read them from the delta's key column
-    # instead of re-running latest-per-key for the semi-join
-    previous = by_key(target, delta.select(KEY), KEY, "left_semi")
-    if mode == "event_time":
-        return incoming, previous
-    # arrival: an incoming row always arrived later than the current row of
-    # its key, but only replaces it if it is not older in event time
-    rivals = incoming.unionByName(previous.select(*SILVER_COLUMNS))
-    return latest_per_key(rivals, KEY, arrival_order(version_order)), previous
-
-
 def _ahead(a: Column, b: Column) -> Column:
     """``a`` sorts before ``b`` in a descending, nulls-last order."""
     return F.coalesce(a > b, F.lit(False)) | (a.isNotNull() & b.isNull())
@@ -97,13 +73,12 @@ def staged_change_set(bronze: DataFrame, target: DataFrame, partition: Column, *
                       version_order: Sequence[str] = DEFAULT_VERSION_ORDER) -> DataFrame:
     """What a merge run stages, from one join: for every key whose row
     changes, its new Silver row (``_side = 'new'``, ``_part`` from
-    ``partition``) and, if the key is already in the target, its current
-    partition and created_at (``_side = 'old'``; other columns null).
+    ``partition``) and, if the key is already in the target, what Gold counts
+    of its current row, with its partition (``_side = 'old'``; other columns null).
 
     Only the columns that decide are read from the target to find the current
     rows of the delta's keys.  In arrival mode an incoming row replaces the
-    current one unless the current row is ahead in :func:`arrival_order`
-    — the same winner as :func:`incremental_changes`, but a
+    current one unless the current row is ahead in :func:`arrival_order`; a
     key whose current row stays is not staged (rewriting it would be a
     no-op).  In event-time mode every incoming row replaces its key.
     """
@@ -115,7 +90,7 @@ def staged_change_set(bronze: DataFrame, target: DataFrame, partition: Column, *
         raise ValueError(f"unknown incremental mode {mode!r}")
     incoming = project(latest_per_key(delta, KEY, version_order))
     order = arrival_order(version_order)
-    kept = ["created_at", "updated_at", "_ingested_at", "_part"]
+    kept = ["created_at", "updated_at", "_ingested_at", "status", "line_total", "_part"]
     narrow = kept + [c for c in order if c not in kept] if mode == "arrival" else kept
     current = (by_key(target.select(KEY, *narrow), delta.select(KEY), KEY, "left_semi")
                .select(KEY, *[F.col(c).alias(f"__cur_{c}") for c in narrow],
@@ -137,17 +112,6 @@ def staged_change_set(bronze: DataFrame, target: DataFrame, partition: Column, *
     return j.select(F.inline(F.filter(F.array(new, old), lambda x: x.isNotNull())))
 
 
-def silver_incremental(bronze: DataFrame, target: DataFrame, *,
-                       mode: str = "event_time",
-                       watermark: Column | None = None,
-                       version_order: Sequence[str] = DEFAULT_VERSION_ORDER) -> DataFrame:
-    """New Silver state for the *touched keys only*: one row per order_id
-    changed by this run.  ``merge_changes`` lays it over the target."""
-    changes, _ = incremental_changes(bronze, target, mode=mode, watermark=watermark,
-                                     version_order=version_order)
-    return changes
-
-
 def merge_changes(target: DataFrame, changes: DataFrame) -> DataFrame:
     """Update-all / insert-all merge of one-row-per-key changes into target."""
     return upsert(target.select(*SILVER_COLUMNS), changes.select(*SILVER_COLUMNS), KEY)

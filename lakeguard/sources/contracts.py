@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeguard.functions.types import normalize_type
+from lakeguard.functions.types import normalize_type, normalize_type_name
 
 CONTRACT_DIR = Path(__file__).resolve().parents[1] / "contracts"
 SEED_VERSIONS = ("v1", "v2", "v3")
@@ -85,10 +85,16 @@ def contract_of(spark: SparkSession, schemas: dict[str, T.StructType],
     return with_canonical(spark.createDataFrame(rows, CONTRACT_SCHEMA))
 
 
+def same_contract(a: T.StructType, b: T.StructType, drop_system: bool = True) -> bool:
+    """Equal names and canonical types: then there is no drift and nothing to compare by column."""
+    def said(schema):
+        return {name: normalize_type_name(raw) for _, _, name, raw, _ in contract_rows(schema, "", drop_system)}
+    return said(a) == said(b)
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """(FileSystem, Path) of ``path`` on the cluster's Hadoop filesystem.  The
-    JVM class and configuration handles are looked up once per session, so a
-    publish of many partitions costs a few JVM calls per rename."""
+    JVM class and configuration handles are looked up once per session."""
     sc = spark.sparkContext
     handles = getattr(sc, "_lakeguard_hadoop", None)
     if handles is None:

@@ -64,12 +64,10 @@ def file_verdicts(spark: SparkSession, paths: DataFrame, lake: lk.Lake) -> DataF
 def refresh_models(spark: SparkSession, lake: lk.Lake, batch_ids: list[str]) -> None:
     """Hook for :func:`start`: bring Silver and Gold up to date after the
     micro-batch's producer batches were ingested (arrival-time merge, Gold
-    recomputed for the touched dates only)."""
+    by retraction)."""
     from lakeguard.plans import models
-    run = models.silver_incremental(spark, lake, mode="arrival")
-    models.gold_incremental(spark, lake, mode="touched_dates",
-                            touched_dates_path=run.get("touched_dates_path"),
-                            touched_months=run.get("touched_months"))
+    models.silver_incremental(spark, lake, mode="arrival")
+    models.gold_incremental(spark, lake, mode="touched_dates")
 
 
 def process_microbatch(spark: SparkSession, lake: lk.Lake, markers: DataFrame,
@@ -100,7 +98,7 @@ def process_microbatch(spark: SparkSession, lake: lk.Lake, markers: DataFrame,
                   ingested_at=clock(), evaluated_at=clock())
         lk.append_log(spark, lake, "run_log", [(
             f"landing-{batch_id}", "landing", batch_id, "committed", None, None, None, None, clock(),
-            lake.bronze, None)])
+            lake.bronze, None, None)])
         done.append(batch_id)
     if then is not None and done:
         then(spark, lake, done)

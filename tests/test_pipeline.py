@@ -94,7 +94,7 @@ def test_bigint_batch_is_cast_to_table_type(spark, lake, batches):
 
 
 def _silver_equals_full(spark, lake):
-    silver = spark.read.parquet(lake.silver).drop("_part")
+    silver = models.silver_table(spark, lake)
     full = sv.silver_full(spark.read.option("mergeSchema", True).parquet(lake.bronze))
     assert mg.symmetric_difference(silver, full).count() == 0
     assert silver.groupBy("order_id").count().filter("count > 1").count() == 0
@@ -107,15 +107,10 @@ def test_incremental_equals_full_refresh(spark, lake, batches, mode):
     models.silver_incremental(spark, lake, mode=mode)
     models.gold_incremental(spark, lake)
     ingest(spark, batches["v1_new"], lake, batch_id="b2", ingested_at=T2)
-    run = models.silver_incremental(spark, lake, mode=mode)
-    months = {r.m for r in spark.read.parquet(run["touched_dates_path"]).select(
-        (F.year("order_date") * 100 + F.month("order_date")).alias("m")).distinct().collect()}
-    assert set(run["touched_months"]) == months  # Gold may prune with the run's months
-    models.gold_incremental(spark, lake, mode="touched_dates",
-                            touched_dates_path=run["touched_dates_path"])
+    models.silver_incremental(spark, lake, mode=mode)
+    models.gold_incremental(spark, lake, mode="touched_dates")
     silver = _silver_equals_full(spark, lake)
-    g = spark.read.parquet(lake.gold).drop("_year")
-    assert mg.symmetric_difference(g, gd.daily_revenue(silver, True)).count() == 0
+    assert mg.symmetric_difference(models.gold_table(spark, lake), gd.daily_revenue(silver, True)).count() == 0
 
 
 def test_observed_run_summary_matches_the_staged_table(spark, lake, batches):
@@ -125,7 +120,7 @@ def test_observed_run_summary_matches_the_staged_table(spark, lake, batches):
     models.silver_incremental(spark, lake, mode="arrival")
     ingest(spark, batches["v1_new"], lake, batch_id="b2", ingested_at=T2)
     run = models.silver_incremental(spark, lake, mode="arrival")
-    staged = spark.read.parquet(lake.staging(run["run_id"], "silver_changes"))
+    staged = spark.read.parquet(lake.staging(run["run_id"], "changes"))
     new = staged.filter("_side = 'new'")
     assert run["rows"] == new.count() > 0
     parts = sorted(r[0] for r in staged.select("_part").distinct().collect() if r[0] is not None)
@@ -142,7 +137,7 @@ def test_gold_latest_date_run_follows_the_reference_rule(spark, lake, batches):
     ingest(spark, batches["v1_old"], lake, batch_id="b1", ingested_at=T1)
     models.silver_incremental(spark, lake, mode="arrival")
     models.gold_incremental(spark, lake)
-    gold1 = spark.read.parquet(lake.gold).drop("_year")
+    gold1 = models.gold_table(spark, lake)
     gold1 = spark.createDataFrame(gold1.collect(), gold1.schema)  # keep run 1's rows
     wm = gold1.agg(F.max("order_date")).first()[0]
     ingest(spark, batches["v1_new"], lake, batch_id="b2", ingested_at=T2)
@@ -150,7 +145,7 @@ def test_gold_latest_date_run_follows_the_reference_rule(spark, lake, batches):
     models.gold_incremental(spark, lake, mode="latest_date")
     silver = spark.read.parquet(lake.silver).drop("_part")
     expected = gd.merge_gold(gold1, gd.daily_revenue(gd.gold_delta(silver, F.lit(wm)), True))
-    got = spark.read.parquet(lake.gold).drop("_year")
+    got = models.gold_table(spark, lake)
     assert mg.symmetric_difference(got, expected).count() == 0
     assert got.count() == got.select("order_date").distinct().count()
 
@@ -193,15 +188,24 @@ def test_empty_target_null_watermark_selects_everything(spark):
     assert sv.silver_delta(b, None).count() == b.count()
 
 
-def test_reset_drops_bronze_and_empties_logs(spark, lake, batches):
+def test_reset_drops_bronze_and_empties_the_rest(spark, lake, batches):
     ingest(spark, batches["v1_old"], lake, batch_id="b1", ingested_at=T1)
     models.silver_incremental(spark, lake)
-    lk.reset(spark, lake)
-    assert not lk.exists(spark, lake.bronze) and not lk.exists(spark, lake.silver)
-    assert lk.read_log(spark, lake, "schema_change_log").count() == 0
-    # next run seeds from v1 again
+    models.gold_incremental(spark, lake)
+    before = models.silver_table(spark, lake).schema, models.gold_table(spark, lake).schema
+    models.reset(spark, lake)
+    assert not lk.exists(spark, lake.bronze)
+    for table, schema in zip((models.silver_table, models.gold_table), before):   # empty, with their schemas
+        assert table(spark, lake).count() == 0
+        assert [(f.name, f.dataType) for f in table(spark, lake).schema] == [(f.name, f.dataType) for f in schema]
+    assert all(lk.read_log(spark, lake, name).count() == 0 for name in lk.LOG_SCHEMAS)
+    # next run seeds from v1 again, and the tables are built anew
     ingest(spark, batches["v1_new"], lake, batch_id="b2", ingested_at=T2)
     assert lk.read_log(spark, lake, "schema_change_log").first().baseline == "schema_v1.json"
+    models.silver_incremental(spark, lake)
+    models.gold_incremental(spark, lake)
+    silver = _silver_equals_full(spark, lake)
+    assert mg.symmetric_difference(models.gold_table(spark, lake), gd.daily_revenue(silver, True)).count() == 0
 
 
 def test_landing_stream_halts_and_replays(spark, tmp_path, batches):
@@ -224,59 +228,6 @@ def test_landing_stream_halts_and_replays(spark, tmp_path, batches):
     assert lk.read_log(spark, lake, "incident_log").count() == 2
 
 
-def test_interrupted_publish_is_finished_by_next_run(spark, lake, batches, monkeypatch):
-    ingest(spark, batches["v1_old"], lake, batch_id="b1", ingested_at=T1)
-    models.silver_incremental(spark, lake, mode="arrival")
-    ingest(spark, batches["v1_new"], lake, batch_id="b2", ingested_at=T2)
-    real_move = lk._move
-    calls = {"n": 0}
-
-    def flaky_move(spark_, src, dst):
-        calls["n"] += 1
-        if calls["n"] == 5:  # driver dies in the middle of the swap
-            raise RuntimeError("simulated driver loss")
-        real_move(spark_, src, dst)
-
-    monkeypatch.setattr(lk, "_move", flaky_move)
-    with pytest.raises(RuntimeError):
-        models.silver_incremental(spark, lake, mode="arrival")
-    monkeypatch.setattr(lk, "_move", real_move)
-    status = [r.status for r in lk.read_log(spark, lake, "run_log")
-              .filter("stage = 'silver'").orderBy("committed_at").collect()]
-    assert status[-1] == "staged"
-    assert models.recover(spark, lake)  # finishes the interrupted run
-    _silver_equals_full(spark, lake)
-    again = models.silver_incremental(spark, lake, mode="arrival")
-    assert again["rows"] == 0
-
-
-def test_next_incremental_run_finishes_an_interrupted_publish(spark, lake, batches, monkeypatch):
-    """Without an explicit recover(): the next run finishes the interrupted
-    publish from the run log, then reads its watermark from that run."""
-    ingest(spark, batches["v1_old"], lake, batch_id="b1", ingested_at=T1)
-    models.silver_incremental(spark, lake, mode="arrival")
-    ingest(spark, batches["v1_new"], lake, batch_id="b2", ingested_at=T2)
-    real_move = lk._move
-    calls = {"n": 0}
-
-    def flaky_move(spark_, src, dst):
-        calls["n"] += 1
-        if calls["n"] == 3:
-            raise RuntimeError("simulated driver loss")
-        real_move(spark_, src, dst)
-
-    monkeypatch.setattr(lk, "_move", flaky_move)
-    with pytest.raises(RuntimeError):
-        models.silver_incremental(spark, lake, mode="arrival")
-    monkeypatch.setattr(lk, "_move", real_move)
-    again = models.silver_incremental(spark, lake, mode="arrival")
-    assert again["rows"] == 0  # the finished run's watermark covers batch b2
-    _silver_equals_full(spark, lake)
-    log = lk.read_log(spark, lake, "run_log").filter("stage = 'silver'")
-    assert log.filter("status = 'staged'").join(
-        log.filter("status = 'committed'").select("run_id"), "run_id", "left_anti").count() == 0
-
-
 def test_pipeline_three_scenarios(spark, lake, batches):
     """baseline -> non-breaking -> breaking: the last run halts at ingest and
     skips models and SLA; SLA rows are written pass or fail."""
@@ -304,17 +255,30 @@ def test_pipeline_three_scenarios(spark, lake, batches):
     assert report[("bronze.raw_orders", "order_id", "unique")] == "FAIL"  # versions, reported only
 
 
-def test_log_compaction_keeps_rows(spark, lake):
-    for i in range(5):
+def test_log_compaction_keeps_rows_and_lets_writers_go_on(spark, lake, monkeypatch):
+    for i in range(6):
         lk.append_log(spark, lake, "sla_check_log",
-                      [("freshness", "PASS", "", "impact", dt.datetime(2001, 12, 1, i))])
-    files = [f for f in listing(lake.log("sla_check_log")) if f.endswith(".parquet")]
-    assert len(files) == 5
-    assert lk.compact_log(spark, lake, "sla_check_log") == 5
-    files = [f for f in listing(lake.log("sla_check_log")) if f.endswith(".parquet")]
-    assert len(files) == 1
-    assert sorted(r.checked_at.hour for r in lk.read_log(spark, lake, "sla_check_log").collect()) \
-        == [0, 1, 2, 3, 4]
+                      [("freshness", "PASS", "x" * 500, "impact", dt.datetime(2001, 12, 1, i))] * 40)
+
+    def files():
+        return [f for f in listing(lake.log("sla_check_log")) if f.endswith(".parquet")]
+
+    def hours():
+        return sorted(r.checked_at.hour for r in lk.read_log(spark, lake, "sla_check_log").collect())
+
+    expected = sorted(list(range(6)) * 40)
+    assert len(files()) == 6 and lk.compact_log(spark, lake, "sla_check_log") == {}  # today is open
+    size = sum(os.path.getsize(f) for f in files())
+    with monkeypatch.context() as m:      # the call dies after staging, before it deletes what it staged
+        m.setattr(lk, "delete_path", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        with pytest.raises(RuntimeError):
+            lk.compact_log(spark, lake, "sla_check_log", target_bytes=-(-size // 3), before=99999999)
+    lk.compact_log(spark, lake, "sla_check_log", target_bytes=-(-size // 3), before=99999999)
+    assert hours() == expected and len(files()) == 3
+    lk.append_log(spark, lake, "sla_check_log", [("freshness", "PASS", "", "impact", dt.datetime(2001, 12, 1, 9))])
+    assert hours() == expected + [9]
+    assert len(lk.compact_log(spark, lake, "sla_check_log", before=99999999)) == 1 and len(files()) == 1
+    assert hours() == expected + [9]
 
 
 def test_landing_stream_refreshes_models(spark, tmp_path, batches):
@@ -326,7 +290,7 @@ def test_landing_stream_refreshes_models(spark, tmp_path, batches):
                       then=landing.refresh_models)
     q.awaitTermination()
     silver = _silver_equals_full(spark, lake)
-    g = spark.read.parquet(lake.gold).drop("_year")
+    g = models.gold_table(spark, lake)
     assert mg.symmetric_difference(g, gd.daily_revenue(silver, True)).count() == 0
 
 

@@ -36,11 +36,38 @@ def silver_keys(spark, lake):
 
 
 def assert_whole(spark, lake):
-    """Silver equals a full refresh of Bronze and Gold the aggregate of Silver."""
-    silver = spark.read.parquet(lake.silver).drop("_part")
+    """Silver equals a full refresh of Bronze and Gold the aggregate of Silver, sums included."""
+    silver = models.silver_table(spark, lake)
     assert mg.symmetric_difference(silver, sv.silver_full(models._bronze(spark, lake))).count() == 0
-    gold = spark.read.parquet(lake.gold).drop("_year")
-    assert mg.symmetric_difference(gold, gd.daily_revenue(silver, True)).count() == 0
+    assert mg.symmetric_difference(models.gold_table(spark, lake), gd.daily_revenue(silver, True)).count() == 0
+    state = spark.read.parquet(lake.gold).drop("_year")
+    assert mg.symmetric_difference(state, gd.daily_state(silver)).count() == 0
+
+
+class DriverLost(RuntimeError):
+    pass
+
+
+def driver_dies(monkeypatch, step, lose=None):
+    """The ``step``-th table or log write of a run is the last the driver does (it dies before it,
+    or, with ``lose``, while it swaps in a partition: the partition's old files are gone already)."""
+    calls = [0]
+
+    def dying(real):
+        def wrapped(*args, **kw):
+            calls[0] += 1
+            if calls[0] == step:
+                if lose and real.__name__ == "overwrite_partitions":
+                    path, column, touched = args[1:4]
+                    there = [p for p in lk.partitions_of(args[0].sparkSession, path, column) if p in set(touched)]
+                    for p in there[:lose]:
+                        lk.delete_path(args[0].sparkSession, f"{path}/{column}={p}")
+                raise DriverLost
+            return real(*args, **kw)
+        return wrapped
+
+    monkeypatch.setattr(lk, "append_log", dying(lk.append_log))
+    monkeypatch.setattr(lk, "overwrite_partitions", dying(lk.overwrite_partitions))
 
 
 def refresh(spark, lake):
@@ -58,19 +85,87 @@ def test_late_and_equal_stamps_reach_silver(spark, lake):
     assert_whole(spark, lake)
 
 
-def test_gold_follows_a_silver_run_that_was_interrupted(spark, lake, monkeypatch):
-    ig.ingest(spark, orders(spark, [("k1", day(1), day(1)), ("k2", day(2), day(1))]), lake, batch_id="a", ingested_at=D1)
+def interrupted(spark, lake, monkeypatch, step, lose=None):
+    """Two batches; the second Silver run's driver dies at ``step``."""
+    ig.ingest(spark, orders(spark, [("k1", day(1), day(1)), ("k2", day(2), day(1)), ("k3", day(1), day(1))]), lake,
+              batch_id="a", ingested_at=D1)
     refresh(spark, lake)
-    ig.ingest(spark, orders(spark, [("k1", day(1), day(5), 50.0), ("k2", day(2), day(5), 70.0)]), lake,
+    ig.ingest(spark, orders(spark, [("k1", day(3), day(5), 50.0), ("k2", day(2), day(5), 70.0)]), lake,
               batch_id="b", ingested_at=D2)
     with monkeypatch.context() as m:
-        m.setattr(lk, "_move", lambda *a: (_ for _ in ()).throw(RuntimeError("simulated driver loss")))
-        with pytest.raises(RuntimeError):
+        driver_dies(m, step, lose)
+        with pytest.raises(DriverLost):
             models.silver_incremental(spark, lake)
-    run = models.silver_incremental(spark, lake)
-    models.gold_incremental(spark, lake, touched_dates_path=run["touched_dates_path"],
-                            touched_months=run["touched_months"])
-    assert sorted(r.gross_revenue for r in spark.read.parquet(lake.gold).collect()) == [50.0, 70.0]
+
+
+@pytest.mark.parametrize("step, lose", [(1, None), (2, 2), (3, None)])
+def test_gold_follows_a_silver_run_that_was_interrupted(spark, lake, monkeypatch, step, lose):
+    """Before the plan is logged, before the overwrite, within it, before the commit."""
+    interrupted(spark, lake, monkeypatch, step, lose)
+    models.silver_incremental(spark, lake)
+    models.gold_incremental(spark, lake)
+    assert sorted(r.gross_revenue for r in models.gold_table(spark, lake).collect()) == [10.0, 50.0, 70.0]
+    assert_whole(spark, lake)
+    log = lk.read_log(spark, lake, "run_log")
+    assert log.filter("status = 'planned'").join(
+        log.filter("status = 'committed'").select("run_id"), "run_id", "left_anti").count() == 0
+
+
+@pytest.mark.parametrize("step, lose", [(2, 1), (3, None)])
+def test_gold_run_that_was_interrupted_adds_nothing_twice(spark, lake, monkeypatch, step, lose):
+    ig.ingest(spark, orders(spark, [("k1", day(1), day(1)), ("k2", day(2), day(1))]), lake, batch_id="a", ingested_at=D1)
+    refresh(spark, lake)
+    ig.ingest(spark, orders(spark, [("k1", day(2), day(5), 50.0)]), lake, batch_id="b", ingested_at=D2)
+    models.silver_incremental(spark, lake)
+    with monkeypatch.context() as m:
+        driver_dies(m, step, lose)
+        with pytest.raises(DriverLost):
+            models.gold_incremental(spark, lake)
+    models.gold_incremental(spark, lake)
+    assert_whole(spark, lake)
+    models.gold_incremental(spark, lake)
+    assert_whole(spark, lake)
+
+
+def test_interrupted_full_refreshes_are_done_again(spark, lake, monkeypatch):
+    ig.ingest(spark, orders(spark, [("k1", day(1), day(1)), ("k2", day(2), day(1))]), lake, batch_id="a", ingested_at=D1)
+    refresh(spark, lake)
+    for full in (models.silver_full_refresh, models.gold_full_refresh):
+        with monkeypatch.context() as m:
+            driver_dies(m, 2, 1)
+            with pytest.raises(DriverLost):
+                full(spark, lake)
+    refresh(spark, lake)
+    assert_whole(spark, lake)
+
+
+def test_incremental_gold_reads_no_silver_file(spark, lake, monkeypatch):
+    ig.ingest(spark, orders(spark, [("k1", day(1), day(1)), ("k2", day(2), day(1))]), lake, batch_id="a", ingested_at=D1)
+    refresh(spark, lake)
+    ig.ingest(spark, orders(spark, [("k1", day(2), day(5), 50.0)]), lake, batch_id="b", ingested_at=D2)
+    models.silver_incremental(spark, lake)
+    seen = []
+    real = lk.overwrite_partitions
+    monkeypatch.setattr(gd, "add_changes", lambda target, delta, real=gd.add_changes: seen.append(
+        real(target, delta)) or seen[-1])
+    models.gold_incremental(spark, lake)
+    files = seen[0].inputFiles()
+    assert files and not any("/silver/" in f for f in files)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2     # the change set by date, then the dates
+    assert real is lk.overwrite_partitions
+    assert_whole(spark, lake)
+
+
+def test_touched_dates_after_the_reference_rule_start_anew(spark, lake):
+    """latest_date leaves older dates behind; adding changes to them would be wrong."""
+    ig.ingest(spark, orders(spark, [("k1", day(1), day(1)), ("k2", day(5), day(1))]), lake, batch_id="a", ingested_at=D1)
+    refresh(spark, lake)
+    ig.ingest(spark, orders(spark, [("k1", day(1), day(6), 50.0), ("k3", day(6), day(6))]), lake, batch_id="b", ingested_at=D2)
+    models.silver_incremental(spark, lake)
+    models.gold_incremental(spark, lake, mode="latest_date")
+    ig.ingest(spark, orders(spark, [("k2", day(5), day(7), 9.0)]), lake, batch_id="c", ingested_at=D3)
+    refresh(spark, lake)
     assert_whole(spark, lake)
 
 
@@ -174,26 +269,17 @@ def test_csv_without_a_declared_column_halts(spark, lake, tmp_path):
 @pytest.mark.parametrize("seed", [1])
 def test_random_runs_equal_a_full_refresh(spark, lake, monkeypatch, seed):
     """Moved and missing created dates, equal and out-of-order stamps, ties, and a
-    driver lost at some move of the publish: the tables end whole."""
+    driver lost at some write, partitions with it: the tables end whole."""
     rng = random.Random(seed)
     keys, times = [None, "k1", "k2", "k3", "k4"], [None, day(1), day(2), day(3), dt.datetime(2000, 1, 1)]
-    real = lk._move
     for i in range(4):
-        rows = [(rng.choice(keys), rng.choice(times), rng.choice(times), float(rng.randint(1, 3))) for _ in range(4)]
+        rows = [(rng.choice(keys), rng.choice(times), rng.choice(times), rng.choice([None, 1.0, 2.25, 3.1])) for _ in range(4)]
         ig.ingest(spark, orders(spark, rows), lake, batch_id=f"b{i}", ingested_at=rng.choice([D1, D2, D3]))
-        left = [rng.randint(0, 4)]
-
-        def dies(*a):
-            if left[0] == 0:
-                raise RuntimeError("simulated driver loss")
-            left[0] -= 1
-            real(*a)
-
-        monkeypatch.setattr(lk, "_move", dies)
-        try:
-            refresh(spark, lake)
-        except RuntimeError:
-            pass
-        monkeypatch.setattr(lk, "_move", real)
+        with monkeypatch.context() as m:
+            driver_dies(m, rng.randint(1, 7), rng.choice([None, 1, 2]))
+            try:
+                refresh(spark, lake)
+            except DriverLost:
+                pass
     refresh(spark, lake)
     assert_whole(spark, lake)
