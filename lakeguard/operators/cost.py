@@ -7,7 +7,7 @@ roll-ups over any number of logged runs stay distributed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed values of the cost model: proxy DBU price and serverless consumption,
@@ -16,9 +16,6 @@ DBU_RATE_USD = 0.22
 DBU_PER_HOUR = 2.0
 RUNS_PER_DAY = 4
 DAYS = 30
-# Placeholder runtimes (seconds) for a full refresh and an incremental run.
-FULL_REFRESH_RUNTIME_S = 42.0
-INCREMENTAL_RUNTIME_S = 8.0
 RUN_TYPES = ("full_refresh", "incremental")
 
 
@@ -53,10 +50,17 @@ def with_cost(runs: DataFrame, dbu_per_hour: float = DBU_PER_HOUR,
     })
 
 
+def mean_runtimes(log: DataFrame) -> DataFrame:
+    """Measured seconds of a run of each type: the mean over the logged runs, by exact sums."""
+    seconds = F.sum(F.col("runtime_seconds").cast("decimal(24,6)")).cast("double")
+    return log.groupBy("run_type").agg((seconds / F.count("runtime_seconds")).alias("runtime_seconds"))
+
+
 def project_costs(runs: DataFrame, runs_per_day: int = RUNS_PER_DAY, days: int = DAYS,
                   dbu_per_hour: float = DBU_PER_HOUR, rate: float = DBU_RATE_USD) -> DataFrame:
     """Cumulative cost on day 1..days of running each run type
-    ``runs_per_day`` times a day: ``daily_cost * day``."""
+    ``runs_per_day`` times a day: ``daily_cost * day``.  ``runs``: one measured
+    runtime per run type, as :func:`mean_runtimes` takes from the cost log."""
     daily = runtime_to_cost_usd("runtime_seconds", dbu_per_hour, rate) * F.lit(runs_per_day)
     return (runs.select("run_type", daily.alias("daily_cost_usd"))
             .withColumn("day", F.explode(F.sequence(F.lit(1), F.lit(days))))
@@ -64,6 +68,19 @@ def project_costs(runs: DataFrame, runs_per_day: int = RUNS_PER_DAY, days: int =
                     (F.col("daily_cost_usd") * F.col("day")).alias("cumulative_cost_usd")))
 
 
+def spent_by_day(log: DataFrame) -> DataFrame:
+    """W2 over logged runs: what each run type has cost per day and up to and including it.
+
+    Days are summed first, so the window holds one row per day and run type.
+    """
+    day = F.to_date("logged_at").alias("day")
+    daily = log.groupBy("run_type", day).agg(
+        F.count(F.lit(1)).alias("runs"), F.sum(F.col("estimated_cost_usd").cast("decimal(24,6)")).alias("cost"))
+    upto = Window.partitionBy("run_type").orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return daily.select("run_type", "day", "runs", F.col("cost").cast("double").alias("cost_usd"),
+                        F.sum("cost").over(upto).cast("double").alias("cumulative_cost_usd"))
+
+
 def savings(projection: DataFrame, days: int = DAYS) -> DataFrame:
     """Full-refresh minus incremental cumulative cost on the last day."""
     last = projection.filter(F.col("day") == days)
@@ -90,7 +107,6 @@ def cost_by_pipeline(log: DataFrame) -> DataFrame:
 
 def full_vs_incremental(log: DataFrame) -> DataFrame:
     """Mean runtime of each run type and their ratio."""
-    g = log.agg(
-        F.avg(F.when(F.col("run_type") == "full_refresh", F.col("runtime_seconds"))).alias("full_s"),
-        F.avg(F.when(F.col("run_type") == "incremental", F.col("runtime_seconds"))).alias("incr_s"))
+    mean = {t: F.max(F.when(F.col("run_type") == t, F.col("runtime_seconds"))) for t in RUN_TYPES}
+    g = mean_runtimes(log).agg(mean["full_refresh"].alias("full_s"), mean["incremental"].alias("incr_s"))
     return g.withColumn("ratio", F.col("full_s") / F.col("incr_s"))

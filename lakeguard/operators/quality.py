@@ -1,9 +1,10 @@
 """Declared data tests (operators Q1-Q3).
 
-``not_null`` for every declared column of a table is one aggregate pass (one
-scan, partial counts per task); ``unique`` is one grouped count per key
-column (one shuffle on the key, partial counts first, so a hot key costs one
-row per task).  Failing tests are reported, never raised.
+A table's whole suite is one pass: rows are grouped by the unique key (partial
+counts per task, one shuffle, so a hot key costs one row per task), each group
+carries its row count and the null counts of every declared column, and one
+more aggregate folds the groups to all tests.  A table without a unique test
+needs no grouping.  Failing tests are reported, never raised.
 """
 
 from __future__ import annotations
@@ -61,13 +62,28 @@ def unique(df: DataFrame, column: str, table_name: str) -> DataFrame:
         F.lit("unique").alias("test"), "failures")
 
 
+def suite(t: TableTests) -> DataFrame:
+    """All tests of a table from one scan and one shuffle (further unique columns: one of each more)."""
+    if not t.unique:
+        return not_null(t.df, t.not_null, t.table_name)
+    key, *others = t.unique
+    nulls = {f"__null_{i}": c for i, c in enumerate(t.not_null)}
+    keyed = t.df.groupBy(F.col(key).alias("__key")).agg(
+        F.count(F.lit(1)).alias("__n"), *[F.count_if(F.col(c).isNull()).alias(a) for a, c in nulls.items()])
+    folded = keyed.agg(F.count_if(F.col("__key").isNotNull() & (F.col("__n") > 1)).alias("__dup"),
+                       *[F.coalesce(F.sum(a), F.lit(0)).cast("long").alias(a) for a in nulls])
+    tests = [F.struct(F.lit(c).alias("column_name"), F.lit("not_null").alias("test"), F.col(a).alias("failures"))
+             for a, c in nulls.items()]
+    tests.append(F.struct(F.lit(key).alias("column_name"), F.lit("unique").alias("test"), F.col("__dup").alias("failures")))
+    out = folded.select(F.lit(t.table_name).alias("table_name"), F.inline(F.array(*tests)))
+    for c in others:
+        out = out.unionByName(unique(t.df, c, t.table_name))
+    return out
+
+
 def report(tables: Sequence[TableTests]) -> DataFrame:
     """Q3: one PASS/FAIL row per (table, column, test)."""
-    parts = []
-    for t in tables:
-        if t.not_null:
-            parts.append(not_null(t.df, t.not_null, t.table_name))
-        parts.extend(unique(t.df, c, t.table_name) for c in t.unique)
+    parts = [suite(t) for t in tables]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -1,8 +1,10 @@
 """SLA checks (operators V1-V4, S7).
 
-Freshness and completeness need two numbers from Bronze — the latest
-``updated_at`` and the rows ingested on the check's UTC day — and get them
-from **one** aggregate pass.  The schema check is metadata only.  Each rule
+Freshness and completeness need two numbers of Bronze — the latest
+``updated_at`` and the rows ingested on the check's UTC day.  Both were observed
+on the write of each batch and stand in the batch log, so the checks fold that
+log (:func:`of_batches`) and read no Bronze file; :func:`metrics` takes them
+from the rows themselves in one aggregate pass.  The schema check is metadata only.  Each rule
 of the configuration yields one result row carrying its
 ``business_impact``; unknown rule names are reported and skipped; a failing
 check is a FAIL row, never an exception.  ``as_of`` replaces the wall clock.
@@ -46,11 +48,26 @@ def ingest_day(bronze: DataFrame) -> Column:
     return F.col("_ingest_date") if "_ingest_date" in bronze.columns else F.to_date("_ingested_at")
 
 
-def metrics(bronze: DataFrame, as_of: Column) -> DataFrame:
-    """One pass over Bronze: latest updated_at and rows ingested on as_of's day."""
-    return bronze.agg(
-        F.max("updated_at").alias("latest_updated_at"),
-        F.count_if(ingest_day(bronze) == F.to_date(as_of)).alias("rows_today"))
+def of_batches(batch_log: DataFrame) -> DataFrame:
+    """One row per batch in Bronze: what its last write was observed to hold.
+
+    A batch written again replaces what it wrote before, so only its newest log row counts.
+    """
+    columns = ["ingested_at", "rows", "latest_updated_at"]
+    newest = F.max_by(F.struct(*columns), F.struct("logged_at", "source_id"))
+    return batch_log.groupBy("batch_id").agg(newest.alias("r")).select("batch_id", *[f"r.{c}" for c in columns])
+
+
+def metrics(source: DataFrame, as_of: Column | list[Column]) -> DataFrame:
+    """Latest updated_at and the rows ingested on as_of's day (``rows_today``, or ``rows_today_<i>`` for a
+    list), from Bronze rows in one pass or from :func:`of_batches`."""
+    if "latest_updated_at" in source.columns:
+        newest, day, rows = "latest_updated_at", F.to_date("ingested_at"), F.col("rows")
+    else:
+        newest, day, rows = "updated_at", ingest_day(source), F.lit(1)
+    days = {f"rows_today_{i}": at for i, at in enumerate(as_of)} if isinstance(as_of, list) else {"rows_today": as_of}
+    return source.agg(F.max(newest).alias("latest_updated_at"), *[
+        F.coalesce(F.sum(F.when(day == F.to_date(at), rows)), F.lit(0)).cast("long").alias(name) for name, at in days.items()])
 
 
 def age_hours(latest: Column, as_of: Column) -> Column:
@@ -112,14 +129,14 @@ def schema_consistency(live_contract: DataFrame, pinned: DataFrame,
                     F.when(breaking, detail).otherwise(F.lit("")).alias("detail"))
 
 
-def run_checks(spark: SparkSession, bronze: DataFrame, as_of,
+def run_checks(spark: SparkSession, source: DataFrame, as_of,
                live_contract: DataFrame | None = None, pinned: DataFrame | None = None,
                rules: list[dict] | None = None) -> DataFrame:
     """V4: every configured rule -> (check_name, status, detail, business_impact, checked_at).
 
     ``as_of`` is one instant or a list of them (several runs evaluated
     together); freshness and completeness for all of them come from one
-    aggregate over Bronze."""
+    aggregate over ``source``, Bronze or its batches (:func:`of_batches`)."""
     if rules is None:
         rules = [r.asDict() for r in load_rules(spark).collect()]  # config-sized
     instants = [ts_literal(a) for a in (as_of if isinstance(as_of, (list, tuple)) else [as_of])]
@@ -143,10 +160,7 @@ def run_checks(spark: SparkSession, bronze: DataFrame, as_of,
             metric_results.append(F.struct(result.alias("r"), impact.alias("business_impact"),
                                            at.alias("checked_at")))
     if metric_results:
-        m = bronze.agg(F.max("updated_at").alias("latest_updated_at"), *[
-            F.count_if(ingest_day(bronze) == F.to_date(at)).alias(f"rows_today_{i}")
-            for i, at in enumerate(instants)])
-        rows = m.select(F.inline(F.array(*metric_results)))
+        rows = metrics(source, instants).select(F.inline(F.array(*metric_results)))
         parts.insert(0, rows.select("r.*", "business_impact", "checked_at"))
     if not parts:
         return spark.createDataFrame([], RESULT_SCHEMA).withColumn("checked_at", instants[0])

@@ -3,13 +3,16 @@ over the provided tables, with its DuckDB oracle SQL."""
 
 from __future__ import annotations
 
+import datetime as _dt
 import uuid as _uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeguard.operators.latest import latest_per_key, latest_sql
-from lakeguard.plans import gold, silver
+from lakeguard.plans import gold, models, pipeline, silver
+from lakeguard.plans import ingest as ig
+from lakeguard.plans import lake as lk
 from lakeguard.queries import register
 from lakeguard.session import checkpoint_dir
 from lakeguard.sources import fixture as fx
@@ -55,6 +58,29 @@ def _materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _replay(spark: SparkSession, sf: str, upto: int = 2, silver_mode: str | None = "arrival",
+            gold_mode: str | None = None, shapes=None, before_last=None) -> lk.Lake:
+    """A scratch lake after the producer batches 1..``upto`` went through the library's own runs:
+    ingest, then Silver and Gold where a mode is given.  ``before_last`` is called before the last batch."""
+    lake = lk.Lake(_scratch(spark, "lake"))
+    changelog = fx.raw_orders(spark, sf)
+    for n in range(1, upto + 1):
+        if n == upto and before_last is not None:
+            before_last(lake)
+        rows = changelog if shapes is None else shapes[n - 1]
+        at = _dt.datetime.fromisoformat(fx.BATCH_INGESTED_AT[n])
+        ig.ingest(spark, rows.filter(fx.batch_no() == n), lake, batch_id=f"b{n}", ingested_at=at, evaluated_at=at)
+        if silver_mode:
+            models.silver_incremental(spark, lake, mode=silver_mode, version_order=ORDER)
+        if gold_mode:
+            models.gold_incremental(spark, lake, mode=gold_mode)
+    return lake
+
+
+def _bronze_rows(spark: SparkSession, lake: lk.Lake) -> DataFrame:
+    return models._bronze(spark, lake).drop("_ingest_date", "_batch_id")
+
+
 # ------------------------------------------------------------- S1 / W1 / M1
 @register("scan_raw_orders", f"select * from ({RAW}) r")
 def scan_raw_orders(spark, sf):
@@ -68,21 +94,17 @@ def orders_current(spark, sf):
 
 @register("silver_full", SILVER_FULL_SQL)
 def silver_full(spark, sf):
-    return _silver_full(spark, sf)
+    """K5: a full refresh of Silver over both ingested batches."""
+    lake = _replay(spark, sf, silver_mode=None)
+    models.silver_full_refresh(spark, lake, version_order=ORDER)
+    return models.silver_table(spark, lake)
 
 
 @register("orders_cleaned", SILVER_FULL_SQL)
 def orders_cleaned(spark, sf):
-    """Silver after replaying both producer batches incrementally (event-time
-    rule): equals the full refresh because batches arrive in updated_at order."""
-    bronze = fx.bronze_fixture(spark, sf)
-    first = bronze.filter(F.col("_ingested_at") == fx.ntz(fx.BATCH_INGESTED_AT[1]))
-    # Silver after run 1 is read by the change set and by the merge: written once
-    target = _materialize(spark, silver.silver_full(first, ORDER), "silver-run1")
-    changes = silver.silver_incremental(
-        bronze, target, mode="event_time",
-        watermark=F.lit(fx.BATCH_SPLIT).cast("timestamp_ntz"), version_order=ORDER)
-    return silver.merge_changes(target, changes)
+    """M1: Silver after both producer batches, incrementally by the event-time
+    rule: equals the full refresh because batches arrive in updated_at order."""
+    return models.silver_table(spark, _replay(spark, sf, silver_mode="event_time"))
 
 
 # ------------------------------------------------------------------ M2 / A*
@@ -93,7 +115,11 @@ def daily_revenue(spark, sf):
 
 @register("gold_full", daily_revenue_sql(SILVER_FULL_SQL))
 def gold_full(spark, sf):
-    return gold.daily_revenue(_silver_full(spark, sf), key_is_unique=False)
+    """K5: full refreshes of Silver and Gold."""
+    lake = _replay(spark, sf, silver_mode=None)
+    models.silver_full_refresh(spark, lake, version_order=ORDER)
+    models.gold_full_refresh(spark, lake)
+    return models.gold_table(spark, lake)
 
 
 # ------------------------------------------------------ P1-P8, A1, A8, L4
@@ -110,8 +136,8 @@ def _bronze_run1(spark, sf):
 
 @register("bronze_enriched", f"select * from ({BRONZE}) b")
 def bronze_enriched(spark, sf):
-    """The changelog with the audit columns of its producer batch."""
-    return fx.bronze_fixture(spark, sf)
+    """Bronze after both batches were ingested, each with its audit columns."""
+    return _bronze_rows(spark, _replay(spark, sf, silver_mode=None))
 
 
 @register("line_total", f"select order_id, l_linenumber, l_suppkey, quantity, unit_price, "
@@ -187,6 +213,7 @@ def bronze_count(spark, sf):
 # ------------------------------------------ contracts and drift (S4-S6, N*)
 from lakeguard.functions.types import normalize_sql  # noqa: E402
 from lakeguard.operators import drift  # noqa: E402
+from lakeguard.plans import gates  # noqa: E402
 from lakeguard.sources import contracts as ct  # noqa: E402
 from lakeguard.sources import files  # noqa: E402
 from lakeguard.sources import scenarios as sc  # noqa: E402
@@ -244,17 +271,17 @@ def file_contracts(spark, sf):
     return files.file_contracts(spark, sf).select("file_name", "ordinal", "column_name", "type")
 
 
-def _scenario_contracts(spark, sf):
+def _scenario_footers(spark, sf, names=sc.SCENARIOS):
+    """The producer batches landed as Parquet files, one folder each, and the footers read from them."""
+    root = _scratch(spark, "landed")
     batches = sc.scenario_batches(spark, sf)
-    return ct.contract_of(spark, {n: batches[n].schema for n in sc.SCENARIOS})
+    for name in names:
+        batches[name].write.parquet(f"{root}/{name}")
+    return _materialize(spark, gates.batch_footers(spark, root), "footers")
 
 
-def _scenario_changes(spark, sf, baseline_version="v1"):
-    incoming = _scenario_contracts(spark, sf)
-    baseline = ct.seed_contracts(spark, [baseline_version])
-    pairs = spark.createDataFrame([(n, baseline_version) for n in sc.SCENARIOS],
-                                  "batch_id string, baseline_key string")
-    return drift.column_changes(incoming, baseline, pairs)
+def _scenario_verdicts(spark, sf):
+    return gates.batch_verdicts(gates.schema_changes(_scenario_footers(spark, sf), ct.seed_contracts(spark, ["v1"]))).drop("baseline_key")
 
 
 def _drift_sql(incoming_sql: str, baseline_sql: str, pairs_sql: str) -> str:
@@ -298,15 +325,16 @@ SCENARIO_VERDICT_SQL = _verdict_sql(SCENARIO_DRIFT_SQL)
 
 @register("schema_drift", SCENARIO_DRIFT_SQL)
 def schema_drift(spark, sf):
-    """Column-level changes of every producer batch shape against
-    the v1 seed contract (full outer join on (batch, column))."""
-    return _scenario_changes(spark, sf)
+    """Column-level changes of every landed batch against the v1 seed
+    contract, from the footers of its files (full outer join on (batch, column))."""
+    changes = gates.schema_changes(_scenario_footers(spark, sf), ct.seed_contracts(spark, ["v1"]))
+    return changes.drop("fingerprint", "baseline_key")
 
 
 @register("schema_drift_verdict", SCENARIO_VERDICT_SQL)
 def schema_drift_verdict(spark, sf):
-    """One verdict per batch with its added / removed / changed lists."""
-    return drift.verdict_text(drift.verdicts(_scenario_changes(spark, sf)))
+    """One verdict per landed batch with its added / removed / changed lists."""
+    return _scenario_verdicts(spark, sf)
 
 
 CONTRACT_VERSIONS_SQL = _verdict_sql(_drift_sql(
@@ -319,13 +347,13 @@ CONTRACT_VERSIONS_SQL = _verdict_sql(_drift_sql(
 
 @register("contract_versions", CONTRACT_VERSIONS_SQL)
 def contract_versions(spark, sf):
-    """The v1-shaped changelog batch checked against every seed
-    contract version in one job (one batch id per (batch, version) pair)."""
-    schema = sc.scenario_batches(spark, sf)["baseline"].schema
-    incoming = ct.contract_of(spark, {f"baseline@{v}": schema for v in ct.SEED_VERSIONS})
-    pairs = spark.createDataFrame([(f"baseline@{v}", v) for v in ct.SEED_VERSIONS],
-                                  "batch_id string, baseline_key string")
-    return drift.verdict_text(drift.classify(incoming, ct.seed_contracts(spark), pairs))
+    """The files of the landed v1 batch checked against every seed
+    contract version in one job (one pair per schema and version)."""
+    footers = _scenario_footers(spark, sf, ["baseline"])
+    changes = gates.schema_changes(footers, ct.seed_contracts(spark), F.array(*[F.lit(v) for v in ct.SEED_VERSIONS]))
+    return gates.batch_verdicts(changes).select(
+        F.concat_ws("@", "batch_id", "baseline_key").alias("batch_id"), "verdict", "added_columns", "removed_columns",
+        "type_changes", "affected_pipelines")
 
 
 # ------------------------------------------------ merge engine
@@ -346,24 +374,10 @@ select * from ({SILVER_RUN1_SQL}) t where order_id not in (select order_id from
 union all select * from ({ARRIVAL_CHANGES_SQL}) c2"""
 
 
-def _arrival_changes(spark, sf, materialize: bool = True):
-    """Silver after run 1 and the change set of run 2.  The merge queries
-    read each up to four times, so both are written once (as the model runs
-    stage them); schema-only callers pass ``materialize=False``."""
-    target = silver.silver_full(_bronze_run1(spark, sf), ORDER)
-    if materialize:
-        target = _materialize(spark, target, "silver-run1")
-    changes = silver.silver_incremental(fx.bronze_fixture(spark, sf), target, mode="arrival",
-                                        watermark=fx.ntz(BATCH1_AT), version_order=ORDER)
-    return target, _materialize(spark, changes, "silver-changes") if materialize else changes
-
-
 @register("merge_silver", MERGE_SILVER_SQL)
 def merge_silver(spark, sf):
-    """Arrival-time merge of batch 2 into the Silver state of run 1
-    (anti-join of the target on the changed keys, union of the changes)."""
-    target, changes = _arrival_changes(spark, sf)
-    return silver.merge_changes(target, changes)
+    """Silver after the arrival-time merge of batch 2 into the state of run 1."""
+    return models.silver_table(spark, _replay(spark, sf))
 
 
 _STAT_COLS = [c for c in silver.SILVER_COLUMNS if c != "order_id"]
@@ -377,20 +391,26 @@ group by 1"""
 
 @register("merge_stats", MERGE_STATS_SQL)
 def merge_stats(spark, sf):
-    """How the batch-2 merge classifies its keys (inserted / updated / unchanged)."""
-    target, changes = _arrival_changes(spark, sf)
-    return mg.merge_stats(target, changes, "order_id")
+    """How the change set that run 2 staged classifies its keys against
+    Silver as run 1 left it (inserted / updated / unchanged)."""
+    before = []
+    lake = _replay(spark, sf, before_last=lambda lk_: before.append(
+        _materialize(spark, models.silver_table(spark, lk_), "silver-run1")))
+    run = models.last_run(spark, lake, "silver")
+    changes = spark.read.parquet(lake.staging(run["run_id"], "changes")).filter("_side = 'new'")
+    return mg.merge_stats(before[0], changes.select(*silver.SILVER_COLUMNS), "order_id")
 
 
 @register("merge_idempotent", f"""
 select count(*) as rows_once, count(*) as rows_twice, 0 as only_once, 0 as only_twice
 from ({MERGE_SILVER_SQL}) m""")
 def merge_idempotent(spark, sf):
-    """Applying the same change set twice equals applying it once
-    (multiset difference both ways, stronger than equal counts)."""
-    target, changes = _arrival_changes(spark, sf)
-    once = _materialize(spark, silver.merge_changes(target, changes), "silver-once")
-    twice = silver.merge_changes(once, changes)
+    """Doing a committed run again ends in the same table (multiset
+    difference both ways, stronger than equal counts)."""
+    lake = _replay(spark, sf)
+    once = _materialize(spark, models.silver_table(spark, lake), "silver-once")
+    models.replay(spark, lake, models.last_run(spark, lake, "silver"))
+    twice = models.silver_table(spark, lake)
     diff = mg.symmetric_difference(once, twice).select("side")
     tagged = (once.select(F.lit("once").alias("side"))
               .unionByName(twice.select(F.lit("twice").alias("side"))).unionByName(diff))
@@ -411,23 +431,14 @@ union all select * from ({GOLD_LATEST_SQL}) r2""")
 def merge_gold(spark, sf):
     """K4/M2 (reference rule): Gold dates from the latest Gold date on are
     re-aggregated and replace their rows; older dates keep run-1 values."""
-    from lakeguard.operators.watermark import watermark_value
-    # Gold after run 1 gives the watermark and the kept rows: written once
-    gold1 = _materialize(spark, gold.daily_revenue(
-        silver.silver_full(_bronze_run1(spark, sf), ORDER), True), "gold-run1")
-    rows = gold.gold_delta(_silver_full(spark, sf), watermark_value(gold1, "order_date"))
-    return gold.merge_gold(gold1, gold.daily_revenue(rows, key_is_unique=True))
+    return models.gold_table(spark, _replay(spark, sf, gold_mode="latest_date"))
 
 
 @register("merge_gold_touched", daily_revenue_sql(SILVER_FULL_SQL))
 def merge_gold_touched(spark, sf):
-    """Re-aggregate every date holding a key changed by the batch-2 Silver
-    merge (old and new dates), merged over Gold of run 1 — equals a full rebuild."""
-    target, changes = _arrival_changes(spark, sf)
-    merged = silver.merge_changes(target, changes)
-    dates = gold.touched_dates(changes, target)
-    gold1 = gold.daily_revenue(target, True)
-    return gold.merge_gold(gold1, gold.gold_for_dates(merged, dates), dates)
+    """Gold of run 1 plus what the change set of run 2 retracts and adds —
+    equals a full rebuild."""
+    return models.gold_table(spark, _replay(spark, sf, gold_mode="touched_dates"))
 
 
 # --------------------------------------------------------- as-of reads
@@ -458,13 +469,11 @@ from ({RAW}) r where updated_at > timestamp '{fx.BATCH_SPLIT}'"""
 
 @register("bronze_evolved_read", BRONZE_EVOLVED_SQL)
 def bronze_evolved_read(spark, sf):
-    """K2: a v1 batch then a v2 batch (adds delivery_partner) read as one
-    evolved table — rows of the older batch read the new column as null."""
-    r = fx.raw_orders(spark, sf)
-    split = F.col("updated_at") <= fx.ntz(fx.BATCH_SPLIT)
-    old = r.filter(split).select(*sc.V1)
-    new = sc.scenario_batches(spark, sf)["non_breaking"].filter(~split)
-    return old.unionByName(new, allowMissingColumns=True)
+    """K2: a v1 batch then a v2 batch (adds delivery_partner) ingested into one
+    table — rows of the older batch read the new column as null."""
+    batches = sc.scenario_batches(spark, sf)
+    lake = _replay(spark, sf, silver_mode=None, shapes=[batches["baseline"], batches["non_breaking"]])
+    return models._bronze(spark, lake).select(*sc.V1, "delivery_partner")
 
 
 SINK_DRIFT_SQL = _drift_sql(
@@ -476,13 +485,17 @@ SINK_DRIFT_SQL = _drift_sql(
 @register("sink_drift_check", f"select count(*) as columns_compared, "
                               f"count(*) filter (where change <> 'SAME') as drifted_columns from ({SINK_DRIFT_SQL}) d")
 def sink_drift_check(spark, sf):
-    """K6: contract of the incremental Silver output against the Silver target
-    (schemas only: no rows are read)."""
-    target, changes = _arrival_changes(spark, sf, materialize=False)
-    out_c = ct.contract_of(spark, {"output": changes.schema}, drop_system=False)
-    tgt_c = ct.contract_of(spark, {"target": target.schema}, drop_system=False)
+    """K6: contract of the change set that run 2 wrote against that of the Silver
+    table, both as their files' footers have them."""
+    lake = _replay(spark, sf)
+    run = models.last_run(spark, lake, "silver")
+    contracts = {}
+    for side, path in (("output", lake.staging(run["run_id"], "changes")), ("target", lake.silver)):
+        found = files.distinct_contracts(files.footers(files.list_files(spark, path)))
+        found = found.filter(F.col("column_name").isin(*silver.SILVER_COLUMNS)).drop("contract_key").distinct()
+        contracts[side] = found.withColumn("contract_key", F.lit(side))
     pairs = spark.createDataFrame([("output", "target")], "batch_id string, baseline_key string")
-    ch = drift.column_changes(out_c, tgt_c, pairs)
+    ch = drift.column_changes(contracts["output"], contracts["target"], pairs)
     return ch.agg(F.count(F.lit(1)).alias("columns_compared"),
                   F.count_if(F.col("change") != drift.SAME).alias("drifted_columns"))
 
@@ -574,10 +587,6 @@ def _completeness_sql(as_of: str, n: int = 100) -> str:
 from ({BRONZE}) b"""
 
 
-def _bronze_live_contract(spark, sf):
-    return ct.contract_of(spark, {"live": fx.bronze_fixture(spark, sf).schema})
-
-
 BRONZE_SCHEMA_SQL = _verdict_sql(_drift_sql(
     _describe_sql("live", f"select * exclude (_ingested_at, _schema_version, _source) from ({BRONZE}) b",
                   "batch_id"),
@@ -596,18 +605,21 @@ def _sla_run_sql(as_of: str) -> str:
         f"as business_impact, timestamp '{as_of}' as checked_at from ({p}) x" for p in parts)
 
 
-def _sla_run(spark, sf, as_of: str):
-    return sla.run_checks(spark, fx.bronze_fixture(spark, sf), as_of,
-                          live_contract=_bronze_live_contract(spark, sf),
-                          pinned=ct.seed_contracts(spark, ["v1"]))
+def _sla_lake(spark, sf) -> lk.Lake:
+    return _replay(spark, sf, silver_mode=None)
+
+
+def _batches(spark, lake) -> DataFrame:
+    return sla.of_batches(lk.read_log(spark, lake, "batch_log"))
 
 
 @register("sla_freshness", " union all ".join(
     f"select timestamp '{a}' as as_of, status, detail from ({_freshness_sql(a)}) f" for a in FRESHNESS_AS_OF))
 def sla_freshness(spark, sf):
     """V1 at three instants: exactly 6 h after the latest update (passes),
-    one second later (fails), and weeks later — all from one aggregate."""
-    m = sla.metrics(fx.bronze_fixture(spark, sf), sla.ts_literal(FRESHNESS_AS_OF[0]))
+    one second later (fails), and weeks later — all from what the ingest of both
+    batches observed."""
+    m = sla.metrics(_batches(spark, _sla_lake(spark, sf)), sla.ts_literal(FRESHNESS_AS_OF[0]))
     results = [F.struct(sla.ts_literal(a).alias("as_of"), sla.freshness_result(sla.ts_literal(a), 6)
                         .alias("r")) for a in FRESHNESS_AS_OF]
     return m.select(F.inline(F.array(*results))).select("as_of", "r.status", "r.detail")
@@ -616,11 +628,9 @@ def sla_freshness(spark, sf):
 @register("sla_completeness", " union all ".join(
     f"select timestamp '{a}' as as_of, status, detail from ({_completeness_sql(a)}) c" for a in COMPLETENESS_AS_OF))
 def sla_completeness(spark, sf):
-    """V2 on the two ingest days and a day without ingest, one aggregate pass."""
-    b = fx.bronze_fixture(spark, sf)
-    counts = b.agg(*[F.count_if(F.to_date("_ingested_at") == F.to_date(sla.ts_literal(a)))
-                     .alias(f"n{i}") for i, a in enumerate(COMPLETENESS_AS_OF)])
-    results = [F.struct(sla.ts_literal(a).alias("as_of"), sla.completeness_result(100, f"n{i}")
+    """V2 on the two ingest days and a day without ingest, from the batch log."""
+    counts = sla.metrics(_batches(spark, _sla_lake(spark, sf)), [sla.ts_literal(a) for a in COMPLETENESS_AS_OF])
+    results = [F.struct(sla.ts_literal(a).alias("as_of"), sla.completeness_result(100, f"rows_today_{i}")
                         .alias("r")) for i, a in enumerate(COMPLETENESS_AS_OF)]
     return counts.select(F.inline(F.array(*results))).select("as_of", "r.status", "r.detail")
 
@@ -634,28 +644,29 @@ from ({SCENARIO_VERDICT_SQL}) v"""
 
 @register("sla_schema", SLA_SCHEMA_SQL)
 def sla_schema(spark, sf):
-    """V3: schema consistency of every producer batch shape against pinned v1."""
-    v = drift.verdicts(_scenario_changes(spark, sf))
+    """V3: schema consistency of every landed batch's files against pinned v1."""
+    v = _scenario_verdicts(spark, sf)
     breaking = F.col("verdict") == drift.BREAKING
-    from lakeguard.functions.text import list_text, type_changes_text
-    detail = F.concat(F.lit("removed="), list_text("removed"), F.lit(" type_changes="),
-                      type_changes_text("type_changes"))
+    detail = F.concat(F.lit("removed="), F.col("removed_columns"), F.lit(" type_changes="), F.col("type_changes"))
     return v.select("batch_id", F.when(breaking, "FAIL").otherwise("PASS").alias("status"),
                     F.when(breaking, detail).otherwise(F.lit("")).alias("detail"))
 
 
 @register("sla_report", _sla_run_sql(SLA_RUNS[1]))
 def sla_report(spark, sf):
-    """V4: the configured suite (rules file) on Bronze, one row per rule with
-    its business impact; freshness and completeness from one aggregate pass."""
-    return _sla_run(spark, sf, SLA_RUNS[1])
+    """V4: the configured suite (rules file) on the ingested table, one row per
+    rule with its business impact; no Bronze file is read."""
+    return pipeline.run_sla(spark, _sla_lake(spark, sf), _dt.datetime.fromisoformat(SLA_RUNS[1]))
 
 
 @register("latest_sla", f"select * from ({' union all '.join(_sla_run_sql(a) for a in SLA_RUNS)}) s "
                         f"order by checked_at desc, check_name limit 3")
 def latest_sla(spark, sf):
     """L1: the three most recent SLA log rows over three daily runs."""
-    log = _sla_run(spark, sf, SLA_RUNS)  # three daily runs, one aggregate pass
+    lake = _sla_lake(spark, sf)
+    for at in SLA_RUNS:
+        pipeline.run_sla(spark, lake, _dt.datetime.fromisoformat(at))
+    log = lk.read_log(spark, lake, "sla_check_log")
     return log.orderBy(F.col("checked_at").desc(), "check_name").limit(3)
 
 
@@ -665,13 +676,16 @@ def _evaluated_at_sql() -> str:
     return f"case batch_id {whens} end"
 
 
-def _scenario_log(spark, sf):
-    v = drift.verdict_text(drift.verdicts(_scenario_changes(spark, sf)))
-    at = None
-    for k, val in sc.SCENARIO_EVALUATED_AT.items():
-        cond = F.col("batch_id") == k
-        at = F.when(cond, fx.ntz(val)) if at is None else at.when(cond, fx.ntz(val))
-    return v.withColumn("evaluated_at", at).withColumn("baseline", F.lit("schema_v1.json"))
+_LOG_COLUMNS = ["batch_id", "verdict", "added_columns", "removed_columns", "type_changes", "affected_pipelines",
+                "evaluated_at", "baseline"]
+
+
+def _scenario_log(spark, sf, name) -> DataFrame:
+    """A log of a scratch lake to which the verdicts of all landed batches were routed."""
+    lake = lk.Lake(_scratch(spark, "lake"))
+    at = F.coalesce(*[F.when(F.col("batch_id") == k, fx.ntz(v)) for k, v in sc.SCENARIO_EVALUATED_AT.items()])
+    gates.route_batches(spark, lake, _materialize(spark, _scenario_verdicts(spark, sf), "verdicts"), "schema_v1.json", at)
+    return lk.read_log(spark, lake, name)
 
 
 LOG_SQL = f"select *, {_evaluated_at_sql()} as evaluated_at, 'schema_v1.json' as baseline from ({SCENARIO_VERDICT_SQL}) v"
@@ -681,14 +695,13 @@ INCIDENT_SQL = f"select *, 'PIPELINE_HALTED' as event from ({LOG_SQL}) l where v
 @register("schema_change_log", f"select * from ({LOG_SQL}) l where verdict = 'NON_BREAKING'")
 def schema_change_log(spark, sf):
     """Log rows of the accepted batches (an unchanged schema is logged too)."""
-    return _scenario_log(spark, sf).filter(F.col("verdict") == drift.NON_BREAKING)
+    return _scenario_log(spark, sf, "schema_change_log").select(*_LOG_COLUMNS)
 
 
 @register("incident_log", INCIDENT_SQL)
 def incident_log(spark, sf):
     """Incident rows (PIPELINE_HALTED) of the breaking batches."""
-    return (_scenario_log(spark, sf).filter(F.col("verdict") == drift.BREAKING)
-            .withColumn("event", F.lit("PIPELINE_HALTED")))
+    return _scenario_log(spark, sf, "incident_log").select(*_LOG_COLUMNS, "event")
 
 
 @register("latest_schema_change", f"select verdict, added_columns, evaluated_at from ({LOG_SQL}) l "
@@ -710,42 +723,28 @@ def latest_incident(spark, sf):
 # ------------------------------------------------------- cost
 from lakeguard.operators import cost  # noqa: E402
 
-MODELS_PIPELINE = "orders_models"
-_RUNS = [  # (pipeline, run type, runtime s, which rows, logged at)
-    (fx.PIPELINE_ID, "incremental", cost.INCREMENTAL_RUNTIME_S, "batch1", "2001-12-01 00:00:00"),
-    (fx.PIPELINE_ID, "incremental", cost.INCREMENTAL_RUNTIME_S, "batch2", "2001-12-02 00:00:00"),
-    (MODELS_PIPELINE, "full_refresh", cost.FULL_REFRESH_RUNTIME_S, "all", "2001-12-02 01:00:00"),
-    (MODELS_PIPELINE, "incremental", cost.INCREMENTAL_RUNTIME_S, "batch2", "2001-12-02 02:00:00"),
-]
+# ``events`` is read as the log of a pipeline's runs: an event is a run of the
+# pipeline that its type names, ``value`` its measured runtime in seconds and
+# ``k`` of its properties the rows it processed; purchases stand for full
+# refreshes, all other events for incremental runs.
 
 
 def _run_log(spark, sf):
-    """The replay's run log: row counts from one pass over Bronze, runtimes
-    are the placeholder full-refresh / incremental durations."""
-    b = fx.bronze_fixture(spark, sf)
-    counts = b.agg(F.count_if(F.col("_ingested_at") == fx.ntz(BATCH1_AT)).alias("batch1"),
-                   F.count_if(F.col("_ingested_at") == fx.ntz(BATCH2_AT)).alias("batch2"),
-                   F.count(F.lit(1)).alias("all"))
-    rows = F.array(*[F.struct(F.lit(p).alias("pipeline_name"), F.lit(t).alias("run_type"),
-                              F.lit(float(s)).alias("runtime_seconds"),
-                              F.col(w).cast("long").alias("rows_processed"),
-                              fx.ntz(at).alias("logged_at")) for p, t, s, w, at in _RUNS])
-    return counts.select(F.inline(rows))
-
-
-def _run_log_sql() -> str:
-    cnt = {"batch1": f"count(*) filter (where _ingested_at = timestamp '{BATCH1_AT}')",
-           "batch2": f"count(*) filter (where _ingested_at = timestamp '{BATCH2_AT}')",
-           "all": "count(*)"}
-    return " union all ".join(
-        f"select '{p}' as pipeline_name, '{t}' as run_type, cast({float(s)} as double) as runtime_seconds, "
-        f"{cnt[w]} as rows_processed, timestamp '{at}' as logged_at from ({BRONZE}) b"
-        for p, t, s, w, at in _RUNS)
+    return fx.read_table(spark, sf, "events").select(
+        F.col("event_type").alias("pipeline_name"),
+        F.when(F.col("event_type") == "purchase", "full_refresh").otherwise("incremental").alias("run_type"),
+        F.col("value").alias("runtime_seconds"), F.get_json_object("props", "$.k").cast("long").alias("rows_processed"),
+        F.col("ts").alias("logged_at"))
+
+
+RUN_LOG_SQL = """select event_type as pipeline_name,
+  case when event_type = 'purchase' then 'full_refresh' else 'incremental' end as run_type,
+  value as runtime_seconds, cast(json_extract_string(props, '$.k') as bigint) as rows_processed, ts as logged_at from events"""
 
 
 COST_SQL = f"""select *, round_even(runtime_seconds / 3600.0 * {cost.DBU_PER_HOUR}, 6) as estimated_dbu,
   round_even(runtime_seconds / 3600.0 * {cost.DBU_PER_HOUR} * {cost.DBU_RATE_USD}, 6) as estimated_cost_usd,
-  '{cost.methodology()}' as methodology from ({_run_log_sql()}) r"""
+  '{cost.methodology()}' as methodology from ({RUN_LOG_SQL}) r"""
 
 
 @register("cost_attribution", COST_SQL)
@@ -754,24 +753,35 @@ def cost_attribution(spark, sf):
     return cost.with_cost(_run_log(spark, sf))
 
 
+MEAN_SQL = f"""select run_type, cast(sum(cast(runtime_seconds as decimal(24,6))) as double) / count(runtime_seconds)
+  as runtime_seconds from ({RUN_LOG_SQL}) r group by run_type"""
 PROJECTION_SQL = f"""
 select run_type, day, daily_cost_usd, daily_cost_usd * day as cumulative_cost_usd from (
   select run_type, runtime_seconds / 3600.0 * {cost.DBU_PER_HOUR} * {cost.DBU_RATE_USD} * {cost.RUNS_PER_DAY} as daily_cost_usd
-  from ({_run_log_sql()}) r where pipeline_name = '{MODELS_PIPELINE}') d,
+  from ({MEAN_SQL}) m) d,
   (select cast(unnest(range(1, {cost.DAYS} + 1)) as integer) as day) days"""
 
 
 def _projection(spark, sf):
-    runs = _run_log(spark, sf).filter(F.col("pipeline_name") == MODELS_PIPELINE)
-    return cost.project_costs(runs)
+    return cost.project_costs(cost.mean_runtimes(_run_log(spark, sf)))
 
 
 @register("cost_projection", PROJECTION_SQL)
 def cost_projection(spark, sf):
-    """30-day cumulative cost of full-refresh vs incremental model runs."""
+    """30-day cumulative cost of full-refresh vs incremental runs at their measured mean runtimes."""
     return _projection(spark, sf)
 
 
+@register("cost_spent", f"""
+select run_type, day, runs, cast(cost as double) as cost_usd,
+       cast(sum(cost) over (partition by run_type order by day rows unbounded preceding) as double) as cumulative_cost_usd
+from (select run_type, cast(logged_at as date) as day, count(*) as runs,
+             sum(cast(estimated_cost_usd as decimal(24,6))) as cost from ({COST_SQL}) c group by run_type, cast(logged_at as date)) d""")
+def cost_spent(spark, sf):
+    """What the logged runs have cost per day and in all up to it."""
+    return cost.spent_by_day(cost.with_cost(_run_log(spark, sf)))
+
+
 @register("cost_savings", f"""
 select day, sum(case when run_type = 'full_refresh' then cumulative_cost_usd end) as full_refresh_usd,
        sum(case when run_type = 'incremental' then cumulative_cost_usd end) as incremental_usd,
@@ -796,30 +806,28 @@ def cost_by_pipeline(spark, sf):
 
 
 @register("cost_ratio", f"""
-select avg(case when run_type = 'full_refresh' then runtime_seconds end) as full_s,
-       avg(case when run_type = 'incremental' then runtime_seconds end) as incr_s,
-       avg(case when run_type = 'full_refresh' then runtime_seconds end)
-         / avg(case when run_type = 'incremental' then runtime_seconds end) as ratio
-from ({_run_log_sql()}) r where pipeline_name = '{MODELS_PIPELINE}'""")
+select max(case when run_type = 'full_refresh' then runtime_seconds end) as full_s,
+       max(case when run_type = 'incremental' then runtime_seconds end) as incr_s,
+       max(case when run_type = 'full_refresh' then runtime_seconds end)
+         / max(case when run_type = 'incremental' then runtime_seconds end) as ratio from ({MEAN_SQL}) m""")
 def cost_ratio(spark, sf):
-    """Full-refresh / incremental runtime ratio of the model runs."""
-    return cost.full_vs_incremental(
-        _run_log(spark, sf).filter(F.col("pipeline_name") == MODELS_PIPELINE))
+    """Full-refresh / incremental runtime ratio of the logged runs."""
+    return cost.full_vs_incremental(_run_log(spark, sf))
 
 
 # ------------------------------------------ file sources and landing
-import datetime as _dt  # noqa: E402
 
 
 @register("ingest_csv_batch", sc.SCENARIO_SQL["baseline"])
 def ingest_csv_batch(spark, sf):
-    """S3: the v1 batch delivered as CSV and read back with the contract's
-    types (no inference); malformed lines would land in _corrupt_record."""
-    path = _scratch(spark, "csv-batch")
-    sc.scenario_batches(spark, sf)["baseline"].write.option("header", True).csv(path)
-    schema = ct.contract_struct(ct.seed_contracts(spark, ["v1"]))
-    typed = files.read_csv_batch(spark, path, schema)
-    return typed.drop("_corrupt_record")
+    """S3: the v1 batch delivered as CSV files of two producers, whose columns
+    stand in different order, ingested through the gate with the contract's types."""
+    path, lake = _scratch(spark, "csv-batch"), lk.Lake(_scratch(spark, "lake"))
+    rows = sc.scenario_batches(spark, sf)["baseline"]
+    for n, columns in ((1, sc.V1), (2, sc.V1[::-1])):
+        rows.filter(fx.batch_no() == n).select(*columns).write.option("header", True).csv(f"{path}/producer{n}")
+    ig.ingest_csv(spark, path, lake, batch_id="b1")
+    return models._bronze(spark, lake).select(*sc.V1)
 
 
 @register("landing_promote", BRONZE_EVOLVED_SQL)
@@ -827,7 +835,6 @@ def landing_promote(spark, sf):
     """Two producer batches (v1, then v2 adding delivery_partner)
     dropped in a landing folder, drained by the guarded file stream into
     Bronze; returns Bronze's business columns."""
-    from lakeguard.plans import lake as lk
     from lakeguard.streaming import landing
     root = _scratch(spark, "landing")
     r = fx.raw_orders(spark, sf)
@@ -838,5 +845,4 @@ def landing_promote(spark, sf):
     q = landing.start(spark, f"{root}/in", lake, f"{root}/checkpoint",
                       clock=lambda: _dt.datetime(2001, 12, 2))
     q.awaitTermination()
-    bronze = spark.read.option("mergeSchema", True).parquet(lake.bronze)
-    return bronze.select(*sc.V1, "delivery_partner")
+    return models._bronze(spark, lake).select(*sc.V1, "delivery_partner")

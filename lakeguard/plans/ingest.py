@@ -161,15 +161,20 @@ def ingest(spark: SparkSession, batch: DataFrame, lake: lk.Lake, *, batch_id: st
     return rows
 
 
-def ingest_csv(spark: SparkSession, path: str, lake: lk.Lake, *, batch_id: str,
-               schema_version: str = "v1", **settings) -> tuple[int, int]:
-    """S3 + I1: a CSV batch through the gate, as its own header names its columns.
+def ingest_csv(spark: SparkSession, path: str, lake: lk.Lake, **settings) -> tuple[int, int]:
+    """S3 + I1: a CSV batch through the gate, as its own headers name its columns."""
+    return ingest_text(spark, path, lake, kind="csv", **settings)
+
+
+def ingest_text(spark: SparkSession, path: str, lake: lk.Lake, *, batch_id: str, kind: str,
+                schema_version: str = "v1", **settings) -> tuple[int, int]:
+    """A batch of CSV or JSON-lines files through the gate.
 
     Lines that do not fit the contract's types are kept, as they stand, in the
     quarantine table under the batch id.  Returns (rows ingested, lines quarantined).
     """
     declared = ct.contract_struct(ct.seed_contracts(spark, [schema_version]))
-    batch = files.read_csv_batch(spark, path, declared)
+    batch = (files.read_csv_batch if kind == "csv" else files.read_json_batch)(spark, path, declared)
     bad, obs = files.malformed_rows(batch), Observation(f"quarantine_{batch_id}")
     # before the batch is logged: should the driver die between, a replay writes both again
     (bad.select("*", F.lit(batch_id).alias("_batch_id")).observe(obs, F.count(F.lit(1)).alias("rows"))

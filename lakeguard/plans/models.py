@@ -107,6 +107,12 @@ def _open_run(spark: SparkSession, lake: lk.Lake, stage: str):
     return _open_run(spark, lake, stage) if state["open"] else state["last"]
 
 
+def last_run(spark: SparkSession, lake: lk.Lake, stage: str):
+    """Log row of the last committed run of ``stage``."""
+    row = F.struct(*lk.LOG_SCHEMAS["run_log"].fieldNames())
+    return _committed(spark, lake, stage).agg(F.max_by(row, F.struct("committed_at", "run_id")).alias("r")).first()["r"]
+
+
 def replay(spark: SparkSession, lake: lk.Lake, run) -> None:
     """Do a planned run again from its staging table."""
     parts = run["partitions"].split(",") if run["partitions"] else []

@@ -1,12 +1,12 @@
-"""File-level sources: per-file contracts (N8) and typed CSV batches (S3).
+"""File-level sources: per-file contracts (N8), typed CSV and JSON batches.
 
 A directory of Parquet files read as one DataFrame shows one schema (a
 sampled footer, or a merge that fails on conflicts), so drift hidden in a
-single file would pass the gate.  ``file_contracts`` instead reads every
-footer: the file listing comes from the ``binaryFile`` source with only
-``path`` selected (file bodies are never read), and footers are parsed in
-Arrow batches by ``mapInPandas`` on the executors — one task handles many
-files, and the work spreads with the number of files.
+single file would pass the gate.  ``footers`` instead reads every file's footer
+once, on the executors: the path list is dealt to tasks by the number of files,
+not by their bytes.  Files of one schema share its fingerprint, so a contract
+is compared once per distinct schema and the verdict mapped back to files.
+CSV headers are read in the same way, and files are grouped by header.
 """
 
 from __future__ import annotations
@@ -26,8 +26,9 @@ from lakeguard.functions.types import normalize_type
 # not an installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-FILE_CONTRACT_SCHEMA = ("path string, file_name string, ordinal int, "
-                        "column_name string, raw_type string, nullable boolean")
+FOOTER_SCHEMA = ("path string, file_name string, fingerprint string, columns array<struct<"
+                 "ordinal:int,column_name:string,raw_type:string,nullable:boolean>>")
+FILES_PER_TASK = 256
 
 
 def arrow_type_name(t) -> str:
@@ -68,39 +69,66 @@ def arrow_type_name(t) -> str:
     return str(t)
 
 
+def _open(path: str):
+    """(filesystem, path) by Arrow: Hadoop lists S3 objects as s3a:// (or s3n://), Arrow names that scheme s3://."""
+    from pyarrow import fs as pafs
+    scheme, sep, rest = path.partition("://")
+    return pafs.FileSystem.from_uri(f"s3://{rest}" if sep and scheme in ("s3a", "s3n") else path)
+
+
 def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import hashlib
+
     import pyarrow.parquet as pq
-    from pyarrow import fs as pafs
     for pdf in batches:
         out = []
         for path in pdf["path"]:
-            # Hadoop lists S3 objects as s3a:// (or s3n://); Arrow names that scheme s3://
-            scheme, sep, rest = path.partition("://")
-            uri = f"s3://{rest}" if sep and scheme in ("s3a", "s3n") else path
-            filesystem, local = pafs.FileSystem.from_uri(uri)
-            schema = pq.read_schema(local, filesystem=filesystem)
-            name = path.rsplit("/", 1)[-1]
-            for i, field in enumerate(schema, start=1):
-                out.append((path, name, i, field.name, arrow_type_name(field.type), field.nullable))
-        yield pd.DataFrame(out, columns=["path", "file_name", "ordinal", "column_name",
-                                         "raw_type", "nullable"])
-
-
-def list_files(spark: SparkSession, root: str, glob: str = "*.parquet",
-               recursive: bool = True) -> DataFrame:
-    """Paths (and sizes / mtimes) of the files under ``root``; no file is read."""
-    return (spark.read.format("binaryFile")
-            .option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", str(recursive).lower())
-            .load(root)
-            .select("path", "length", "modificationTime"))
+            filesystem, local = _open(path)
+            columns = [{"ordinal": i, "column_name": f.name, "raw_type": arrow_type_name(f.type), "nullable": f.nullable}
+                       for i, f in enumerate(pq.read_schema(local, filesystem=filesystem), start=1)]
+            said = repr([tuple(c.values()) for c in columns]).encode()
+            out.append((path, path.rsplit("/", 1)[-1], hashlib.sha256(said).hexdigest(), columns))
+        yield pd.DataFrame(out, columns=["path", "file_name", "fingerprint", "columns"])
+
+
+def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import csv
+    import io
+    for pdf in batches:
+        out = []
+        for path in pdf["path"]:
+            filesystem, local = _open(path)
+            with filesystem.open_input_stream(local) as raw:     # decompresses by the file's ending
+                out.append((path, next(csv.reader(io.TextIOWrapper(raw, "utf-8-sig", newline="")), [])))
+        yield pd.DataFrame(out, columns=["path", "header"])
+
+
+def list_files(spark: SparkSession, root: str, glob: str = "*.parquet", recursive: bool = True) -> DataFrame:
+    """Paths of the files under ``root``, FILES_PER_TASK to a partition; no file is read."""
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+               .option("recursiveFileLookup", str(recursive).lower()).load(root))
+    paths = sorted(listing.inputFiles())      # from the listing that the reader has made; no job
+    table = spark.createDataFrame([(p,) for p in paths], "path string")
+    return table.repartition(max(1, -(-len(paths) // FILES_PER_TASK)))
+
+
+def footers(paths: DataFrame) -> DataFrame:
+    """(path, file_name, fingerprint, columns) of every Parquet file, each footer read once."""
+    return paths.select("path").mapInPandas(_read_footers, FOOTER_SCHEMA)
+
+
+def distinct_contracts(read: DataFrame) -> DataFrame:
+    """Contract rows (N1) of each distinct schema among ``footers``, keyed by its fingerprint."""
+    one = read.groupBy("fingerprint").agg(F.any_value("columns").alias("columns"))
+    rows = one.select(F.col("fingerprint").alias("contract_key"), F.inline("columns"))
+    return rows.withColumn("type", normalize_type("raw_type"))
 
 
 def file_contracts(spark: SparkSession, root: str | None = None,
                    paths: DataFrame | None = None) -> DataFrame:
     """One contract row per column of every Parquet file."""
     files = paths if paths is not None else list_files(spark, root)
-    rows = files.select("path").mapInPandas(_read_footers, FILE_CONTRACT_SCHEMA)
+    rows = footers(files).select("path", "file_name", F.inline("columns"))
     return rows.withColumn("type", normalize_type("raw_type"))
 
 
@@ -126,24 +154,55 @@ def common_schema(contracts: DataFrame) -> tuple[T.StructType, dict[str, list[st
     return T.StructType(fields), disagree
 
 
+_CORRUPT = "_corrupt_record"
+
+
+def csv_headers(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """(header, files) of each distinct header among the CSV files under ``path``.
+
+    The first line of every file is read by tasks; one row per header comes back.
+    """
+    found = list_files(spark, path, "*.csv*").mapInPandas(_read_headers, "path string, header array<string>")
+    groups = found.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    return sorted((list(r["header"]), list(r["paths"])) for r in groups if r["header"])
+
+
 def read_csv_batch(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV batch with the columns its header names and the contract's types (S3).
+    """CSV batch with the columns its headers name and the contract's types (S3).
 
-    Columns are matched by name: a declared one the header lacks is absent, an
-    undeclared one is text, and so the gate sees both.  Files whose headers
-    differ fail the read.  PERMISSIVE mode plus a ``_corrupt_record`` column
-    keeps malformed lines visible instead of failing or silently nulling them.
+    Files are grouped by header, and each group is read in its own column order.
+    Columns are matched by name: an undeclared one is text, and a declared one
+    that any file lacks is absent from the batch, so the gate sees it go.
+    PERMISSIVE mode plus a ``_corrupt_record`` column keeps malformed lines
+    visible instead of failing or silently nulling them.
+    """
+    declared = {f.name: f.dataType for f in schema.fields}
+    groups = csv_headers(spark, path)
+    lacking = {c for c in declared for header, _ in groups if c not in header}
+    batch = None
+    for header, paths in groups:
+        fields = [T.StructField(c, declared.get(c, T.StringType()), True) for c in header]
+        part = (spark.read.option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", _CORRUPT)
+                .schema(T.StructType([*fields, T.StructField(_CORRUPT, T.StringType(), True)])).csv(paths))
+        part = part.drop(*lacking)
+        batch = part if batch is None else batch.unionByName(part, allowMissingColumns=True)
+    if batch is None:
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType(), True)]))
+    return batch
+
+
+def read_json_batch(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """JSON-lines batch: the fields its records hold, declared ones with the contract's types.
+
+    A declared field that no record holds is absent from the batch, so the gate sees it go.
     """
-    header = spark.read.option("header", True).csv(path).columns
     declared = {f.name: f.dataType for f in schema.fields}
-    fields = [T.StructField(c, declared.get(c, T.StringType()), True) for c in header]
-    fields.append(T.StructField("_corrupt_record", T.StringType(), True))
-    return (spark.read.option("header", True)
-            .option("enforceSchema", False)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt_record")
-            .schema(T.StructType(fields))
-            .csv(path))
+    reader = spark.read.option("pathGlobFilter", "*.json*").option("recursiveFileLookup", True)
+    held = [f for f in reader.option("columnNameOfCorruptRecord", _CORRUPT).json(path).schema.fields if f.name != _CORRUPT]
+    fields = [T.StructField(f.name, declared.get(f.name, f.dataType), True) for f in held]
+    return (reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT)
+            .schema(T.StructType([*fields, T.StructField(_CORRUPT, T.StringType(), True)])).json(path))
 
 
 def malformed_rows(batch: DataFrame) -> DataFrame:

@@ -1,26 +1,26 @@
 """Guarded landing-zone ingest with Structured Streaming (operators S8, T1, T2).
 
-Producers drop each batch as Parquet files in its own sub-directory of the
-landing folder, ``<landing>/<batch_id>/*.parquet``, and finish it by writing
-a ``batch.ready`` marker there (:func:`drop_batch` does both).  The stream
-tracks the markers, not the data files: a batch is picked up only once it is
-complete, never split across micro-batches, and ``maxFilesPerTrigger``
+Producers drop each batch as Parquet, CSV or JSON-lines files in its own
+sub-directory of the landing folder, ``<landing>/<batch_id>/``, and finish it by
+writing a ``batch.ready`` marker there (:func:`drop_batch` does both).  The
+stream tracks the markers, not the data files: a batch is picked up only once it
+is complete, never split across micro-batches, and ``maxFilesPerTrigger``
 bounds the producer batches per micro-batch.  A file stream over the data
 with a declared schema would also hide drift (extra columns silently
 dropped), so no data file is read by the stream itself.  Each micro-batch
 then, in ``foreachBatch``:
 
 1. skips producer batches already committed (replay after a restart);
-2. lists the batch's Parquet files and reads every file's own footer (N8),
-   gating each file against the live Bronze contract — one BREAKING file
-   makes the producer batch BREAKING;
+2. gates the batch by its format: Parquet by every file's own footer, read once
+   (N8), CSV by every file's header, JSON by the fields its records hold; one
+   breaking file makes the producer batch BREAKING;
 3. BREAKING: an incident row is written and the stream stops by raising; the
    files stay where they are, and the next start replays the same
    micro-batch (same markers) from the checkpoint;
-4. otherwise the files are read with the widest physical type of each column
-   (files of an integer and a bigint column are one batch), ingested (I1) and
-   committed in ``run_log``; a batch replayed after a crash replaces what its
-   first attempt wrote;
+4. otherwise the files are read with the contract's types (Parquet: the widest
+   physical type of each column), ingested (I1) and committed in ``run_log``;
+   malformed text lines go to quarantine; a batch replayed after a crash
+   replaces what its first attempt wrote;
 5. optionally (``then``) Silver and Gold are brought up to date.
 
 Late data (T2) is handled downstream by arrival-time merges, not by a
@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeguard.operators import drift
+from lakeguard.plans import gates
 from lakeguard.plans import ingest as ig
 from lakeguard.plans import lake as lk
 from lakeguard.sources import contracts as ct
@@ -50,15 +51,34 @@ def committed_batches(spark: SparkSession, lake: lk.Lake) -> DataFrame:
             .select(F.col("mode").alias("batch_id")).distinct())
 
 
-def file_verdicts(spark: SparkSession, paths: DataFrame, lake: lk.Lake) -> DataFrame:
-    """Verdict per file against the live contract (seed v1 on the first run)."""
-    per_file = fl.file_contracts(spark, paths=paths).filter(
-        ~F.col("column_name").isin(*ct.SYSTEM_COLUMNS))
-    incoming = per_file.select(F.col("path").alias("contract_key"), "ordinal", "column_name",
-                               "raw_type", "nullable", "type")
+def _format(spark: SparkSession, batch_dir: str) -> str:
+    """Format of a batch by the ending its data files share."""
+    fs, p = ct.hadoop_path(spark, batch_dir)
+    found, walk = set(), fs.listFiles(p, True)
+    while walk.hasNext():
+        name = walk.next().getPath().getName()
+        if not name.startswith(("_", ".")) and name != READY:
+            found |= {f for f in ("parquet", "csv", "json") if f".{f}" in name}
+    if len(found) > 1:
+        raise ValueError(f"{batch_dir} mixes formats: {sorted(found)}")
+    return found.pop() if found else "parquet"
+
+
+def _parquet_batch(spark: SparkSession, lake: lk.Lake, batch_id: str, batch_dir: str, at) -> DataFrame:
+    """The batch's rows, after each of its files has passed the gate (raises otherwise)."""
+    path = lake.staging(f"landing-{batch_id}", "footers")     # each footer is read once
+    fl.footers(fl.list_files(spark, batch_dir)).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(path)
+    footers = spark.read.parquet(path)
     baseline, _ = ct.baseline_contract(spark, lake.bronze, "baseline")
-    pairs = paths.select(F.col("path").alias("batch_id"), F.lit("baseline").alias("baseline_key"))
-    return drift.classify(incoming, baseline, pairs)
+    verdict = gates.batch_verdicts(gates.schema_changes(footers, baseline)).drop("baseline_key").first()
+    schema, disagree = fl.common_schema(fl.distinct_contracts(footers))
+    lk.delete_path(spark, lake.staging(f"landing-{batch_id}", "footers"))
+    if disagree:  # files that no one schema can read
+        verdict = verdict.asDict() | {"verdict": drift.BREAKING, "type_changes": str(disagree)}
+    if verdict["verdict"] == drift.BREAKING:
+        ig.route(spark, lake, dict(verdict.asDict() if hasattr(verdict, "asDict") else verdict), f"files of {batch_id}", at)  # raises
+    return (spark.read.schema(schema).option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", True).parquet(batch_dir))
 
 
 def refresh_models(spark: SparkSession, lake: lk.Lake, batch_ids: list[str]) -> None:
@@ -80,22 +100,12 @@ def process_microbatch(spark: SparkSession, lake: lk.Lake, markers: DataFrame,
     todo = sorted((r[0], r[1]) for r in pending.select("batch_id", "dir").distinct().collect())
     done = []
     for batch_id, batch_dir in todo:  # bounded by maxFilesPerTrigger
-        files = fl.list_files(spark, batch_dir).select("path")
-        verdicts = drift.verdict_text(file_verdicts(spark, files, lake))
-        schema, disagree = fl.common_schema(fl.file_contracts(spark, paths=files))
-        broken = verdicts.filter(F.col("verdict") == drift.BREAKING).orderBy("batch_id").first()
-        if broken is not None:
-            row = broken.asDict()
-            row["batch_id"] = batch_id
-            ig.route(spark, lake, row, f"files of {batch_id}", clock())  # raises
-        if disagree:  # files that no one schema can read
-            row = verdicts.orderBy("batch_id").first().asDict() | {
-                "batch_id": batch_id, "verdict": drift.BREAKING, "type_changes": str(disagree)}
-            ig.route(spark, lake, row, f"files of {batch_id}", clock())  # raises
-        data = (spark.read.schema(schema).option("pathGlobFilter", "*.parquet")
-                .option("recursiveFileLookup", True).parquet(batch_dir))
-        ig.ingest(spark, data, lake, batch_id=batch_id, schema_version=schema_version,
-                  ingested_at=clock(), evaluated_at=clock())
+        settings = dict(batch_id=batch_id, schema_version=schema_version, ingested_at=clock(), evaluated_at=clock())
+        kind = _format(spark, batch_dir)
+        if kind == "parquet":
+            ig.ingest(spark, _parquet_batch(spark, lake, batch_id, batch_dir, clock()), lake, **settings)
+        else:
+            ig.ingest_text(spark, batch_dir, lake, kind=kind, **settings)
         lk.append_log(spark, lake, "run_log", [(
             f"landing-{batch_id}", "landing", batch_id, "committed", None, None, None, None, clock(),
             lake.bronze, None, None)])
@@ -128,11 +138,11 @@ def start(spark: SparkSession, landing: str, lake: lk.Lake, checkpoint: str,
     return writer.start()
 
 
-def drop_batch(batch: DataFrame, landing: str, batch_id: str) -> None:
+def drop_batch(batch: DataFrame, landing: str, batch_id: str, kind: str = "parquet") -> None:
     """Producer side: write one batch into its own landing sub-directory, then
     mark it complete."""
     target = f"{landing.rstrip('/')}/{batch_id}"
-    batch.write.mode("errorifexists").parquet(target)
+    batch.write.mode("errorifexists").format(kind).options(**{"header": "true"} if kind == "csv" else {}).save(target)
     spark = batch.sparkSession
     jvm = spark.sparkContext._jvm
     marker = jvm.org.apache.hadoop.fs.Path(f"{target}/{READY}")
