@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from lakeguard.functions.text import list_text, type_changes_text
 from lakeguard.operators import drift
+from lakeguard.session import local_table
 
 log = logging.getLogger(__name__)
 
@@ -118,7 +119,7 @@ def completeness(m: DataFrame, min_rows) -> DataFrame:
 def schema_consistency(live_contract: DataFrame, pinned: DataFrame,
                        spark: SparkSession) -> DataFrame:
     """V3: FAIL iff the live contract is BREAKING against the pinned one."""
-    pairs = spark.createDataFrame([("live", "pinned")], "batch_id string, baseline_key string")
+    pairs = local_table(spark, [("live", "pinned")], "batch_id string, baseline_key string")
     v = drift.classify(live_contract.withColumn("contract_key", F.lit("live")),
                        pinned.withColumn("contract_key", F.lit("pinned")), pairs)
     breaking = F.col("verdict") == drift.BREAKING
@@ -163,7 +164,7 @@ def run_checks(spark: SparkSession, source: DataFrame, as_of,
         rows = metrics(source, instants).select(F.inline(F.array(*metric_results)))
         parts.insert(0, rows.select("r.*", "business_impact", "checked_at"))
     if not parts:
-        return spark.createDataFrame([], RESULT_SCHEMA).withColumn("checked_at", instants[0])
+        return local_table(spark, [], RESULT_SCHEMA).withColumn("checked_at", instants[0])
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -14,7 +14,7 @@ from lakeguard.plans import gold, models, pipeline, silver
 from lakeguard.plans import ingest as ig
 from lakeguard.plans import lake as lk
 from lakeguard.queries import register
-from lakeguard.session import checkpoint_dir
+from lakeguard.session import checkpoint_dir, local_table
 from lakeguard.sources import fixture as fx
 
 # ---------------------------------------------------------------- shared SQL
@@ -494,7 +494,7 @@ def sink_drift_check(spark, sf):
         found = files.distinct_contracts(files.footers(files.list_files(spark, path)))
         found = found.filter(F.col("column_name").isin(*silver.SILVER_COLUMNS)).drop("contract_key").distinct()
         contracts[side] = found.withColumn("contract_key", F.lit(side))
-    pairs = spark.createDataFrame([("output", "target")], "batch_id string, baseline_key string")
+    pairs = local_table(spark, [("output", "target")], "batch_id string, baseline_key string")
     ch = drift.column_changes(contracts["output"], contracts["target"], pairs)
     return ch.agg(F.count(F.lit(1)).alias("columns_compared"),
                   F.count_if(F.col("change") != drift.SAME).alias("drifted_columns"))

@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from lakeguard.operators import cost, drift
 from lakeguard.plans import lake as lk
+from lakeguard.session import local_table
 from lakeguard.sources import contracts as ct
 from lakeguard.sources import files
 from lakeguard.sources.fixture import PIPELINE_ID
@@ -55,7 +56,7 @@ def gate(spark: SparkSession, batch: DataFrame, lake: lk.Lake, batch_id: str,
                 "type_changes": "[]", "affected_pipelines": "[]"}, f"live table: {lake.bronze}"
     baseline, source = ct.baseline_contract(spark, lake.bronze, "baseline", seed_version)
     incoming = ct.contract_of(spark, {batch_id: batch.schema})
-    pair = spark.createDataFrame([(batch_id, "baseline")], "batch_id string, baseline_key string")
+    pair = local_table(spark, [(batch_id, "baseline")], "batch_id string, baseline_key string")
     return drift.verdict_text(drift.classify(incoming, baseline, pair)).first().asDict(), source
 
 
@@ -188,8 +189,7 @@ def ingest_text(spark: SparkSession, path: str, lake: lk.Lake, *, batch_id: str,
 def log_cost(spark: SparkSession, lake: lk.Lake, runtime_seconds: float, rows: int,
              run_type: str, pipeline: str = PIPELINE_ID, logged_at: dt.datetime | None = None,
              dbu_per_hour: float = cost.DBU_PER_HOUR, rate: float = cost.DBU_RATE_USD) -> None:
-    runs = spark.createDataFrame(
-        [(pipeline, run_type, float(runtime_seconds), int(rows), logged_at or utc_now())],
+    runs = local_table(spark, [(pipeline, run_type, float(runtime_seconds), int(rows), logged_at or utc_now())],
         "pipeline_name string, run_type string, runtime_seconds double, rows_processed long, "
         "logged_at timestamp_ntz")
     lk.append_log(spark, lake, "cost_attribution_log", cost.with_cost(runs, dbu_per_hour, rate))

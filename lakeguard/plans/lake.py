@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeguard.session import local_table
 from lakeguard.sources.contracts import hadoop_path, path_exists
 
 LOG_DAY = "_day"   # partition column of the logs: the UTC day of the append
@@ -137,7 +138,7 @@ def read(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFram
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     if exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+    return local_table(spark, [], schema)
 
 
 def append_log(spark: SparkSession, lake: Lake, name: str, rows: DataFrame | list) -> None:
@@ -145,7 +146,7 @@ def append_log(spark: SparkSession, lake: Lake, name: str, rows: DataFrame | lis
     Spark result or as a short list of tuples; the schema is always the
     table's explicit one, so an empty append still has a schema."""
     schema = LOG_SCHEMAS[name]
-    df = rows if isinstance(rows, DataFrame) else spark.createDataFrame(rows, schema)
+    df = rows if isinstance(rows, DataFrame) else local_table(spark, rows, schema)
     today = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d")
     df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]) \
         .coalesce(1).write.mode("append").parquet(f"{lake.log(name)}/{LOG_DAY}={today}")
@@ -179,7 +180,7 @@ def reset(spark: SparkSession, lake: Lake, silver: T.StructType, gold: T.StructT
     for path, schema in empty.items():
         if exists(spark, path):
             delete_path(spark, path)
-            spark.createDataFrame([], schema).write.parquet(path)
+            local_table(spark, [], schema).write.parquet(path)
 
 
 def partitions_of(spark: SparkSession, path: str, column: str) -> list[str]:

@@ -45,6 +45,7 @@ from lakeguard.plans import gold as gd
 from lakeguard.plans import lake as lk
 from lakeguard.plans import silver as sv
 from lakeguard.plans.ingest import utc_now
+from lakeguard.session import local_table
 from lakeguard.sources import contracts as ct
 
 PART, YEAR = "_part", "_year"
@@ -140,7 +141,7 @@ def check_sink_contract(spark: SparkSession, output: DataFrame, target_path: str
     keep = lambda s: T.StructType([f for f in s.fields if f.name not in ignore])
     if ct.same_contract(keep(output.schema), keep(target.schema), drop_system=False):
         return
-    pair = spark.createDataFrame([("output", "target")], "batch_id string, baseline_key string")
+    pair = local_table(spark, [("output", "target")], "batch_id string, baseline_key string")
     bad = drift.column_changes(ct.contract_of(spark, {"output": keep(output.schema)}, drop_system=False),
                                ct.contract_of(spark, {"target": keep(target.schema)}, drop_system=False),
                                pair).where(F.col("change") != drift.SAME).orderBy("column_name").collect()
@@ -192,7 +193,7 @@ def silver_full_refresh(spark: SparkSession, lake: lk.Lake,
 
 def _rebuilt(spark: SparkSession, lake: lk.Lake, months: list[str], sources: list[str]) -> DataFrame:
     """Silver rows of ``months`` from the Bronze batches that the committed runs and ``sources`` took."""
-    taken = _taken(spark, lake, "silver").unionByName(spark.createDataFrame([(s,) for s in sources], "source_id string"))
+    taken = _taken(spark, lake, "silver").unionByName(local_table(spark, [(s,) for s in sources], "source_id string"))
     batches = lk.read_log(spark, lake, "batch_log").join(taken, "source_id", "left_semi").select("batch_id").distinct()
     bronze = _bronze(spark, lake).join(batches.withColumnRenamed("batch_id", "_batch_id"), "_batch_id", "left_semi")
     return _with_part(sv.silver_full(bronze)).filter(F.col(PART).isin([int(m) for m in months])).drop(PART)
@@ -366,7 +367,7 @@ def reset(spark: SparkSession, lake: lk.Lake) -> None:
     seeds = ct.contract_struct(ct.seed_contracts(spark, ["v1"]))
     audit = [T.StructField("_ingested_at", T.TimestampNTZType()), T.StructField("_schema_version", T.StringType()),
              T.StructField("_source", T.StringType())]
-    silver = sv.project(spark.createDataFrame([], T.StructType([*seeds.fields, *audit])))
+    silver = sv.project(local_table(spark, [], T.StructType([*seeds.fields, *audit])))
     lk.reset(spark, lake, silver.schema, gd.daily_state(silver).schema)
 
 

@@ -18,6 +18,7 @@ from lakeguard.operators import cost, quality, sla
 from lakeguard.plans import ingest as ig
 from lakeguard.plans import lake as lk
 from lakeguard.plans import models
+from lakeguard.session import local_table
 from lakeguard.sources import contracts as ct
 
 MODELS_PIPELINE = "orders_models"
@@ -92,4 +93,4 @@ def run(spark: SparkSession, lake: lk.Lake, batch: DataFrame, *, batch_id: str,
             break
         seconds[name] = round(time.perf_counter() - t0, 3)
         rows.append((name, "SUCCESS", str(out.get("rows", out) if isinstance(out, dict) else out), seconds[name]))
-    return spark.createDataFrame(rows, STATUS_SCHEMA)
+    return local_table(spark, rows, STATUS_SCHEMA)

@@ -9,7 +9,10 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Settings every session used by the library should carry.  They are hints for
 # Catalyst/AQE, not hand scheduling: AQE coalesces small shuffle partitions,
@@ -53,6 +56,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def local_table(spark: SparkSession, rows: list, schema: T.StructType | str) -> DataFrame:
+    """A DataFrame of a few driver-made rows (tuples or lists), in one partition.
+
+    They are handed over as one Arrow table; a plain list would be split into
+    as many Python tasks as the session has cores.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(schema)
+    columns = [pa.array([row[i] for row in rows], f.type) for i, f in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), schema)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeguard.functions.types import normalize_type, normalize_type_name
+from lakeguard.session import local_table
 
 CONTRACT_DIR = Path(__file__).resolve().parents[1] / "contracts"
 SEED_VERSIONS = ("v1", "v2", "v3")
@@ -82,7 +83,7 @@ def contract_of(spark: SparkSession, schemas: dict[str, T.StructType],
     """Contracts of DataFrame schemas (N1).  Schemas are metadata already on
     the driver; no data is read."""
     rows = [r for key, s in schemas.items() for r in contract_rows(s, key, drop_system)]
-    return with_canonical(spark.createDataFrame(rows, CONTRACT_SCHEMA))
+    return with_canonical(local_table(spark, rows, CONTRACT_SCHEMA))
 
 
 def same_contract(a: T.StructType, b: T.StructType, drop_system: bool = True) -> bool:

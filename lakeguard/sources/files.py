@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeguard.functions.types import normalize_type
+from lakeguard.session import local_table
 
 # Ship this module's task code by value: executors need only pyarrow/pandas,
 # not an installed copy of this package.
@@ -108,7 +109,7 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.parquet", recursiv
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
                .option("recursiveFileLookup", str(recursive).lower()).load(root))
     paths = sorted(listing.inputFiles())      # from the listing that the reader has made; no job
-    table = spark.createDataFrame([(p,) for p in paths], "path string")
+    table = local_table(spark, [(p,) for p in paths], "path string")
     return table.repartition(max(1, -(-len(paths) // FILES_PER_TASK)))
 
 
@@ -188,7 +189,7 @@ def read_csv_batch(spark: SparkSession, path: str, schema: T.StructType) -> Data
         part = part.drop(*lacking)
         batch = part if batch is None else batch.unionByName(part, allowMissingColumns=True)
     if batch is None:
-        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType(), True)]))
+        return local_table(spark, [], T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType(), True)]))
     return batch
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,3 +118,48 @@ def test_cost_golden_values(spark):
     assert len(proj) == 30 and proj[0].cumulative_cost_usd == pytest.approx(0.0205333, abs=1e-7)
     ratio = cost.full_vs_incremental(runs).first().ratio
     assert ratio == pytest.approx(5.25)
+
+
+def test_costs_follow_the_logged_runs(spark):
+    """Other runtimes in the log, other projections, ratios and sums."""
+    def log(full, incremental):
+        rows = [("p", "full_refresh", s, 1, dt.datetime(2001, 12, d)) for d, s in full]
+        rows += [("p", "incremental", s, 1, dt.datetime(2001, 12, d)) for d, s in incremental]
+        return cost.with_cost(spark.createDataFrame(
+            rows, "pipeline_name string, run_type string, runtime_seconds double, rows_processed long, logged_at timestamp_ntz"))
+
+    one = log([(1, 30.0), (2, 50.0)], [(1, 10.0), (1, 30.0), (3, 20.0)])
+    assert {r.run_type: r.runtime_seconds for r in cost.mean_runtimes(one).collect()} == {"full_refresh": 40.0, "incremental": 20.0}
+    assert cost.full_vs_incremental(one).first().ratio == 2.0
+    spent = {(r.run_type, r.day.day): (r.runs, r.cumulative_cost_usd) for r in cost.spent_by_day(one).collect()}
+    usd = lambda s: round(s / 3600 * cost.DBU_PER_HOUR * cost.DBU_RATE_USD, 6)
+    assert spent[("incremental", 1)] == (2, pytest.approx(usd(10) + usd(30)))
+    assert spent[("incremental", 3)] == (1, pytest.approx(usd(10) + usd(30) + usd(20)))
+    slower = cost.savings(cost.project_costs(cost.mean_runtimes(log([(1, 400.0)], [(1, 20.0)])))).first()
+    assert slower.savings_usd > cost.savings(cost.project_costs(cost.mean_runtimes(one))).first().savings_usd
+
+
+def test_batch_log_gives_what_the_rows_give(spark):
+    """V1/V2 from what ingests observed equal the scan; a batch written again counts once."""
+    at = [sla.ts_literal(f"2001-12-0{d} 12:00:00") for d in (1, 2, 3)]
+    day = lambda d, h=0: dt.datetime(2001, 12, d, h)
+    log = spark.createDataFrame(
+        [("s1", "a", day(1), 7, day(1), day(1, 1)), ("s2", "b", day(2), 5, day(2), day(2, 1)),
+         ("s3", "a", day(1), 9, day(1, 5), day(2, 2)), ("s4", "c", day(2), 0, None, day(2, 3))],
+        "source_id string, batch_id string, ingested_at timestamp_ntz, rows long, latest_updated_at timestamp_ntz, logged_at timestamp_ntz")
+    rows = spark.createDataFrame([(day(1, 5), day(1))] * 9 + [(day(2), day(2))] * 5, ROWS)
+    assert sla.metrics(sla.of_batches(log), at).first() == sla.metrics(rows, at).first()
+    assert sla.metrics(sla.of_batches(log.limit(0)), at).first() == sla.metrics(rows.limit(0), at).first()
+
+
+def test_a_table_s_suite_is_one_scan_and_one_shuffle(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [("a", 1), ("a", None), (None, 2), (None, 3), ("b", 4)]
+    spark.createDataFrame(rows, "k string, v int").write.parquet(path)
+    report = quality.report([quality.TableTests("t", spark.read.parquet(path), ["k", "v"], ["k"])])
+    got = {(r.column_name, r.test): r.failures for r in report.collect()}
+    assert got == {("k", "not_null"): 2, ("v", "not_null"): 1, ("k", "unique"): 1}
+    final = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Scan parquet") == 1 and final.count("Exchange hashpartitioning") == 1
+    empty = quality.report([quality.TableTests("t", spark.read.parquet(path).limit(0), ["k", "v"], ["k"])])
+    assert {r.failures for r in empty.collect()} == {0}

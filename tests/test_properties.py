@@ -54,6 +54,7 @@ def test_narrow_staged_change_set_merges_like_the_full_width_one(spark):
     from pyspark.sql import functions as F
 
     from conftest import SF_SMALL
+    from lakeguard.operators.latest import latest_per_key
     from lakeguard.operators.merge import symmetric_difference
     from lakeguard.plans import lake as lk
     from lakeguard.plans import silver as sv
@@ -72,8 +73,11 @@ def test_narrow_staged_change_set_merges_like_the_full_width_one(spark):
             first = data.filter(F.col("updated_at") <= fx.ntz(fx.BATCH_SPLIT))
         target = sv.silver_full(first, fx.FIXTURE_VERSION_ORDER).withColumn(
             "_part", lk.silver_partition())
-        wide, _ = sv.incremental_changes(data, target, mode=mode, watermark=wm,
-                                         version_order=fx.FIXTURE_VERSION_ORDER)
+        delta = data.filter(F.col("updated_at" if mode == "event_time" else "_ingested_at") > wm)
+        wide = sv.project(latest_per_key(delta, sv.KEY, fx.FIXTURE_VERSION_ORDER))
+        if mode == "arrival":
+            rivals = target.join(delta.select(sv.KEY), sv.KEY, "left_semi").select(*sv.SILVER_COLUMNS)
+            wide = latest_per_key(wide.unionByName(rivals), sv.KEY, sv.arrival_order(fx.FIXTURE_VERSION_ORDER))
         staged = sv.staged_change_set(data, target, lk.silver_partition(), mode=mode, watermark=wm,
                                       version_order=fx.FIXTURE_VERSION_ORDER)
         new = staged.filter("_side = 'new'").drop("_side", "_part")

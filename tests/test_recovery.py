@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from lakeguard.operators import merge as mg
+from lakeguard.plans import gates, models, pipeline
 from lakeguard.plans import gold as gd
 from lakeguard.plans import ingest as ig
 from lakeguard.plans import lake as lk
-from lakeguard.plans import models
 from lakeguard.plans import silver as sv
+from lakeguard.sources import contracts as ct
 from lakeguard.streaming import landing
 
 D1, D2, D3 = (dt.datetime(2001, 12, d) for d in (1, 2, 3))
@@ -257,6 +259,80 @@ def test_csv_columns_go_by_the_header(spark, lake, tmp_path):
     assert bad["_corrupt_record"].startswith("k2,") and bad["_batch_id"] == "a"
 
 
+def test_csv_files_with_different_headers(spark, lake, tmp_path):
+    """Each file goes by its own header; a column that any of them lacks is gone from the batch."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text(f"{HEADER}\nk1,PROD,CUST,2,1.5,delivered,2001-01-01 00:00:00,2001-01-02 00:00:00\n")
+    turned = ",".join(reversed(HEADER.split(",")))
+    (folder / "b.csv").write_text(f"{turned},note\n2001-01-02 00:00:00,2001-01-01 00:00:00,shipped,2.5,3,CUST2,PROD2,k2,hi\n"
+                                  "2001-01-02 00:00:00,2001-01-01 00:00:00,shipped,2.5,many,CUST2,PROD2,k3,hi\n")
+    (folder / "empty.csv").write_text("")
+    assert ig.ingest_csv(spark, str(folder), lake, batch_id="a", ingested_at=D1) == (2, 1)
+    got = {r.order_id: (r.product_id, r.customer_id, r.quantity, r.note) for r in models._bronze(spark, lake).collect()}
+    assert got == {"k1": ("PROD", "CUST", 2, None), "k2": ("PROD2", "CUST2", 3, "hi")}
+    (folder / "c.csv").write_text(f"{HEADER.replace('quantity,', '')}\nk9,P,C,1.5,delivered,2001-01-01 00:00:00,2001-01-02 00:00:00\n")
+    with pytest.raises(ig.SchemaBreakingChangeError):
+        ig.ingest_csv(spark, str(folder), lake, batch_id="b", ingested_at=D2)
+    assert "quantity" in lk.read_log(spark, lake, "incident_log").first().removed_columns
+
+
+@pytest.mark.parametrize("kind", ["csv", "json"])
+def test_landing_of_text_formats(spark, tmp_path, kind):
+    """A good batch is promoted, a breaking one halts and stays, and the next start meets it again."""
+    land, lake, ckpt = str(tmp_path / "in"), lk.Lake(str(tmp_path / "lake")), str(tmp_path / "ckpt")
+    rows = orders(spark, [("k1", day(1), day(1)), ("k2", day(1), day(2), 7.5)])
+    text = rows.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("created_at", "updated_at")})
+    landing.drop_batch(text, land, "b1", kind)
+    landing.drop_batch(text.drop("customer_id"), land, "b2", kind)
+    for _ in range(2):
+        with pytest.raises(Exception):
+            landing.start(spark, land, lake, ckpt, clock=lambda: D1).awaitTermination()
+        bronze = models._bronze(spark, lake)
+        assert {r.order_id: (r.quantity, r.unit_price, r.updated_at) for r in bronze.collect()} == {
+            "k1": (1, 10.0, day(1)), "k2": (1, 7.5, day(2))}
+        assert dict(bronze.dtypes)["quantity"] == "int"
+    assert [r.removed_columns for r in lk.read_log(spark, lake, "incident_log").collect()] == ["['customer_id']"] * 2
+    assert (tmp_path / "in" / "b2").is_dir()
+
+
+def test_gate_of_many_batches_compares_each_schema_once(spark, lake, tmp_path):
+    rows = orders(spark, [("k1", day(1), day(1)), ("k2", day(1), day(2))])
+    rows.repartition(2).write.parquet(f"{tmp_path}/good")
+    rows.withColumn("more", F.lit("x")).write.parquet(f"{tmp_path}/grown")
+    rows.write.parquet(f"{tmp_path}/mixed")
+    rows.drop("status").write.mode("append").parquet(f"{tmp_path}/mixed")
+    footers = gates.batch_footers(spark, str(tmp_path))
+    assert footers.select("fingerprint").distinct().count() == 3 < footers.count()
+    changes = gates.schema_changes(footers, ct.seed_contracts(spark, ["v1"]))
+    verdicts = gates.batch_verdicts(changes)
+    assert {r.batch_id: (r.verdict, r.added_columns, r.removed_columns) for r in verdicts.collect()} == {
+        "good": ("NON_BREAKING", "[]", "[]"), "grown": ("NON_BREAKING", "['more']", "[]"),
+        "mixed": ("BREAKING", "[]", "['status']")}
+    gates.route_batches(spark, lake, verdicts.drop("baseline_key"), "v1", F.lit(D1))
+    assert {r.batch_id for r in lk.read_log(spark, lake, "schema_change_log").collect()} == {"good", "grown"}
+    assert [(r.batch_id, r.event) for r in lk.read_log(spark, lake, "incident_log").collect()] == [("mixed", "PIPELINE_HALTED")]
+
+
+def test_sla_reads_no_bronze_file(spark, lake):
+    ig.ingest(spark, orders(spark, [("k1", day(1), day(1))]), lake, batch_id="a", ingested_at=D1)
+    first = {r.check_name: r.status for r in pipeline.run_sla(spark, lake, D1).collect()}
+    data = [f for f in spark.read.parquet(lake.bronze).inputFiles()]
+    for f in data:      # no data file is left to read
+        os.remove(f.replace("file://", ""))
+    again = {r.check_name: r.status for r in pipeline.run_sla(spark, lake, D2).collect()}
+    assert data and first["schema_consistency"] == again["schema_consistency"] == "PASS"
+    assert (first["completeness"], again["completeness"]) == ("FAIL", "FAIL")
+
+
+def test_any_failure_gives_a_status_row_for_every_stage(spark, lake, monkeypatch):
+    batch = orders(spark, [("k1", day(1), day(1))])
+    monkeypatch.setattr(models, "gold_incremental", lambda *a, **k: (_ for _ in ()).throw(OSError("disk full")))
+    rows = {r.stage: (r.status, r.detail) for r in pipeline.run(spark, lake, batch, batch_id="a", ingested_at=D1).collect()}
+    assert rows["silver"][0] == "SUCCESS" and rows["gold"] == ("FAILED", "OSError: disk full")
+    assert rows["sla_check"] == ("SKIPPED", "upstream failed")
+
+
 def test_csv_without_a_declared_column_halts(spark, lake, tmp_path):
     path = tmp_path / "a.csv"
     path.write_text(f"{HEADER.replace('customer_id,', '')}\n"
