@@ -2,9 +2,11 @@
 
 Each regex becomes a small non-deterministic automaton; subset construction
 over all of them and partition refinement give transition arrays indexed by
-(state, byte class).  Supported syntax: literals, escapes, ``.``, classes,
-groups, ``(?:...)``, ``(?i:...)`` (ASCII letters in either case), ``|`` and
-the quantifiers ``* + ? {m} {m,} {m,n}``.
+(state, byte class).  Supported syntax: literals, ``.``, classes, groups,
+``(?:...)``, ``(?i:...)`` (ASCII letters in either case), ``|``, the escapes of
+punctuation, ``\\n \\t \\r \\f \\v \\xHH`` and (ASCII only) ``\\d \\w \\s``, and the
+quantifiers ``* + ? {m} {m,} {m,n}``.  Anything else, such as anchors, lazy or
+possessive quantifiers, look-arounds and back-references, raises ValueError.
 """
 
 from __future__ import annotations
@@ -13,6 +15,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
+_DIGITS = frozenset(range(48, 58))
+_NAMED = {"d": _DIGITS, "s": frozenset(b" \t\n\r\f\v"),
+          "w": _DIGITS | frozenset(range(65, 91)) | frozenset(range(97, 123)) | {95}}
 RESET = 0xFF  # never part of UTF-8: stands between texts and leads back to the start state
 
 
@@ -29,9 +34,14 @@ class Regex:
         return self.src[self.at] if self.at < len(self.src) else ""
 
     def take(self) -> str:
+        if self.at >= len(self.src):
+            raise ValueError(f"{self.src!r} ends too early")
         self.at += 1
         return self.src[self.at - 1]
 
+    def refuse(self, what: str):
+        raise ValueError(f"{what} at {self.at} of {self.src!r}")
+
     def alternatives(self):
         options = [self.sequence()]
         while self.peek() == "|":
@@ -46,15 +56,21 @@ class Regex:
         return ("seq", items)
 
     def repeated(self, item):
-        while (c := self.peek()) and c in "*+?{":
+        if (c := self.peek()) and c in "*+?{":
             self.take()
             low, high = {"*": (0, None), "+": (1, None), "?": (0, 1)}.get(c) or self.bounds()
+            if high is not None and high < low:
+                self.refuse("bounds that shrink")
             item = ("rep", item, low, high)
+            if self.peek() and self.peek() in "*+?{":
+                self.refuse("a quantifier behind a quantifier")
         return item
 
     def bounds(self):
-        end = self.src.index("}", self.at)
+        end = self.src.find("}", self.at)
         low, comma, high = self.src[self.at:end].partition(",")
+        if end < 0 or not low.isdigit() or not (high.isdigit() or not high):
+            self.refuse("bounds that cannot be read")
         self.at = end + 1
         return int(low), (int(high) if high else None) if comma else int(low)
 
@@ -66,14 +82,21 @@ class Regex:
                 if self.src.startswith(mark, self.at):
                     self.at += len(mark)
                     self.fold = self.fold or "i" in mark
+            if self.peek() == "?":
+                self.refuse("a group of an unknown kind")
             tree = self.alternatives()
-            self.take()
+            if self.take() != ")":
+                self.refuse("an open group")
             self.fold = fold
             return tree
+        if c in "^$*+?{":
+            self.refuse(f"an unescaped {c}")
         if c == "[":
             return ("set", self.folded(self.char_class()))
         if c == ".":
             return ("set", frozenset(range(RESET)) - {10})
+        if c == "\\" and self.peek() in _NAMED and self.peek():
+            return ("set", _NAMED[self.take()])
         char = self.escape() if c == "\\" else c
         if ord(char) < 128:
             return ("set", self.folded({ord(char)}))
@@ -82,18 +105,22 @@ class Regex:
     def escape(self) -> str:
         c = self.take()
         if c == "x":
-            self.at += 2
-            return chr(int(self.src[self.at - 2:self.at], 16))
-        return {"n": "\n", "t": "\t", "r": "\r"}.get(c, c)
+            return chr(int(self.take() + self.take(), 16))
+        if c.isalnum() and c not in "ntrfv":
+            self.refuse(f"the escape \\{c}")
+        return {"n": "\n", "t": "\t", "r": "\r", "f": "\f", "v": "\v"}.get(c, c)
 
     def char_class(self) -> set[int]:
         negate = self.peek() == "^"
         self.at += negate
         found: set[int] = set()
         while (c := self.take()) != "]":
+            if c == "\\" and self.peek() in _NAMED and self.peek():
+                found |= _NAMED[self.take()]
+                continue
             low = ord(self.escape() if c == "\\" else c)
             high = low
-            if self.peek() == "-" and self.src[self.at + 1] != "]":
+            if self.peek() == "-" and self.src[self.at + 1:self.at + 2] != "]":
                 self.take()
                 c = self.take()
                 high = ord(self.escape() if c == "\\" else c)

@@ -33,15 +33,31 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+_MADE: list[str] = []   # folders of the intermediates this process has written
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared checkpoint folder, removed when the session's JVM ends."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
     jvm = spark.sparkContext._jvm
     hadoop = jvm.org.apache.hadoop.fs.Path(path.rsplit("/", 1)[0])
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    _MADE.append(path)
     return path
 
 
+def finished(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """``make()`` written to the shared folder; the intermediates it wrote on the way are deleted."""
+    already = len(_MADE)
+    out = materialise(make(), name)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _MADE[already:-1]:
+        folder = jvm.org.apache.hadoop.fs.Path(path.rsplit("/", 1)[0])
+        folder.getFileSystem(conf).delete(folder, True)
+    del _MADE[already:-1]
+    return out
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate once to the shared folder and read it back.
 

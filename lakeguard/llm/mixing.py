@@ -2,14 +2,19 @@
 
 Documents are aggregated by membership pattern (the set of sources that claim
 them).  Each pattern supplies its words once at no cost and every further copy
-at a rising cost (convex repetition); each source demands its target.  The
-flow from patterns to sources is solved over these few nodes, and each
-pattern's flow then becomes documents, taken in a seeded order.
+at a rising cost (convex repetition); each source demands its target.  Sources
+that share documents may want more than those hold: then the targets of the
+sources that compete are lowered by one common factor, as little as it takes
+(max-min fair), and what no rival can use is left to the others.  The flow from
+patterns to sources is solved per component of sources that overlap, directly
+for a source on its own, and each pattern's flow then becomes documents, taken
+in a seeded order.
 
 Only one row per pattern reaches the driver; their number is that of the
-distinct source combinations, not of documents.  The seeded order is cut by
-running sums inside ORDER_BUCKETS hash ranges per pattern, so no task sees a
-whole pattern.
+distinct source combinations, not of documents.  Rows that are alike in id, size
+and order are one row with a count until they are placed, and the seeded order
+is cut by running sums inside ORDER_BUCKETS hash ranges per pattern, so no task
+sees a whole pattern.
 
 Defined cases: a null text has size 0 and is never taken; a null source is a
 source of its own, sorted last; an empty membership belongs to no source and
@@ -21,6 +26,7 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +34,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lakeguard.llm.common import materialise, n_words
+from lakeguard.session import local_table
 
 # Fixed values of the query's contract.
 WEIGHTS = (3, 1, 2)
@@ -108,6 +115,111 @@ def min_cost_flow(supply: dict, demand: dict, max_copies: int) -> dict:
     return {(p, s): cap[("source", s)].get(("pattern", p), 0) for p in supply for s in p}
 
 
+def components(patterns) -> list[list[tuple]]:
+    """Patterns grouped so that two groups have no source in common."""
+    root: dict = {}
+
+    def find(s):
+        while root.setdefault(s, s) != s:
+            root[s] = root[root[s]]
+            s = root[s]
+        return s
+
+    for p in patterns:
+        for s in p[1:]:
+            root[find(s)] = find(p[0])
+    groups: dict = defaultdict(list)
+    for p in patterns:
+        groups[find(p[0])].append(p)
+    return list(groups.values())
+
+
+def starved(capacity: dict, demand: dict) -> set:
+    """Sources that compete for too few words: the source side of a minimum cut, empty if all demands can be met."""
+    left, got = dict(capacity), {p: defaultdict(int) for p in capacity}
+    of: dict = defaultdict(list)
+    for p in capacity:
+        for s in p:
+            of[s].append(p)
+    hungry: set = set()
+    for start, need in demand.items():
+        while need > 0:
+            # From the source over its patterns; a pattern that is used up leads on to the sources it feeds.
+            before, queue, end = {("s", start): None}, [start], None
+            for s in queue:
+                for p in of[s]:
+                    if ("p", p) in before:
+                        continue
+                    before["p", p] = s
+                    if left[p] > 0:
+                        end = p
+                        break
+                    for other, words in got[p].items():
+                        if words > 0 and ("s", other) not in before:
+                            before["s", other] = p
+                            queue.append(other)
+                if end is not None:
+                    break
+            if end is None:
+                hungry |= set(queue)
+                break
+            path, p = [], end
+            while True:
+                s = before["p", p]
+                path.append((p, s))
+                if (p := before["s", s]) is None:
+                    break
+            push = min([need, left[end], *[got[before["s", s]][s] for _, s in path if before["s", s] is not None]])
+            left[end] -= push
+            need -= push
+            for p, s in path:
+                got[p][s] += push
+                if (taken := before["s", s]) is not None:
+                    got[taken][s] -= push
+    return hungry
+
+
+def reachable(supply: dict, demand: dict, max_copies: int) -> dict:
+    """The largest demands that can all be met, each at most as wanted, lowered max-min fairly.
+
+    Where a set of sources wants more than its patterns hold, the factor that fits is what they hold over what they
+    want; smaller sets are tried until none is left hungry, then the set is settled and the rest goes on without it.
+    """
+    capacity = {p: w * max_copies for p, w in supply.items()}
+    settled: dict = {}
+    open_ = {s: t for s, t in demand.items() if t > 0}
+    while open_:
+        factor, tight = Fraction(1), None
+        while hungry := starved(capacity, settled | {s: int(t * factor) for s, t in open_.items()}):
+            tight = hungry & open_.keys() or tight
+            held = sum(w for p, w in capacity.items() if hungry & set(p))
+            want = sum(open_[s] for s in hungry if s in open_)
+            new = Fraction(max(0, held - sum(settled.get(s, 0) for s in hungry)), want) if want else Fraction(0)
+            if new >= factor:
+                break
+            factor = new
+        if tight is None:
+            return settled | open_ | {s: 0 for s in demand if s not in settled and s not in open_}
+        settled |= {s: int(open_.pop(s) * factor) for s in list(tight) if s in open_}
+    return settled | {s: 0 for s in demand if s not in settled}
+
+
+def route(supply: dict, demand: dict, max_copies: int) -> tuple[dict, dict]:
+    """(words each (pattern, source) carries, the demand that is met of each source)."""
+    flow, met = {}, {}
+    for group in components([p for p in supply if p]):
+        sources = {s for p in group for s in p}
+        if len(sources) == 1:
+            (p,), (s,) = group, sources
+            met[s] = flow[p, s] = min(demand.get(s, 0), supply[p] * max_copies)
+            continue
+        part = {p: supply[p] for p in group}
+        fair = reachable(part, {s: demand.get(s, 0) for s in sources}, max_copies)
+        met |= fair
+        flow |= min_cost_flow(part, fair, max_copies)
+    return flow, met
+
+
 def select(sized: DataFrame, flow: dict, supply: dict, max_copies: int, seed: int = SEED) -> DataFrame:
     """``sized`` (doc_id, size, members, __order) with ``taken`` and the sources its copies go to.
 
@@ -128,17 +240,20 @@ def select(sized: DataFrame, flow: dict, supply: dict, max_copies: int, seed: in
         T.StructField("p", T.ArrayType(T.StringType())), T.StructField("p_words", T.LongType()),
         T.StructField("cuts", T.ArrayType(T.StructType([
             T.StructField("until", T.LongType()), T.StructField("source", T.StringType())])))])
-    # One row per pattern: as few as the flow that was just solved on the driver.
-    plan = F.broadcast(spark.createDataFrame(rows, schema))
+    plan = local_table(spark, rows, schema)
     in_bucket = Window.partitionBy("members", "__b")
     ordered = in_bucket.orderBy("__order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = sized.withColumn("__b", F.pmod("__order", F.lit(ORDER_BUCKETS)))
-    starts = rows.groupBy("members", "__b").agg(F.sum("size").alias("w")).withColumn(
+    # Rows that are alike stand side by side in any order, so they are placed as one.
+    alike = sized.groupBy("doc_id", "size", "members", "__order").agg(F.count("*").alias("__times"))
+    rows = alike.withColumns({"__b": F.pmod("__order", F.lit(ORDER_BUCKETS)), "__all": F.col("size") * F.col("__times")})
+    starts = rows.groupBy("members", "__b").agg(F.sum("__all").alias("w")).withColumn(
         "start", F.coalesce(F.sum("w").over(Window.partitionBy("members").orderBy("__b")
                                             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    placed = rows.withColumn("inner", F.coalesce(F.sum("size").over(ordered), F.lit(0)))
+    placed = rows.withColumn("inner", F.coalesce(F.sum("__all").over(ordered), F.lit(0)))
     s = starts.select(F.col("members").alias("s_members"), F.col("__b").alias("s_b"), "start")
     placed = placed.join(s, F.col("members").eqNullSafe(F.col("s_members")) & (F.col("__b") == F.col("s_b")))
+    placed = placed.withColumn("__nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__times") - 1)))
+    placed = placed.withColumn("inner", F.col("inner") + F.col("__nth") * F.col("size"))
     placed = placed.join(plan, F.col("members").eqNullSafe(F.col("p")), "left")
     middle = F.expr(f"transform(sequence(0, {max_copies - 1}), c -> c * p_words + start + inner + size div 2)")
     routes = F.transform(
@@ -169,10 +284,12 @@ def mix(docs: DataFrame, targets_of=weighted_targets, members: F.Column | None =
         for s in p:
             sizes[s] += words
     targets = targets_of(dict(sizes)) if sizes else {}
-    flow = min_cost_flow(supply, {s: round(t) for s, t in targets.items()}, max_copies)
+    flow, met = route(supply, {s: round(t) for s, t in targets.items()}, max_copies)
+    # A target that the flow cannot reach is lowered to what it can.
+    targets = {s: float(met[s]) if met.get(s, 0) < round(t) else t for s, t in targets.items()}
     chosen = select(sized, flow, supply, max_copies, seed)
     schema = "t_source string, source_size long, target double"
-    plan = F.broadcast(docs.sparkSession.createDataFrame([(s, sizes[s], float(targets[s])) for s in sizes], schema))
+    plan = local_table(docs.sparkSession, [(s, sizes[s], float(targets[s])) for s in sizes], schema)
     first = F.when(F.size("members") > 0, F.col("members")[0])
     known = chosen.withColumn("__first", first).join(
         plan, F.col("__first").eqNullSafe(F.col("t_source")) & (F.size("members") > 0), "left")
@@ -181,7 +298,7 @@ def mix(docs: DataFrame, targets_of=weighted_targets, members: F.Column | None =
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, with ``copies``: how often.
+    """The rows of ``docs`` that the mix takes, with ``copies``: how often (in place of a column of that name).
 
     Rows that share doc_id and text are taken alike, as often as the one taken most.
     """

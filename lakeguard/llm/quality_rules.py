@@ -31,10 +31,12 @@ from lakeguard.llm.common import WORD, map_texts, materialise
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_GROUP = 100          # documents below which a group borrows the merged sketch
-FENCE = 3.0              # how many quartile ranges beyond the quartile a fence lies
-# Smallest quartile range a fence is drawn with, in the units of the measure
+# A fence lies FENCE times the spread of the group's own sketch, from INNER to OUTER percent of its documents,
+# beyond the outer quantile (and likewise below).
+INNER, OUTER, FENCE = 50, 90, 10
+# Spread taken for a measure that has none in the whole corpus, as most texts have not a single symbol
 # (per mille; hundredths of a character for word_len).
-MEASURES = {"symbol_rate": 20, "dup_rate": 150, "repeat_rate": 100, "word_len": 150}
+MEASURES = {"symbol_rate": 6, "dup_rate": 45, "repeat_rate": 30, "word_len": 45}
 TWO_SIDED = ("word_len",)
 
 _WORD = re.compile(WORD)
@@ -101,42 +103,47 @@ def sketches(measured: DataFrame, groups: list[str]) -> DataFrame:
             .groupBy(*groups, "measure", bucket(F.col("value")).alias("bucket")).agg(F.count("*").alias("n")))
 
 
-def quartiles(sketch: DataFrame, groups: list[str]) -> DataFrame:
-    """First and third quartile of each sketch (nearest rank, bucket's lower bound)."""
+def quantiles(sketch: DataFrame, groups: list[str]) -> DataFrame:
+    """Outer and inner quantiles of each sketch on both sides (nearest rank, bucket's lower bound)."""
     whole = Window.partitionBy(*groups, "measure")
     upto = whole.orderBy("bucket")
     ranked = sketch.withColumns({"total": F.sum("n").over(whole), "upto": F.sum("n").over(upto)})
+    shares = {"low": 100 - OUTER, "low_inner": 100 - INNER, "high_inner": INNER, "high": OUTER}
     return ranked.groupBy(*groups, "measure").agg(
         F.max("total").alias("total"),
-        F.min(F.when(F.expr("4 * upto >= total"), F.col("bucket"))).alias("q1"),
-        F.min(F.when(F.expr("4 * upto >= 3 * total"), F.col("bucket"))).alias("q3"))
+        *[F.min(F.when(100 * F.col("upto") >= share * F.col("total"), F.col("bucket"))).alias(q) for q, share in shares.items()])
 
 
 def fences(sketch: DataFrame) -> DataFrame:
     """Per (lang, source): lower and upper fence of each measure, one row a group.
 
-    A group of fewer than MIN_GROUP documents takes the quartiles of its
-    language's merged sketch, and those of the corpus if that is thin too.
+    A group of fewer than MIN_GROUP documents, or whose quantiles coincide so that they tell no spread, takes
+    those of its language's merged sketch, and else those of the corpus; only where that has none either does the
+    least spread of MEASURES decide.
     """
-    by_lang = quartiles(sketch.groupBy("lang", "measure", "bucket").agg(F.sum("n").alias("n")), ["lang"])
-    overall = quartiles(sketch.groupBy("measure", "bucket").agg(F.sum("n").alias("n")), [])
-    own, lang, all_ = quartiles(sketch, ["lang", "source"]).alias("o"), by_lang.alias("l"), overall.alias("a")
+    by_lang = quantiles(sketch.groupBy("lang", "measure", "bucket").agg(F.sum("n").alias("n")), ["lang"])
+    overall = quantiles(sketch.groupBy("measure", "bucket").agg(F.sum("n").alias("n")), [])
+    own, lang, all_ = quantiles(sketch, ["lang", "source"]).alias("o"), by_lang.alias("l"), overall.alias("a")
     joined = (own.join(lang, F.col("o.lang").eqNullSafe(F.col("l.lang")) & (F.col("o.measure") == F.col("l.measure")))
               .join(all_, F.col("o.measure") == F.col("a.measure")))
 
-    def chosen(q):
-        return (F.when(F.col("o.total") >= MIN_GROUP, F.col(f"o.{q}"))
-                .when(F.col("l.total") >= MIN_GROUP, F.col(f"l.{q}")).otherwise(F.col(f"a.{q}")))
+    least = F.create_map(*[F.lit(x) for kv in MEASURES.items() for x in kv])[F.col("o.measure")]
 
-    least = F.create_map(*[F.lit(x) for kv in MEASURES.items() for x in kv])
-    spread = F.greatest(F.col("q3") - F.col("q1"), least[F.col("measure")]) * F.lit(FENCE)
-    fenced = joined.select(F.col("o.lang").alias("lang"), F.col("o.source").alias("source"),
-                           F.col("o.measure").alias("measure"), chosen("q1").alias("q1"), chosen("q3").alias("q3"))
+    def fence(outer, inner):
+        def of(side):
+            at, spread = F.col(f"{side}.{outer}"), F.col(f"{side}.{outer}") - F.col(f"{side}.{inner}")
+            thin = (F.col(f"{side}.total") < MIN_GROUP) if side != "a" else F.lit(False)
+            return F.when(~thin & (spread != 0), at + FENCE * spread)
+        sign = 1 if outer == "high" else -1
+        return F.coalesce(of("o"), of("l"), of("a"), F.col(f"a.{outer}") + sign * FENCE * least)
+
+    fenced = joined.select(F.col("o.lang").alias("lang"), F.col("o.source").alias("source"), F.col("o.measure").alias("measure"),
+                           fence("high", "high_inner").alias("most"), fence("low", "low_inner").alias("least"))
     picks = []
     for m in MEASURES:
-        picks.append(F.max(F.when(F.col("measure") == m, F.col("q3") + spread)).alias(f"{m}_max"))
+        picks.append(F.max(F.when(F.col("measure") == m, F.col("most"))).alias(f"{m}_max"))
         if m in TWO_SIDED:
-            picks.append(F.max(F.when(F.col("measure") == m, F.col("q1") - spread)).alias(f"{m}_min"))
+            picks.append(F.max(F.when(F.col("measure") == m, F.col("least"))).alias(f"{m}_min"))
     return fenced.groupBy("lang", "source").agg(*picks)
 
 

@@ -299,25 +299,237 @@ def test_pu_classifier(spark):
     kept = pu_classifier.accepted(docs, labels)
     assert kept.columns == docs.columns and kept.count() == sum(r["predicted"] for r in got.values())
     assert pu_classifier.classify(docs.limit(0), labels).count() == 0
-    ids = spark.createDataFrame([(1,), (7,)], "doc_id long")
-    assert pu_classifier.vectors(frame(spark, [good[0]] * 300 + [bad[0]], ids=[1] * 300 + [7]), ids).shape == (2, pu_classifier.N_FEATURES)
     assert {r["score"] for r in pu_classifier.classify(docs, labels.limit(0)).collect()} == {0.5}
 
 
-def test_pu_training_sample_counts_ids(spark, monkeypatch):
-    """One id that fills more rows than the sample still counts once."""
+def test_pu_trains_on_every_document(spark, monkeypatch):
+    """One row for each id however often it occurs, held-out ids aside; edges and steps see all of them, in several shards."""
     rnd = random.Random(31)
-    pool = spark.range(400).where((pu_classifier.fold("id") != 0)).orderBy(F.xxhash64("id", F.lit(11)), "id")
-    ids = [r["id"] for r in pool.limit(120).collect()]
-    hot = ids[2]                                       # stands near the front of the order that the sample is taken in
-    texts = [prose(rnd, 30) for _ in ids] + [prose(rnd, 30) for _ in range(200)]
-    docs = frame(spark, texts, ids=ids + [hot] * 200)
-    labels = spark.createDataFrame([(i, int(k % 2), 0) for k, i in enumerate(ids)], "doc_id long, quality int, toxic int")
-    monkeypatch.setattr(pu_classifier, "MAX_UNLABELLED", 60)
-    seen = []
-    monkeypatch.setattr(pu_classifier, "fit", lambda p, u, prior: seen.append((len(p), len(u))))
-    pu_classifier.train(docs, labels)
-    assert seen == [(60, 60)]
+    texts = [prose(rnd, 30) for _ in range(300)] + [prose(rnd, 30) for _ in range(200)]
+    docs = frame(spark, texts, ids=[*range(300), *[7] * 200])
+    rows = pu_classifier.training_rows(pu_classifier.featured(docs, ["doc_id"]))
+    ids = [r["doc_id"] for r in rows.collect()]
+    wanted = [r["id"] for r in spark.range(300).where(pu_classifier.fold("id") != 0).collect()]
+    assert sorted(ids) == wanted
+    monkeypatch.setattr(pu_classifier, "SHARD_DOCS", 40)
+    # A kind of junk that one document in a hundred is made of.
+    texts = [prose(rnd, 60) for _ in range(900)] + ["$$ ## " * 30 for _ in range(9)]
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 900, 3)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["score"] for r in pu_classifier.classify(docs, labels).collect()}
+    assert max(got[i] for i in range(900, 909)) < min(got[i] for i in range(900))
+    assert got == {r["doc_id"]: r["score"] for r in pu_classifier.classify(docs.repartition(9), labels).collect()}
+
+
+CLASHES = "doc_id long, text string, lang string, source string, `a.b` int, __text string, __pu_score double, score int, row string, copies int, x string"
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    rnd = random.Random(8)
+    rows = [(i, prose(rnd, 60), "en", f"s{i % 2}", 1, "t", 0.5, 3, "r", 9, "x") for i in range(60)] + [
+        (None, None, None, None, None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, CLASHES)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 60, 2)], "doc_id long, quality int, toxic int")
+    benchmark = spark.createDataFrame([(1, "no such item anywhere in these texts")], "item_id long, text string")
+    for made in (pu_classifier.accepted(docs, labels), line_runs.deduplicate(docs), jaccard_join.one_per_class(docs),
+                 decontaminate.decontaminate(docs, benchmark)):
+        assert made.columns == docs.columns
+        got = {r["doc_id"]: r for r in made.collect()}
+        assert all(got[i]["a.b"] == 1 and got[i]["__text"] == "t" and got[i]["copies"] == 9 for i in got if i is not None)
+        assert len(got) >= 50
+    mixed = mixing.mixed_documents(docs)     # its own ``copies`` takes the place of the column
+    assert set(mixed.columns) == set(docs.columns) and {r["copies"] for r in mixed.collect()} <= {1, 2}
+
+
+@pytest.mark.parametrize("pattern", [r"\bkey", "^key", "key$", "a+?", "a*+", "(?=a)", "(?<n>a)", r"(a)\1", "a{,2}", "a{3,1}", "(a", "[a", "*a", r"\D", "a**"])
+def test_automaton_refuses_what_it_cannot_read(pattern):
+    with pytest.raises(ValueError):
+        automaton.Regex(pattern)
+
+
+@pytest.mark.parametrize("pattern", [r"\d+", r"[\d.]+x", r"\w{2,3}", r"a\sb", r"\x41[^\w]", r"\$\^\(", "[a-]+", r"(?i:key)\f?"])
+def test_automaton_reads_named_classes(pattern):
+    dfa = automaton.compile_rules([automaton.Regex(pattern).tree], anywhere=True)
+    rnd = random.Random(4)
+    for _ in range(300):
+        text = "".join(rnd.choice("ab01.x AK-$^(\t_Key\f") for _ in range(rnd.randint(0, 12))).encode()
+        states = automaton.run(dfa, __import__("numpy").frombuffer(text, "uint8")) if text else []
+        ends = {i + 1 for i, s in enumerate(states) if dfa.accepts[s]}
+        want = {i for i in range(1, len(text) + 1) if any(re.fullmatch(pattern.encode(), text[j:i], re.ASCII) for j in range(i))}
+        assert ends == want, (pattern, text)
+
+
+def test_quality_fences_follow_the_group(spark):
+    """Equal languages, two sources of different habits: what is usual in one is too much in the other."""
+    rnd = random.Random(6)
+
+    def text(marks, n=80):
+        words = prose(rnd, n).split()
+        for _ in range(marks):
+            words[rnd.randrange(n)] = "#$"
+        return " ".join(words)
+
+    rows = [(i, text(i % 10 == 0), "en", "plain") for i in range(300)] + [
+        (1000 + i, text(rnd.randint(5, 20)), "en", "code") for i in range(300)] + [
+        (2000 + i, text(60), "en", source) for i, source in enumerate(("plain", "code", "tiny"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules.judge(docs).collect()}
+    assert not kept[2000] and kept[2001]
+    assert sum(kept[i] for i in range(300)) >= 290 and sum(kept[1000 + i] for i in range(300)) >= 290
+    counts = quality_rules.rates(quality_rules.measure(docs, ["doc_id", "lang", "source"]))
+    limits = {r["source"]: r["symbol_rate_max"] for r in quality_rules.fences(quality_rules.sketches(counts, ["lang", "source"])).collect()}
+    assert limits["plain"] < limits["code"] and limits["plain"] < limits["tiny"]     # a thin group borrows from its language
+    same = spark.createDataFrame([(i, prose(random.Random(1), 60), "en", "s") for i in range(120)], docs.schema)
+    assert all(r["kept"] for r in quality_rules.judge(same).collect())              # no spread anywhere
+
+
+def fair_by_hand(supply, demand, copies):
+    """Max-min fair lowering of demands by trying all sets of sources (small cases)."""
+    from fractions import Fraction
+    from itertools import combinations
+    capacity = {p: w * copies for p, w in supply.items()}
+    met, open_ = {}, {s for s, t in demand.items() if t > 0}
+    while open_:
+        best = (Fraction(1), frozenset())
+        for n in range(1, len(demand) + 1):
+            for group in combinations(sorted(demand), n):
+                want = sum(demand[s] for s in group if s in open_)
+                if want:
+                    held = sum(w for p, w in capacity.items() if set(group) & set(p)) - sum(met.get(s, 0) for s in group)
+                    best = min(best, (Fraction(held, want), frozenset(group) & frozenset(open_)), key=lambda x: x[0])
+        factor, tight = best
+        if factor >= 1:
+            return met | {s: demand[s] for s in open_}
+        for s in tight:
+            met[s] = demand[s] * factor
+        open_ -= tight
+    return met
+
+
+def test_shared_words_are_dealt_fairly_and_cheaply():
+    rnd = random.Random(9)
+    for _ in range(120):
+        names = "abcd"[:rnd.randint(2, 4)]
+        patterns = {tuple(sorted(rnd.sample(names, rnd.randint(1, len(names))))) for _ in range(rnd.randint(1, 5))}
+        supply = {p: rnd.randint(1, 30) * 12 for p in patterns}
+        demand = {s: rnd.choice([0, rnd.randint(1, 40) * 12]) for s in names}
+        copies = rnd.randint(1, 3)
+        flow, met = mixing.route(supply, demand, copies)
+        held = {s for p in patterns for s in p}
+        want = fair_by_hand(supply, {s: t for s, t in demand.items() if s in held}, copies)
+        for s in held:
+            assert abs(met.get(s, 0) - want.get(s, 0)) <= len(names), (supply, demand, copies)
+            assert sum(f for (p, to), f in flow.items() if to == s) == met.get(s, 0)
+        for p, words in supply.items():
+            assert sum(f for (q, _), f in flow.items() if q == p) <= words * copies
+
+
+def cheapest_by_hand(supply, demand, copies):
+    """Least repetition cost by trying how the demands are split over the patterns (tiny cases)."""
+    from functools import lru_cache
+    from itertools import product
+    patterns, sources = list(supply), list(demand)
+
+    def cost(p, used):
+        return sum(max(0, min(used - supply[p] * c, supply[p])) * c for c in range(copies))
+
+    @lru_cache(None)
+    def best(i, left):
+        if i == len(patterns):
+            return 0 if not any(left) else float("inf")
+        p, out = patterns[i], float("inf")
+        for take in product(*[range(n + 1) if s in p else (0,) for s, n in zip(sources, left)]):
+            if sum(take) <= supply[p] * copies:
+                out = min(out, cost(p, sum(take)) + best(i + 1, tuple(a - b for a, b in zip(left, take))))
+        return out
+
+    return best(0, tuple(demand.values()))
+
+
+def test_flow_costs_as_little_as_possible():
+    rnd = random.Random(10)
+    for _ in range(40):
+        patterns = {tuple(sorted(rnd.sample("ab", rnd.randint(1, 2)))) for _ in range(3)}
+        supply, copies = {p: rnd.randint(1, 4) for p in patterns}, 3
+        _, met = mixing.route(supply, {s: rnd.randint(0, 9) for s in {x for p in patterns for x in p}}, copies)
+        flow = mixing.min_cost_flow(supply, met, copies)
+        cost = 0
+        for p, w in supply.items():
+            used = sum(f for (q, _), f in flow.items() if q == p)
+            cost += sum(max(0, min(used - w * c, w)) * c for c in range(copies))
+        assert cost == cheapest_by_hand(supply, met, copies)
+
+
+def test_mix_of_overlapping_sources(spark):
+    """Documents claimed by several sources; what cannot be reached lowers the targets alike, and each is then met."""
+    rnd = random.Random(13)
+    rows = [(i, prose(rnd, rnd.randint(20, 60)), rnd.choice([["a"], ["a", "b"], ["b", "c"], ["c"], [], ["a", "b", "c"]])) for i in range(600)]
+    rows += [(9999, rows[0][1], ["a", "b"])] * 200            # a third of all rows are alike
+    docs = spark.createDataFrame(rows, "doc_id long, text string, claims array<string>")
+    got = mixing.mix(docs, targets_of=lambda sizes: {"a": 40_000, "b": 9_000, "c": 500}, members=F.col("claims")).collect()
+    assert len(got) == len(rows)
+    taken, targets = Counter(), {}
+    for r in got:
+        assert r["taken"] <= 2 * r["size"] and len(r["routes"]) * r["size"] == r["taken"]
+        for s in r["routes"]:
+            taken[s] += r["size"]
+    supply = Counter()
+    for _, text, claims in rows:
+        supply[tuple(claims)] += len(text.split())
+    _, met = mixing.route({p: w for p, w in supply.items() if p}, {"a": 40_000, "b": 9_000, "c": 500}, 2)
+    largest = max(r["size"] for r in got)
+    for s in "abc":
+        assert abs(taken[s] - met[s]) <= 4 * largest, (s, taken[s], met[s])
+    assert met["a"] < 40_000 and met["b"] < 9_000 and met["c"] == 500
+    assert targets == {}
+
+
+def test_flow_of_ten_thousand_sources_takes_seconds():
+    import time
+    supply = {(f"s{i}",): 100 + i for i in range(10_000)}
+    began = time.time()
+    flow, met = mixing.route(supply, {f"s{i}": 150 for i in range(10_000)}, 2)
+    assert time.time() - began < 5 and met["s0"] == 150 and flow[(("s9",), "s9")] == 150
+
+
+ALONE = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2")
+         .config("spark.checkpoint.dir", {scratch!r}).getOrCreate())
+from lakeguard.llm import licenses, pu_classifier, secrets
+docs = spark.createDataFrame([(i, f"password: hunter{{i}} under the mit license " + "word " * i, "en", "s") for i in range(30)],
+                             "doc_id long, text string, lang string, source string")
+labels = spark.createDataFrame([(i, i % 2, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+
+
+def seen(batches):
+    import importlib.util
+    import pyarrow as pa
+    for b in batches:
+        yield pa.RecordBatch.from_pydict({{"found": [importlib.util.find_spec("lakeguard") is not None] * b.num_rows}})
+
+
+print("worker has the package:", docs.mapInArrow(seen, "found boolean").distinct().collect()[0][0])
+print("rows:", secrets.scan(docs, ["doc_id"]).where("n_assign = 1").count(), licenses.scan(docs, ["doc_id"]).count(),
+      pu_classifier.classify(docs, labels).count(), pu_classifier.accepted(docs, labels).count() > 0)
+"""
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """The driver finds the package by its own path; workers start elsewhere and do not."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+    root = str(Path(__file__).resolve().parents[2])
+    script = tmp_path / "alone.py"
+    script.write_text(ALONE.format(root=root, scratch=str(tmp_path / "scratch")))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr[-3000:]
+    assert "worker has the package: False" in done.stdout and "rows: 30 30 30 True" in done.stdout, done.stdout
 
 
 def test_weighted_targets_and_flow():
