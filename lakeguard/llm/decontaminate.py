@@ -44,8 +44,8 @@ BITS = LANES * VOTES
 BLOCK = BITS // (RADIUS + 1)
 ONES = sum(1 << (5 * lane) for lane in range(LANES))
 TOP = ONES << 4
-SMALL_INDEX = 1_000_000                   # index rows up to which it is broadcast; beyond, the join shuffles
-SMALL_CANDIDATES = 200_000                # the same for candidate places
+# Rows of fixed width (numbers only) up to which a side is broadcast, 64 MB as Spark hashes them; beyond, the join shuffles.
+ROW_BYTES, BROADCAST_BYTES = 64, 64 << 20
 
 
 def words_of(text) -> Column:
@@ -125,11 +125,15 @@ def blocks(fingerprint: Column, g: Column) -> Column:
                      for b in range(RADIUS + 1)])
 
 
-def item_index(benchmark: DataFrame) -> DataFrame:
-    """key, g, print and item (id and words) of every window of every item."""
+def numbered_items(benchmark: DataFrame) -> DataFrame:
+    """item_id, item_words, class g and a number of each distinct item."""
     items = (benchmark.select(F.col("item_id"), words_of(F.col("text")).alias("item_words")).distinct()
              .where(F.size("item_words") >= SHINGLE).withColumn("g", class_of("item_words")))
-    items = materialise(items, "items")
+    return materialise(items.withColumn("item_no", F.monotonically_increasing_id()), "items")
+
+
+def item_index(items: DataFrame) -> DataFrame:
+    """key, g, print, number and length of every window of every item; the words stay with the items."""
     hashed = items.withColumn("h", pair_hashes("item_words"))
     out = None
     for g in (8, 4, 2, 1):
@@ -137,7 +141,7 @@ def item_index(benchmark: DataFrame) -> DataFrame:
         # A separate column for the prints: the hashes are then computed once per item.
         prints = F.transform(starts, whole_print(g))
         one = (hashed.where((F.col("g") == g) & (F.size("item_words") > 2 * g))
-               .select("item_id", "item_words", "g", F.explode(prints).alias("print")).distinct())
+               .select("item_no", F.size("item_words").alias("length"), "g", F.explode(prints).alias("print")).distinct())
         out = one if out is None else out.unionByName(one)
     return out.select("*", F.explode(blocks(F.col("print"), F.col("g"))).alias("key"))
 
@@ -187,34 +191,35 @@ def may_reach(similarity: float):
     return at
 
 
+def small(rows: DataFrame) -> DataFrame:
+    """``rows`` of fixed width, to be broadcast if their bytes allow it."""
+    return F.broadcast(rows) if rows.count() * ROW_BYTES <= BROADCAST_BYTES else rows
+
+
 def find(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, __h, item_id, similarity and first word of the best window of every item found in a document."""
-    index = materialise(item_index(benchmark), "item_index")
-    size = index.count()
+    items = numbered_items(benchmark)
+    index = materialise(item_index(items), "item_index")
     classes = sorted((r["g"] for r in index.select("g").distinct().collect()), reverse=True) or [8]
-    lookup = index.select("key", F.col("print").alias("__print"), "item_id", "item_words")
-    if size <= SMALL_INDEX:
-        lookup = F.broadcast(lookup)
+    lookup = small(index.select("key", F.col("print").alias("__print"), "item_no", "length"))
     probes = document_windows(docs, classes).select(
         "*", F.explode(blocks(F.col("print"), F.col("g"))).alias("key"))
     near = F.bit_count(F.col("print").bitwiseXOR(F.col("__print"))) <= RADIUS
     hits = probes.join(lookup, (probes["key"] == lookup["key"]) & near)
     # The windows that hold a hit start up to an item's length before it.  Starts are dealt in cells of that many.
-    at, length = F.col("i") * F.col("g"), F.size("item_words")
+    at, length = F.col("i") * F.col("g"), F.col("length")
     first = F.greatest(at + 2 * F.col("g") + 1 - length, F.lit(0))
     cells = F.sequence(F.floor(first / length).cast("int"), F.floor(at / length).cast("int"))
     # Written here, so that the exact comparison runs on these few rows and not inside the join.
-    found = materialise(hits.select(F.col("doc_id").alias("__id"), F.col("__h").alias("__hash"), "item_id", "item_words",
-                                    F.explode(cells).alias("cell")).distinct(), "candidates")
-    if found.count() <= SMALL_CANDIDATES:
-        found = F.broadcast(found)
+    found = small(materialise(hits.select(F.col("doc_id").alias("__id"), F.col("__h").alias("__hash"), "item_no", "length",
+                                          F.explode(cells).alias("cell")).distinct(), "candidates"))
     texts = docs.select("doc_id", F.xxhash64("text").alias("__h"), "text")
     parts = texts.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__hash"))).select(
-        "doc_id", "__h", "item_id", "item_words", (F.col("cell") * length).alias("first"), words_of(F.col("text")).alias("words"))
-    placed = materialise(parts.select("doc_id", "__h", "item_id", "item_words", "first", F.slice(
+        "doc_id", "__h", "item_no", "length", (F.col("cell") * length).alias("first"), words_of(F.col("text")).alias("words"))
+    placed = materialise(parts.select("doc_id", "__h", "item_no", "length", "first", F.slice(
         "words", F.col("first") + 1, 2 * length - 1).alias("part")).distinct(), "placed")
-    shingled = (placed.where(F.size("part") >= SHINGLE)
-                .select("doc_id", "__h", "item_id", "first", F.size("item_words").alias("length"),
+    shingled = (placed.where(F.size("part") >= SHINGLE).join(items.select("item_no", "item_id", "item_words"), "item_no")
+                .select("doc_id", "__h", "item_id", "first", "length",
                         shingles(F.col("part")).alias("__p"), shingles(F.col("item_words")).alias("__b"))
                 .withColumn("__held", F.transform("__p", lambda x: F.array_contains("__b", x))))
     starts = F.sequence(F.lit(0), F.least("length", F.size("__p")) - 1)

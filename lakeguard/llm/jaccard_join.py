@@ -53,7 +53,7 @@ SMALL = 256                    # sets a bucket may hold to be compared by brute
 SKETCH_BLOCK = 1024            # sets of a block where sketches (64 bytes each) are compared
 BLOCK_SETS, BLOCK_TOKENS = 256, 400_000    # the same where whole sets are
 SKETCH = 64
-SKETCH_LEAST = 36              # equal bytes from which a pair is checked: five deviations below 0.8
+SKETCH_LOSS = 1e-5             # how likely a pair at the threshold may fail the sketches; the recall counts it
 TOKEN_BLOCK = 1 << 16          # shingles of a set hashed at once, which bounds the memory for a very long text
 SMALL_NODES = 500_000          # ids up to which they are broadcast; beyond, texts are shuffled to them
 
@@ -61,11 +61,26 @@ _WORD = re.compile(WORD)
 _WORD_CACHE = 500_000
 
 
+def sketch_least(similarity: float) -> int:
+    """Equal bytes of two sketches from which a pair is checked exactly.
+
+    Those of a pair at the threshold agree independently, each with the similarity or by chance of a byte; the largest
+    number is taken that such a pair misses with probability SKETCH_LOSS at most (binomial tail).
+    """
+    p, tail = similarity + (1 - similarity) / 256, 0.0
+    for k in range(SKETCH + 1):
+        tail += math.comb(SKETCH, k) * p ** k * (1 - p) ** (SKETCH - k)
+        if tail > SKETCH_LOSS:
+            return k
+    return SKETCH
+
+
 def runs_for(recall: float, depth: int) -> int:
-    """Runs after which a pair at the threshold has met with the wanted probability.
+    """Runs after which a pair at the threshold has met, and passed the sketches, with the wanted probability.
 
     Such a pair shares at least one chosen shingle on average at every node.
     """
+    recall = min(recall / (1 - SKETCH_LOSS), 1 - 1e-12)
     meets = 1.0
     for _ in range(depth):
         meets = 1 - math.exp(-meets)
@@ -217,7 +232,7 @@ def agreement(sketches: np.ndarray) -> np.ndarray:
     return equal
 
 
-def sketch_links(rows: DataFrame, keys: list[str]) -> DataFrame:
+def sketch_links(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
     """Edges (a, b) between sets of a bucket whose sketches agree; rows: keys, nid, block, sketch.
 
     Where two blocks of a bucket meet, the parts linked within either block are
@@ -233,11 +248,11 @@ def sketch_links(rows: DataFrame, keys: list[str]) -> DataFrame:
                 continue
             table = np.frombuffer(b"".join(sketches[first].tolist()), np.uint8).reshape(-1, SKETCH)
             if len(ids) == 2:
-                if (table[0] == table[1]).sum() >= SKETCH_LEAST:
+                if (table[0] == table[1]).sum() >= least:
                     a.append(ids[1:])
                     b.append(ids[:1])
                 continue
-            linked = agreement(table) >= SKETCH_LEAST
+            linked = agreement(table) >= least
             if linked.sum() == len(ids):
                 continue
             across = blocks[first][:, None] != blocks[first][None, :]
@@ -295,14 +310,14 @@ def in_blocks(rows: DataFrame, sizes: DataFrame, key: str) -> DataFrame:
 
 def candidate_edges(level: DataFrame, sets: DataFrame, similarity: float) -> list[DataFrame]:
     """Edges between sets that met in a bucket and have like sketches; level: path, nid."""
-    sketches = sets.select("nid", "sketch")
+    sketches, least = sets.select("nid", "sketch"), sketch_least(similarity)
     level = level.withColumn("open", F.lit(True))
     edges = []
     for depth in range(FIRST_DEPTH, DEPTH + 1):
         sizes = level.groupBy("path").agg(F.count("*").alias("m"), F.min("nid").alias("pivot"), F.max("open").alias("any_open"))
         sizes = materialise(sizes.where("m > 1 and any_open"), f"sizes{depth}")
         small = level.join(sizes.where(F.col("m") <= SMALL), "path").join(sketches, "nid").withColumn("block", F.lit(0))
-        edges.append(materialise(sketch_links(small, ["path"]).distinct(), f"edges{depth}"))
+        edges.append(materialise(sketch_links(small, ["path"], least).distinct(), f"edges{depth}"))
         large = sizes.where(F.col("m") > SMALL)
         if large.isEmpty():
             break
@@ -310,7 +325,7 @@ def candidate_edges(level: DataFrame, sets: DataFrame, similarity: float) -> lis
         pivots = large.join(sketches.withColumnRenamed("sketch", "p_sketch"), F.col("pivot") == F.col("nid")).drop("nid")
         met = level.join(pivots.select("path", "pivot", "p_sketch"), "path").join(sketches, "nid")
         equal = F.expr(f"aggregate(sequence(1, {SKETCH}), 0, (s, j) -> s + int(substring(sketch, j, 1) = substring(p_sketch, j, 1)))")
-        met = materialise(met.select("path", "nid", "open", "pivot", (equal >= SKETCH_LEAST).alias("like")), f"met{depth}")
+        met = materialise(met.select("path", "nid", "open", "pivot", (equal >= least).alias("like")), f"met{depth}")
         edges.append(met.where("like and nid != pivot").select(F.col("nid").alias("a"), F.col("pivot").alias("b")).distinct())
         still = met.select("path", "nid", (F.col("open") & ~F.col("like")).alias("open"))
         unsettled = still.where("open").select("path").distinct()
@@ -321,7 +336,7 @@ def candidate_edges(level: DataFrame, sets: DataFrame, similarity: float) -> lis
         elif not still.isEmpty():
             blocks = still.groupBy("path").agg(F.ceil(F.count("*") / SKETCH_BLOCK).cast("int").alias("blocks"))
             dealt = in_blocks(still.join(sketches, "nid"), blocks, "path")
-            edges.append(materialise(sketch_links(dealt, ["path", "b1", "b2"]).distinct(), "edges_blocks"))
+            edges.append(materialise(sketch_links(dealt, ["path", "b1", "b2"], least).distinct(), "edges_blocks"))
     return edges
 
 
@@ -383,10 +398,13 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL
     small_batches(docs.sparkSession)
     sig = materialise(signatures(docs, runs_for(recall, DEPTH), similarity), "signatures")
     whole = materialise(sig.where("n > 0").groupBy("s1", "s2").agg(
-        F.count("*").alias("copies"), F.min("doc_id").alias("first_id"), F.min("r").alias("r"), F.max("n").alias("n")), "sets")
-    paths = sig.select("s1", "s2", F.explode(F.array_distinct("paths")).alias("path"))
+        F.count("*").alias("copies"), F.min("doc_id").alias("first_id"), F.min("r").alias("r"), F.max("n").alias("n"),
+        F.any_value("paths").alias("paths")), "sets")
+    # From the distinct sets: a text that a third of all documents repeats puts one row on each of its paths.
+    paths = whole.select("s1", "s2", F.explode(F.array_distinct("paths")).alias("path"))
+    whole = whole.drop("paths")
     shared = paths.groupBy("path").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi")).where("lo != hi").select("path")
-    met = materialise(paths.join(shared, "path").distinct(), "met")
+    met = materialise(paths.join(shared, "path"), "met")
     nodes = materialise(met.select("s1", "s2").distinct().join(whole, ["s1", "s2"])
                         .withColumn("nid", F.monotonically_increasing_id()), "nodes")
     sets = materialise(candidate_sets(docs, nodes), "candidate_sets")

@@ -231,6 +231,32 @@ def test_jaccard_join_null_and_repeated_ids(spark):
     assert sorted(r["text"] for r in jaccard_join.one_per_class(docs).collect()) == ["", "", text]
 
 
+def test_jaccard_join_recall_on_the_table(spark):
+    """Links of every document, against all rows by brute force."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    cache = jaccard_join.WordHashes()
+    sets = {r["doc_id"]: frozenset(jaccard_join.shingle_set(r["text"], cache).tolist()) for r in rows}
+    got = {r["doc_id"]: r for r in jaccard_join.join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()}
+    true = found = 0
+    for i, mine in sets.items():
+        if mine:
+            near = [j for j, other in sets.items() if j != i and other and 5 * len(mine & other) >= 4 * len(mine | other)]
+            assert got[i]["n_links"] <= len(near)
+            true, found = true + len(near), found + got[i]["n_links"]
+            assert all(got[j]["class_id"] == got[i]["class_id"] for j in near) or got[i]["n_links"] < len(near)
+    assert true > 100 and found >= 0.99 * true
+
+
+def test_sketches_lose_no_more_than_stated():
+    import numpy as np
+    rng = np.random.default_rng(3)
+    for similarity in (0.5, 0.8, 0.9):
+        least = jaccard_join.sketch_least(similarity)
+        agree = rng.binomial(jaccard_join.SKETCH, similarity + (1 - similarity) / 256, 200_000)
+        assert (agree < least).mean() <= 5 * jaccard_join.SKETCH_LOSS and (agree < least + 8).mean() > jaccard_join.SKETCH_LOSS
+    assert jaccard_join.sketch_least(0.8) == 36
+
+
 def test_components(spark):
     rnd = random.Random(6)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)]
