@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir), works on all that the stage before it
 kept and returns documents; the last adds ``copies``, how often the mix takes
 each document.  Every stage is written to the shared folder and read again.
+
+Defined cases: rows with null or repeated ids are documents like others, told
+apart by their texts; null and empty texts have no words, so no later stage
+finds anything in them and the mix never takes them; columns of any name are
+kept; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeguard.llm import decontaminate, jaccard_join, line_runs, mixing, pu_classifier
-from lakeguard.llm.common import materialise, table
+from lakeguard.llm.common import finished, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,5 +59,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        # Written whole, and what the stage wrote on its way is dropped.
+        docs = finished(spark, name, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
