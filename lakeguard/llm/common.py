@@ -46,18 +46,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def finished(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """``make()`` written to the shared folder; the intermediates it wrote on the way are deleted."""
-    already = len(_MADE)
-    out = materialise(make(), name)
+def discard(spark: SparkSession, since: int, keep: str | None = None) -> None:
+    """Delete the intermediates written since there were ``since`` of them, once nothing reads them any more."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _MADE[already:-1]:
+    for path in [p for p in _MADE[since:] if p != keep]:
         folder = jvm.org.apache.hadoop.fs.Path(path.rsplit("/", 1)[0])
         folder.getFileSystem(conf).delete(folder, True)
-    del _MADE[already:-1]
+        _MADE.remove(path)
+
+
+def finished(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """``make()`` written to the shared folder; the intermediates it wrote on the way are deleted."""
+    already = made()
+    out = materialise(make(), name)
+    discard(spark, already, keep=_MADE[-1])
     return out
 
 
+def made() -> int:
+    """How many intermediates there are."""
+    return len(_MADE)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate once to the shared folder and read it back.
 

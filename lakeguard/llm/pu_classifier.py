@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeguard.llm.common import WORD, map_rows, materialise, shared, small_batches
+from lakeguard.llm.common import WORD, discard, made, map_rows, materialise, shared, small_batches
 
 MAX_LABELLED = 4000
 SHARD_DOCS = 8000
@@ -172,9 +172,9 @@ def fold(doc_id) -> F.Column:
 
 def featured(docs: DataFrame, keep: list[str]) -> DataFrame:
     """``row`` (the columns ``keep``) and the features ``x`` of every whole text, written once."""
-    made = map_rows(docs, keep, lambda texts: {"x": [features(t) for t in texts]},
-                    {"x": pa.list_(pa.float64())}, "x array<double>")
-    return materialise(made, "features")
+    rows = map_rows(docs, keep, lambda texts: {"x": [features(t) for t in texts]},
+                    {"x": pa.list_(pa.float32())}, "x array<float>")
+    return materialise(rows, "features")
 
 
 def training_rows(measured: DataFrame) -> DataFrame:
@@ -194,8 +194,8 @@ def bin_edges(rows: DataFrame) -> list[np.ndarray]:
 def labelled(rows: DataFrame, known: DataFrame, value: int) -> np.ndarray:
     """Feature vectors of at most MAX_LABELLED training documents with this label, by a hash of the id."""
     some = known.where(F.col("y") == value).select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(MAX_LABELLED)
-    made = rows.join(some, "doc_id", "left_semi").orderBy("doc_id").toArrow()
-    return np.array(made.column("x").to_pylist(), float).reshape(-1, N_FEATURES)
+    found = rows.join(some, "doc_id", "left_semi").orderBy("doc_id").toArrow()
+    return np.array(found.column("x").to_pylist(), np.float32).reshape(-1, N_FEATURES)
 
 
 def local_steps(common):
@@ -235,6 +235,7 @@ def train(measured: DataFrame, labels: DataFrame, label: str = "quality"):
     prior = (found["p"] + 1) / (found["n"] + 2)
     if not found["p"]:
         return Constant(prior)
+    spark, already = measured.sparkSession, made()
     rows = training_rows(measured)
     positives, negatives = labelled(rows, known, 1), labelled(rows, known, 0)
     if not len(positives):
@@ -243,14 +244,15 @@ def train(measured: DataFrame, labels: DataFrame, label: str = "quality"):
     if len(negatives):
         margins = model.margin(model.bins(np.vstack([positives, negatives])))
         model.scale, model.shift = calibrate(margins, np.repeat([1, 0], [len(positives), len(negatives)]))
+    discard(spark, already)      # the model holds no row
     return model
 
 
-def score(docs: DataFrame, labels: DataFrame, keep: list[str], label: str = "quality") -> DataFrame:
-    """``row`` (the columns ``keep``, doc_id among them) with the ``score`` of every whole text."""
+def classify(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
+    """doc_id, held_out, score and predicted of every document."""
     spark = docs.sparkSession
     small_batches(spark)
-    measured = featured(docs, list(dict.fromkeys([*keep, "doc_id"])))
+    measured = featured(docs, ["doc_id"])
     model = shared(spark, train(measured, labels, label))
     schema = T.StructType([measured.schema["row"], T.StructField("score", T.DoubleType())])
 
@@ -259,17 +261,25 @@ def score(docs: DataFrame, labels: DataFrame, keep: list[str], label: str = "qua
             x = batch.column("x").flatten().to_numpy().reshape(-1, N_FEATURES)
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(model().score(x), pa.float64())], names=["row", "score"])
 
-    return measured.mapInArrow(run, schema)
-
-
-def classify(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
-    """doc_id, held_out, score and predicted of every document."""
-    scored = score(docs, labels, ["doc_id"], label).select("row.doc_id", "score")
+    scored = measured.mapInArrow(run, schema).select("row.doc_id", "score")
     return scored.select("doc_id", (F.coalesce(fold("doc_id"), F.lit(-1)) == 0).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
-    """The rows of ``docs`` whose score reaches the threshold, with their own columns."""
-    scored = score(docs, labels, docs.columns, label)
+    """The rows of ``docs`` whose score reaches the threshold, with their own columns.
+
+    Texts are measured again for that, so that no copy of them is written beside the features.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    already = made()
+    model = shared(spark, train(featured(docs, ["doc_id"]), labels, label))
+    discard(spark, already)
+
+    def fn(texts):
+        x = np.array([features(t) for t in texts], np.float32).reshape(-1, N_FEATURES)
+        return {"score": model().score(x).tolist()}
+
+    scored = map_rows(docs, docs.columns, fn, {"score": pa.float64()}, "score double")
     return scored.where(F.col("score") >= THRESHOLD).select("row.*")
