@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeguard.operators.latest import latest_per_key, latest_sql
-from lakeguard.plans import gold, models, pipeline, silver
+from lakeguard.plans import gold, key_counts, models, pipeline, silver
 from lakeguard.plans import ingest as ig
 from lakeguard.plans import lake as lk
 from lakeguard.queries import register
@@ -517,9 +517,10 @@ def _dq_tables(spark, sf):
             dq.declared("gold.daily_revenue", gold.daily_revenue(s, key_is_unique=True))]
 
 
-def _dq_sql(tests: tuple[str, ...]) -> str:
+def _dq_sql(tests: tuple[str, ...], tables: tuple[str, ...] = tuple(dq.DECLARED)) -> str:
     parts = []
-    for table, spec in dq.DECLARED.items():
+    for table in tables:
+        spec = dq.DECLARED[table]
         src = _DQ_SOURCES[table]
         if "not_null" in tests:
             parts += [f"select '{table}' as table_name, '{c}' as column_name, 'not_null' as test, "
@@ -554,6 +555,14 @@ def dq_report(spark, sf):
     return dq.report(_dq_tables(spark, sf))
 
 
+@register("dq_bronze_by_batch", _dq_sql(("not_null", "unique"), ("bronze.raw_orders",)))
+def dq_bronze_by_batch(spark, sf):
+    """Q1-Q3 on Bronze kept up by batch: the second batch's tests read that batch and the stored key counts."""
+    lake = _replay(spark, sf, silver_mode=None, before_last=lambda lake: key_counts.update(spark, lake))
+    key_counts.update(spark, lake)
+    return key_counts.report(spark, lake)
+
+
 # ------------------------------------------------------------ SLA (V1-V4)
 from lakeguard.operators import sla  # noqa: E402
 

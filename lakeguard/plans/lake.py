@@ -87,6 +87,17 @@ LOG_SCHEMAS["batch_log"] = T.StructType([
     T.StructField("latest_updated_at", T.TimestampNTZType()),
     T.StructField("logged_at", T.TimestampNTZType()),
 ])
+# What a batch changed in the failures of each declared test of Bronze.
+LOG_SCHEMAS["data_test_log"] = T.StructType([
+    T.StructField("run_id", T.StringType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("source_id", T.StringType()),
+    T.StructField("batch_id", T.StringType()),
+    T.StructField("column_name", T.StringType()),
+    T.StructField("test", T.StringType()),
+    T.StructField("change", T.LongType()),
+    T.StructField("logged_at", T.TimestampNTZType()),
+])
 LOG_SCHEMAS["incident_log"] = T.StructType(
     LOG_SCHEMAS["schema_change_log"].fields + [T.StructField("event", T.StringType())])
 
@@ -106,6 +117,10 @@ class Lake:
     def quarantine(self) -> str:
         return self.table("bronze", "raw_orders_quarantine")
 
+    @property
+    def bronze_keys(self) -> str:
+        return self.table("observability", "raw_orders_keys")
+
     @property
     def silver(self) -> str:
         return self.table("silver", "orders_cleaned")
@@ -175,6 +190,7 @@ def reset(spark: SparkSession, lake: Lake, silver: T.StructType, gold: T.StructT
     Silver and Gold that of their models.  Errors propagate."""
     delete_path(spark, lake.bronze)
     delete_path(spark, lake.quarantine)
+    delete_path(spark, lake.bronze_keys)
     delete_path(spark, lake.table("_staging", "").rstrip("/"))
     empty = {lake.silver: silver, lake.gold: gold} | {lake.log(n): schema for n, schema in LOG_SCHEMAS.items()}
     for path, schema in empty.items():
