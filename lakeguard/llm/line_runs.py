@@ -1,19 +1,25 @@
-"""Repeated line runs, found by distributed prefix doubling over line-ID sequences.
+"""Repeated line runs from a suffix array over line-ID sequences.
 
 The lines of all documents (in doc_id order) form one sequence of positions
-with a gap behind every document.  Ranks of prefixes double in length: the rank
-of the run of 2^k lines at p comes from the ranks at p and p + 2^(k-1), and the
-rank of a group of equal runs is its first position, so ranks are exact and a
-rank below p means that the run occurs earlier.  Positions whose prefix is
-unique leave the array at once; the rest of a level is the set of suffix
-intervals whose common prefix is at least 2^k lines.
+with a gap behind every document; a line's ID is the first position of an equal
+line, and lines that occur once take no part.  The suffix array is built by
+distributed prefix doubling (``ordered``): each step sorts the positions whose
+prefix is not yet unique by (rank, rank of the position one prefix further) over
+range partitions, and a position's new rank is the place of the first suffix
+with an equal prefix of twice the length.  Ranges are cut by position too, so
+a line that fills a third of the corpus is sorted by many tasks; what runs over
+the border of two partitions is put right from one row per partition.
+Positions leave once their prefix is unique, with their final rank.
 
 A run counts as repeated from MIN_WORDS words on.  Every maximal repeated run
 of so many words is the union of minimal windows: from each line forward, and
-from each line backward, the fewest lines that hold MIN_WORDS words.  The
-interval of suffixes that share such a window is found from two overlapping
-ranks, so doubling stops at log2(MIN_WORDS) levels.  All lines of a window that
-occurs earlier are deleted; only the first copy of each run stays.
+from each line backward, the fewest lines that hold MIN_WORDS words, so at most
+MIN_WORDS lines.  Doubling therefore stops once prefixes hold the longest
+window.  One pass over the sorted array takes the longest common prefix of each
+two neighbours and keeps, per length, the place where the current
+longest-common-prefix interval began (``intervals``).  A window is repeated if
+its interval holds an earlier position; its lines are deleted there, so only
+the first copy of each run stays.
 
 Defined cases: a line without a word belongs to no run and stays where the rest
 of its text stays; lines are compared without blanks at their ends; null and
@@ -26,13 +32,16 @@ from __future__ import annotations
 
 import hashlib
 import re
+from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeguard.llm.common import WORD, materialise, slices, small_batches
+from lakeguard.session import local_table
 
 MIN_WORDS = 50
 _WORD = re.compile(WORD)
@@ -112,8 +121,7 @@ def numbered(docs: DataFrame, least: int) -> DataFrame:
     arrays = "idx array<int>, h1 array<long>, h2 array<long>, lens array<array<int>>"
     lines = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("digest"), "text").mapInArrow(
         cut, f"doc_id long, digest string, {arrays}")
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = lines.repartitionByRange(n, F.asc_nulls_last("doc_id"), "digest").sortWithinPartitions(
+    ranged = lines.repartitionByRange(_partitions(docs.sparkSession), F.asc_nulls_last("doc_id"), "digest").sortWithinPartitions(
         F.asc_nulls_last("doc_id"), "digest")
     return ranged.mapInArrow(place, f"doc_id long, digest string, p0 long, first boolean, {arrays}")
 
@@ -126,34 +134,184 @@ def ranked(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.join(groups, on).drop(*key, *[f"__{k}" for k in key])
 
 
+def _partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@contextmanager
+def _wide_batches(spark: SparkSession):
+    """Rows of numbers alone may fill larger Arrow batches than texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
+    try:
+        yield
+    finally:
+        small_batches(spark)
+
+
+def ordered(rows: DataFrame, name: str) -> DataFrame:
+    """(p, rank, alone) of ``rows`` (head, tail, p) in the order of (head, tail).
+
+    ``head`` is the place where the suffixes with the prefix so far begin; ``rank``
+    is the place where those with an equal tail begin, and ``alone`` tells that
+    there is one only.
+    """
+    spark = rows.sparkSession
+
+    def place(batches):
+        part, at, hs, gs, last, held = TaskContext.get().partitionId(), 0, 0, 0, None, None
+
+        def out(cols, follows):
+            p, head, tail, index, h, g, new = cols
+            arrays = [np.full(len(p), part, np.int32), index, h, g, new & follows, p, head, tail]
+            return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["part", "at", "hs", "gs", "alone", "p", "head", "tail"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            head, tail, p = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("head", "tail", "p"))
+            new_head, new = np.ones(len(p), bool), np.ones(len(p), bool)
+            new_head[1:] = head[1:] != head[:-1]
+            new[1:] = new_head[1:] | (tail[1:] != tail[:-1])
+            if last is not None:
+                new_head[0] = head[0] != last[0]
+                new[0] = new_head[0] or tail[0] != last[1]
+            index = np.arange(at, at + len(p), dtype=np.int64)
+            h = np.maximum.accumulate(np.where(new_head, index, hs))
+            g = np.maximum.accumulate(np.where(new, index, gs))
+            at, hs, gs, last = at + len(p), h[-1], g[-1], (head[-1], tail[-1])
+            cols = [p, head, tail, index, h, g, new]
+            if held is not None:
+                cols = [np.concatenate(c) for c in zip(held, cols)]
+            held = [c[-1:] for c in cols]       # whether it is alone shows with the next row
+            if len(cols[0]) > 1:
+                yield out([c[:-1] for c in cols], cols[6][1:])
+        if held is not None:
+            yield out(held, np.ones(1, bool))
+
+    ranged = rows.select("head", "tail", "p").repartitionByRange(_partitions(spark), "head", "tail", "p").sortWithinPartitions(
+        "head", "tail", "p")
+    with _wide_batches(spark):
+        placed = materialise(ranged.mapInArrow(
+            place, "part int, at long, hs long, gs long, alone boolean, p long, head long, tail long"), name)
+    edges = placed.groupBy("part").agg(F.count("*").alias("n"), F.min_by(F.struct("head", "tail"), "at").alias("first"),
+                                       F.max_by(F.struct("head", "tail", "hs", "gs"), "at").alias("last")).collect()
+    bounds, base, before, h, g = [], 0, None, 0, 0
+    for e in sorted(edges, key=lambda e: e["part"]):
+        same_head = before is not None and before["head"] == e["first"]["head"]
+        same = same_head and before["tail"] == e["first"]["tail"]
+        h, g = h if same_head else base, g if same else base
+        if same:
+            bounds[-1][5] = True
+        bounds.append([e["part"], base, h, g, same, False, e["n"]])
+        before = e["last"]
+        h, g = h if before["hs"] == 0 else base + before["hs"], g if before["gs"] == 0 else base + before["gs"]
+        base += e["n"]
+    # one row of numbers per partition
+    sides = F.broadcast(local_table(spark, bounds, "part int, base long, h long, g long, same_before boolean, same_after boolean, n long"))
+    first_head = F.when(F.col("hs") == 0, F.col("h")).otherwise(F.col("base") + F.col("hs"))
+    first = F.when(F.col("gs") == 0, F.col("g")).otherwise(F.col("base") + F.col("gs"))
+    alone = F.expr("alone and not (at = 0 and same_before) and not (at = n - 1 and same_after)")
+    return placed.join(sides, "part").select("p", (F.col("head") + first - first_head).alias("rank"), alone.alias("alone"))
+
+
+def suffix_array(ids: DataFrame, longest: int) -> DataFrame:
+    """(p, rank, alone, depth) of the positions ``ids`` (p, rank: the line's ID), ordered by ``longest`` lines at least.
+
+    ``rank`` is the place of the first suffix with the same lines, ``depth`` the prefix length at which it was found.
+    """
+    level, depth = ordered(ids.select(F.lit(0).cast("long").alias("head"), F.col("rank").alias("tail"), "p"), "order1"), 1
+    finished = None
+    while depth < longest:
+        active = level.where("not alone")
+        if active.isEmpty():
+            break
+        alone = level.where("alone").withColumn("depth", F.lit(depth))
+        known = level.select("p", "rank") if finished is None else level.select("p", "rank").union(finished.select("p", "rank"))
+        finished = alone if finished is None else finished.union(alone)
+        tails = known.select((F.col("p") - depth).alias("p"), F.col("rank").alias("tail"))
+        # what has no line behind it (a document's end or a line that occurs once) equals nothing else
+        pairs = active.select("p", F.col("rank").alias("head")).join(tails, "p", "left").withColumn(
+            "tail", F.coalesce("tail", -1 - F.col("p")))
+        depth *= 2
+        level = ordered(pairs, f"order{depth}")
+    level = level.withColumn("depth", F.lit(depth))
+    return level if finished is None else finished.union(level)
+
+
+def common_prefix(a: tuple[list, list], b: tuple[list, list]) -> int:
+    """Number of equal lines (two halves of their digests) two windows begin with."""
+    n = 0
+    for x in zip(*a, *b):
+        if x[0] != x[2] or x[1] != x[3]:
+            break
+        n += 1
+    return n
+
+
+def intervals(suffixes: DataFrame, longest: int) -> DataFrame:
+    """(p0, p, len, start) of each window of ``suffixes`` (rank, p, p0, lens, c1, c2: the lines of the longest window).
+
+    ``start`` is the place in the sorted array where the interval begins whose
+    suffixes share at least ``len`` lines with this one.
+    """
+    spark = suffixes.sparkSession
+    names = ["part", "p0", "p", "len", "start", "edge"]
+    edge_type = pa.struct([("n", pa.int64()), *[(k, pa.list_(pa.int64())) for k in ("f1", "f2", "l1", "l2", "ends")]])
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), edge_type]
+
+    def walk(batches):
+        part, at, starts, first, last = TaskContext.get().partitionId(), 0, [0] * (longest + 1), None, None
+        for batch in batches:
+            made = []
+            for p0, p, lens, *window in zip(*(batch.column(c).to_pylist() for c in ("p0", "p", "lens", "c1", "c2"))):
+                if last is None:
+                    first = window
+                else:
+                    shared = common_prefix(last, window)
+                    starts[shared + 1:] = [at] * (longest - shared)
+                last, at = window, at + 1
+                made += [(part, p0, p, n, starts[n], None) for n in lens]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made), types)] if made
+                                             else [pa.array([], t) for t in types], names=names)
+        if first is not None:
+            edge = {"n": at, "f1": first[0], "f2": first[1], "l1": last[0], "l2": last[1], "ends": starts}
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((part, None, None, None, None, edge), types)], names=names)
+
+    ranged = suffixes.repartitionByRange(_partitions(spark), "rank", "p").sortWithinPartitions("rank", "p")
+    arrays = ", ".join(f"{k}: array<bigint>" for k in ("f1", "f2", "l1", "l2", "ends"))
+    made = materialise(ranged.mapInArrow(
+        walk, f"part int, p0 long, p long, len int, start long, edge struct<n: bigint, {arrays}>"), "intervals")
+    # one row per partition, of at most MIN_WORDS lines each
+    edges = made.where("edge is not null").select("part", "edge.*").collect()
+    bounds, base, before, open_at = [], 0, None, []
+    for e in sorted(edges, key=lambda e: e["part"]):
+        shared = -1 if before is None else common_prefix((before["l1"], before["l2"]), (e["f1"], e["f2"]))
+        open_at = [open_at[n] if n <= shared else base for n in range(longest + 1)]
+        bounds.append((e["part"], base, list(open_at)))
+        open_at = [open_at[n] if e["ends"][n] == 0 else base + e["ends"][n] for n in range(longest + 1)]
+        before, base = e, base + e["n"]
+    sides = F.broadcast(local_table(spark, bounds, "part int, base long, open_at array<long>"))
+    start = F.when(F.col("start") == 0, F.expr("open_at[len]")).otherwise(F.col("base") + F.col("start"))
+    return made.where("edge is null").join(sides, "part").select("p0", "p", "len", start.alias("start"))
+
+
 def repeated_windows(numbered_docs: DataFrame) -> DataFrame:
     """(p0, p, len) of every minimal window that occurs earlier."""
-    lines = (numbered_docs.where("first and size(idx) > 0")
-             .select("p0", F.posexplode(F.arrays_zip("h1", "h2", "lens")).alias("i", "line"))
-             .select("p0", (F.col("p0") + F.col("i")).alias("p"), "line.*"))
-    ranks = materialise(ranked(lines, ["h1", "h2"]), "rank0")
-    longest = ranks.agg(F.max(F.array_max("lens"))).first()[0] or 0
-    wanted = ranks.select("p0", "p", F.explode("lens").alias("len"))
-    found = (ranks.where("rank < p and array_contains(lens, 1)")
-             .select("p0", "p", F.lit(1).alias("len")))
-    level, half = ranks.select("p", "rank"), 1
-    while half * 2 <= longest:
-        right = level.select((F.col("p") - half).alias("p"), F.col("rank").alias("tail"))
-        pairs = level.join(right, "p").select("p", F.col("rank").alias("head"), "tail")
-        level = materialise(ranked(pairs, ["head", "tail"]), f"rank{half * 2}")
-        half *= 2
-        here = wanted.where(F.col("len").between(half, 2 * half - 1))
-        ends = level.select((F.col("p") + half).alias("__end"), F.col("rank").alias("tail"))
-        both = (here.join(level.withColumnRenamed("rank", "head"), "p")
-                .join(ends, F.col("p") + F.col("len") == F.col("__end")).drop("__end"))
-        found = found.unionByName(_later(both))
-    return found
-
-
-def _later(both: DataFrame) -> DataFrame:
-    """Windows (by length and the ranks of their two halves) that are not the first of their kind."""
-    copy = both.select("p0", "p", "len", F.col("len").alias("size"), "head", "tail")
-    return ranked(copy, ["size", "head", "tail"]).where("rank < p").select("p0", "p", "len")
+    docs = numbered_docs.where("first and size(idx) > 0")
+    longest = docs.agg(F.max(F.array_max(F.flatten("lens")))).first()[0] or 0
+    lines = (docs.select("p0", F.posexplode(F.arrays_zip("h1", "h2")).alias("i", "line"))
+             .select((F.col("p0") + F.col("i")).alias("p"), "line.*"))
+    order = suffix_array(ranked(lines, ["h1", "h2"]), longest)
+    # the lines of each position's longest window, cut before the rows are: no row carries its whole document
+    context = {c: F.expr(f"transform(lens, (l, i) -> slice({h}, i + 1, coalesce(array_max(l), 0)))")
+               for c, h in (("c1", "h1"), ("c2", "h2"))}
+    windows_at = (docs.select("p0", "lens", *[e.alias(c) for c, e in context.items()])
+                  .select("p0", F.posexplode(F.arrays_zip("lens", "c1", "c2")).alias("i", "line"))
+                  .select("p0", (F.col("p0") + F.col("i")).alias("p"), "line.*").where("size(lens) > 0"))
+    # a suffix that was alone before its shortest window ended shares none
+    shared = windows_at.join(order, "p").where("not alone or array_min(lens) < depth").drop("alone", "depth")
+    found = intervals(shared, longest).withColumn("size", F.col("len"))
+    return ranked(found, ["start", "size"]).where("rank < p").select("p0", "p", "len")
 
 
 def removals(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:

@@ -304,6 +304,39 @@ def test_line_runs(spark):
     assert line_runs.removals(frame(spark, [])).count() == 0
 
 
+def test_suffix_array(spark):
+    """Places in the sorted array, also where equal suffixes fill several partitions."""
+    rnd = random.Random(9)
+    docs = [[rnd.choice([0, 0, 0, 1, 2]) for _ in range(rnd.randint(1, 12))] for _ in range(60)] + [[0] * 70] * 3
+    line, at, key = {}, 0, {}
+    for d in docs:
+        for i, x in enumerate(d):
+            line[at + i] = x
+            key[at + i] = (*d[i:i + 8], -1 - at - i) if len(d) - i < 8 else tuple(d[i:i + 8])
+        at += len(d) + 1
+    ids = spark.createDataFrame([(p, x) for p, x in line.items()], "p long, rank long")
+    got = {r["p"]: r for r in line_runs.suffix_array(ids, 5).collect()}
+    places = sorted(key.values())
+    groups = Counter(places)
+    assert set(got) == set(line)
+    for p, r in got.items():
+        assert r["rank"] == places.index(key[p]) and r["alone"] == (groups[key[p]] == 1)
+    # with ten lines the next step sorts by sixteen
+    assert line_runs.suffix_array(ids.limit(0), 10).count() == 0
+
+
+def test_line_runs_across_partitions(spark):
+    """One run that most documents hold, one-word lines, and a copy within one document."""
+    rnd = random.Random(10)
+    words = [prose(rnd, 1) for _ in range(12)]
+    hot = "\n".join(words[:9])
+    texts = [f"{hot}\n{prose(rnd, rnd.randint(1, 4))}" if rnd.random() < 0.7 else "\n".join(rnd.choices(words, k=12))
+             for _ in range(150)] + [f"{hot}\n{hot}\nend", "\n".join(["w"] * 40), "\n".join(["w"] * 23)]
+    got = {r["doc_id"]: r["removed"] for r in line_runs.removals(frame(spark, texts), 8).collect()}
+    want = brute_runs(list(enumerate(texts)), 8)
+    assert got == {d: sorted(want[d]) for d in range(len(texts))}
+
+
 def test_line_runs_repeated_rows(spark):
     text = prose(random.Random(3), 60)
     rows = line_runs.removals(frame(spark, [text, text, text, text], ids=[2, 2, None, 1])).collect()
