@@ -58,6 +58,27 @@ def _materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+_MADE: dict[tuple, str] = {}   # scratch folders that several queries of a session read
+
+
+def _once(spark: SparkSession, key: tuple, make) -> str:
+    """The folder ``make`` writes, made once per session and key for queries that only read it.
+
+    The tables of a data directory are taken not to change within a session; a
+    folder that is gone (an emptied checkpoint directory) is made again.
+    """
+    key = (spark.sparkContext.applicationId, checkpoint_dir(spark), *key)
+    if key not in _MADE or not lk.exists(spark, _MADE[key]):
+        _MADE[key] = make()
+    return _MADE[key]
+
+
+def _lake(spark: SparkSession, sf: str, silver_mode: str | None = "arrival", gold_mode: str | None = None) -> lk.Lake:
+    """The lake that :func:`_replay` makes of both batches, for queries that write nothing to it."""
+    return lk.Lake(_once(spark, ("lake", sf, silver_mode, gold_mode),
+                         lambda: _replay(spark, sf, silver_mode=silver_mode, gold_mode=gold_mode).root))
+
+
 def _replay(spark: SparkSession, sf: str, upto: int = 2, silver_mode: str | None = "arrival",
             gold_mode: str | None = None, shapes=None, before_last=None) -> lk.Lake:
     """A scratch lake after the producer batches 1..``upto`` went through the library's own runs:
@@ -104,7 +125,7 @@ def silver_full(spark, sf):
 def orders_cleaned(spark, sf):
     """M1: Silver after both producer batches, incrementally by the event-time
     rule: equals the full refresh because batches arrive in updated_at order."""
-    return models.silver_table(spark, _replay(spark, sf, silver_mode="event_time"))
+    return models.silver_table(spark, _lake(spark, sf, "event_time"))
 
 
 # ------------------------------------------------------------------ M2 / A*
@@ -137,7 +158,7 @@ def _bronze_run1(spark, sf):
 @register("bronze_enriched", f"select * from ({BRONZE}) b")
 def bronze_enriched(spark, sf):
     """Bronze after both batches were ingested, each with its audit columns."""
-    return _bronze_rows(spark, _replay(spark, sf, silver_mode=None))
+    return _bronze_rows(spark, _lake(spark, sf, None))
 
 
 @register("line_total", f"select order_id, l_linenumber, l_suppkey, quantity, unit_price, "
@@ -272,12 +293,18 @@ def file_contracts(spark, sf):
 
 
 def _scenario_footers(spark, sf, names=sc.SCENARIOS):
-    """The producer batches landed as Parquet files, one folder each, and the footers read from them."""
-    root = _scratch(spark, "landed")
-    batches = sc.scenario_batches(spark, sf)
-    for name in names:
-        batches[name].write.parquet(f"{root}/{name}")
-    return _materialize(spark, gates.batch_footers(spark, root), "footers")
+    """The producer batches landed as Parquet files, one folder each, and the footers read from them.
+
+    The changelog is joined once; every batch is a projection of its written rows.
+    """
+    def land() -> str:
+        root = _scratch(spark, "landed")
+        batches = sc.shapes(_materialize(spark, fx.raw_orders(spark, sf), "changelog"))
+        for name in names:
+            batches[name].write.parquet(f"{root}/{name}")
+        return root
+
+    return _materialize(spark, gates.batch_footers(spark, _once(spark, ("landed", sf, *names), land)), "footers")
 
 
 def _scenario_verdicts(spark, sf):
@@ -377,7 +404,7 @@ union all select * from ({ARRIVAL_CHANGES_SQL}) c2"""
 @register("merge_silver", MERGE_SILVER_SQL)
 def merge_silver(spark, sf):
     """Silver after the arrival-time merge of batch 2 into the state of run 1."""
-    return models.silver_table(spark, _replay(spark, sf))
+    return models.silver_table(spark, _lake(spark, sf))
 
 
 _STAT_COLS = [c for c in silver.SILVER_COLUMNS if c != "order_id"]
@@ -431,14 +458,14 @@ union all select * from ({GOLD_LATEST_SQL}) r2""")
 def merge_gold(spark, sf):
     """K4/M2 (reference rule): Gold dates from the latest Gold date on are
     re-aggregated and replace their rows; older dates keep run-1 values."""
-    return models.gold_table(spark, _replay(spark, sf, gold_mode="latest_date"))
+    return models.gold_table(spark, _lake(spark, sf, gold_mode="latest_date"))
 
 
 @register("merge_gold_touched", daily_revenue_sql(SILVER_FULL_SQL))
 def merge_gold_touched(spark, sf):
     """Gold of run 1 plus what the change set of run 2 retracts and adds —
     equals a full rebuild."""
-    return models.gold_table(spark, _replay(spark, sf, gold_mode="touched_dates"))
+    return models.gold_table(spark, _lake(spark, sf, gold_mode="touched_dates"))
 
 
 # --------------------------------------------------------- as-of reads
@@ -487,7 +514,7 @@ SINK_DRIFT_SQL = _drift_sql(
 def sink_drift_check(spark, sf):
     """K6: contract of the change set that run 2 wrote against that of the Silver
     table, both as their files' footers have them."""
-    lake = _replay(spark, sf)
+    lake = _lake(spark, sf)
     run = models.last_run(spark, lake, "silver")
     contracts = {}
     for side, path in (("output", lake.staging(run["run_id"], "changes")), ("target", lake.silver)):
@@ -628,7 +655,7 @@ def sla_freshness(spark, sf):
     """V1 at three instants: exactly 6 h after the latest update (passes),
     one second later (fails), and weeks later — all from what the ingest of both
     batches observed."""
-    m = sla.metrics(_batches(spark, _sla_lake(spark, sf)), sla.ts_literal(FRESHNESS_AS_OF[0]))
+    m = sla.metrics(_batches(spark, _lake(spark, sf, None)), sla.ts_literal(FRESHNESS_AS_OF[0]))
     results = [F.struct(sla.ts_literal(a).alias("as_of"), sla.freshness_result(sla.ts_literal(a), 6)
                         .alias("r")) for a in FRESHNESS_AS_OF]
     return m.select(F.inline(F.array(*results))).select("as_of", "r.status", "r.detail")
@@ -638,7 +665,7 @@ def sla_freshness(spark, sf):
     f"select timestamp '{a}' as as_of, status, detail from ({_completeness_sql(a)}) c" for a in COMPLETENESS_AS_OF))
 def sla_completeness(spark, sf):
     """V2 on the two ingest days and a day without ingest, from the batch log."""
-    counts = sla.metrics(_batches(spark, _sla_lake(spark, sf)), [sla.ts_literal(a) for a in COMPLETENESS_AS_OF])
+    counts = sla.metrics(_batches(spark, _lake(spark, sf, None)), [sla.ts_literal(a) for a in COMPLETENESS_AS_OF])
     results = [F.struct(sla.ts_literal(a).alias("as_of"), sla.completeness_result(100, f"rows_today_{i}")
                         .alias("r")) for i, a in enumerate(COMPLETENESS_AS_OF)]
     return counts.select(F.inline(F.array(*results))).select("as_of", "r.status", "r.detail")

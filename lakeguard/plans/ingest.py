@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -132,16 +133,20 @@ def ingest(spark: SparkSession, batch: DataFrame, lake: lk.Lake, *, batch_id: st
            schema_version: str = "v1", ingested_at: dt.datetime | None = None,
            evaluated_at: dt.datetime | None = None, run_type: str = "incremental",
            source: str = PIPELINE_ID, seed_version: str = "v1",
-           dbu_per_hour: float = cost.DBU_PER_HOUR, rate: float = cost.DBU_RATE_USD) -> int:
+           dbu_per_hour: float = cost.DBU_PER_HOUR, rate: float = cost.DBU_RATE_USD,
+           admitted: Callable[[], None] | None = None) -> int:
     """Gate, log, enrich, append, count, cost.  Returns rows written.
 
     ``seed_version`` names the contract of an absent table: a seed version or
-    the path of a contract file.
+    the path of a contract file.  ``admitted`` writes what goes beside the
+    batch: it is called once the gate has let the batch in, before Bronze is written.
     """
     started = time.monotonic()
     verdict, baseline = gate(spark, batch, lake, batch_id, seed_version)
     ingested_at = first_arrival(spark, lake, batch_id) or ingested_at or utc_now()
     route(spark, lake, verdict, baseline, evaluated_at or utc_now(), ingested_at)
+    if admitted is not None:
+        admitted()
 
     out = enrich(conform(spark, batch, lake), ingested_at, schema_version, source).withColumn(
         "_batch_id", F.lit(batch_id))
@@ -172,17 +177,21 @@ def ingest_text(spark: SparkSession, path: str, lake: lk.Lake, *, batch_id: str,
     """A batch of CSV or JSON-lines files through the gate.
 
     Lines that do not fit the contract's types are kept, as they stand, in the
-    quarantine table under the batch id.  Returns (rows ingested, lines quarantined).
+    quarantine table under the batch id; a batch that the gate halts leaves none
+    there.  Returns (rows ingested, lines quarantined).
     """
     declared = ct.contract_struct(ct.seed_contracts(spark, [schema_version]))
     batch = (files.read_csv_batch if kind == "csv" else files.read_json_batch)(spark, path, declared)
-    bad, obs = files.malformed_rows(batch), Observation(f"quarantine_{batch_id}")
-    # before the batch is logged: should the driver die between, a replay writes both again
-    (bad.select("*", F.lit(batch_id).alias("_batch_id")).observe(obs, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_batch_id").parquet(lake.quarantine))
+    obs = Observation(f"quarantine_{batch_id}")
+
+    def quarantine() -> None:
+        # before the batch is written: should the driver die between, a replay writes both again
+        (files.malformed_rows(batch).select("*", F.lit(batch_id).alias("_batch_id")).observe(obs, F.count(F.lit(1)).alias("rows"))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("_batch_id").parquet(lake.quarantine))
+
     rows = ingest(spark, batch.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record"), lake,
-                  batch_id=batch_id, schema_version=schema_version, **settings)
+                  batch_id=batch_id, schema_version=schema_version, admitted=quarantine, **settings)
     return rows, int(obs.get["rows"])
 
 

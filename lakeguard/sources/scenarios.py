@@ -25,7 +25,8 @@ def _partner() -> F.Column:
     return F.concat(F.lit("partner-"), (F.pmod(F.col("l_suppkey"), F.lit(5)) + 1).cast("string"))
 
 
-def _shapes(r: DataFrame) -> dict[str, DataFrame]:
+def shapes(r: DataFrame) -> dict[str, DataFrame]:
+    """The batches as projections of the changelog ``r``."""
     return {
         "baseline": r.select(*V1),
         "non_breaking": r.select(*V1, _partner().alias("delivery_partner")),
@@ -47,7 +48,7 @@ SCENARIO_EVALUATED_AT = {name: f"2001-12-{i + 3:02d} 06:00:00" for i, name in en
 
 
 def scenario_batches(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return _shapes(raw_orders(spark, sf_dir))
+    return shapes(raw_orders(spark, sf_dir))
 
 
 _V1_SQL = ", ".join(V1)

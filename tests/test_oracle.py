@@ -29,6 +29,16 @@ def test_every_library_query_has_an_oracle():
     assert set(QUERIES) <= set(o)
 
 
+def test_read_only_lakes_are_made_once_and_again_when_gone(spark):
+    from lakeguard.plans import catalog
+    from lakeguard.plans import lake as lk
+    first = catalog._lake(spark, SF_SMALL, None)
+    assert catalog._lake(spark, SF_SMALL, None) == first
+    lk.delete_path(spark, first.root)
+    again = catalog._lake(spark, SF_SMALL, None)
+    assert again != first and lk.exists(spark, again.bronze)
+
+
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_oracle(spark, name):
     from oracle_check import compare

@@ -259,6 +259,18 @@ def test_csv_columns_go_by_the_header(spark, lake, tmp_path):
     assert bad["_corrupt_record"].startswith("k2,") and bad["_batch_id"] == "a"
 
 
+def test_halted_text_batch_leaves_no_quarantine(spark, lake, tmp_path):
+    good, bad = tmp_path / "a.csv", tmp_path / "b.csv"
+    line = "PROD,CUST,many,1.5,delivered,2001-01-01 00:00:00,2001-01-02 00:00:00\n"
+    good.write_text(f"{HEADER}\nk1,{line}k2,{line.replace('many', '2')}")
+    bad.write_text(f"{HEADER.replace('customer_id', 'cust')}\nk3,{line}")
+    assert ig.ingest_csv(spark, str(good), lake, batch_id="a", ingested_at=D1) == (1, 1)
+    with pytest.raises(ig.SchemaBreakingChangeError):
+        ig.ingest_csv(spark, str(bad), lake, batch_id="b", ingested_at=D1)
+    assert lk.partitions_of(spark, lake.quarantine, "_batch_id") == ["a"]
+    assert models._bronze(spark, lake).count() == 1
+
+
 def test_csv_files_with_different_headers(spark, lake, tmp_path):
     """Each file goes by its own header; a column that any of them lacks is gone from the batch."""
     folder = tmp_path / "in"
