@@ -2,10 +2,13 @@
 
 Writing: every page becomes three records, a request, a response (or a revisit
 of an equal payload) and a metadata record; request and metadata name the
-response's record in ``WARC-Concurrent-To``.  Records go through Spark's text
-sink, whose line separator is the end mark of a record, into gzip files of at
-most about CHUNK_BYTES of records (one record at least), so that a reader holds
-one small file at a time.
+response's record in ``WARC-Concurrent-To``, and a revisit names the response it
+repeats in ``WARC-Refers-To``.  Every record is a gzip member of its own, so one
+can be read from its offset alone.  Members go through Spark's text sink into
+files of at most about CHUNK_BYTES of records (one record at least), so that a
+reader holds one small file at a time.  The sink ends each value with a line
+separator, a zero byte; it stands for the last byte of the member's length, which
+is zero below 16 MiB (a longer record is followed by an empty member).
 
 Reading: records are cut by their Content-Length, never by searching for marks
 in payloads.  Assembly joins request and metadata records to the response or
@@ -15,7 +18,8 @@ Defined cases: a null payload is empty; a null url leaves out the target; a
 null page id leaves out the metadata field.  Of equal payloads of at least
 REVISIT_BYTES bytes the one with the largest page id is the response and the
 others are revisits; rows that share that largest id and payload are all
-responses, as are rows of a payload whose ids are all null.  Of several
+responses (their revisits then name no record), as are rows of a payload whose
+ids are all null.  Of several
 requests (or metadata records) concurrent to one record the one with the
 smallest record id is nested and all are counted; a request or metadata record
 whose capture is missing is emitted as a capture without a main record.  An
@@ -41,7 +45,7 @@ from lakeguard.llm.common import materialise, scratch_path, small_batches
 REVISIT_BYTES = 1000
 CHUNK_BYTES = 16 << 20
 DATE = "2024-01-01T00:00:00Z"
-END = "\r\n\r\n"
+END = b"\r\n\r\n"
 # Fixed value: the profile the WARC 1.1 standard names for revisits of equal payloads.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -54,14 +58,26 @@ def _record(kind: str, record_id: str, fields: list[tuple[str, str]], block: byt
     return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head) + "\r\n").encode() + block
 
 
-def _transaction(page_id, url, payload: bytes, digest: str, revisit: bool) -> list[bytes]:
+def member(record: bytes) -> bytes:
+    """The record's gzip member without its last byte, which is zero."""
+    packed = gzip.compress(record, compresslevel=6, mtime=0)
+    if packed[-1]:
+        packed += gzip.compress(b"", mtime=0)
+    return packed[:-1]
+
+
+def _transaction(page_id, url, payload: bytes, digest: str, revisit: bool, named: str | None) -> list[bytes]:
+    """``named``: the record id of the one response with this payload, where there are revisits of it."""
     main, request, metadata = (f"<urn:uuid:{uuid.uuid4()}>" for _ in range(3))
+    if named and not revisit:
+        main = named
     target = [] if url is None else [("WARC-Target-URI", _CONTROL.sub(lambda m: f"%{ord(m[0]):02X}", url))]
     stamp = "sha1:" + base64.b32encode(bytes.fromhex(digest)).decode()
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     fields = [*target, ("WARC-Payload-Digest", stamp), ("Content-Type", "application/http; msgtype=response")]
     if revisit:
-        answer = _record("revisit", main, [*fields, ("WARC-Profile", PROFILE)], http)
+        refers = [("WARC-Refers-To", named)] if named else []
+        answer = _record("revisit", main, [*fields, ("WARC-Profile", PROFILE), *refers], http)
     else:
         answer = _record("response", main, fields, http + payload)
     joined = [("WARC-Concurrent-To", main), *target]
@@ -77,14 +93,15 @@ def _records_of(batches):
     chunk = held = 0
     for batch in batches:
         chunks, values = [], []
-        rows = zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "payload", "digest", "revisit")))
-        for page_id, url, payload, digest, revisit in rows:
-            for record in _transaction(page_id, url, payload, digest, revisit):
+        rows = zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "payload", "digest", "revisit", "named")))
+        for row in rows:
+            for record in _transaction(*row):
+                record += END
                 if held and held + len(record) > CHUNK_BYTES:
                     chunk, held = chunk + 1, 0
                 held += len(record)
                 chunks.append(chunk)
-                values.append(record)
+                values.append(member(record))
         yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int32()), pa.array(values, pa.binary())], names=["chunk", "value"])
 
 
@@ -95,15 +112,19 @@ def write_archives(pages: DataFrame, path: str) -> None:
     hashed = pages.select("page_id", "url", payload.alias("payload")).withColumns(
         {"digest": F.sha1("payload"), "bytes": F.octet_length("payload")})
     # Payloads that occur more than once, written first: usually few, so the join needs no shuffle of payloads.
+    # Counted per digest and id first, so that the response of a payload is known to be one row.
+    per_id = hashed.where(F.col("bytes") >= REVISIT_BYTES).groupBy("digest", "page_id").agg(F.count("*").alias("n"))
     shared = materialise(
-        hashed.where(F.col("bytes") >= REVISIT_BYTES).groupBy("digest").agg(F.count("*").alias("n"), F.max("page_id").alias("first"))
-        .where("n > 1").select(F.col("digest").alias("d"), "first"), "shared_payloads")
+        per_id.groupBy("digest").agg(F.sum("n").alias("rows"), F.max(F.struct("page_id", "n")).alias("top")).where("rows > 1")
+        .select(F.col("digest").alias("d"), F.col("top.page_id").alias("first"),
+                F.when(F.expr("top.page_id is not null and top.n = 1"), F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">"))).alias("named")),
+        "shared_payloads")
     revisit = F.col("d").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     rows = hashed.join(shared, hashed["digest"] == shared["d"], "left").select(
-        "page_id", "url", "payload", "digest", revisit.alias("revisit"))
+        "page_id", "url", "payload", "digest", revisit.alias("revisit"), "named")
     made = rows.mapInArrow(_records_of, "chunk int, value binary")
     (made.select("chunk", F.col("value").cast("string").alias("value"))
-     .write.partitionBy("chunk").option("lineSep", END).option("compression", "gzip").text(path))
+     .write.partitionBy("chunk").option("lineSep", "\0").text(path))
 
 
 def _fields(lines: list[bytes]) -> dict[str, str]:
@@ -134,7 +155,7 @@ def parse(content: bytes, payloads: bool):
         elif kind == "metadata":
             page_id = _fields(block.split(b"\r\n")).get("page-id")
         yield {"record_type": kind, "record_id": head.get("warc-record-id"), "concurrent_to": head.get("warc-concurrent-to"),
-               "target_uri": head.get("warc-target-uri"), "date": head.get("warc-date"),
+               "refers_to": head.get("warc-refers-to"), "target_uri": head.get("warc-target-uri"), "date": head.get("warc-date"),
                "page_id": None if page_id is None else int(page_id),
                "payload_bytes": None if body is None else len(body),
                "payload_digest": hashlib.sha1(body).hexdigest() if body is not None else _hex(head.get("warc-payload-digest")),
@@ -147,10 +168,10 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
     Payload length and digest of responses are taken from the payload itself,
     those of revisits from their header (the length is not known there).
     """
-    fields = {"record_type": pa.string(), "record_id": pa.string(), "concurrent_to": pa.string(), "target_uri": pa.string(),
-              "date": pa.string(), "page_id": pa.int64(), "payload_bytes": pa.int64(), "payload_digest": pa.string()}
-    ddl = ("record_type string, record_id string, concurrent_to string, target_uri string, date string, page_id long, "
-           "payload_bytes long, payload_digest string")
+    fields = {"record_type": pa.string(), "record_id": pa.string(), "concurrent_to": pa.string(), "refers_to": pa.string(),
+              "target_uri": pa.string(), "date": pa.string(), "page_id": pa.int64(), "payload_bytes": pa.int64(), "payload_digest": pa.string()}
+    ddl = ("record_type string, record_id string, concurrent_to string, refers_to string, target_uri string, date string, "
+           "page_id long, payload_bytes long, payload_digest string")
     if payloads:
         fields["payload"], ddl = pa.binary(), ddl + ", payload binary"
     schema = pa.schema(list(fields.items()))
@@ -180,7 +201,7 @@ def assemble(records: DataFrame) -> DataFrame:
     extra = ["payload"] if "payload" in records.columns else []
     main = records.where(F.col("record_type").isin("response", "revisit")).select(
         F.col("record_id").alias("capture_id"),
-        F.struct("record_type", "record_id", "target_uri", "date", "payload_bytes", "payload_digest", *extra).alias("main"))
+        F.struct("record_type", "record_id", "refers_to", "target_uri", "date", "payload_bytes", "payload_digest", *extra).alias("main"))
 
     def part(kind, *columns):
         return (records.where((F.col("record_type") == kind) & F.col("concurrent_to").isNotNull())

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -93,6 +95,33 @@ def test_warc_round_trip(spark):
     assert warc.resolve_revisits(warc.captures_of(pages.limit(0))).count() == 0
 
 
+def test_warc_records_are_members(spark, tmp_path):
+    """Every record can be read from its offset; revisits name the record of their response; long records too."""
+    rows = [(1, "http://a/", "y" * 1000), (2, "http://b/", "y" * 1000), (3, None, "z" * (17 << 20)), (None, "u", ""),
+            (5, "u", "t" * 1500), (5, "u", "t" * 1500), (4, "u", "t" * 1500)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc.write_archives(pages, str(tmp_path / "w"))
+    whole, heads = 0, {}
+    for file in (tmp_path / "w").rglob("part-*"):
+        data = file.read_bytes()
+        whole += len(list(warc.parse(data, False)))
+        assert gzip.decompress(data).count(b"WARC/1.1\r\n") >= 1
+        while data:
+            d = zlib.decompressobj(31)
+            record = d.decompress(data)
+            assert d.eof
+            data = d.unused_data
+            if record:                 # else the empty member behind a long record
+                (one,) = warc.parse(gzip.compress(record), False)
+                heads[one["record_id"]] = one
+    assert whole == len(heads) == 3 * len(rows)
+    got = warc.assemble(warc.read_archives(spark, str(tmp_path / "w"))).select("main.*", F.col("metadata.page_id").alias("page_id")).collect()
+    by_page = {r["page_id"]: r for r in got}
+    assert by_page[1]["record_type"] == "revisit" and by_page[1]["refers_to"] == by_page[2]["record_id"]
+    assert by_page[4]["record_type"] == "revisit" and by_page[4]["refers_to"] is None   # two rows are its response
+    assert by_page[3]["payload_bytes"] == 17 << 20 and by_page[None]["payload_bytes"] == 0
+
+
 BASE = [re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII),
         re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]+")]
 
