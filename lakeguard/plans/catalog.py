@@ -54,7 +54,7 @@ def _materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     it back: later references scan it instead of re-deriving it, and a lost
     executor recomputes from it rather than from the source tables."""
     path = _scratch(spark, name)
-    df.write.parquet(path)
+    df.write.options(**lk.COMPRESSED).parquet(path)
     return spark.read.parquet(path)
 
 
@@ -82,19 +82,24 @@ def _lake(spark: SparkSession, sf: str, silver_mode: str | None = "arrival", gol
 def _replay(spark: SparkSession, sf: str, upto: int = 2, silver_mode: str | None = "arrival",
             gold_mode: str | None = None, shapes=None, before_last=None) -> lk.Lake:
     """A scratch lake after the producer batches 1..``upto`` went through the library's own runs:
-    ingest, then Silver and Gold where a mode is given.  ``before_last`` is called before the last batch."""
-    lake = lk.Lake(_scratch(spark, "lake"))
-    changelog = fx.raw_orders(spark, sf)
+    ingest, then Silver and Gold where a mode is given.  ``before_last`` is called before the last batch;
+    ``shapes`` names the upstream shape of each batch.
+
+    The changelog is joined once and written; the producer batches are read from there."""
+    lake, joined = lk.Lake(_scratch(spark, "lake")), _scratch(spark, "changelog")
+    fx.raw_orders(spark, sf).write.options(**lk.COMPRESSED).parquet(joined)
+    changelog = spark.read.parquet(joined)
     for n in range(1, upto + 1):
         if n == upto and before_last is not None:
             before_last(lake)
-        rows = changelog if shapes is None else shapes[n - 1]
+        rows = changelog if shapes is None else sc.shapes(changelog)[shapes[n - 1]]
         at = _dt.datetime.fromisoformat(fx.BATCH_INGESTED_AT[n])
         ig.ingest(spark, rows.filter(fx.batch_no() == n), lake, batch_id=f"b{n}", ingested_at=at, evaluated_at=at)
         if silver_mode:
             models.silver_incremental(spark, lake, mode=silver_mode, version_order=ORDER)
         if gold_mode:
             models.gold_incremental(spark, lake, mode=gold_mode)
+    lk.delete_path(spark, joined)      # both batches are in Bronze
     return lake
 
 
@@ -498,8 +503,7 @@ from ({RAW}) r where updated_at > timestamp '{fx.BATCH_SPLIT}'"""
 def bronze_evolved_read(spark, sf):
     """K2: a v1 batch then a v2 batch (adds delivery_partner) ingested into one
     table — rows of the older batch read the new column as null."""
-    batches = sc.scenario_batches(spark, sf)
-    lake = _replay(spark, sf, silver_mode=None, shapes=[batches["baseline"], batches["non_breaking"]])
+    lake = _replay(spark, sf, silver_mode=None, shapes=["baseline", "non_breaking"])
     return models._bronze(spark, lake).select(*sc.V1, "delivery_partner")
 
 

@@ -155,7 +155,7 @@ def ingest(spark: SparkSession, batch: DataFrame, lake: lk.Lake, *, batch_id: st
     obs = Observation(f"ingest_{batch_id}")
     newest = F.max("updated_at").cast("timestamp_ntz") if "updated_at" in out.columns else F.lit(None).cast("timestamp_ntz")
     (out.observe(obs, F.count(F.lit(1)).alias("rows"), newest.alias("newest"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .write.mode("overwrite").options(partitionOverwriteMode="dynamic", **lk.COMPRESSED)
         .partitionBy("_ingest_date", "_batch_id").parquet(lake.bronze))
     rows = int(obs.get["rows"])
     if schema != live:

@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from lakeguard.session import local_table
 from lakeguard.sources.contracts import hadoop_path, path_exists
 
+COMPRESSED = {"compression": "zstd"}   # of the tables that hold a row per order or version, and of their staging
 LOG_DAY = "_day"   # partition column of the logs: the UTC day of the append
 
 LOG_SCHEMAS = {
@@ -226,7 +227,7 @@ def overwrite_partitions(df: DataFrame, path: str, column: str, touched: list[st
     obs = Observation(name)
     # Rows of a partition meet for few files each; AQE splits a hot one over several tasks and merges small ones.
     out = df.hint("rebalance", column).observe(obs, F.collect_set(column).alias("written"), *metrics)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    out.write.mode("overwrite").options(partitionOverwriteMode="dynamic", **COMPRESSED).partitionBy(column).parquet(path)
     seen = obs.get
     for value in set(touched) - {str(v) for v in seen["written"]}:
         delete_path(spark, f"{path}/{column}={value}")

@@ -265,7 +265,7 @@ def silver_incremental(spark: SparkSession, lake: lk.Lake, mode: str = "arrival"
         stage.observe(obs, F.array_sort(F.collect_set(PART)).alias("parts"), F.count_if(is_new).alias("rows"),
                       F.max(F.when(is_new, F.col("updated_at"))).alias("max_updated"),
                       F.max(F.when(is_new, F.col("_ingested_at"))).alias("max_ingested")
-                      ).write.mode("overwrite").parquet(lake.staging(run_id, "changes"))
+                      ).write.mode("overwrite").options(**lk.COMPRESSED).parquet(lake.staging(run_id, "changes"))
         seen = obs.get
     parts = [str(p) if str(p) in there else f"+{p}" for p in seen["parts"]]
     marks = previous | {"rows": seen["rows"], "watermark_updated_at": _latest(previous["watermark_updated_at"], seen["max_updated"]),

@@ -52,7 +52,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, with_tie_break: bool = True) ->
     """The changelog view: one row per lineitem, raw-orders contract."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_extendedprice", status_expr().alias("status"), "l_shipdate")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     joined = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
     cols = [
@@ -61,7 +61,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, with_tie_break: bool = True) ->
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").alias("unit_price"),
-        status_expr().alias("status"),
+        F.col("status"),
         F.col("o_orderdate").alias("created_at"),
         F.greatest("o_orderdate", "l_shipdate").alias("updated_at"),
     ]
