@@ -302,14 +302,13 @@ def _scenario_footers(spark, sf, names=sc.SCENARIOS):
 
     The changelog is joined once; every batch is a projection of its written rows.
     """
-    def land() -> str:
-        root = _scratch(spark, "landed")
-        batches = sc.shapes(_materialize(spark, fx.raw_orders(spark, sf), "changelog"))
-        for name in names:
-            batches[name].write.parquet(f"{root}/{name}")
-        return root
-
-    return _materialize(spark, gates.batch_footers(spark, _once(spark, ("landed", sf, *names), land)), "footers")
+    root, changelog = _scratch(spark, "landed"), _scratch(spark, "changelog")
+    fx.raw_orders(spark, sf).drop("l_linenumber").write.options(**lk.COMPRESSED).parquet(changelog)
+    batches = sc.shapes(spark.read.parquet(changelog))
+    for name in names:
+        batches[name].write.options(**lk.COMPRESSED).parquet(f"{root}/{name}")
+    lk.delete_path(spark, changelog)
+    return _materialize(spark, gates.batch_footers(spark, root), "footers")
 
 
 def _scenario_verdicts(spark, sf):

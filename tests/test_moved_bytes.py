@@ -47,3 +47,10 @@ def test_large_tables_are_written_compressed(spark, lake):
     for path in (lake.bronze, lake.silver, lake.staging(run["run_id"], "changes")):
         names = spark.read.parquet(path).inputFiles()
         assert names and all(".zstd." in f for f in names), names
+
+
+def test_landed_batches_are_written_in_every_call(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(catalog, "_once", lambda *_: str(tmp_path))
+    monkeypatch.setattr(fx, "raw_orders", made)
+    with pytest.raises(Made):
+        catalog.schema_drift_verdict(spark, SF_SMALL)
