@@ -49,6 +49,15 @@ def test_large_tables_are_written_compressed(spark, lake):
         assert names and all(".zstd." in f for f in names), names
 
 
+@pytest.mark.parametrize("name", ["sink_drift_check", "sla_freshness", "sla_completeness"])
+def test_checks_make_their_own_lake(spark, monkeypatch, tmp_path, name):
+    """Not one that another query, or an earlier call, has left."""
+    monkeypatch.setattr(catalog, "_once", lambda *_: str(tmp_path))
+    monkeypatch.setattr(catalog, "_replay", made)
+    with pytest.raises(Made):
+        getattr(catalog, name)(spark, SF_SMALL)
+
+
 def test_landed_batches_are_written_in_every_call(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(catalog, "_once", lambda *_: str(tmp_path))
     monkeypatch.setattr(fx, "raw_orders", made)
