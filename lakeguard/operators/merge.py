@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+_COPIES = "__copies"
+
 
 def by_key(left: DataFrame, right: DataFrame, key: str | list[str], how: str) -> DataFrame:
     """Semi, anti or outer join on the key in which a null key matches a null key,
@@ -56,8 +58,11 @@ def merge_stats(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of ``a`` not in ``b`` and of ``b`` not in ``a`` (multiset), tagged by side.
 
-    Empty iff the two results are identical (stronger than equal counts).
+    Empty iff the two results are identical (stronger than equal counts).  Equal
+    rows of both sides meet in one grouping, so either side is shuffled once.
     """
-    left = a.exceptAll(b).withColumn("side", F.lit("only_first"))
-    right = b.exceptAll(a).withColumn("side", F.lit("only_second"))
-    return left.unionByName(right)
+    rows = (a.withColumn(_COPIES, F.lit(1)).union(b.withColumn(_COPIES, F.lit(-1)))
+            .groupBy(*a.columns).agg(F.sum(_COPIES).alias(_COPIES)).filter(F.col(_COPIES) != 0))
+    side = F.when(F.col(_COPIES) > 0, "only_first").otherwise("only_second")
+    return (rows.withColumns({"side": side, _COPIES: F.explode(F.sequence(F.lit(1), F.abs(_COPIES)))})
+            .drop(_COPIES))

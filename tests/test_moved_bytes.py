@@ -63,3 +63,14 @@ def test_landed_batches_are_written_in_every_call(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(fx, "raw_orders", made)
     with pytest.raises(Made):
         catalog.schema_drift_verdict(spark, SF_SMALL)
+
+
+def test_difference_shuffles_each_side_once_and_counts_copies(spark):
+    schema = "k string, v double"
+    a = local_table(spark, [("a", 1.0)] * 3 + [("b", 2.0), (None, None), (None, None), ("c", 3.0)], schema)
+    b = local_table(spark, [("a", 1.0), ("b", 2.0), (None, None), ("d", 4.0), ("d", 4.0)], schema)
+    diff = symmetric_difference(a, b)
+    assert diff.columns == ["k", "v", "side"]
+    assert shuffles(diff) == 1
+    assert Counter(tuple(r) for r in diff.collect()) == {
+        ("a", 1.0, "only_first"): 2, (None, None, "only_first"): 1, ("c", 3.0, "only_first"): 1, ("d", 4.0, "only_second"): 2}
