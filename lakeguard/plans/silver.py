@@ -22,10 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeguard.operators.latest import latest_per_key
-from lakeguard.operators.merge import by_key, upsert
+from lakeguard.operators.merge import upsert
 from lakeguard.operators.watermark import high_watermark_filter
 
 KEY = "order_id"
+_KEYED = "__key"
 SYSTEM_COLUMNS = ["_ingested_at", "_schema_version", "_source"]
 SILVER_COLUMNS = ["order_id", "customer_id", "product_id", "quantity", "unit_price",
                   "line_total", "status", "created_at", "updated_at", *SYSTEM_COLUMNS]
@@ -88,21 +89,27 @@ def staged_change_set(bronze: DataFrame, target: DataFrame, partition: Column, *
         delta = high_watermark_filter(bronze, "_ingested_at", watermark, strict=True)
     else:
         raise ValueError(f"unknown incremental mode {mode!r}")
-    incoming = project(latest_per_key(delta, KEY, version_order))
+    # a struct is never null and equals one whose field is null too, so one plain column deals out the
+    # versions, the delta's keys and the current rows, each of them once
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumn(_KEYED, F.struct(KEY)).drop(KEY)
+
+    latest = latest_per_key(keyed(delta), _KEYED, [c for c in version_order if c != KEY])
     order = arrival_order(version_order)
     kept = ["created_at", "updated_at", "_ingested_at", "status", "line_total", "_part"]
     narrow = kept + [c for c in order if c not in kept] if mode == "arrival" else kept
-    current = (by_key(target.select(KEY, *narrow), delta.select(KEY), KEY, "left_semi")
-               .select(KEY, *[F.col(c).alias(f"__cur_{c}") for c in narrow],
+    current = (keyed(target.select(KEY, *narrow)).join(keyed(delta.select(KEY)).distinct(), _KEYED, "left_semi")
+               .select(_KEYED, *[F.col(c).alias(f"__cur_{c}") for c in narrow],
                        F.lit(True).alias("__cur")))
-    j = by_key(incoming, current, KEY, "left_outer")
+    j = latest.join(current, _KEYED, "left_outer").withColumns(
+        {KEY: F.col(f"{_KEYED}.{KEY}"), "line_total": line_total()})
     cur = lambda c: F.col(f"__cur_{c}")
     if mode == "arrival":
         current_stays = F.lit(False)
         for c in reversed(order):
             current_stays = _ahead(cur(c), F.col(c)) | (cur(c).eqNullSafe(F.col(c)) & current_stays)
         j = j.filter(F.col("__cur").isNull() | ~current_stays)
-    types = dict((f.name, f.dataType) for f in incoming.schema.fields)
+    types = dict((f.name, f.dataType) for f in project(delta).schema.fields)
     new = F.struct(*[F.col(c) for c in SILVER_COLUMNS], partition.cast("int").alias("_part"),
                    F.lit("new").alias("_side"))
     old_fields = [F.col(KEY) if c == KEY else cur(c).alias(c) if c in kept

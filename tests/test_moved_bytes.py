@@ -74,3 +74,31 @@ def test_difference_shuffles_each_side_once_and_counts_copies(spark):
     assert shuffles(diff) == 1
     assert Counter(tuple(r) for r in diff.collect()) == {
         ("a", 1.0, "only_first"): 2, (None, None, "only_first"): 1, ("c", 3.0, "only_first"): 1, ("d", 4.0, "only_second"): 2}
+
+
+ROW = ("order_id string, customer_id string, product_id string, quantity int, unit_price double, status string, "
+       "created_at timestamp_ntz, updated_at timestamp_ntz, _ingested_at timestamp_ntz, _schema_version string, _source string")
+
+
+@pytest.mark.parametrize("mode", ["arrival", "event_time"])
+def test_change_set_deals_out_every_side_once(spark, tmp_path, mode):
+    def row(key, status, day):
+        at = dt.datetime(2001, 1, day)
+        return (key, "c", "p", 2, 1.5, status, dt.datetime(2000, 1, 1), at, at, "v1", "s")
+
+    part = F.lit(200001)
+    local_table(spark, [row("a", "pending", 1), row(None, "pending", 1), row("b", "pending", 1)], ROW).write.parquet(f"{tmp_path}/1")
+    local_table(spark, [row("a", "shipped", 2), row("a", "delivered", 3), row(None, "shipped", 2), row("n", "pending", 2)],
+                ROW).write.parquet(f"{tmp_path}/2")
+    silver.silver_full(spark.read.parquet(f"{tmp_path}/1")).withColumn("_part", part).write.parquet(f"{tmp_path}/t")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stage = silver.staged_change_set(spark.read.parquet(f"{tmp_path}/2"), spark.read.parquet(f"{tmp_path}/t"), part, mode=mode)
+        assert shuffles(stage) == 3  # the delta's versions, its keys, the target
+        found = {(r["order_id"], r["_side"], r["status"], r["line_total"]) for r in stage.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert found == {("a", "new", "delivered", 3.0), ("a", "old", "pending", 3.0), (None, "new", "shipped", 3.0),
+                     (None, "old", "pending", 3.0), ("n", "new", "pending", 3.0)}
+    assert stage.columns == [*silver.SILVER_COLUMNS, "_part", "_side"]
